@@ -232,39 +232,48 @@ def _links(
     )
 
 
-def _newest_links(links: DataFrame, *extra: str) -> DataFrame:
-    return links.orderBy(
-        F.desc_nulls_first("created_at"), F.desc("message_id"), "url_no"
-    ).select("server_name", "channel_name", "current_username", *extra, "date", "url")
-
-
-def links_deleted_accounts(tables: Tables) -> DataFrame:
+def deleted_account_links(tables: Tables) -> DataFrame:
     """Links in live messages of accounts whose name says deleted, of all time."""
     gone = tables.users.filter(contains_ilike(F.col("current_username"), DELETED_ACCOUNT_TERM))
-    return _newest_links(_links(tables, tables.live_messages, gone, LINK_MARKERS, URL_PATTERN))
+    return _links(tables, tables.live_messages, gone, LINK_MARKERS, URL_PATTERN)
 
 
-def shortlinks(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
+def recent_shortlinks(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
     """Links behind a shortener in the window."""
     recent = _recent(tables, as_of, days, None)
-    return _newest_links(
-        _links(tables, recent, tables.users, SHORTLINK_MARKERS, SHORTLINK_PATTERN)
-    )
+    return _links(tables, recent, tables.users, SHORTLINK_MARKERS, SHORTLINK_PATTERN)
 
 
-def links_new_accounts(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
+def new_account_links(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
     """Links posted less than seven days after the account was stored; a post dated before
     that counts too."""
     recent = _recent(tables, as_of, days, None)
-    links = _links(tables, recent, tables.users, LINK_MARKERS, URL_PATTERN)
     age = F.col("created_at") - F.col("account_created_at")
-    young = links.filter(age < F.make_dt_interval(F.lit(NEW_ACCOUNT_DAYS)))
-    return _newest_links(
-        young.withColumn("account_created", F.col("account_created_at").cast("date")),
-        "account_created",
+    return (
+        _links(tables, recent, tables.users, LINK_MARKERS, URL_PATTERN)
+        .filter(age < F.make_dt_interval(F.lit(NEW_ACCOUNT_DAYS)))
+        .withColumn("account_created", F.col("account_created_at").cast("date"))
     )
 
 
+def _newest_links(links: DataFrame, *extra: str) -> DataFrame:
+    return links.orderBy(
+        F.desc_nulls_first("created_at"), F.desc("message_id"), "url_no"
+    ).select("server_name", "channel_name", "current_username", *extra, "date", "url")
+
+
+def links_deleted_accounts(tables: Tables) -> DataFrame:
+    return _newest_links(deleted_account_links(tables))
+
+
+def shortlinks(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
+    return _newest_links(recent_shortlinks(tables, as_of, days))
+
+
+def links_new_accounts(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
+    return _newest_links(new_account_links(tables, as_of, days), "account_created")
+
+
 LINK_LISTS = ("deleted_account_links", "shortlinks", "new_account_links")
 
 
