@@ -487,11 +487,11 @@ announced AS (
     SELECT *, {DATE} AS date, channel_name AS source_channel, substring(content, 1, 500) AS raw_text
     FROM titled)"""
 QUIET = f"NOT regexp_matches(title, {quoted(f'(?i)^(?:{ev.NOISE_WORDS}|{ev.NOISE_LETTERS})')})"
-FIRST_LINE = strip(f"regexp_split_to_array({BODY}, {quoted(ev.LINE_BREAK)})[1]")
-CUES = " OR ".join(
-    f"regexp_matches(content, {pattern(p)})"
-    for p in (ev.TIME_CUE, ev.PLACE_CUE, ev.DAY_CUE, *ev.DATE_PATTERNS)
-)
+FIRST_LINE = strip(f"regexp_extract({BODY}, {quoted(f'^[^{ev.LINE_BREAKS}]*')})")
+CUE_PATTERNS = (
+    "|".join(ev.TIME_CUES), "(?i)" + "|".join(ev.PLACE_CUES + ev.DAY_CUES), *ev.DATE_PATTERNS,
+)
+CUES = " OR ".join(f"regexp_matches(content, {pattern(p)})" for p in CUE_PATTERNS)
 PLAYED = f"""played AS (
     SELECT *, 0 AS pos, {DATE} AS date, channel_name AS source_channel,
            substring(content, 1, 500) AS raw_text

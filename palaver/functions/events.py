@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from palaver.functions.text import WHITESPACE, strip
+from palaver.functions.text import WHITESPACE, fold_case, mentions, strip
 
 # Unicode-aware character classes both regex engines in use agree on.
 WORD = r"[\p{L}\p{N}_]"
@@ -32,9 +33,11 @@ NOISE_WORDS = (
     r"if you|we got|it is"
 )
 NOISE_LETTERS = rf"[A-Z{WHITESPACE}]{{2,}}:?{SPACE}*$"
-TIME_CUE = rf"[⌚🕐🕑🕒🕓🕔🕕🕖🕗🕘🕙🕚🕛]|{DIGIT}{{1,2}}:{DIGIT}{{2}}|at {DIGIT}{{1,2}}"
-PLACE_CUE = r"(?iu)📍|kisahalli|töölö|hive|helsinki|address|location"
-DAY_CUE = r"(?iu)monday|tuesday|wednesday|thursday|friday|saturday|sunday|tomorrow|tmw"
+TIME_CUES = (r"[⌚🕐🕑🕒🕓🕔🕕🕖🕗🕘🕙🕚🕛]", rf"{DIGIT}{{1,2}}:{DIGIT}{{2}}", rf"at {DIGIT}{{1,2}}")
+PLACE_CUES = ("📍", "kisahalli", "töölö", "hive", "helsinki", "address", "location")
+DAY_CUES = (
+    "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday", "tomorrow", "tmw",
+)
 REPLY_LINE = (
     r"(?iud)^(count me in|i('m| am) in|me too|i'll come|i will|yes|no|"
     r"sure|sounds good|cool|great|ok|okay|thanks|thank you|"
@@ -42,7 +45,7 @@ REPLY_LINE = (
     r"courts? free|here we|is there still|can you|hey!?$)"
 )
 PHONE_LINE = rf"(?d)^\+?{DIGIT}[{DIGIT}{WHITESPACE}\-]{{7,}}$"
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+LINE_BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
 MIN_TITLE_CHARS = 5
 MIN_EVENT_CHARS = 10
 MIN_SPORTS_CHARS = 15
@@ -107,17 +110,31 @@ def long_enough(content: Column, chars: int) -> Column:
 
 
 def titles(content: Column) -> Column:
-    """Stripped bold or underlined spans in order, short ones and mentions left out."""
+    """Stripped bold or underlined spans in order, short ones and mentions left out.
+
+    Text without a marker, found by a plain byte search, skips the pattern.
+    """
+    marked = F.contains(content, F.lit("**")) | F.contains(content, F.lit("__"))
     spans = F.regexp_extract_all(content, F.lit("(?d)" + TITLE_PATTERN), F.lit(0))
     cut = F.transform(spans, lambda s: strip(F.substring(s, F.lit(3), F.length(s) - 4)))
-    return F.filter(cut, lambda t: (F.length(t) >= MIN_TITLE_CHARS) & ~t.startswith("@"))
+    kept = F.filter(cut, lambda t: (F.length(t) >= MIN_TITLE_CHARS) & ~t.startswith("@"))
+    return F.when(marked, kept)
+
+
+def has_year(content: Column) -> Column:
+    """Four digits in a row, which every date pattern needs; one quick pass."""
+    return content.rlike(rf"{DIGIT}{{4}}")
+
+
+def has_date(content: Column) -> Column:
+    return has_year(content) & reduce(Column.__or__, [content.rlike(p) for p in DATE_PATTERNS])
 
 
 def event_date(content: Column) -> Column:
     """First date of the first pattern that matches anywhere, or ''."""
     found = [F.nullif(F.regexp_extract(content, p, 1), F.lit("")) for p in DATE_PATTERNS]
-    commas = F.regexp_replace(strip(F.coalesce(*found, F.lit(""))), "^,+|,+$", "")
-    return commas
+    bare = F.btrim(strip(F.coalesce(*found, F.lit(""))), F.lit(","))
+    return F.when(has_year(content), bare).otherwise(F.lit(""))
 
 
 def is_noise(title: Column, strict_case: bool = False) -> Column:
@@ -132,21 +149,27 @@ def is_noise(title: Column, strict_case: bool = False) -> Column:
 
 
 def first_line(content: Column) -> Column:
-    return strip(F.split(strip(content), LINE_BREAK, 2)[0])
+    return strip(F.regexp_extract(strip(content), rf"^[^{LINE_BREAKS}]*", 0))
+
+
+def has_cue(content: Column) -> Column:
+    """A time, a place, a weekday or a date."""
+    times = reduce(Column.__or__, [content.rlike(p) for p in TIME_CUES])
+    return times | mentions(fold_case(content), PLACE_CUES + DAY_CUES) | has_date(content)
 
 
 def is_sports_post(content: Column) -> Column:
-    """An organising post: long enough, with a time, place or date cue, and no mere reply."""
-    cue = content.rlike(TIME_CUE) | content.rlike(PLACE_CUE) | content.rlike(DAY_CUE)
-    for pattern in DATE_PATTERNS:
-        cue = cue | content.rlike(pattern)
+    """An organising post: long enough, no mere reply, with a time, place or date cue.
+
+    The cheap checks on the first line come first.
+    """
     line = first_line(content)
     reply = line.rlike(REPLY_LINE) | line.rlike(PHONE_LINE)
     return (
         long_enough(content, MIN_SPORTS_CHARS)
-        & cue
         & (F.length(line) >= MIN_SPORTS_TITLE_CHARS)
         & ~reply
+        & has_cue(content)
     )
 
 

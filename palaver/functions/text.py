@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The Unicode whitespace set, the token estimate and the line format.
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 WHITESPACE = r"\t-\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 TOKENS_PER_WORD = 1.3
 DEFAULT_MAX_TOKENS = 8000
@@ -15,18 +20,36 @@ LINE_TIME_FORMAT = "yyyy-MM-dd HH:mm"
 UNKNOWN_AUTHOR = "unknown"
 
 
+# A run of whitespace; the first class rejects printable ASCII with a single comparison.
+_GAP = rf"[[^!-~]&&[{WHITESPACE}]]+"
+
+
 def strip(text: Column) -> Column:
     """Cut Unicode whitespace on both sides (``trim`` knows only the plain space)."""
-    return F.regexp_replace(text, rf"^[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARS))
 
 
 def estimate_tokens(text: Column) -> Column:
     """0 for NULL or empty text, else words times 1.3 rounded down, at least 1."""
-    words = F.regexp_count(text, F.lit(rf"[^{WHITESPACE}]+"))
+    words = F.regexp_count(strip(text), F.lit(_GAP)) + 1
     tokens = F.floor(words * F.lit(TOKENS_PER_WORD)).cast("long")
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0).cast("long")).otherwise(
-        F.greatest(F.lit(1).cast("long"), tokens)
-    )
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0).cast("long")).otherwise(tokens)
+
+
+def fold_case(text: Column) -> Column:
+    """Lower case, with the few other letters that match an ASCII letter when case is ignored."""
+    for letter, plain in (("ſ", "s"), ("\u212a", "k"), ("ı", "i"), ("İ", "i")):
+        text = F.replace(text, F.lit(letter), F.lit(plain))
+    return F.lower(text)
+
+
+def mentions(text: Column, words: Sequence[str]) -> Column:
+    """Whether prepared text contains any of the words. The text is evaluated once."""
+
+    def any_word(prepared: Column) -> Column:
+        return reduce(Column.__or__, [F.contains(prepared, F.lit(word)) for word in words])
+
+    return F.transform(F.array(text), any_word)[0]
 
 
 def like_pattern(term: str) -> str:

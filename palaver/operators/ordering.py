@@ -45,10 +45,13 @@ def freeze_sorted(frame: DataFrame, order: Sequence[Column | str]) -> DataFrame:
 
     Each range is one partition, numbered ``_block`` in sort order. ``order`` must be total.
     The written copy makes every later use see the same ranges, also after a lost executor.
+    ``frame`` should be narrow: it is written before it is sorted as well, so that finding the
+    range borders does not compute it a second time.
     """
     ensure_checkpoint_dir(frame.sparkSession)
     return (
-        frame.repartitionByRange(*order)
+        frame.checkpoint()
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_block", F.spark_partition_id())
         .checkpoint()

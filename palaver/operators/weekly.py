@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.functions.text import contains_ilike
+from palaver.functions.text import contains_ilike, mentions
 from palaver.operators.ordering import top_per_group
 from palaver.operators.queries import week_start
 from palaver.sources.tables import Tables, within_days
@@ -208,7 +208,8 @@ def _links(
     The URLs are cut out before the joins, so message text is never shuffled. A message that
     carries a marker but no matching URL gives no row.
     """
-    marked = reduce(Column.__or__, [contains_ilike(F.col("content"), m) for m in markers])
+    # The byte search for the scheme, which every URL pattern needs, spares most text the rest.
+    marked = F.contains("content", F.lit("://")) & mentions(F.lower("content"), markers)
     found = (
         messages.filter(marked)
         .select(

@@ -65,8 +65,9 @@ class Store:
         return self._read(name, f"{LOGS[name]}, {LOAD} string")
 
     def tables(self) -> Tables:
-        keyed = {name: self.table(name) for name in KEYS}
-        return Tables(username_history=self.log("username_history").drop(LOAD), **keyed)
+        return Tables(
+            lambda name: self.table(name) if name in KEYS else self.log(name).drop(LOAD)
+        )
 
     def touched(self, rows: DataFrame, key: str) -> list[int]:
         """The folders a batch falls into; their number is bound by the id range."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +12,35 @@ from pyspark.sql import functions as F
 from palaver import schemas
 
 
-@dataclass(frozen=True)
 class Tables:
-    servers: DataFrame
-    users: DataFrame
-    username_history: DataFrame
-    messages: DataFrame
-    reactions: DataFrame
-    server_members: DataFrame
+    """The logical tables. A table is opened when an operator first asks for it."""
+
+    def __init__(self, load: Callable[[str], DataFrame]):
+        self._load = load
+
+    @cached_property
+    def servers(self) -> DataFrame:
+        return self._load("servers")
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return self._load("users")
+
+    @cached_property
+    def username_history(self) -> DataFrame:
+        return self._load("username_history")
+
+    @cached_property
+    def messages(self) -> DataFrame:
+        return self._load("messages")
+
+    @cached_property
+    def reactions(self) -> DataFrame:
+        return self._load("reactions")
+
+    @cached_property
+    def server_members(self) -> DataFrame:
+        return self._load("server_members")
 
     @property
     def live_messages(self) -> DataFrame:
@@ -32,7 +53,7 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def load_tables(spark: SparkSession, folder: str) -> Tables:
-    return Tables(**{name: load_table(spark, folder, name) for name in schemas.TABLES})
+    return Tables(lambda name: load_table(spark, folder, name))
 
 
 def read_jdbc_table(
