@@ -489,7 +489,8 @@ announced AS (
 QUIET = f"NOT regexp_matches(title, {quoted(f'(?i)^(?:{ev.NOISE_WORDS}|{ev.NOISE_LETTERS})')})"
 FIRST_LINE = strip(f"regexp_extract({BODY}, {quoted(f'^[^{ev.LINE_BREAKS}]*')})")
 CUE_PATTERNS = (
-    "|".join(ev.TIME_CUES), "(?i)" + "|".join(ev.PLACE_CUES + ev.DAY_CUES), *ev.DATE_PATTERNS,
+    "|".join(ev.TIME_CUES + ev.CLOCK_CUES), "(?i)" + "|".join(ev.PLACE_CUES + ev.DAY_CUES),
+    *ev.DATE_PATTERNS,
 )
 CUES = " OR ".join(f"regexp_matches(content, {pattern(p)})" for p in CUE_PATTERNS)
 PLAYED = f"""played AS (

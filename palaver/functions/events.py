@@ -33,7 +33,8 @@ NOISE_WORDS = (
     r"if you|we got|it is"
 )
 NOISE_LETTERS = rf"[A-Z{WHITESPACE}]{{2,}}:?{SPACE}*$"
-TIME_CUES = (r"[⌚🕐🕑🕒🕓🕔🕕🕖🕗🕘🕙🕚🕛]", rf"{DIGIT}{{1,2}}:{DIGIT}{{2}}", rf"at {DIGIT}{{1,2}}")
+TIME_CUES = (rf"{DIGIT}{{1,2}}:{DIGIT}{{2}}", rf"at {DIGIT}{{1,2}}")
+CLOCK_CUES = ("⌚", "🕐", "🕑", "🕒", "🕓", "🕔", "🕕", "🕖", "🕗", "🕘", "🕙", "🕚", "🕛")
 PLACE_CUES = ("📍", "kisahalli", "töölö", "hive", "helsinki", "address", "location")
 DAY_CUES = (
     "monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday", "tomorrow", "tmw",
@@ -109,16 +110,16 @@ def long_enough(content: Column, chars: int) -> Column:
     return F.length(strip(content)) >= chars
 
 
-def titles(content: Column) -> Column:
-    """Stripped bold or underlined spans in order, short ones and mentions left out.
+def is_marked(content: Column) -> Column:
+    """Whether the text has a title marker at all; a plain byte search."""
+    return F.contains(content, F.lit("**")) | F.contains(content, F.lit("__"))
 
-    Text without a marker, found by a plain byte search, skips the pattern.
-    """
-    marked = F.contains(content, F.lit("**")) | F.contains(content, F.lit("__"))
+
+def titles(content: Column) -> Column:
+    """Stripped bold or underlined spans in order, short ones and mentions left out."""
     spans = F.regexp_extract_all(content, F.lit("(?d)" + TITLE_PATTERN), F.lit(0))
     cut = F.transform(spans, lambda s: strip(F.substring(s, F.lit(3), F.length(s) - 4)))
-    kept = F.filter(cut, lambda t: (F.length(t) >= MIN_TITLE_CHARS) & ~t.startswith("@"))
-    return F.when(marked, kept)
+    return F.filter(cut, lambda t: (F.length(t) >= MIN_TITLE_CHARS) & ~t.startswith("@"))
 
 
 def has_year(content: Column) -> Column:
@@ -149,13 +150,16 @@ def is_noise(title: Column, strict_case: bool = False) -> Column:
 
 
 def first_line(content: Column) -> Column:
-    return strip(F.regexp_extract(strip(content), rf"^[^{LINE_BREAKS}]*", 0))
+    # The plain cut at a newline leaves little text for the rarer breaks.
+    line = F.substring_index(strip(content), "\n", 1)
+    return strip(F.regexp_extract(line, rf"^[^{LINE_BREAKS}]*", 0))
 
 
 def has_cue(content: Column) -> Column:
     """A time, a place, a weekday or a date."""
     times = reduce(Column.__or__, [content.rlike(p) for p in TIME_CUES])
-    return times | mentions(fold_case(content), PLACE_CUES + DAY_CUES) | has_date(content)
+    words = mentions(fold_case(content), PLACE_CUES + DAY_CUES + CLOCK_CUES)
+    return times | words | has_date(content)
 
 
 def is_sports_post(content: Column) -> Column:
@@ -163,14 +167,13 @@ def is_sports_post(content: Column) -> Column:
 
     The cheap checks on the first line come first.
     """
-    line = first_line(content)
-    reply = line.rlike(REPLY_LINE) | line.rlike(PHONE_LINE)
-    return (
-        long_enough(content, MIN_SPORTS_CHARS)
-        & (F.length(line) >= MIN_SPORTS_TITLE_CHARS)
-        & ~reply
-        & has_cue(content)
-    )
+
+    def fits(line: Column) -> Column:
+        reply = line.rlike(REPLY_LINE) | line.rlike(PHONE_LINE)
+        return (F.length(line) >= MIN_SPORTS_TITLE_CHARS) & ~reply
+
+    titled = F.transform(F.array(first_line(content)), fits)[0]
+    return long_enough(content, MIN_SPORTS_CHARS) & titled & has_cue(content)
 
 
 def raw_text(content: Column) -> Column:

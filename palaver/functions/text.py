@@ -20,8 +20,8 @@ LINE_TIME_FORMAT = "yyyy-MM-dd HH:mm"
 UNKNOWN_AUTHOR = "unknown"
 
 
-# A run of whitespace; the first class rejects printable ASCII with a single comparison.
-_GAP = rf"[[^!-~]&&[{WHITESPACE}]]+"
+# The same set as a class of Java patterns, where it is much quicker than the listed ranges.
+_SPACE = r"[\s\x1c-\x1f]"
 
 
 def strip(text: Column) -> Column:
@@ -31,7 +31,11 @@ def strip(text: Column) -> Column:
 
 def estimate_tokens(text: Column) -> Column:
     """0 for NULL or empty text, else words times 1.3 rounded down, at least 1."""
-    words = F.regexp_count(strip(text), F.lit(_GAP)) + 1
+    # Almost all text has no whitespace but spaces and newlines; there a plain split does.
+    odd = text.rlike(rf"(?U)[{_SPACE}&&[^ \n]]")
+    plain = F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
+    gaps = F.regexp_count(strip(text), F.lit(rf"(?U){_SPACE}+"))
+    words = F.when(odd, gaps + 1).otherwise(F.greatest(F.lit(1), F.size(plain)))
     tokens = F.floor(words * F.lit(TOKENS_PER_WORD)).cast("long")
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0).cast("long")).otherwise(tokens)
 

@@ -79,22 +79,36 @@ def channel_set_messages(
     )
 
 
-def extract_titles(messages: DataFrame, content: str = "content") -> DataFrame:
+def _titles() -> Column:
+    return F.when(ev.long_enough(F.col("content"), ev.MIN_EVENT_CHARS), ev.titles(F.col("content")))
+
+
+def extract_titles(messages: DataFrame) -> DataFrame:
     """One row per bold title of a message: ``pos`` (from 0) and ``title``."""
-    found = F.when(ev.long_enough(F.col(content), ev.MIN_EVENT_CHARS), ev.titles(F.col(content)))
-    return messages.select("*", F.posexplode(found).alias("pos", "title"))
+    kept = [c for c in messages.columns if c != "content"]
+    found = messages.filter(ev.is_marked(F.col("content"))).select(*kept, _titles().alias("_found"))
+    return found.select(*kept, F.posexplode("_found").alias("pos", "title"))
 
 
 def extract_events(messages: DataFrame) -> DataFrame:
-    """One event per bold title, with the message's date and the first 500 characters."""
-    return extract_titles(messages).select(
-        *[c for c in messages.columns if c != "content"],
-        "pos",
-        "title",
+    """One event per bold title, with the message's date and the first 500 characters.
+
+    Date and text are cut per message, before its titles become rows.
+    """
+    kept = [c for c in messages.columns if c != "content"]
+    found = messages.filter(ev.is_marked(F.col("content"))).select(
+        *kept,
+        _titles().alias("_found"),
         ev.event_date(F.col("content")).alias("date"),
+        ev.raw_text(F.col("content")).alias("raw_text"),
+    )
+    return found.select(
+        *kept,
+        F.posexplode("_found").alias("pos", "title"),
+        "date",
         F.lit(None).cast("string").alias("category"),
         F.col("channel_name").alias("source_channel"),
-        ev.raw_text(F.col("content")).alias("raw_text"),
+        "raw_text",
     )
 
 

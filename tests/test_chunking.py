@@ -97,6 +97,7 @@ def test_edges(spark):
 
 def test_estimate_tokens_and_strip(spark):
     texts = [None, "", " ", "\x1c", "one", "a b　c", "a\x1fb\x0bc\x85d", "x " * 999]
+    texts += [f"a{chr(c)}b c" for c in range(1, 0x3100)]
     texts += ["​zero width", " ".join("w" for _ in range(10)), " a "]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     rows = frame.select(
