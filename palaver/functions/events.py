@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from palaver.functions.text import WHITESPACE, fold_case, mentions, strip
+from palaver.functions.text import WHITESPACE, fold_case, mentions, once, strip
 
 # Unicode-aware character classes both regex engines in use agree on.
 WORD = r"[\p{L}\p{N}_]"
@@ -172,8 +172,12 @@ def is_sports_post(content: Column) -> Column:
         reply = line.rlike(REPLY_LINE) | line.rlike(PHONE_LINE)
         return (F.length(line) >= MIN_SPORTS_TITLE_CHARS) & ~reply
 
-    titled = F.transform(F.array(first_line(content)), fits)[0]
-    return long_enough(content, MIN_SPORTS_CHARS) & titled & has_cue(content)
+    def qualifies(text: Column) -> Column:
+        return (
+            long_enough(text, MIN_SPORTS_CHARS) & once(first_line(text), fits) & has_cue(text)
+        )
+
+    return once(content, qualifies)
 
 
 def raw_text(content: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -47,13 +47,19 @@ def fold_case(text: Column) -> Column:
     return F.lower(text)
 
 
-def mentions(text: Column, words: Sequence[str]) -> Column:
-    """Whether prepared text contains any of the words. The text is evaluated once."""
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated a single time per row, wherever it is placed."""
+    return F.transform(F.array(value), use)[0]
 
-    def any_word(prepared: Column) -> Column:
-        return reduce(Column.__or__, [F.contains(prepared, F.lit(word)) for word in words])
 
-    return F.transform(F.array(text), any_word)[0]
+def mentions(text: Column, words: Sequence[str]) -> Column:
+    """Whether prepared text contains any of the words."""
+    return once(
+        text,
+        lambda prepared: reduce(
+            Column.__or__, [F.contains(prepared, F.lit(word)) for word in words]
+        ),
+    )
 
 
 def like_pattern(term: str) -> str:
