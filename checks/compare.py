@@ -11,6 +11,10 @@ from checks.oracle import ORACLES
 from checks.queries import REGISTRY
 from palaver.session import local_session
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE", "boolean": "BOOLEAN", "double": "DOUBLE",
+}
 SOURCES = "nation customer orders lineitem events documents".split()
 
 
@@ -38,7 +42,10 @@ def main(sf_dir: str, names: list[str]) -> int:
             result = base.execute(ORACLES[name])
             columns = [d[0] for d in result.description]
             theirs = _rows(columns, result.fetchall())
-            same = ours == theirs and sorted(columns) == sorted(frame.columns)
+            described = base.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
+            schema = sorted((d[0], d[1]) for d in described)
+            expected = sorted((column, TYPES[kind]) for column, kind in frame.dtypes)
+            same = ours == theirs and schema == expected
         except Exception as error:  # report and go on with the next query
             failures += 1
             print(f"{name:28s} ERROR {str(error)[:1500]}", flush=True)
@@ -50,7 +57,7 @@ def main(sf_dir: str, names: list[str]) -> int:
             flush=True,
         )
         if not same:
-            print(sorted(columns), sorted(frame.columns))
+            print("   ", sorted(set(schema) ^ set(expected)))
             extra = [r for r in ours if r not in set(theirs)][:3]
             missing = [r for r in theirs if r not in set(ours)][:3]
             for label, rows in (("spark", extra), ("sql", missing)):

@@ -209,7 +209,7 @@ FROM live m JOIN servers s ON m.server_id = s.server_id JOIN users u ON m.user_i
 WHERE m.content ILIKE {pattern} {where} ORDER BY m.created_at DESC, m.message_id DESC LIMIT 100"""
 add("search_messages", SEARCH.format(pattern="'%hack%'", where=""))
 add("search_messages_in_server",
-    SEARCH.format(pattern="'%N_ght 1%%'", where="AND m.server_id = 5"))
+    SEARCH.format(pattern="'%N_ght 1%%'", where="AND m.server_id = 10"))
 add("find_user", """
 SELECT user_id, discord_id, current_username FROM users
 WHERE current_username ILIKE '%deleted user%'""")
@@ -627,3 +627,58 @@ SELECT message_id, CAST(pos AS INTEGER) AS pos,
        CASE WHEN batch_pos >= 20 THEN 'other' WHEN batch_pos % 2 = 1 THEN 'tech'
             ELSE 'social' END AS category
 FROM batched""", TITLED, BATCHED)
+SUMMARY = f"""summary AS (
+    SELECT a.*, coalesce((SELECT string_agg(concat('{{', chr(10),
+        '    "current_username" : "', t.current_username, '",', chr(10),
+        '    "message_count" : ', t.message_count, ',', chr(10),
+        '    "channels" : [ "', replace(t.channels, '|', '", "'), '" ]', chr(10), '  }}'),
+        ', ' ORDER BY t.rank) FROM top_users t WHERE t.server_id = a.server_id), '') AS listed
+    FROM activity a),
+digest AS (
+    SELECT server_id, server_name, concat('{{', chr(10),
+        '  "server_name" : "', server_name, '",', chr(10),
+        '  "total_messages" : ', total_messages, ',', chr(10),
+        '  "active_users" : ', active_users, ',', chr(10),
+        '  "active_channels" : ', active_channels, ',', chr(10),
+        '  "top_users" : [ ', listed, ' ],', chr(10),
+        '  "days" : 30', chr(10), '}}') AS data,
+        coalesce((SELECT string_agg(CASE WHEN {BODY} <> '' THEN {LINE} END, chr(10) ORDER BY rank)
+                  FROM sample m WHERE m.server_id = summary.server_id), '') AS lines
+    FROM summary),
+digests AS (
+    SELECT server_id, server_name,
+           {filled(prompts.DIGEST, server_data='data', messages='lines')} AS prompt
+    FROM digest)"""
+DIGESTS = (
+    f"activity AS ({ACTIVITY.replace(WEEK, MONTH)})",
+    f"top_users AS ({TOP_USERS.replace(WEEK, MONTH)})",
+    f"sample AS ({SAMPLE})",
+    SUMMARY,
+)
+add("digest_prompts", "SELECT server_id, server_name, md5(prompt) AS prompt_md5 FROM digests",
+    *DIGESTS)
+ANSWER = "concat('answer to ', length({}), ' characters')"
+STORY = filled(prompts.USER_STORY, username="c.current_username", messages="t.text")
+FAQ = filled(prompts.CHANNEL_FAQ, channel="'click'", messages="text")
+add("analysis_report_lines", f"""
+SELECT unnest(['# NATION_3 — Full Analysis', '_Generated 2024-01-31 00:00 · last 30 days_', '',
+               '---', '', '', '', '## Weekly Digest', '', {ANSWER.format('prompt')}, '', '',
+               '## Channel FAQ — #click', '',
+               (SELECT string_agg({ANSWER.format(FAQ)}, chr(10) ORDER BY chunk_no) FROM one_texts),
+               '', '', '## User Profiles', '', '', '', '## Server Health — Monthly Trends', '',
+               '| Month | Joined | Left | Net |', '| ----- | ------ | ---- | --- |']) AS line
+FROM digests WHERE server_id = 3
+UNION ALL
+SELECT unnest(['', concat('### ', c.current_username, ' (', c.message_count, ' messages)'), '',
+               {ANSWER.format(STORY)}])
+FROM chosen_users c JOIN user_texts t ON c.user_id = t.user_id AND t.chunk_no = 0
+UNION ALL
+(SELECT concat('| ', month, ' | ', new_members, ' | ', left_members, ' | ',
+               CASE WHEN net_change >= 0 THEN '+' ELSE '' END, net_change, ' |')
+ FROM health ORDER BY month DESC LIMIT 12)""",
+    *DIGESTS, USERS_ROWS, packed("user_id", "unnamed", "created_at DESC, message_id DESC", "user"),
+    texts("user", "user_id"), AUTHORED,
+    f"one AS (SELECT * FROM authored WHERE channel_id = 32 AND created_at > {MONTH})",
+    packed("channel_id", "one", "created_at, message_id", "one"), texts("one", "channel_id"),
+    "health AS (" + HEALTH.format(key="", where="WHERE server_id = 3") + ")",
+    recursive=True)

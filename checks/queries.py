@@ -210,7 +210,7 @@ def search_messages(t):
 
 @register
 def search_messages_in_server(t):
-    return queries.search_messages(t, "N_ght 1%", 5)
+    return queries.search_messages(t, "N_ght 1%", 10)
 
 
 @register
