@@ -40,6 +40,12 @@ def top_per_group(
     return frame.withColumn(rank, F.row_number().over(group)).filter(F.col(rank) <= limit)
 
 
+def materialise(frame: DataFrame) -> DataFrame:
+    """A written copy in the shared checkpoint folder, for a small result used several times."""
+    ensure_checkpoint_dir(frame.sparkSession)
+    return frame.checkpoint()
+
+
 def freeze_sorted(frame: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Globally sorted rows in contiguous ranges, written once to the shared checkpoint folder.
 
@@ -48,9 +54,8 @@ def freeze_sorted(frame: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     ``frame`` should be narrow: it is written before it is sorted as well, so that finding the
     range borders does not compute it a second time.
     """
-    ensure_checkpoint_dir(frame.sparkSession)
     return (
-        frame.checkpoint()
+        materialise(frame)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_block", F.spark_partition_id())

@@ -13,7 +13,7 @@ from palaver.functions.events import OTHER_CATEGORY
 from palaver.functions.text import DEFAULT_MAX_TOKENS, fill_template, format_line, strip
 from palaver.operators import chunking, queries
 from palaver.operators.events import EVENT_ORDER
-from palaver.operators.ordering import number_rows
+from palaver.operators.ordering import materialise, number_rows
 from palaver.sources.tables import Tables
 
 # Our own wording. Message text is data from strangers, so it is fenced and named as data.
@@ -87,7 +87,8 @@ def user_story_prompts(
     It holds the newest chunk of the user's messages on all servers. Those rows name no
     author, so their lines read "unknown: ..."; ``named_author`` prints the user instead.
     """
-    users = queries.recent_active_users(tables, as_of, server_id, days, limit)
+    # A few rows per server, used three times below.
+    users = materialise(queries.recent_active_users(tables, as_of, server_id, days, limit))
     messages = queries.user_messages(tables, as_of, users, days)
     if named_author:
         names = tables.users.select("user_id", F.col("current_username").alias("author"))

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palaver.functions.text import contains_ilike, mentions
-from palaver.operators.ordering import top_per_group
+from palaver.operators.ordering import materialise, top_per_group
 from palaver.operators.queries import week_start
 from palaver.sources.tables import Tables, within_days
 
@@ -200,17 +199,16 @@ def weekly_trends_nested(
 # --- link review -------------------------------------------------------------------------
 
 
-def _links(
-    tables: Tables, messages: DataFrame, users: DataFrame, markers: Sequence[str], pattern: str
-) -> DataFrame:
-    """Joined rows, one per matched URL.
+def marked_messages(tables: Tables, since: Column | None = None) -> DataFrame:
+    """Live messages that carry a link marker, with the URLs cut out of their text.
 
-    The URLs are cut out before the joins, so message text is never shuffled. A message that
-    carries a marker but no matching URL gives no row.
+    This is the one pass over message text; what follows moves no text. A message that carries
+    a marker but no matching URL gives no row.
     """
+    messages = tables.live_messages if since is None else tables.live_messages.filter(since)
     # The byte search for the scheme, which every URL pattern needs, spares most text the rest.
-    marked = F.contains("content", F.lit("://")) & mentions(F.lower("content"), markers)
-    found = (
+    marked = F.contains("content", F.lit("://")) & mentions(F.lower("content"), LINK_MARKERS)
+    return (
         messages.filter(marked)
         .select(
             "message_id",
@@ -218,45 +216,74 @@ def _links(
             "channel_name",
             "user_id",
             "created_at",
-            F.regexp_extract_all("content", F.lit(pattern), F.lit(0)).alias("urls"),
+            F.regexp_extract_all("content", F.lit(URL_PATTERN), F.lit(0)).alias("urls"),
+            F.when(
+                mentions(F.lower("content"), SHORTLINK_MARKERS),
+                F.regexp_extract_all("content", F.lit(SHORTLINK_PATTERN), F.lit(0)),
+            ).alias("short_urls"),
         )
         .filter(F.size("urls") > 0)
     )
+
+
+def _links(tables: Tables, found: DataFrame, users: DataFrame, urls: str) -> DataFrame:
+    """Joined rows, one per URL."""
     people = users.select(
         "user_id", "current_username", F.col("created_at").alias("account_created_at")
     )
     return (
-        found.join(people, "user_id")
+        found.filter(F.size(urls) > 0)
+        .join(people, "user_id")
         .join(tables.servers.select("server_id", "server_name"), "server_id")
-        .select("*", F.posexplode("urls").alias("url_no", "url"))
+        .select("*", F.posexplode(urls).alias("url_no", "url"))
         .withColumn("date", F.col("created_at").cast("date"))
     )
 
 
-def deleted_account_links(tables: Tables) -> DataFrame:
-    """Links in live messages of accounts whose name says deleted, of all time."""
+def _found(tables: Tables, found: DataFrame | None, as_of: datetime, days: int) -> DataFrame:
+    recent = within_days("created_at", as_of, days)
+    return marked_messages(tables, recent) if found is None else found.filter(recent)
+
+
+def deleted_account_links(tables: Tables, found: DataFrame | None = None) -> DataFrame:
+    """Links in live messages of accounts whose name says deleted, of all time.
+
+    The three lists take ``found``, the marked messages, when they are wanted together.
+    """
     gone = tables.users.filter(contains_ilike(F.col("current_username"), DELETED_ACCOUNT_TERM))
-    return _links(tables, tables.live_messages, gone, LINK_MARKERS, URL_PATTERN)
+    return _links(tables, marked_messages(tables) if found is None else found, gone, "urls")
 
 
-def recent_shortlinks(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
+def recent_shortlinks(
+    tables: Tables, as_of: datetime, days: int = 7, found: DataFrame | None = None
+) -> DataFrame:
     """Links behind a shortener in the window."""
-    recent = _recent(tables, as_of, days, None)
-    return _links(tables, recent, tables.users, SHORTLINK_MARKERS, SHORTLINK_PATTERN)
+    return _links(tables, _found(tables, found, as_of, days), tables.users, "short_urls")
 
 
-def new_account_links(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
+def new_account_links(
+    tables: Tables, as_of: datetime, days: int = 7, found: DataFrame | None = None
+) -> DataFrame:
     """Links posted less than seven days after the account was stored; a post dated before
     that counts too."""
-    recent = _recent(tables, as_of, days, None)
     age = F.col("created_at") - F.col("account_created_at")
     return (
-        _links(tables, recent, tables.users, LINK_MARKERS, URL_PATTERN)
+        _links(tables, _found(tables, found, as_of, days), tables.users, "urls")
         .filter(age < F.make_dt_interval(F.lit(NEW_ACCOUNT_DAYS)))
         .withColumn("account_created", F.col("account_created_at").cast("date"))
     )
 
 
+def link_lists(tables: Tables, as_of: datetime, days: int) -> tuple[DataFrame, ...]:
+    """The three lists, written down once: the text is read in a single pass."""
+    found = materialise(marked_messages(tables))
+    return (
+        materialise(deleted_account_links(tables, found)),
+        materialise(recent_shortlinks(tables, as_of, days, found)),
+        materialise(new_account_links(tables, as_of, days, found)),
+    )
+
+
 def _newest_links(links: DataFrame, *extra: str) -> DataFrame:
     return links.orderBy(
         F.desc_nulls_first("created_at"), F.desc("message_id"), "url_no"
@@ -280,11 +307,8 @@ LINK_LISTS = ("deleted_account_links", "shortlinks", "new_account_links")
 
 def security_flags(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
     """The three lists as text under one ``category`` column."""
-    lists = (
-        links_deleted_accounts(tables),
-        shortlinks(tables, as_of, days),
-        links_new_accounts(tables, as_of, days),
-    )
+    deleted, short, young = link_lists(tables, as_of, days)
+    lists = (_newest_links(deleted), _newest_links(short), _newest_links(young, "account_created"))
     parts = []
     for category, links in zip(LINK_LISTS, lists):
         texts = [F.col(c).cast("string").alias(c) for c in links.columns]

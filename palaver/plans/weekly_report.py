@@ -121,11 +121,7 @@ def weekly_report(
     The link lists cover all servers also when the statistics are limited to one.
     """
     spark = tables.servers.sparkSession
-    lists = (
-        weekly.deleted_account_links(tables),
-        weekly.recent_shortlinks(tables, as_of, days),
-        weekly.new_account_links(tables, as_of, days),
-    )
+    lists = weekly.link_lists(tables, as_of, days)
     head = [f"# {title} — {as_of:%Y-%m-%d} (last {days} days)", "", "---", ""]
     scan = ["", "---", "", "# Security Scan", "", "_Flags links that warrant manual review._", ""]
     fixed = [(0, i, text) for i, text in enumerate(head)]

@@ -74,9 +74,16 @@ class Store:
         found = rows.select(bucket_of(key).alias(BUCKET)).distinct()
         return sorted(row[0] for row in found.collect() if row[0] is not None)
 
-    def staged(self, load_id: str, name: str, frame: DataFrame) -> DataFrame:
-        """A written copy that later steps of the same load read instead of recomputing."""
+    def staged(
+        self, load_id: str, name: str, frame: DataFrame, folder: str | None = None
+    ) -> DataFrame:
+        """A written copy that later steps of the same load read instead of recomputing.
+
+        With ``folder`` its files are even and hold few folders each, so that publishing them
+        needs no shuffle; the hint splits a large folder over several files.
+        """
         path = self.path(f"_staging/{load_id}/{name}")
+        frame = frame.hint("rebalance", folder) if folder else frame
         frame.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
@@ -87,7 +94,7 @@ class Store:
         written, and a publish that fails half-way can be repeated from the staged copy.
         """
         keyed = merged.withColumn(BUCKET, bucket_of(KEYS[name]))
-        self._replace(name, self.staged(load_id, name, keyed), BUCKET)
+        self._replace(name, self.staged(load_id, name, keyed, BUCKET), BUCKET)
 
     def has_load(self, name: str, load_id: str) -> bool:
         return not self.log(name).filter(F.col(LOAD) == load_id).isEmpty()
@@ -96,13 +103,11 @@ class Store:
         """Append the rows of a load; repeating the load leaves the first version."""
         if not self.has_load(name, load_id):
             tagged = frame.withColumn(LOAD, F.lit(load_id))
-            self._replace(name, self.staged(load_id, name, tagged), LOAD)
+            self._replace(name, self.staged(load_id, name, tagged, LOAD), LOAD)
 
     def _replace(self, name: str, frame: DataFrame, folder: str) -> None:
-        # The rebalance hint splits a large folder over several even files.
         (
-            frame.hint("rebalance", folder)
-            .write.mode("overwrite")
+            frame.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(folder)
             .parquet(self.path(name))
