@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,57 +27,43 @@ class ChannelSet:
     event: tuple[str, ...] = ()
     sports: tuple[str, ...] = ()
 
-    def entries(self) -> Column:
-        kinds = [("event", name) for name in self.event] + [("sports", n) for n in self.sports]
-        return F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("name"),
-                    F.lit(kind).alias("kind"),
-                    F.lit(rank).alias("channel_rank"),
-                    F.lit(ROW_LIMITS[kind]).alias("row_limit"),
-                )
-                for rank, (kind, name) in enumerate(kinds)
-            ]
-        )
+    def places(self, kind: str) -> list[tuple[str, int]]:
+        """``(channel name, rank)`` of one kind; ranks run on over both kinds."""
+        names, first = (self.event, 0) if kind == "event" else (self.sports, len(self.event))
+        return [(name, first + i) for i, name in enumerate(names)]
 
 
 def channel_set_messages(
-    tables: Tables, server_id: int | None, channels: ChannelSet
+    tables: Tables, server_id: int | None, channels: ChannelSet, kind: str
 ) -> DataFrame:
-    """Oldest non-empty live messages of every configured channel, up to the channel's limit.
+    """Oldest non-empty live messages of every configured channel of a kind, up to its limit.
 
-    The channel names reach the scan as a filter. The limits are cut in salted parts first, so
+    The channel names reach the scan as a filter. The limit is cut in salted parts first, so
     a channel that holds most rows is not sorted in one task.
     """
     messages = tables.live_messages
     if server_id is not None:
         messages = messages.filter(F.col("server_id") == server_id)
-    configured = F.filter(channels.entries(), lambda e: e["name"] == F.col("channel_name"))
+    places = channels.places(kind)
+    entries = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(r).alias("rank")) for n, r in places])
+    mine = F.filter(entries, lambda e: e["name"] == F.col("channel_name"))
     chosen = (
-        messages.filter(F.col("channel_name").isin(*channels.event, *channels.sports))
+        messages.filter(F.col("channel_name").isin([name for name, _ in places]))
         .filter(F.col("content").isNotNull() & (F.col("content") != ""))
         .join(tables.users.select("user_id"), "user_id", "left_semi")
         .select(
             "server_id",
             "channel_name",
+            F.explode(F.transform(mine, lambda e: e["rank"])).alias("channel_rank"),
             "created_at",
             "message_id",
             "content",
-            F.explode(configured).alias("entry"),
         )
-        .select("*", "entry.kind", "entry.channel_rank", "entry.row_limit")
-        .drop("entry")
     )
     order = [F.asc_nulls_last("created_at"), F.asc("message_id")]
-    largest = max(ROW_LIMITS.values())
-    return (
-        top_per_group(
-            chosen, ["server_id", "channel_rank"], order, largest, "_row", salt_on="message_id"
-        )
-        .filter(F.col("_row") <= F.col("row_limit"))
-        .drop("_row", "row_limit")
-    )
+    return top_per_group(
+        chosen, ["server_id", "channel_rank"], order, ROW_LIMITS[kind], "_row", salt_on="message_id"
+    ).drop("_row")
 
 
 def _titles() -> Column:
@@ -134,10 +121,14 @@ def collect_channel_sets(
     tables: Tables, server_id: int | None, channels: ChannelSet, strict_case: bool = False
 ) -> DataFrame:
     """Events of the announcement channels (noise dropped) and of the sports channels."""
-    messages = channel_set_messages(tables, server_id, channels)
-    announced = extract_events(messages.filter("kind = 'event'"))
-    played = extract_sports(messages.filter("kind = 'sports'"))
-    return drop_noise_titles(announced, strict_case).unionByName(played)
+    found = []
+    if channels.event:
+        messages = channel_set_messages(tables, server_id, channels, "event")
+        found.append(drop_noise_titles(extract_events(messages), strict_case))
+    if channels.sports:
+        messages = channel_set_messages(tables, server_id, channels, "sports")
+        found.append(extract_sports(messages))
+    return reduce(DataFrame.unionByName, found)
 
 
 def title_key(title: Column) -> Column:

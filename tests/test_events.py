@@ -171,7 +171,11 @@ def test_row_limits_on_a_hot_channel(spark, monkeypatch):
     monkeypatch.setitem(events.ROW_LIMITS, "sports", 20)
     tables = make_tables(spark, [(("hot", "cold", "sport")[0 if i % 3 else i % 2 + 1], f"text {i}") for i in range(600)])
     channels = events.ChannelSet(event=("hot", "cold"), sports=("sport",))
-    kept = events.channel_set_messages(tables, None, channels).collect()
+    kept = [
+        row
+        for kind in ("event", "sports")
+        for row in events.channel_set_messages(tables, None, channels, kind).collect()
+    ]
     for channel, limit in (("hot", 50), ("cold", 50), ("sport", 20)):
         oldest = sorted(r.message_id for r in tables.messages.filter(F.col("channel_name") == channel).collect())
         assert sorted(r.message_id for r in kept if r.channel_name == channel) == oldest[:limit]
@@ -206,3 +210,15 @@ def test_coverage_without_events(spark):
 
 def test_whitespace_set():
     assert set(WHITESPACE_CHARS) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
+
+
+def test_weekly_csv_is_newest_first(spark, tmp_path):
+    weeks = [(START.date() + timedelta(weeks=i), i, 10 * i) for i in range(3)]
+    frame = spark.createDataFrame(weeks, "week_start date, active_users long, total_messages long")
+    path = str(tmp_path / "weekly")
+    catalogue.write_weekly_csv(frame, path)
+    lines = [line for part in sorted((tmp_path / "weekly").glob("part-*")) for line in part.read_text().splitlines()]
+    assert [line for line in lines if "week_start" not in line] == [
+        '"2024-01-15","2","20"', '"2024-01-08","1","10"', '"2024-01-01","0","0"',
+    ]
+    assert lines[0] == '"week_start","active_users","total_messages"'
