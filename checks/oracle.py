@@ -664,10 +664,10 @@ add("analysis_report_lines", f"""
 SELECT unnest(['# NATION_3 — Full Analysis', '_Generated 2024-01-31 00:00 · last 30 days_', '',
                '---', '', '', '', '## Weekly Digest', '', {ANSWER.format('prompt')}, '', '',
                '## Channel FAQ — #click', '',
-               (SELECT string_agg({ANSWER.format(FAQ)}, chr(10) ORDER BY chunk_no) FROM one_texts),
                '', '', '## User Profiles', '', '', '', '## Server Health — Monthly Trends', '',
                '| Month | Joined | Left | Net |', '| ----- | ------ | ---- | --- |']) AS line
 FROM digests WHERE server_id = 3
+UNION ALL SELECT {ANSWER.format(FAQ)} FROM one_texts
 UNION ALL
 SELECT unnest(['', concat('### ', c.current_username, ' (', c.message_count, ' messages)'), '',
                {ANSWER.format(STORY)}])

@@ -125,12 +125,6 @@ def channel_faq_prompts(
     return chunks.select(*keys, "chunk_no", filled.alias("prompt"))
 
 
-def join_answers(answers: DataFrame, keys: Sequence[str], answer: str = "answer") -> DataFrame:
-    """The answers of a channel's chunks in chunk order, joined by newlines."""
-    text = F.expr(f"listagg({answer}, '\\n') WITHIN GROUP (ORDER BY chunk_no)")
-    return answers.groupBy(*keys).agg(text.alias(answer))
-
-
 def factcheck_prompts(
     messages: DataFrame,
     keys: Sequence[str],

@@ -96,14 +96,18 @@ def new_users_per_server(
     tables: Tables, as_of: datetime, days: int = 7, server_id: int | None = None
 ) -> DataFrame:
     """Users first stored in the window who have any message on the server, deleted or old
-    ones included. Messages shrink to distinct (server, user) pairs before the join."""
+    ones included.
+
+    Messages shrink to distinct (server, user) pairs before the join. It is an inner join on the
+    users' key, since a semi join would be moved below the distinct, to every message.
+    """
     posters = tables.messages.select("server_id", "user_id")
     if server_id is not None:
         posters = posters.filter(F.col("server_id") == server_id)
     fresh = tables.users.filter(within_days("created_at", as_of, days)).select("user_id")
     return (
         posters.distinct()
-        .join(fresh, "user_id", "left_semi")
+        .join(fresh, "user_id")
         .groupBy("server_id")
         .agg(F.count(F.lit(1)).alias("new_users"))
     )

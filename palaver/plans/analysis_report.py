@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palaver.operators import prompts, queries
+from palaver.operators.ordering import materialise
 from palaver.plans.weekly_report import ORDER, _joined, _texts, report_lines, save_report
 from palaver.sources.tables import Tables, within_days
 
@@ -34,11 +35,10 @@ def recent_channel_messages(
 def channel_faq(
     tables: Tables, as_of: datetime, channels: DataFrame, days: int, model: Callable[[str], str]
 ) -> DataFrame:
-    """One FAQ text per channel, the answers of its chunks in order."""
-    keys = ["server_id", "channel_id", "channel_name"]
+    """One answer per chunk of every channel. The answers stay rows, in ``chunk_no`` order: a
+    busy channel has too many for one value."""
     messages = recent_channel_messages(tables, as_of, channels, days)
-    asked = prompts.channel_faq_prompts(messages, keys)
-    return prompts.join_answers(prompts.apply_model(asked, model), keys)
+    return prompts.apply_model(prompts.channel_faq_prompts(messages), model)
 
 
 def health_lines(health: DataFrame, months: int = HEALTH_MONTHS) -> DataFrame:
@@ -69,34 +69,21 @@ def analysis_report(
 ) -> DataFrame:
     """The report's lines with their place; model texts come from the caller's function."""
     server = queries.server_by_id(tables, server_id)
-    digest = prompts.apply_model(
-        prompts.digest_prompts(tables, as_of, server_id, days), model, answer="digest"
-    ).select("server_id", "digest")
     channel = queries.find_channel(tables, server_id, channel_term).withColumn(
         "server_id", F.lit(server_id).cast("long")
     )
-    faq = channel_faq(tables, as_of, channel, days, model).select(
-        "server_id", F.col("answer").alias("faq")
+    # Answers are written down, so that sorting the report does not ask the model again.
+    digest = materialise(
+        prompts.apply_model(prompts.digest_prompts(tables, as_of, server_id, days), model)
     )
-    frame = (
-        server.join(digest, "server_id", "left")
-        .join(channel.select("server_id", "channel_id"), "server_id", "left")
-        .join(faq, "server_id", "left")
-    )
-    faq_text = (
-        F.when(F.col("channel_id").isNull(), F.lit("_Channel not found._"))
-        .when(F.col("faq").isNull(), F.lit("_No messages in this period._"))
-        .otherwise(F.col("faq"))
+    faq = materialise(channel_faq(tables, as_of, channel, days, model))
+    profiles = materialise(
+        prompts.apply_model(
+            prompts.user_story_prompts(tables, as_of, server_id, days), model, answer="profile"
+        )
     )
-    opening = _texts(
-        _joined("# ", F.col("server_name"), " — Full Analysis"),
-        f"_Generated {as_of:%Y-%m-%d %H:%M} · last {days} days_",
-        "", "---", "", "", "", "## Weekly Digest", "",
-        F.coalesce("digest", F.lit("_No activity in this period._")),
-        "", "", f"## Channel FAQ — #{channel_term}", "",
-        faq_text,
-        "", "", "## User Profiles", "",
-    )
+    health = queries.server_health(tables, server_id)
+
     zero = F.lit(0).cast("long")
 
     def placed(frame: DataFrame, section: int, first, second, lines) -> DataFrame:
@@ -107,29 +94,42 @@ def analysis_report(
             F.posexplode(lines).alias("place_3", "line"),
         )
 
-    profiles = prompts.apply_model(
-        prompts.user_story_prompts(tables, as_of, server_id, days), model, answer="profile"
+    opening = _texts(
+        _joined("# ", F.col("server_name"), " — Full Analysis"),
+        f"_Generated {as_of:%Y-%m-%d %H:%M} · last {days} days_",
+        "", "---", "", "", "", "## Weekly Digest", "",
+        F.coalesce("answer", F.lit("_No activity in this period._")),
+        "", "", f"## Channel FAQ — #{channel_term}", "",
+    )
+    no_faq = (
+        F.when(F.col("answers") > 0, F.array().cast("array<string>"))
+        .when(F.col("channels") > 0, _texts("_No messages in this period._"))
+        .otherwise(_texts("_Channel not found._"))
     )
-    title = _joined(
-        "### ", F.col("current_username"), " (", F.col("message_count"), " messages)"
+    counts = faq.agg(F.count(F.lit(1)).alias("answers")).select(
+        "answers", channel.agg(F.count(F.lit(1))).scalar().alias("channels")
     )
-    health = queries.server_health(tables, server_id)
+    title = _joined("### ", F.col("current_username"), " (", F.col("message_count"), " messages)")
     table_head = F.when(
         F.col("n") > 0,
         _texts("| Month | Joined | Left | Net |", "| ----- | ------ | ---- | --- |"),
     ).otherwise(_texts("_No membership data available._"))
     parts = [
-        placed(frame, 0, zero, zero, opening),
         placed(
-            profiles, 1, -F.col("message_count"), F.col("user_id"),
-            _texts("", title, "", F.col("profile")),
+            server.join(digest.select("server_id", "answer"), "server_id", "left"),
+            0, zero, zero, opening,
         ),
+        placed(faq, 1, F.col("chunk_no"), zero, F.array("answer")),
+        placed(counts, 1, zero, zero, no_faq),
+        placed(server, 2, zero, zero, _texts("", "", "## User Profiles", "")),
         placed(
-            health.agg(F.count(F.lit(1)).alias("n")), 2, zero, zero,
-            F.concat(_texts("", "", "## Server Health — Monthly Trends", ""), table_head),
+            profiles, 3, -F.col("message_count"), F.col("user_id"),
+            _texts("", title, "", F.col("profile")),
         ),
         placed(
-            health_lines(health), 3, -F.unix_date("month"), zero, F.array("line")
+            health.agg(F.count(F.lit(1)).alias("n")), 4, zero, zero,
+            F.concat(_texts("", "", "## Server Health — Monthly Trends", ""), table_head),
         ),
+        placed(health_lines(health), 5, -F.unix_date("month"), zero, F.array("line")),
     ]
     return reduce(DataFrame.unionByName, parts)

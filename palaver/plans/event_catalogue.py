@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from palaver.operators import events, prompts
+from palaver.operators.ordering import materialise
 from palaver.sources.tables import Tables
 
 
@@ -31,6 +32,9 @@ def label_with_model(
     if model is None:
         return labelled.unionByName(events.label_missing_as_other(open_events))
     batches = prompts.event_batches(open_events)
-    answers = prompts.apply_model(prompts.event_batch_prompts(batches), model, on_error="")
+    # Answers are written down, so that no later step asks the model again.
+    answers = materialise(
+        prompts.apply_model(prompts.event_batch_prompts(batches), model, on_error="")
+    )
     parsed = prompts.parse_labels(batches, answers, allowed)
     return labelled.unionByName(parsed.drop("batch_no", "batch_pos"))
