@@ -11,6 +11,7 @@ from checks.exports import export_documents
 from palaver.functions import events as ev
 from palaver.functions.text import estimate_tokens, format_line
 from palaver.operators import chunking, events, merge, prompts, queries, weekly
+from palaver.operators.ordering import materialise
 from palaver.plans import analysis_report, event_catalogue, weekly_report
 from palaver.sources import catalogue, exports, tables as src
 from palaver.sources.fixtures import AS_OF, bind
@@ -88,7 +89,8 @@ def import_preview(t):
 
 
 def _rows(t):
-    return exports.normalise(exports.explode_messages(export_documents(t)))
+    """The rows of one load, parsed once and written down as a load does."""
+    return materialise(exports.normalise(exports.explode_messages(export_documents(t))))
 
 
 @register

@@ -142,36 +142,52 @@ def batch_messages(rows: DataFrame) -> DataFrame:
     )
 
 
-def merge_messages(stored: DataFrame, users: DataFrame, rows: DataFrame) -> DataFrame:
-    """Known messages take the new text and edit time and become live again; everything else
-    about them keeps its first value. ``users`` is the merged user table."""
-    batch = batch_messages(rows).join(users.select("discord_id", "user_id"), "discord_id")
-    fresh = F.col("s.message_id").isNull()
-    again = F.col("b.message_id").isNotNull()
+def kept_messages(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored messages the batch does not bring. For a usual load the ids of the batch are small
+    enough for Spark to broadcast, and the stored text stays where it is."""
+    ids = message_rows(rows).select("message_id").distinct()
+    return stored.join(ids, "message_id", "left_anti")
 
-    def first(name: str) -> Column:
-        return F.when(fresh, F.col(f"b.{name}")).otherwise(F.col(f"s.{name}")).alias(name)
 
-    def last(name: str) -> Column:
-        return F.when(again, F.col(f"b.{name}")).otherwise(F.col(f"s.{name}")).alias(name)
+def changed_messages(stored: DataFrame, users: DataFrame, rows: DataFrame) -> DataFrame:
+    """The messages of the batch as they are to be stored.
+
+    A known message takes the new text and edit time and becomes live again; everything else
+    about it keeps its first value, so the join reads no stored text.
+    """
+    known = stored.drop(*LAST_VALUES, "is_deleted").withColumn("known", F.lit(True))
+    people = users.select("discord_id", "user_id")
+    batch = (
+        batch_messages(rows)
+        .join(people, "discord_id", "left")
+        .withColumn("user_id", F.coalesce("user_id", "discord_id"))
+    )
+
+    def first(name: str) -> Column:
+        return F.when(F.col("known"), F.col(f"s.{name}")).otherwise(F.col(f"b.{name}")).alias(name)
 
     return (
-        stored.alias("s")
-        .join(batch.alias("b"), F.col("s.message_id") == F.col("b.message_id"), "full_outer")
+        batch.alias("b")
+        .join(known.alias("s"), F.col("s.message_id") == F.col("b.message_id"), "left")
         .select(
-            F.coalesce("s.message_id", "b.message_id").alias("message_id"),
+            F.col("b.message_id").alias("message_id"),
             *[first(c) for c in ("server_id", "channel_id", "channel_name", "user_id")],
-            last("content"),
+            "b.content",
             first("created_at"),
-            last("edited_at"),
-            F.col("s.deleted_at").alias("deleted_at"),
-            F.when(again, F.lit(False)).otherwise(F.col("s.is_deleted")).alias("is_deleted"),
+            "b.edited_at",
+            "s.deleted_at",
+            F.lit(False).alias("is_deleted"),
             first("reply_to_message_id"),
             first("thread_id"),
         )
     )
 
 
+def merge_messages(stored: DataFrame, users: DataFrame, rows: DataFrame) -> DataFrame:
+    """The message table after the batch. ``users`` is the merged user table."""
+    return kept_messages(stored, rows).unionByName(changed_messages(stored, users, rows))
+
+
 def import_stats(stored: DataFrame, files: DataFrame, rows: DataFrame) -> DataFrame:
     """Per file: new, updated, skipped and errors.
 

@@ -51,5 +51,10 @@ def ingest(documents: DataFrame, store: Store, load_time: datetime, load_id: str
     store.publish(
         load_id, "server_members", merge.merge_members(members, users, rows, load_time)
     )
-    store.publish(load_id, "messages", merge.merge_messages(known_messages, users, rows))
+    store.publish(
+        load_id,
+        "messages",
+        merge.changed_messages(known_messages, users, rows),
+        kept=merge.kept_messages(known_messages, rows),
+    )
     return store.log("import_stats").filter(F.col("load_id") == load_id).drop("load_id")

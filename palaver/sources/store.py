@@ -36,6 +36,10 @@ def bucket_of(key: str | Column) -> Column:
     return F.shiftright(key, BUCKET_SHIFT).cast("int")
 
 
+def _by_folder(frame: DataFrame, folder: str) -> DataFrame:
+    return frame.hint("rebalance", folder)
+
+
 class Store:
     """The tables below one shared folder. Nothing is cached: every read sees the last load."""
 
@@ -74,27 +78,26 @@ class Store:
         found = rows.select(bucket_of(key).alias(BUCKET)).distinct()
         return sorted(row[0] for row in found.collect() if row[0] is not None)
 
-    def staged(
-        self, load_id: str, name: str, frame: DataFrame, folder: str | None = None
-    ) -> DataFrame:
-        """A written copy that later steps of the same load read instead of recomputing.
-
-        With ``folder`` its files are even and hold few folders each, so that publishing them
-        needs no shuffle; the hint splits a large folder over several files.
-        """
+    def staged(self, load_id: str, name: str, frame: DataFrame) -> DataFrame:
+        """A written copy that later steps of the same load read instead of recomputing."""
         path = self.path(f"_staging/{load_id}/{name}")
-        frame = frame.hint("rebalance", folder) if folder else frame
         frame.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
-    def publish(self, load_id: str, name: str, merged: DataFrame) -> None:
-        """Replace the folders present in ``merged``.
+    def publish(
+        self, load_id: str, name: str, changed: DataFrame, kept: DataFrame | None = None
+    ) -> None:
+        """Replace the folders present in the merged rows.
 
         The result is staged first, so the folders being replaced are not read while they are
-        written, and a publish that fails half-way can be repeated from the staged copy.
+        written, and a publish that fails half-way can be repeated from the staged copy. Changed
+        rows are gathered by folder into even files (the hint splits a large folder); ``kept``
+        rows come from files of one folder each and are not moved.
         """
-        keyed = merged.withColumn(BUCKET, bucket_of(KEYS[name]))
-        self._replace(name, self.staged(load_id, name, keyed, BUCKET), BUCKET)
+        merged = _by_folder(changed.withColumn(BUCKET, bucket_of(KEYS[name])), BUCKET)
+        if kept is not None:
+            merged = merged.unionByName(kept.withColumn(BUCKET, bucket_of(KEYS[name])))
+        self._replace(name, self.staged(load_id, name, merged), BUCKET)
 
     def has_load(self, name: str, load_id: str) -> bool:
         return not self.log(name).filter(F.col(LOAD) == load_id).isEmpty()
@@ -102,8 +105,8 @@ class Store:
     def publish_log(self, load_id: str, name: str, frame: DataFrame) -> None:
         """Append the rows of a load; repeating the load leaves the first version."""
         if not self.has_load(name, load_id):
-            tagged = frame.withColumn(LOAD, F.lit(load_id))
-            self._replace(name, self.staged(load_id, name, tagged, LOAD), LOAD)
+            tagged = _by_folder(frame.withColumn(LOAD, F.lit(load_id)), LOAD)
+            self._replace(name, self.staged(load_id, name, tagged), LOAD)
 
     def _replace(self, name: str, frame: DataFrame, folder: str) -> None:
         (
