@@ -88,9 +88,13 @@ def import_preview(t):
 # --- merges ------------------------------------------------------------------------------
 
 
+def _parsed(t):
+    return exports.normalise(exports.explode_messages(export_documents(t)))
+
+
 def _rows(t):
     """The rows of one load, parsed once and written down as a load does."""
-    return materialise(exports.normalise(exports.explode_messages(export_documents(t))))
+    return materialise(_parsed(t))
 
 
 @register
@@ -100,17 +104,17 @@ def merge_servers(t):
 
 @register
 def merge_users(t):
-    return merge.merge_users(t.users, _rows(t), AS_OF)
+    return merge.merge_users(t.users, _parsed(t), AS_OF)
 
 
 @register
 def username_changes(t):
-    return merge.username_changes(t.users, _rows(t), AS_OF)
+    return merge.username_changes(t.users, _parsed(t), AS_OF)
 
 
 @register
 def merge_members(t):
-    rows = _rows(t)
+    rows = _parsed(t)
     users = merge.merge_users(t.users, rows, AS_OF)
     return merge.merge_members(t.server_members, users, rows, AS_OF)
 
@@ -126,7 +130,7 @@ def merge_messages(t):
 @register
 def import_stats(t):
     documents = export_documents(t)
-    return merge.import_stats(t.messages, exports.file_rows(documents), _rows(t))
+    return merge.import_stats(t.messages, exports.file_rows(documents), _parsed(t))
 
 
 @register
