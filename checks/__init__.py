@@ -1,0 +1,7 @@
+"""Registered queries and their SQL checks."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

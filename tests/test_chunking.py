@@ -1,6 +1,8 @@
 """Token estimate, chunk packing and formatting against a few lines of plain Python."""
 
 import random
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -143,3 +145,17 @@ def test_chunk_stats(spark):
     assert tuple(chunking.chunk_stats(frame.limit(0)).first()) == (0, 0, 0, 0.0)
     halves = spark.createDataFrame([("a",)] + [("",)] * 3, "content string")
     assert chunking.chunk_stats(halves).first().avg_tokens_per_message == 0.2
+
+
+def test_task_functions_travel_with_the_job(tmp_path):
+    import pyarrow as pa
+    from pyspark import cloudpickle
+
+    schema = pa.schema([("k", pa.int64()), ("chunk_no", pa.int64())])
+    blob = tmp_path / "task"
+    blob.write_bytes(cloudpickle.dumps(chunking._packer(["k"], schema, 10)))
+    load = "import pickle, sys; print(pickle.load(open(sys.argv[1], 'rb')).__name__)"
+    done = subprocess.run(
+        [sys.executable, "-c", load, str(blob)], cwd=tmp_path, capture_output=True, text=True
+    )
+    assert done.stdout.strip() == "run", done.stderr
