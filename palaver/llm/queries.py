@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from palaver.llm import mixing, packing, quality
+from palaver.llm import chunks, language, mixing, packing, quality, simhash, suffixes, winnow
 from palaver.llm.common import table
 
 
@@ -16,13 +17,44 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document once passages that an earlier one has are gone."""
+    return chunks.remove_repeats(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.figures(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_mixing, op8_quality_rules)
+    for f in (
+        op1_best_fit_packing,
+        op2_mixing,
+        op3_language_id,
+        op4_simhash_near_dedup,
+        op5_winnowing,
+        op6_substring_dedup,
+        op8_quality_rules,
+        op10_suffix_array_dedup,
+    )
 }
 ORACLE_SQL = {
     "op8_quality_rules": r"""

@@ -1,8 +1,8 @@
 """SimHash near-dedup: fingerprints, a binary trie self-join, and connected components.
 
 Fingerprints that differ in at most two of 64 bits agree on two of four 16-bit blocks. Each
-fingerprint goes to the six pairs of blocks with those 32 bits in front; a group of equal fronts is
-the root of a trie over the remaining bits. The self-join walks pairs of trie nodes together,
+fingerprint goes to the six pairs of blocks with those 32 bits in front (or to more and shorter
+fronts for a larger budget); a group of equal fronts is the root of a trie over the other bits. The self-join walks pairs of trie nodes together,
 adds up the bits where their paths differ, and drops a pair above the budget or with an empty side.
 Groups hold distinct fingerprints only. A group too large for a task is split by the same walk:
 its rows are dealt to pairs of child nodes, level by level, until every pair fits.
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from palaver.llm.common import NO_ID, texts, written
 
 BITS = 64
-BLOCKS = 4
 #: Fingerprints of a trie that one task walks.
 GROUP = 20_000
 #: Bits of one split of a large trie.
@@ -66,15 +65,16 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, fp long")
 
 
-def _fronts(fp: Column) -> Column:
-    """The six orders of the four 16-bit blocks that put each pair of blocks first."""
-    block = [F.shiftrightunsigned(fp, 48 - 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in range(BLOCKS)]
+def _fronts(fp: Column, blocks: int, agree: int) -> Column:
+    """The orders of the blocks that put each choice of ``agree`` blocks first."""
+    width = BITS // blocks
+    block = [F.shiftrightunsigned(fp, BITS - width * (i + 1)).bitwiseAND(F.lit((1 << width) - 1)) for i in range(blocks)]
     orders = []
-    for first in combinations(range(BLOCKS), 2):
-        turned = [*first, *(i for i in range(BLOCKS) if i not in first)]
+    for first in combinations(range(blocks), agree):
+        turned = [*first, *(i for i in range(blocks) if i not in first)]
         value = F.lit(0).cast("long")
         for place, i in enumerate(turned):
-            value = value.bitwiseOR(F.shiftleft(block[i], 48 - 16 * place))
+            value = value.bitwiseOR(F.shiftleft(block[i], BITS - width * (place + 1)))
         orders.append(value)
     return F.posexplode(F.array(*orders))
 
@@ -162,17 +162,19 @@ def forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def links(distinct: DataFrame, budget: int = 2, group: int = GROUP) -> DataFrame:
+def links(distinct: DataFrame, budget: int = 2, agree: int = 2, group: int = GROUP) -> DataFrame:
     """(a, b): links whose components are those of all fingerprint pairs within ``budget`` bits.
 
-    ``distinct`` has one row per fingerprint (column fp). Every pair within the budget is found; a
-    task gives a spanning forest of its pairs. Budgets above 2 need more blocks than four.
+    ``distinct`` has one row per fingerprint (column fp). Of budget + ``agree`` equal blocks, a pair
+    within the budget agrees on ``agree`` at least, so every such pair is found; a task gives a
+    spanning forest of its pairs.
     """
-    if budget > BLOCKS - 2:
-        raise ValueError("two of four blocks only agree within two bits")
-    depth = 32
-    rows = distinct.select("fp", _fronts(F.col("fp")).alias("turn", "value")).select(
-        "fp", "value", F.col("turn").alias("turn"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("flips")
+    blocks = budget + agree
+    if BITS % blocks:
+        raise ValueError("budget + agree must divide 64")
+    depth = agree * BITS // blocks
+    rows = distinct.select("fp", _fronts(F.col("fp"), blocks, agree).alias("turn", "value")).select(
+        "fp", "value", "turn", F.lit(0).alias("side"), F.lit(0).cast("long").alias("flips")
     )
     done: list[DataFrame] = []
     while True:
@@ -184,8 +186,7 @@ def links(distinct: DataFrame, budget: int = 2, group: int = GROUP) -> DataFrame
         )
         live = counts.filter(F.when(F.col("flips") == 0, F.col("firsts") > 1).otherwise((F.col("firsts") > 0) & (F.col("seconds") > 0)))
         live = live.select("turn", "node", "flips", (F.col("firsts") + F.col("seconds")).alias("size"))
-        kept = keyed.join(live, ["turn", "node", "flips"])
-        kept = written(kept)
+        kept = written(keyed.join(live, ["turn", "node", "flips"]))
         done.append(kept.filter(F.col("size") <= group) if depth < BITS else kept)
         large = kept.filter(F.col("size") > group)
         if depth >= BITS or large.isEmpty():

@@ -6,7 +6,7 @@ passes; a group that a pass leaves with one member is done, and groups that stay
 last digit are exactly the repeated windows. Three choices make the passes affordable:
 
 * Neighbouring window starts share their first digit. Among the hashes of the 32-byte strings in a
-  window, the smallest is its anchor; windows with equal bytes have equal anchors at the same
+  window, the smallest (of equal ones the last) is its anchor; windows with equal bytes have equal anchors at the same
   offset. Starts with one anchor are a run, about 35 starts, and are sorted as one suffix.
 * Pass 1 takes the anchor as digit. Pass 2 takes all bytes that the run's windows cover: where these
   repeat, so does every window of the run, and no text has to move.
@@ -40,6 +40,8 @@ STEP = 1 << 20
 GROUP = 4096
 
 _ROLL = Rolling(seed=7)
+#: Bits for a place in a numpy step: it has at most two times STEP bytes and the overlap.
+_PLACES = np.uint64((1 << 22) - 1)
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> Iterator[tuple[np.ndarray, ...]]:
@@ -56,17 +58,20 @@ def runs(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> Iterator[
         low = int(begin.min())
         part = data[low : int(end.max())]
         sums = _ROLL.sums(part)
-        smallest = sliding_min(_ROLL.grams(sums, ANCHOR), width - ANCHOR + 1)
+        grams = _ROLL.grams(sums, ANCHOR)
+        # Smallest hash by its upper bits, of equal ones the last: place counts down in the lower bits.
+        ranked = (grams & ~_PLACES) | (_PLACES - np.arange(len(grams), dtype=np.uint64))
+        chosen = _PLACES - (sliding_min(ranked, width - ANCHOR + 1) & _PLACES)
         count = end - begin - width + 1
         which = np.repeat(np.arange(len(row)), count)
         starts = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin - low, count)
-        anchor = smallest[starts]
-        new = np.r_[True, (anchor[1:] != anchor[:-1]) | (which[1:] != which[:-1])]
+        place = chosen[starts]
+        new = np.r_[True, (place[1:] != place[:-1]) | (which[1:] != which[:-1])]
         first = np.flatnonzero(new)
         size = np.diff(np.r_[first, len(starts)])
         at = starts[first]
         every = _ROLL.between(sums, at, at + size + width - 1) + size.astype(np.uint64)
-        yield row[which[first]], at + low, size, anchor[first], every
+        yield row[which[first]], at + low, size, grams[place[first].astype(np.int64)], every
 
 
 def _members(width: int):
