@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from palaver.llm import quality
-from palaver.llm.common import table, written
+from palaver.llm import chunks, mixing, packing, quality, simhash
+from palaver.llm.common import NO_ID, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +14,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the smallest (doc_id, text).
+
+    Fingerprints of five-word shingles within six bits are linked: copies of a similarity of about
+    0.9 and more. Rows that are equal in id and text are one document; the first of them stays.
+    """
+    return simhash.one_of_each(docs, shingle=5, budget=6)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document has; one that loses all its words goes."""
+    return chunks.without_repeats(docs)
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated, or left out, so that sources meet their target words. Texts stay whole."""
+    return mixing.repeated(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: one row per piece with its place."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mixing", mixing_sources),
+    ("best_fit_packing", best_fit_packing),
+]
 
 #: No SQL: fingerprints and content-defined chunks are bit operations on bytes.
 ORACLE_SQL = None
@@ -21,6 +52,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import NO_ID, buffer, mixed, texts, written
+from palaver.llm.common import NO_ID, SPACES, buffer, mixed, texts
 from palaver.llm.repeats import first_in_batch
 
 #: Bytes that the gear hash covers.
@@ -104,41 +104,54 @@ def _rows(ids: np.ndarray, high: np.ndarray, low: np.ndarray, seen: pa.ListArray
     return pa.RecordBatch.from_arrays(arrays, names=["id", "high", "low", "seen"])
 
 
+def _kept(batch: pa.RecordBatch, least: int) -> list[tuple[int, int, int, str]]:
+    """(bytes, removed bytes, removed passages, kept text) of every row."""
+    data, row, begin, end, digest = _chunked(batch)
+    _, offsets = buffer(batch["text"])
+    again = _again(row, digest[:, 0], batch["_seen"])
+    cuts = np.searchsorted(row, np.arange(len(batch) + 1))
+    out = []
+    for r in range(len(batch)):
+        low, high = int(cuts[r]), int(cuts[r + 1])
+        whole = data[offsets[r] : offsets[r + 1]]
+        spans = []
+        if again[low:high].any():
+            edge = np.diff(np.r_[0, again[low:high].astype(np.int8), 0])
+            spans = [
+                (int(begin[low + a] - offsets[r]), int(end[low + b - 1] - offsets[r]))
+                for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)
+            ]
+            spans = [s for s in (_whole_characters(whole, s) for s in spans) if s[1] - s[0] >= least]
+        at, left = 0, []
+        for a, b in spans:
+            left.append(whole[at:a].tobytes())
+            at = b
+        left.append(whole[at:].tobytes())
+        out.append((len(whole), sum(b - a for a, b in spans), len(spans), b"".join(left).decode()))
+    return out
+
+
 def _apply(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, row, begin, end, digest = _chunked(batch)
-            _, offsets = buffer(batch["text"])
-            again = _again(row, digest[:, 0], batch["seen"])
-            kept, removed, passages = [], [], []
-            cuts = np.searchsorted(row, np.arange(len(batch) + 1))
-            for r in range(len(batch)):
-                low, high = int(cuts[r]), int(cuts[r + 1])
-                whole = data[offsets[r] : offsets[r + 1]]
-                spans = []
-                if again[low:high].any():
-                    edge = np.diff(np.r_[0, again[low:high].astype(np.int8), 0])
-                    spans = [
-                        (int(begin[low + a] - offsets[r]), int(end[low + b - 1] - offsets[r]))
-                        for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)
-                    ]
-                    spans = [s for s in (_whole_characters(whole, s) for s in spans) if s[1] - s[0] >= least]
-                at, left = 0, []
-                for a, b in spans:
-                    left.append(whole[at:a].tobytes())
-                    at = b
-                left.append(whole[at:].tobytes())
-                kept.append(b"".join(left).decode())
-                removed.append(sum(b - a for a, b in spans))
-                passages.append(len(spans))
+            size, removed, passages, kept = zip(*_kept(batch, least), strict=True) if len(batch) else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["text_key"], pa.array(np.diff(offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(passages, pa.int64()), pa.array(kept, pa.string())],
-                names=["doc_id", "text_key", "n_bytes", "n_removed", "n_passages", "kept_text"],
+                [batch["doc_id"], pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(passages, pa.int64()), pa.array(kept, pa.string())],
+                names=["doc_id", "n_bytes", "n_removed", "n_passages", "kept_text"],
             )
 
     return run
 
 
+def _replace(least: int, columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = pa.array([text for *_, text in _kept(batch, least)], pa.string())
+            yield pa.RecordBatch.from_arrays([kept if name == "text" else batch[name] for name in columns], names=columns)
+
+    return run
+
+
 def _whole_characters(whole: np.ndarray, span: tuple[int, int]) -> tuple[int, int]:
     """Shrink a span so that it starts and ends between characters."""
     low, high = span
@@ -163,25 +176,43 @@ def _again(row: np.ndarray, digest: np.ndarray, seen: pa.ListArray) -> np.ndarra
     return later
 
 
-RESULT = "doc_id long, text_key long, n_bytes long, n_removed long, n_passages long, kept_text string"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_passages long, kept_text string"
 
 
 def remove_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """One row per document: doc_id, text_key, n_bytes, n_removed, n_passages, kept_text.
+    """One row per document: doc_id, n_bytes, n_removed, n_passages, kept_text.
 
     The first document (smallest doc_id, null smallest) keeps a passage. Null text is empty and
     stays empty. Rows that share an id do not remove from each other. Texts stay valid UTF-8.
     A chunk's 128-bit digest decides who owns it; inside a document its first half names it.
     """
-    own = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
-    named = texts(docs, F.xxhash64(F.col("text").cast("string")).alias("text_key")).withColumn("id", own)
-    members = named.select("id", "text").mapInArrow(_members, "id long, high long, low long, seen array<long>")
+    return _told(texts(docs)).mapInArrow(_apply(least), RESULT)
+
+
+def _told(named: DataFrame) -> DataFrame:
+    """Rows with a text column, joined with the list ``_seen`` of chunks that an earlier document has."""
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    ids = named.withColumn("_id", own)
+    members = ids.select(F.col("_id").alias("id"), "text").mapInArrow(_members, "id long, high long, low long, seen array<long>")
     owner = F.min("id").over(Window.partitionBy("high", "low"))
     judged = (
         members.withColumn("owner", owner)
         .filter(F.col("seen").isNotNull() | (F.col("id") > F.col("owner")))
         .select("id", F.coalesce("seen", F.array("high")).alias("seen"))
     )
-    seen = judged.groupBy("id").agg(F.flatten(F.collect_list("seen")).alias("seen"))
-    told = named.join(seen, "id", "left").select("doc_id", "text_key", "text", "seen")
-    return told.mapInArrow(_apply(least), RESULT)
+    seen = judged.groupBy(F.col("id").alias("_id")).agg(F.flatten(F.collect_list("seen")).alias("_seen"))
+    return ids.join(seen, "_id", "left")
+
+
+def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """All columns of ``docs`` with the kept text, and n_chars to match; rows left without a word go.
+
+    Null text counts as empty.
+    """
+    clean = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    told = _told(clean)
+    schema = told.drop("_id", "_seen").schema
+    kept = told.mapInArrow(_replace(least, schema.names), schema)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.filter(F.btrim("text", F.lit(SPACES)) != "").select(*docs.columns)

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: Spaces between words; a word is a longest run of anything else.
 SPACES = " \t\n\x0b\x0c\r"
 #: Stands for a null id inside a job: a null id counts as the smallest id.
@@ -52,6 +57,17 @@ def written(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def kept_by_worker(kind: str, key: object, make: Callable[[], T]) -> T:
+    """An object that a Python worker builds once and keeps for its later tasks; one of each kind.
+
+    Task functions travel by value, so their own globals live for one task only.
+    """
+    kept = sys.modules.setdefault("_worker_keeps", types.ModuleType("_worker_keeps")).__dict__
+    if kind not in kept or kept[kind][0] != key:
+        kept[kind] = key, make()
+    return kept[kind][1]
+
+
 def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text or binary column and the offsets of its rows, without a copy."""
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

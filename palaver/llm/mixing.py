@@ -176,3 +176,28 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
         "doc_id", "source", "size", "text_key", "source_size", "target",
         copies.cast("long").alias("copies"), (copies * F.col("size") + part).cast("long").alias("taken"),
     )
+
+
+def repeated(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it (not at all, once or more), with all their columns.
+
+    Documents are never split. Equal rows (id, source and text) share their number of copies evenly, in whole
+    copies: such rows are interchangeable, so the first of them are repeated once more.
+    """
+    taken = (
+        mix(docs, weights, share, most, whole=True)
+        .groupBy("doc_id", "source", "text_key")
+        .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+        .select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), "_copies", "_rows")
+    )
+    keyed = docs.withColumn("_text", F.xxhash64(F.col("text").cast("string")))
+    same = (
+        keyed["doc_id"].cast("long").eqNullSafe(taken["_doc"])
+        & keyed["source"].cast("string").eqNullSafe(taken["_source"])
+        & (keyed["_text"] == taken["_key"])
+    )
+    # Sum of copies over equal rows = whole copies per row, and one more for the first of them.
+    turn = F.when(F.col("_rows") > 1, F.row_number().over(Window.partitionBy("_doc", "_source", "_key").orderBy("_key"))).otherwise(1)
+    each = F.floor(F.col("_copies") / F.col("_rows")) + (turn <= F.col("_copies") % F.col("_rows")).cast("int")
+    counted = keyed.join(taken, same).withColumn("_each", each.cast("int"))
+    return counted.filter("_each > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*docs.columns)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import texts, written
+from palaver.llm.common import kept_by_worker, texts, written
 
 CAPACITY = 2048
 #: Pieces that one packing task takes; memory of a task is about 100 bytes a piece.
@@ -36,9 +36,6 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-_WORKERS: dict[str, WordIds] = {}
-
-
 class WordIds:
     """Token ids of words, remembered by a worker for as long as they fit.
 
@@ -119,9 +116,7 @@ class WordIds:
 
 def packed_ids(values: list[str], path: str) -> list[bytes]:
     """Token ids of each text as little-endian 32-bit numbers, then id 0."""
-    if path not in _WORKERS:
-        _WORKERS[path] = WordIds(path)
-    return _WORKERS[path].encode(values)
+    return kept_by_worker("word ids", path, lambda: WordIds(path)).encode(values)
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm import chunks, language, mixing, packing, quality, simhash, suffixes, winnow
+from palaver.llm import chunks, language, mixing, packing, quality, simhash, suffixes, toxicity, treeweights, winnow
 from palaver.llm.common import table
 
 
@@ -32,13 +32,21 @@ def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document once passages that an earlier one has are gone."""
-    return chunks.remove_repeats(table(spark, sf_dir, "documents")).drop("text_key")
+    return chunks.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.figures(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treeweights.score(table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -52,7 +60,9 @@ QUERIES = {
         op4_simhash_near_dedup,
         op5_winnowing,
         op6_substring_dedup,
+        op7_toxicity,
         op8_quality_rules,
+        op9_lm_scoring,
         op10_suffix_array_dedup,
     )
 }

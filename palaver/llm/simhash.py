@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palaver.llm.common import NO_ID, texts, written
@@ -306,5 +306,22 @@ def cluster(prints: DataFrame, budget: int = 2) -> DataFrame:
     return prints.join(table, "fp").select("doc_id", "fp", F.expr(f"nullif(component_id, {NO_ID})").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
+    """Of each component of linked fingerprints one row of ``docs``, with all its columns.
+
+    It is the row with the smallest doc_id (null smallest), of those the smallest text hash. Only
+    ids, fingerprints and text hashes are compared; the texts are fetched for the rows that stay.
+    """
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    prints = written(fingerprints(docs, shingle))
+    named = cluster(prints, budget).select("doc_id", "fp", F.coalesce("component_id", F.lit(NO_ID)).alias("component"))
+    # The first document of a component has the component's own id: its fingerprint tells it from others.
+    firsts = named.filter(F.coalesce("doc_id", F.lit(NO_ID)) == F.col("component")).select(F.col("component").alias("_first")).distinct()
+    kept = docs.join(firsts, own == F.col("_first"), "left_semi")
+    turn = F.row_number().over(Window.partitionBy(own).orderBy(F.xxhash64(text)))
+    return kept.withColumn("_turn", turn).filter("_turn = 1").drop("_turn")
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

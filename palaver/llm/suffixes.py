@@ -232,8 +232,8 @@ def _apply(width: int, with_text: bool):
                 again = _again(row, every, batch["seen"])
                 for r, b, n in zip(row[again].tolist(), begin[again].tolist(), size[again].tolist(), strict=True):
                     covers.setdefault(r, []).append((b, b + n + width - 1))
-            for r, spans in enumerate(batch["spans"].to_pylist()):
-                for span in spans or ():
+            for r, (key, spans) in enumerate(zip(batch["text_key"].to_pylist(), batch["spans"].to_pylist(), strict=True)):
+                for span in (span for span in spans or () if span["text_key"] == key):
                     covers.setdefault(r, []).append((int(offsets[r]) + span["low"], int(offsets[r]) + span["high"] + width))
             out = []
             for r in range(len(batch)):
@@ -312,7 +312,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, group: int = GROUP, with
 
     def bytes_of(column: str) -> DataFrame:
         lists = found.filter(F.col(column).isNotNull()).groupBy("id").agg(F.collect_list(column).alias("asked"))
-        return named.join(lists, "id").select("id", "text_key", "text", "asked").mapInArrow(_border_rows(width), border)
+        # All columns of the texts, used or not: so one exchange of the texts serves this join and the last one.
+        return named.join(lists, "id").mapInArrow(_border_rows(width), border)
 
     spans = bytes_of("asked").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_borders(width), "id long, text_key long, low long, high long")
     large = bytes_of("asked_large").mapInArrow(_window_rows(width), "key long, id long, text_key long, start long")
@@ -325,6 +326,6 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, group: int = GROUP, with
         spans = spans.unionByName(repeats.select("id", "text_key", F.col("start").alias("low"), F.col("start").alias("high")))
 
     seen = found.filter(F.col("seen").isNotNull()).groupBy("id").agg(F.flatten(F.collect_list("seen")).alias("seen"))
-    spans = spans.groupBy("id", "text_key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    told = named.join(seen, "id", "left").join(spans, ["id", "text_key"], "left").select("doc_id", "text", "seen", "spans")
+    spans = spans.groupBy("id").agg(F.collect_list(F.struct("text_key", "low", "high")).alias("spans"))
+    told = named.join(seen.join(spans, "id", "full"), "id", "left")
     return told.mapInArrow(_apply(width, with_text), RESULT + ", kept binary" * with_text)
