@@ -38,14 +38,14 @@ FLOOR = 0.35
 
 _SENTENCES = re.compile(r"(?<=[.!?])\s+|\n")
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
-_EDGES = "\"'.,;:!?()[]{}…«»„“”"
+_MARKS = re.compile(r"[\W_]+")
 
 
 def words(sentence: str) -> list[str]:
-    """Lower-cased words without marks at their edges; single characters in a row are read as one word."""
+    """Lower-cased letters and digits of the words; single characters in a row are read as one word."""
     lowered = sentence.lower()
     joined = _SPACED.sub(lambda m: m.group().replace(" ", "").replace("\t", ""), lowered)
-    return [stripped for word in joined.split() if (stripped := word.strip(_EDGES))]
+    return [bare for word in joined.split() if (bare := word if word.isalnum() else _MARKS.sub("", word))]
 
 
 def kernel(strings: list[str], landmark: str, order: int = ORDER, decay: float = DECAY) -> np.ndarray:

@@ -22,7 +22,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from palaver.llm.common import buffer, fold, kept_by_worker, pieces, texts, written
 
 DEPTH = 5
-SLOT_BITS = 21
+SLOT_BITS = 22
 #: Bytes that one numpy step takes.
 STEP = 1 << 21
 #: Entries of a worker's memory of byte strings and their code lengths.
@@ -86,9 +85,9 @@ def paths(gram: np.ndarray, depth: int = DEPTH) -> Iterator[tuple[int, np.ndarra
 
 
 class Model:
-    """Estimates and stopping weights of all slots, as float32."""
+    """Estimates (below 0 where training saw nothing) and stopping weights of all slots, by depth."""
 
-    def __init__(self, ones: np.ndarray, weight: np.ndarray, bits: int) -> None:
+    def __init__(self, ones: list[np.ndarray], weight: list[np.ndarray], bits: int) -> None:
         self.ones, self.weight, self.bits = ones, weight, bits
         self.depth = len(ones) - 1
         size = 1 << MEMORY_BITS
@@ -177,27 +176,61 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (value - 0.5) * np.log(value) - value + 0.5 * np.log(2 * np.pi) + series - shift
 
 
-def weigh(rows: pd.DataFrame, depth: int, bits: int) -> Model:
-    """The model of the counted nodes; from the leaves up, on arrays of fixed size."""
-    size = 1 << bits
-    ones = np.full((depth + 1, size), -1.0, np.float32)
-    weight = np.ones((depth + 1, size), np.float32)
-    below = np.zeros(size)
+def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Estimate, stopping weight and log weighted probability of nodes; ``split`` is the sum of their children's."""
+    for batch in batches:
+        zeros, ones = (batch[name].to_numpy().astype(float) for name in ("zeros", "ones"))
+        own, split = log_estimate(zeros, ones), batch["split"].to_numpy(zero_copy_only=False).astype(float)
+        leaf = np.isnan(split)
+        split = np.where(leaf, own, split)
+        high = np.maximum(own, split)
+        total = np.where(leaf, own, high + np.log(0.5 * np.exp(own - high) + 0.5 * np.exp(split - high)))
+        weight = np.where(leaf, 1.0, 0.5 * np.exp(own - total))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch["slot"],
+                batch["parent"],
+                pa.array(((ones + 0.5) / (zeros + ones + 1.0)).astype(np.float32)),
+                pa.array(weight.astype(np.float32)),
+                pa.array(total),
+            ],
+            names=["slot", "parent", "one", "weight", "total"],
+        )
+
+
+def weighted_nodes(nodes: DataFrame, depth: int) -> list[DataFrame]:
+    """(slot, parent, one, weight, total) of the nodes of each depth, worked out from the leaves up."""
+    levels: list[DataFrame] = []
     for d in range(depth, -1, -1):
-        part = rows[rows["depth"] == d]
-        slot, a, b = part["slot"].to_numpy(), part["zeros"].to_numpy(float), part["ones"].to_numpy(float)
-        ones[d][slot] = (b + 0.5) / (a + b + 1.0)
-        own = log_estimate(a, b)
-        if d == depth:
-            total = own
+        part = nodes.filter(F.col("depth") == d).drop("depth")
+        if levels:
+            below = levels[0].groupBy(F.col("parent").alias("slot")).agg(F.sum("total").alias("split"))
+            part = part.join(below, "slot", "left")
         else:
-            split = below[slot]
-            high = np.maximum(own, split)
-            total = high + np.log(0.5 * np.exp(own - high) + 0.5 * np.exp(split - high))
-            weight[d][slot] = np.exp(own - total) * 0.5
-        below = np.zeros(size)
-        np.add.at(below, part["parent"].to_numpy(), total)
-    return Model(ones, weight, bits)
+            part = part.withColumn("split", F.lit(None).cast("double"))
+        levels.insert(0, written(part.mapInArrow(_weigh, "slot int, parent int, one float, weight float, total double")))
+    return levels
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        arrays = [batch["slot"].to_numpy(), batch["one"].to_numpy(), batch["weight"].to_numpy().astype(np.float16)]
+        yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], names=["slot", "one", "weight"])
+
+
+def gathered(levels: list[DataFrame], bits: int) -> Model:
+    """The model as arrays: ten bytes a node at most come to the driver, so the parameters bound them."""
+    tables: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+    for d, level in enumerate(levels):
+        size = 1 << min(bits, 8 * d + 8)
+        one, weight = np.full(size, -1.0, np.float32), np.ones(size, np.float16)
+        rows = level.select("slot", "one", "weight").mapInArrow(_packed, "slot binary, one binary, weight binary")
+        for row in rows.toLocalIterator():
+            slot = np.frombuffer(row.slot, np.int32)
+            one[slot], weight[slot] = np.frombuffer(row.one, np.float32), np.frombuffer(row.weight, np.float16)
+        tables[0].append(one)
+        tables[1].append(weight)
+    return Model(*tables, bits)
 
 
 def counted_grams(train: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -215,7 +248,8 @@ def counted_grams(train: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 def fit(train: DataFrame, depth: int = DEPTH, bits: int = SLOT_BITS) -> Model:
     """Context-tree weighting of all training text. The result's size depends on the parameters only."""
-    return weigh(node_counts(written(counted_grams(train, depth)), depth, bits).toPandas(), depth, bits)
+    nodes = written(node_counts(written(counted_grams(train, depth)), depth, bits))
+    return gathered(weighted_nodes(nodes, depth), bits)
 
 
 def tokens(text: str) -> list[bytes]:
