@@ -33,7 +33,7 @@ WHERE created_at > TIMESTAMP '2024-01-05' AND created_at < TIMESTAMP '2024-01-20
   AND message_id > 100""")
 add("select_scope", """
 SELECT message_id, server_id, channel_id FROM messages
-WHERE channel_id = 32 AND server_id IN (SELECT server_id FROM servers WHERE active)""")
+WHERE channel_id = 32 OR server_id IN (SELECT server_id FROM servers WHERE active)""")
 add("normalised_rows", """
 SELECT file_path, server_id, server_name, channel_id, channel_name, message_id, discord_id,
        username, created_at, edited_at, reply_to_message_id, thread_id, reject,
@@ -206,7 +206,7 @@ SEARCH = """
 SELECT m.message_id, m.created_at, s.server_name, m.channel_name, u.current_username AS author,
        m.content
 FROM live m JOIN servers s ON m.server_id = s.server_id JOIN users u ON m.user_id = u.user_id
-WHERE m.content ILIKE {pattern} {where} ORDER BY m.created_at DESC, m.message_id DESC LIMIT 100"""
+WHERE m.content ILIKE {pattern} {where} ORDER BY m.created_at DESC, m.message_id DESC"""
 add("search_messages", SEARCH.format(pattern="'%hack%'", where=""))
 add("search_messages_in_server",
     SEARCH.format(pattern="'%N_ght 1%%'", where="AND m.server_id = 10"))
@@ -225,7 +225,7 @@ add("channel_all_messages", """
 SELECT m.message_id, m.created_at, u.current_username AS author, m.content
 FROM live m JOIN users u ON m.user_id = u.user_id
 WHERE m.server_id = 3 AND m.channel_name = 'click' AND m.content <> ''
-ORDER BY m.created_at, m.message_id LIMIT 5000""")
+ORDER BY m.created_at, m.message_id""")
 add("all_servers", "SELECT server_id, server_name FROM servers")
 add("server_by_id", "SELECT server_id, server_name FROM servers WHERE server_id = 3")
 add("user_by_discord_id", "SELECT user_id FROM users WHERE discord_id = 1000008")
@@ -500,14 +500,12 @@ PLAYED = f"""played AS (
     WHERE ({CUES}) AND length(title) >= 4
       AND NOT regexp_matches(title, {pattern(ev.REPLY_LINE)})
       AND NOT regexp_matches(title, {pattern(ev.PHONE_LINE)}))"""
-RANKS = """channels(channel_name, kind, channel_rank, row_limit) AS (
-    VALUES ('click', 'event', 0, 5000), ('view', 'event', 1, 5000), ('error', 'event', 2, 5000),
-           ('signup', 'sports', 3, 2000), ('purchase', 'sports', 4, 2000))"""
+RANKS = """channels(channel_name, kind, channel_rank) AS (
+    VALUES ('click', 'event', 0), ('view', 'event', 1), ('error', 'event', 2),
+           ('signup', 'sports', 3), ('purchase', 'sports', 4))"""
 COLLECTED = f"""chosen AS (
     SELECT m.message_id, c.* EXCLUDE (channel_name) FROM live m JOIN channels c USING (channel_name)
-    WHERE m.content <> ''
-    QUALIFY row_number() OVER (PARTITION BY m.server_id, channel_rank
-                               ORDER BY m.created_at, m.message_id) <= c.row_limit),
+    WHERE m.content <> ''),
 collected AS (
     SELECT server_id, channel_rank, created_at, message_id, pos, title, date,
            CAST(NULL AS VARCHAR) AS category, source_channel

@@ -57,7 +57,7 @@ def export_bounds(t):
 
 @register
 def select_scope(t):
-    return src.select_scope(t.messages, t.servers.filter("active"), CHANNEL_ID).select(
+    return src.select_scope(t.messages, t.servers.filter("active"), [CHANNEL_ID]).select(
         "message_id", "server_id", "channel_id"
     )
 

@@ -14,9 +14,6 @@ from palaver.functions.text import strip
 from palaver.operators.ordering import top_per_group
 from palaver.sources.tables import Tables
 
-# Messages read per channel of each kind.
-ROW_LIMITS = {"event": 5000, "sports": 2000}
-
 EVENT_ORDER = ("channel_rank", "created_at", "message_id", "pos")
 
 
@@ -34,12 +31,13 @@ class ChannelSet:
 
 
 def channel_set_messages(
-    tables: Tables, server_id: int | None, channels: ChannelSet, kind: str
+    tables: Tables, server_id: int | None, channels: ChannelSet, kind: str, limit: int | None = None
 ) -> DataFrame:
-    """Oldest non-empty live messages of every configured channel of a kind, up to its limit.
+    """Non-empty live messages of every configured channel of a kind.
 
-    The channel names reach the scan as a filter. The limit is cut in salted parts first, so
-    a channel that holds most rows is not sorted in one task.
+    The channel names reach the scan as a filter. All messages are read unless the caller gives a
+    ``limit`` per channel, which keeps the oldest; it is cut in salted parts first, so a channel
+    that holds most rows is not sorted in one task.
     """
     messages = tables.live_messages
     if server_id is not None:
@@ -60,9 +58,11 @@ def channel_set_messages(
             "content",
         )
     )
+    if limit is None:
+        return chosen
     order = [F.asc_nulls_last("created_at"), F.asc("message_id")]
     return top_per_group(
-        chosen, ["server_id", "channel_rank"], order, ROW_LIMITS[kind], "_row", salt_on="message_id"
+        chosen, ["server_id", "channel_rank"], order, limit, "_row", salt_on="message_id"
     ).drop("_row")
 
 

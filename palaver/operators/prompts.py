@@ -207,9 +207,13 @@ def apply_model(
     prompt: str = "prompt",
     answer: str = "answer",
     on_error: str | None = None,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Add the stripped answer of ``model`` to every prompt, partition by partition.
 
+    Calls run side by side in ``parallelism`` partitions (unset: the session's default), dealt by the
+    prompt's hash, which adaptive execution does not join again.
+
     With ``on_error`` a prompt the model fails on gets that answer instead of failing the job.
     """
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in prompts.schema)}"
@@ -226,7 +230,9 @@ def apply_model(
         for frame in frames:
             yield frame.assign(**{answer: [ask(text) for text in frame[prompt]]})
 
-    return prompts.mapInPandas(run, f"{schema}, `{answer}` string")
+    tasks = parallelism or prompts.sparkSession.sparkContext.defaultParallelism
+    dealt = prompts.repartition(tasks, F.xxhash64(prompt))
+    return dealt.mapInPandas(run, f"{schema}, `{answer}` string")
 
 
 def parse_labels(

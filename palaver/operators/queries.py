@@ -173,34 +173,34 @@ def channel_messages(
 
 
 def channel_all_messages(
-    tables: Tables, server_id: int, channel_name: str, limit: int = 5000
+    tables: Tables, server_id: int, channel_name: str, limit: int | None = None
 ) -> DataFrame:
-    """Oldest non-empty live messages of a channel, found by name."""
+    """Non-empty live messages of a channel, found by name, oldest first; all unless a limit is given."""
     messages = tables.live_messages.filter(
         (F.col("server_id") == server_id) & (F.col("channel_name") == channel_name)
     )
-    return (
+    found = (
         _non_empty(messages)
         .join(_authors(tables), "user_id")
         .select("message_id", "created_at", "author", "content")
         .orderBy(*_oldest_first())
-        .limit(limit)
     )
+    return found if limit is None else found.limit(limit)
 
 
 def search_messages(
-    tables: Tables, query: str, server_id: int | None = None, limit: int = 100
+    tables: Tables, query: str, server_id: int | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Case-insensitive substring search over live content, newest first."""
-    return (
+    """Case-insensitive substring search over live content, newest first; all hits unless a limit is given."""
+    found = (
         _of_server(tables.live_messages, server_id)
         .filter(contains_ilike(F.col("content"), query))
         .join(_server_names(tables), "server_id")
         .join(_authors(tables), "user_id")
         .select("message_id", "created_at", "server_name", "channel_name", "author", "content")
         .orderBy(*_newest_first())
-        .limit(limit)
     )
+    return found if limit is None else found.limit(limit)
 
 
 def recent_sample(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,13 +111,21 @@ def export_bounds(
 def select_scope(
     messages: DataFrame,
     server_ids: Sequence[int] | DataFrame | None = None,
-    channel_id: int | None = None,
+    channel_ids: Sequence[int] | DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of the configured servers (a list, or a DataFrame of ``server_id``) and channel."""
-    if isinstance(server_ids, DataFrame):
-        messages = messages.join(server_ids.select("server_id"), "server_id", "left_semi")
-    elif server_ids is not None:
-        messages = messages.filter(F.col("server_id").isin(list(server_ids)))
-    if channel_id is not None:
-        messages = messages.filter(F.col("channel_id") == channel_id)
-    return messages
+    """Rows of the configured servers united with those of the configured channels.
+
+    Each is a list, or a DataFrame of ``server_id`` or ``channel_id``; with neither, all rows.
+    """
+    tests = []
+    for column, chosen in (("server_id", server_ids), ("channel_id", channel_ids)):
+        if isinstance(chosen, DataFrame):
+            mark = f"_in_{column}"
+            keys = chosen.select(F.col(column).alias(mark)).distinct()
+            messages = messages.join(keys, F.col(column) == F.col(mark), "left")
+            tests.append(F.col(mark).isNotNull())
+        elif chosen is not None:
+            tests.append(F.coalesce(F.col(column).isin(list(chosen)), F.lit(False)))
+    if not tests:
+        return messages
+    return messages.filter(reduce(lambda a, b: a | b, tests)).drop("_in_server_id", "_in_channel_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -24,15 +25,19 @@ def incremental_ingest(
     checkpoint: str,
     clock: Callable[[], datetime] = _utc_now,
     max_files: int | None = None,
+    stream_id: str | None = None,
 ) -> StreamingQuery:
     """Start a run over the new files; it ends by itself (``awaitTermination``).
 
     The stream carries no state and needs no watermark: a late or edited message meets its
-    stored row in the keyed merge. A batch that is repeated carries the same load id.
+    stored row in the keyed merge. A batch that is repeated carries the same load id, which
+    names the stream (``stream_id``, else its checkpoint folder) and the batch: two streams into
+    one store, or a new checkpoint, never share a load id.
     """
+    stream = stream_id or hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def load(documents: DataFrame, batch_id: int) -> None:
-        ingest(documents, store, clock(), f"stream-{batch_id:012d}")
+        ingest(documents, store, clock(), f"stream-{stream}-{batch_id:012d}")
 
     return (
         stream_exports(spark, exports_path, max_files)

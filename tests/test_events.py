@@ -166,15 +166,14 @@ def test_catalogue(spark):
     assert {r.category for r in failed.collect()} == {"other", "sports"}
 
 
-def test_row_limits_on_a_hot_channel(spark, monkeypatch):
-    monkeypatch.setitem(events.ROW_LIMITS, "event", 50)
-    monkeypatch.setitem(events.ROW_LIMITS, "sports", 20)
+def test_row_limits_on_a_hot_channel(spark):
+    limits = {"event": 50, "sports": 20}
     tables = make_tables(spark, [(("hot", "cold", "sport")[0 if i % 3 else i % 2 + 1], f"text {i}") for i in range(600)])
     channels = events.ChannelSet(event=("hot", "cold"), sports=("sport",))
     kept = [
         row
         for kind in ("event", "sports")
-        for row in events.channel_set_messages(tables, None, channels, kind).collect()
+        for row in events.channel_set_messages(tables, None, channels, kind, limits[kind]).collect()
     ]
     for channel, limit in (("hot", 50), ("cold", 50), ("sport", 20)):
         oldest = sorted(r.message_id for r in tables.messages.filter(F.col("channel_name") == channel).collect())
