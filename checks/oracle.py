@@ -113,8 +113,9 @@ LEFT JOIN (SELECT server_id, arg_max(server_name, file_path) AS server_name FROM
 add("merge_users", "SELECT * FROM merged_users", NORMALISED_SQL, AUTHORS)
 add("username_changes", f"""
 SELECT coalesce(u.user_id, c.discord_id) AS user_id, c.username,
-       coalesce(c.previous, u.current_username) AS changed_from, {AS_OF} AS changed_at
-FROM (SELECT discord_id, username, lag(username) OVER (
+       coalesce(c.previous, u.current_username) AS changed_from, {AS_OF} AS changed_at,
+       CAST(row_number() OVER (PARTITION BY c.discord_id ORDER BY c.file_path, c.event_id) AS INTEGER) AS change_no
+FROM (SELECT discord_id, username, file_path, event_id, lag(username) OVER (
           PARTITION BY discord_id ORDER BY file_path, event_id) AS previous FROM authors) c
 LEFT JOIN users u ON u.discord_id = c.discord_id
 WHERE coalesce(c.previous, u.current_username) <> c.username""", NORMALISED_SQL, AUTHORS)
@@ -256,6 +257,11 @@ SELECT h.user_id, u.discord_id, u.current_username, h.changed_from AS username,
        CAST(NULL AS TIMESTAMP) AS valid_from, h.changed_at AS valid_to
 FROM username_history h JOIN users u USING (user_id)
 WHERE h.changed_from = 'old_Customer#000000009' AND h.changed_at > TIMESTAMP '2023-01-01'""")
+add("username_lookup_renames", """
+SELECT h.user_id, u.discord_id, u.current_username, h.username,
+       h.changed_at AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to
+FROM username_history h JOIN users u USING (user_id)
+WHERE h.username = 'Customer#000000009'""")
 
 # --- weekly job --------------------------------------------------------------------------
 

@@ -295,6 +295,21 @@ def username_lookup(t):
     return queries.username_lookup(t, "old_Customer#000000009", AS_OF.replace(year=2023, day=1))
 
 
+@register
+def username_lookup_renames(t):
+    """Who carries a name after each user went to another one and back within one load."""
+    away = F.concat(F.lit("away_"), "username")
+
+    def change(number, old, new):
+        return F.struct(F.lit(number).alias("change_no"), old.alias("changed_from"), new.alias("username"))
+
+    name, first = F.col("username"), F.col("changed_from")
+    changes = F.explode(F.array(change(1, first, name), change(2, name, away), change(3, away, name)))
+    history = t.username_history.select("user_id", "changed_at", changes.alias("c")).select("user_id", "changed_at", "c.*")
+    renamed = Tables(lambda table: history if table == "username_history" else getattr(t, table))
+    return queries.username_lookup(renamed, "Customer#000000009", AS_OF)
+
+
 # --- weekly job --------------------------------------------------------------------------
 
 

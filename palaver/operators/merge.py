@@ -71,7 +71,8 @@ def username_changes(stored: DataFrame, rows: DataFrame, load_time: datetime) ->
 
     Names are compared inside each file first; only a file's first name and its changes go on
     to the comparison across files. A user who writes a third of all messages under one name
-    contributes one row per file to the second step.
+    contributes one row per file to the second step. ``change_no`` counts a user's changes of
+    this load in arrival order, from 1: all of them share the load time.
     """
     named = author_rows(rows).select("discord_id", "file_path", "pos", "username")
     in_file = Window.partitionBy("discord_id", "file_path").orderBy("pos")
@@ -87,11 +88,13 @@ def username_changes(stored: DataFrame, rows: DataFrame, load_time: datetime) ->
         .join(known, "discord_id", "left")
         .withColumn("changed_from", F.coalesce("previous", "stored_name"))
         .filter(F.col("changed_from") != F.col("username"))
+        .withColumn("change_no", F.row_number().over(across))
         .select(
             F.coalesce("user_id", "discord_id").alias("user_id"),
             "username",
             "changed_from",
             timestamp(load_time).alias("changed_at"),
+            "change_no",
         )
     )
 

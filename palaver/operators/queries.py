@@ -80,9 +80,11 @@ def username_lookup(tables: Tables, name: str, at: datetime | None = None) -> Da
     """Who carried a name: intervals from the name history, optionally those covering ``at``.
 
     A user's first interval (the name replaced by the first recorded change) has no start, the
-    last has no end. Only users who ever carried the name enter the window.
+    last has no end. Changes of one load share its time and follow each other by ``change_no``; a
+    name that lasted for no time covers no moment. Only users who ever carried the name enter the
+    window.
     """
-    in_order = Window.partitionBy("user_id").orderBy("changed_at", "username")
+    in_order = Window.partitionBy("user_id").orderBy("changed_at", "change_no", "username")
     carried = (F.col("username") == name) | (F.col("changed_from") == name)
     carriers = tables.username_history.filter(carried).select("user_id")
     history = tables.username_history.join(carriers, "user_id", "left_semi").withColumn("first", F.row_number().over(in_order) == 1)

@@ -309,20 +309,32 @@ def links_new_accounts(tables: Tables, as_of: datetime, days: int = 7) -> DataFr
 LINK_LISTS = ("deleted_account_links", "shortlinks", "new_account_links")
 
 
-def security_flags(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
-    """The three lists as text under one ``category`` column."""
-    deleted, short, young = link_lists(tables, as_of, days)
-    lists = (_newest_links(deleted), _newest_links(short), _newest_links(young, "account_created"))
+def _flags(tables: Tables, as_of: datetime, days: int) -> DataFrame:
+    """The three lists in one frame, unsorted; the text is read in a single pass."""
+    found = materialise(marked_messages(tables))
+    lists = (
+        deleted_account_links(tables, found),
+        recent_shortlinks(tables, as_of, days, found),
+        new_account_links(tables, as_of, days, found),
+    )
+    keys = ("created_at", "message_id", "url_no")
+    shown = ("server_name", "channel_name", "current_username", "date", "url", "account_created")
     parts = []
-    for category, links in zip(LINK_LISTS, lists):
-        texts = [F.col(c).cast("string").alias(c) for c in links.columns]
-        parts.append(links.select(F.lit(category).alias("category"), *texts))
+    for place, (category, links) in enumerate(zip(LINK_LISTS, lists)):
+        texts = [F.col(c).cast("string").alias(c) for c in shown if c in links.columns]
+        parts.append(links.select(F.lit(place).alias("place"), *keys, F.lit(category).alias("category"), *texts))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def security_flags(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
+    """The three lists as text under one ``category`` column, newest first in each; sorted once."""
+    newest = ("place", F.desc_nulls_first("created_at"), F.desc("message_id"), "url_no")
+    return _flags(tables, as_of, days).orderBy(*newest).drop("place", "created_at", "message_id", "url_no")
+
+
 def security_summary(tables: Tables, as_of: datetime, days: int = 7) -> DataFrame:
     """Flags per category, zeros included, and in total."""
-    counts = security_flags(tables, as_of, days).agg(
+    counts = _flags(tables, as_of, days).agg(
         *[F.count(F.when(F.col("category") == c, 1)).alias(c) for c in LINK_LISTS],
         F.count(F.lit(1)).alias("total"),
     )

@@ -11,7 +11,7 @@ USERS = (
     "created_at timestamp_ntz, last_seen timestamp_ntz"
 )
 USERNAME_HISTORY = (
-    "user_id long, username string, changed_from string, changed_at timestamp_ntz"
+    "user_id long, username string, changed_from string, changed_at timestamp_ntz, change_no int"
 )
 MESSAGES = (
     "message_id long, server_id long, channel_id long, channel_name string, user_id long, "

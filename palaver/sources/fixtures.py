@@ -34,7 +34,8 @@ DEFINITIONS = {
         SELECT CAST(c_custkey AS BIGINT) AS user_id, c_name AS username,
                concat('old_', c_name) AS changed_from,
                CAST('2023-06-01 00:00:00' AS {ts}) + (c_custkey % 90) * INTERVAL '1' DAY
-                   AS changed_at
+                   AS changed_at,
+               1 AS change_no
         FROM {customer} WHERE c_custkey % 3 = 0""",
     "messages": """
         SELECT e.event_id AS message_id, e.event_id % 25 AS server_id,

@@ -136,7 +136,7 @@ def test_bounds_are_strict(spark):
 
 
 def test_name_at_a_time(spark):
-    history = [(1, "B", "A", datetime(2024, 1, 5)), (1, "C", "B", datetime(2024, 1, 9))]
+    history = [(1, "B", "A", datetime(2024, 1, 5), 1), (1, "C", "B", datetime(2024, 1, 9), 1)]
     tables = build(spark, history=history)
     at = datetime(2024, 1, 6)
     assert rows(queries.username_lookup(tables, "B", at), "user_id") == [(1,)]
@@ -144,6 +144,16 @@ def test_name_at_a_time(spark):
     assert rows(queries.username_lookup(tables, "A"), "user_id") == [(1,)]
 
 
+def test_names_of_one_load_keep_their_order(spark):
+    at = datetime(2024, 1, 5)
+    history = [(1, "A", "B", at, 2), (1, "B", "A", at, 1)]
+    tables = build(spark, history=history)
+    now = datetime(2024, 1, 20)
+    assert rows(queries.username_lookup(tables, "A", now), "user_id") == [(1,)]
+    assert rows(queries.username_lookup(tables, "B", now), "user_id") == []
+    assert rows(queries.username_lookup(tables, "A", datetime(2024, 1, 1)), "user_id") == [(1,)]
+
+
 def test_templates_fill_in_order(spark):
     frame = spark.createDataFrame([("{b} {x}", "struct { int x; }")], "a string, b string")
     text = fill_template("{a}|{b}", {"a": F.col("a"), "b": F.col("b")})
