@@ -3,9 +3,9 @@
 Any two texts that share a substring of at least window + k - 1 characters share a fingerprint;
 of equal hashes in a window the rightmost is taken. Places are kept, so a match can be shown.
 
-To compare a document with the next one, rows are sorted by id in ranges and read as streams: each
-text moves once, and a task holds two texts. Only the first and last row of each range
-meet across ranges.
+To compare a document with the next one, rows are dealt to ranges of neighbouring ids and read as
+sorted streams: each text moves once, and a task holds two texts. The first document of every range
+travels to the range before it as well, so a range needs nothing of the others.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palaver.llm.common import NO_ID, Rolling, mixed, sliding_min, texts, written
@@ -25,6 +24,8 @@ GRAM = 20
 WINDOW = 61
 #: Characters that one numpy step takes.
 STEP = 1 << 18
+#: Bytes of text of an average range, and the most ranges (then ranges are longer streams).
+RANGE_BYTES, RANGES = 1 << 20, 200_000
 
 _FACTOR = 0x9E3779B97F4A7C15
 
@@ -91,14 +92,20 @@ def likeness(left: np.ndarray, right: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def compared(doc_id: int | None, text: str, following: str) -> tuple:
+def read(doc_id: int | None, text: str) -> tuple:
+    """A document as ``compared`` takes it: id, characters and fingerprint."""
+    codes = _codes(text)
+    return doc_id, codes, winnow(codes)
+
+
+def compared(document: tuple, following: tuple) -> tuple:
     """The row of a document whose next document is ``following``."""
-    codes, after = _codes(text), _codes(following)
+    doc_id, codes, own = document
+    _, after, other = following
     half = len(codes) // 2
-    head = after[:half]
     # The last floor(n/2) characters give way to the first as many of the next document, or all it has.
-    edited = np.concatenate([codes[: len(codes) - half], head])
-    own, changed, other = winnow(codes), winnow(edited), winnow(after)
+    edited = np.concatenate([codes[: len(codes) - half], after[:half]])
+    changed = winnow(edited)
     spelled = edited.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
     return (
         doc_id, len(codes), hashlib.sha256(spelled).hexdigest(), printed(*own), printed(*changed),
@@ -111,41 +118,74 @@ _KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.floa
 _NAMES = [part.split()[0] for part in RESULT.split(", ")]
 
 
-def _rows(found: list[tuple], borders: list[tuple[int | None, str, str]] | None = None) -> pa.RecordBatch:
-    borders = borders or []
-    number = TaskContext.get().partitionId() if TaskContext.get() else 0
-    table = [list(column) for column in zip(*found, strict=True)] if found else [[] for _ in _KINDS]
-    for column in table:
-        column += [None] * len(borders)
-    extra = [[None] * len(found) + [border[i] for border in borders] for i in range(3)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column, kind) for column, kind in zip(table, _KINDS, strict=True)] + [pa.array(extra[0], pa.string()), pa.array(extra[1], pa.int64()), pa.array(extra[2], pa.string()), pa.array([number] * (len(found) + len(borders)), pa.int32())],
-        names=[*_NAMES, "border", "border_id", "border_text", "range"],
-    )
+def _borders(keys: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(id, lead of the text) with which every range begins, in order.
+
+    Results do not depend on where ranges begin. One key of a range's worth is chosen by its hash, and the
+    smallest key; at most about ``RANGES`` narrow rows reach the driver.
+    """
+    total = keys.agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"), F.min(F.struct("id", "lead")).alias("least")).first()
+    if not total["rows"]:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ranges = min(RANGES, max(1, (total["bytes"] or 0) // RANGE_BYTES))
+    every = max(1, total["rows"] // ranges)
+    begins = keys.filter(F.pmod(F.xxhash64("id", "lead"), F.lit(every)) == 0).select("id", "lead").distinct()
+    chosen = {(row["id"], row["lead"]) for row in begins.collect()} | {tuple(total["least"])}
+    found = np.array(sorted(chosen), np.int64)
+    return found[:, 0], found[:, 1]
+
+
+DEALT = "doc_id long, text string, id long, lead long, range long, ahead boolean"
+DEALT_NAMES = [part.split()[0] for part in DEALT.split(", ")]
+
+
+def _deal(ids: np.ndarray, leads: np.ndarray):
+    """Give every row its range; rows that may be the first of a range also go ``ahead`` to the one before.
+
+    A task sends such a row only if its text is smaller than those it sent for that range.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[int, str] = {}
+        for batch in batches:
+            own, lead = batch["id"].to_numpy(), batch["lead"].to_numpy()
+            low, high = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+            place, begins = low - 1, []
+            for row in np.flatnonzero(high > low).tolist():
+                at = int(low[row] + np.searchsorted(leads[low[row] : high[row]], lead[row], "right")) - 1
+                place[row] = at
+                if at >= low[row] and leads[at] == lead[row]:
+                    text = batch["text"][row].as_py()
+                    if at not in sent or text < sent[at]:
+                        sent[at] = text
+                        begins.append(row)
+            names = DEALT_NAMES
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place, pa.int64()), pa.array(np.zeros(len(batch), bool))], names=names)
+            if begins:
+                first = batch.take(pa.array(begins))
+                before = (place[begins] - 1) % len(ids)
+                yield pa.RecordBatch.from_arrays([*first.columns, pa.array(before, pa.int64()), pa.array(np.ones(len(begins), bool))], names=names)
+
+    return run
 
 
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted range: all but the last are compared; the first and last are handed on as borders."""
-    held: tuple[int | None, str] | None = None
+    """Compare each row of a range with the next; the row sent ahead by the next range ends it."""
+    place: int | None = None
+    held: tuple | None = None
     for batch in batches:
         for at in range(0, len(batch), 500):
-            part, found, borders = batch.slice(at, 500), [], []
-            for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                if held is None:
-                    borders.append(("first", doc_id, text))
-                else:
-                    found.append(compared(*held, text))
-                held = doc_id, text
-            yield _rows(found, borders)
-    if held is not None:
-        yield _rows([], [("last", *held)])
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), batch["following"].to_pylist(), strict=True)
-        made = _rows([compared(*row) for row in rows])
-        yield pa.RecordBatch.from_arrays(made.columns[: len(_NAMES)], names=_NAMES)
+            part, found = batch.slice(at, 500), []
+            columns = [part[name].to_pylist() for name in ("range", "ahead", "doc_id", "text")]
+            for number, ahead, doc_id, text in zip(*columns, strict=True):
+                if number == place and held is None:
+                    continue  # the range has ended: of the rows sent ahead, the first one counts
+                row = read(doc_id, text)
+                if number == place:
+                    found.append(compared(held, row))
+                place, held = number, None if ahead else row
+            table = zip(*found, strict=True) if found else [[] for _ in _KINDS]
+            yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(table, _KINDS, strict=True)], names=_NAMES)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -154,17 +194,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     The next document follows in (doc_id, text) order, null ids first; the last is followed by the
     first, a single document by itself. Null text is empty; empty texts have an empty fingerprint.
     """
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
-    ranged = texts(docs).repartitionByRange(F.coalesce("doc_id", F.lit(NO_ID)), "text").sortWithinPartitions(*order)
-    streamed = written(ranged.mapInArrow(_stream, RESULT + ", border string, border_id long, border_text string, range int"))
-    # One first and one last row per range, in the order of the ranges; only range numbers meet in a window.
-    first, last = (streamed.filter(F.col("border") == name) for name in ("first", "last"))
-    numbers = first.select("range")
-    ahead = numbers.select("range", F.coalesce(F.lead("range").over(Window.orderBy("range")), F.min("range").over(Window.partitionBy())).alias("ahead"))
-    closed = (
-        last.select("range", F.col("border_id").alias("doc_id"), F.col("border_text").alias("text"))
-        .join(ahead, "range")
-        .join(first.select(F.col("range").alias("ahead"), F.col("border_text").alias("following")), "ahead")
-        .select("doc_id", "text", "following")
-    )
-    return streamed.filter(F.col("border").isNull()).select(*_NAMES).unionByName(closed.mapInArrow(_pairs, RESULT))
+    keyed = texts(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"))
+    # The first bytes of a text as a number, in the order of texts: they split the rows of one id.
+    lead = F.conv(F.rpad(F.hex(F.substring(F.col("text").cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    keyed = keyed.withColumn("lead", lead)
+    ids, leads = _borders(written(keyed.select("id", "lead", F.octet_length("text").cast("long").alias("bytes"))))
+    dealt = keyed.mapInArrow(_deal(ids, leads), DEALT).repartition("range")
+    ordered = dealt.sortWithinPartitions("range", "ahead", "id", "text").select("range", "ahead", "doc_id", "text")
+    return ordered.mapInArrow(_stream, RESULT)

@@ -87,3 +87,14 @@ def test_fingerprints_of_few_documents(spark, empty):
     assert winnow.fingerprints(empty).collect() == []
     one = winnow.fingerprints(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).collect()
     assert [(r.doc_id, r.n_chars, r.edited_sha256) for r in one] == [(5, 4, hashlib.sha256(b"abab").hexdigest())]
+
+
+def test_results_do_not_depend_on_ranges(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, f"{i} " + "".join(rng.choice("abcd ") for _ in range(rng.randint(0, 300)))) for i in range(60)]
+    rows += [(None, f"same start {rng.random()}") for _ in range(20)] + [(7, None), (7, ""), (7, "zz"), (7, "zz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    whole = sorted(map(tuple, winnow.fingerprints(docs).collect()), key=repr)
+    for size in (1, 700):
+        monkeypatch.setattr(winnow, "RANGE_BYTES", size)
+        assert sorted(map(tuple, winnow.fingerprints(docs).collect()), key=repr) == whole
