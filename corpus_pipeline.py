@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from palaver.llm import chunks, mixing, packing, quality, simhash
-from palaver.llm.common import NO_ID, table, written
+from palaver.llm.common import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,12 +14,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest (doc_id, text).
+    """Of each group of near copies, the document with the smallest (doc_id, text hash).
 
-    Fingerprints of five-word shingles within six bits are linked: copies of a similarity of about
-    0.9 and more. Rows that are equal in id and text are one document; the first of them stays.
+    Five-word shingles and three SimHash words: texts with a similarity of about 0.8 and more are linked.
     """
-    return simhash.one_of_each(docs, shingle=5, budget=6)
+    return simhash.one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,13 +19,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import NO_ID, texts, written
+from palaver.llm.common import NO_ID, mixed, texts, written
 
 BITS = 64
 #: Fingerprints of a trie that one task walks.
 GROUP = 20_000
+#: The same for fingerprints of several words, where copies prune each other.
+WIDE_GROUP = 100_000
 #: Bits of one split of a large trie.
 STEP = 4
+#: Pairs of one task after which they become stars; bounds the memory for large groups of copies.
+SETTLE = 1_000_000
 #: Shingles hashed at a time; bounds the memory for a long text.
 CHUNK = 50_000
 
@@ -35,9 +39,14 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
 
     A-Z are lowered. A text with fewer words than a shingle is one shingle; without words it is 0.
     """
+    return fingerprint_words(text, shingle, seed)[0]
+
+
+def fingerprint_words(text: str, shingle: int = 3, seed: int = 42, count: int = 1) -> list[int]:
+    """``count`` SimHash words of 64 bits; the first uses the hash itself, the others spread it anew."""
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return [0] * count
     line = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     begins = np.r_[0, ends[:-1] + 1]
@@ -45,13 +54,15 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
         begins, ends = begins[: len(words) - shingle + 1], ends[shingle - 1 :]
     else:
         begins, ends = begins[:1], ends[-1:]
-    ones = np.zeros(BITS, np.int64)
+    ones = np.zeros((count, BITS), np.int64)
     digest = xxhash.xxh64_intdigest
     for at in range(0, len(begins), CHUNK):
         part = [digest(line[b:e], seed) for b, e in zip(begins[at : at + CHUNK].tolist(), ends[at : at + CHUNK].tolist(), strict=True)]
-        hashes = np.array(part, ">u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(hashes, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(begins)).tobytes(), "big")
+        hashes = np.array(part, np.uint64)
+        for i in range(count):
+            spread = mixed(hashes + np.uint64(i)) if i else hashes
+            ones[i] += np.unpackbits(spread.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return [int.from_bytes(np.packbits(2 * row > len(begins)).tobytes(), "big") for row in ones]
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -83,12 +94,16 @@ def _top(value: Column, bits: int) -> Column:
     return F.shiftrightunsigned(value, BITS - bits) if bits else F.lit(0).cast("long")
 
 
-def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed: np.ndarray, depth: int, budget: int, frontier: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
+def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed: np.ndarray, depth: int, budget: int, frontier: int = 100_000, more: np.ndarray | None = None, total: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of values in one group that differ in at most ``budget`` bits.
 
     Rows are sorted by (group, side, value); values of one side agree on the first ``depth``
     bits. A group with one side is joined with itself, one with two sides across them;
-    ``crossed`` are the bits that the sides differ in so far.
+    ``crossed`` are the bits that the sides differ in so far. With ``more``, further words of each
+    row, a pair must also differ in at most ``total`` bits of all those words.
+
+    The pairs are a spanning part of all: once many are found they become stars, and node pairs
+    whose rows are one component already are dropped, so large groups of copies aren't compared pair by pair.
     """
     cuts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (side[1:] != side[:-1])])
     ends = np.r_[cuts[1:], len(values)]
@@ -100,11 +115,23 @@ def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
     stack = [(depth, cuts[start[0]], ends[start[0]], cuts[start[1]], ends[start[1]], crossed[cuts[start[0]]].astype(np.int64))]
     found: list[tuple[np.ndarray, np.ndarray]] = []
     zeros: dict[int, np.ndarray] = {}
+    label = np.arange(len(values))
+    breaks = label.copy()
+    pending = 0
     while stack:
+        if pending > SETTLE:
+            stars = forest(*(np.concatenate([part[i] for part in found]) for i in (0, 1)))
+            found, pending = [stars], 0
+            label = np.arange(len(values))
+            label[stars[0]] = stars[1]
+            breaks = np.cumsum(np.r_[0, label[1:] != label[:-1]])
         bit, a0, a1, b0, b1, gone = stack.pop()
         same = a0 == b0
         live = (a1 > a0) & (b1 > b0) & (gone <= budget) & ~(same & (a1 - a0 < 2))
         a0, a1, b0, b1, gone, same = (x[live] for x in (a0, a1, b0, b1, gone, same))
+        # Rows of one component on both sides: nothing to find.
+        live = (label[a0] != label[b0]) | (breaks[a1 - 1] != breaks[a0]) | (breaks[b1 - 1] != breaks[b0])
+        a0, a1, b0, b1, gone, same = (x[live] for x in (a0, a1, b0, b1, gone, same))
         if not len(a0):
             continue
         if len(a0) > frontier:
@@ -122,8 +149,12 @@ def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
                     has = (x0 + i < x1) & (y0 + j < y1)
                     x, y = x0[has] + i, y0[has] + j
                     near = (x < y) & (np.bitwise_count(values[x] ^ values[y]) <= budget)
+                    if more is not None:
+                        x, y = x[near], y[near]
+                        near = np.bitwise_count(more[x] ^ more[y]).sum(axis=1, dtype=np.int64) <= total
                     if near.any():
                         found.append((x[near], y[near]))
+                        pending += int(near.sum())
             a0, a1, b0, b1, gone, same = (x[~small] for x in (a0, a1, b0, b1, gone, same))
         if bit not in zeros:
             zeros[bit] = np.r_[0, np.cumsum((values >> np.uint64(BITS - 1 - bit)) & np.uint64(1) == 0)]
@@ -172,10 +203,28 @@ def links(distinct: DataFrame, budget: int = 2, agree: int = 2, group: int = GRO
     blocks = budget + agree
     if BITS % blocks:
         raise ValueError("budget + agree must divide 64")
-    depth = agree * BITS // blocks
-    rows = distinct.select("fp", _fronts(F.col("fp"), blocks, agree).alias("turn", "value")).select(
-        "fp", "value", "turn", F.lit(0).alias("side"), F.lit(0).cast("long").alias("flips")
-    )
+    fronts = _fronts(F.col("fp"), blocks, agree).alias("turn", "value")
+    return _self_join(distinct.select("fp", fronts), budget, agree * BITS // blocks, group)
+
+
+def wide_links(distinct: DataFrame, words: list[str], budget: int = 10, total: int = 36, group: int = WIDE_GROUP) -> DataFrame:
+    """(a, b): links between fingerprints of several ``words``, with the components of all linked pairs.
+
+    ``distinct`` has one row per fingerprint: fp, any number for it, and its words. Two are linked
+    if two of the eight bytes of some word agree, that word differs in at most ``budget`` bits, and
+    all words together differ in at most ``total``.
+    """
+    turns = len(list(combinations(range(8), 2)))
+    each = distinct.select("fp", *words, F.posexplode(F.array(*words)).alias("which", "word"))
+    rows = each.select("fp", *words, "which", _fronts(F.col("word"), 8, 2).alias("turn", "value"))
+    rows = rows.select("fp", *words, (F.col("which") * turns + F.col("turn")).alias("turn"), "value")
+    return _self_join(rows, budget, 16, group, words, total)
+
+
+def _self_join(rows: DataFrame, budget: int, depth: int, group: int, words: list[str] | None = None, total: int = 0) -> DataFrame:
+    """Links from (fp, turn, value) rows whose values may be near only if their first ``depth`` bits agree."""
+    words = words or []
+    rows = rows.select("fp", *words, "value", "turn", F.lit(0).alias("side"), F.lit(0).cast("long").alias("flips"))
     done: list[DataFrame] = []
     while True:
         # A node pair is named by the path of its first side and the bits its second side flips.
@@ -191,31 +240,31 @@ def links(distinct: DataFrame, budget: int = 2, agree: int = 2, group: int = GRO
         large = kept.filter(F.col("size") > group)
         if depth >= BITS or large.isEmpty():
             break
-        rows = _children(large, depth, budget)
+        rows = _children(large, depth, budget, words)
         depth += STEP
-    edges = [_walk(frame, budget) for frame in done]
+    edges = [_walk(frame, budget, words, total) for frame in done]
     out = edges[0]
     for frame in edges[1:]:
         out = out.unionByName(frame)
     return out.distinct()
 
 
-def _children(large: DataFrame, depth: int, budget: int) -> DataFrame:
+def _children(large: DataFrame, depth: int, budget: int, words: list[str]) -> DataFrame:
     """Deal the rows of large node pairs to the pairs of their child nodes, ``STEP`` bits deeper."""
     masks = [m for m in range(1 << STEP) if m.bit_count() <= budget]
     spent = F.bit_count("flips")
     digit = F.shiftrightunsigned("value", BITS - depth - STEP).bitwiseAND(F.lit((1 << STEP) - 1))
     choice = F.explode(F.array(*[F.lit(m).cast("long") for m in masks]))
-    dealt = large.select("fp", "value", "turn", "side", "flips", choice.alias("mask")).filter(spent + F.bit_count("mask") <= budget)
+    dealt = large.select("fp", *words, "value", "turn", "side", "flips", choice.alias("mask")).filter(spent + F.bit_count("mask") <= budget)
     own = F.col("flips") == 0
     # Inside one node, the child with the smaller digit is the first side of a crossing.
     side = F.when(own & (F.col("mask") != 0), (digit > digit.bitwiseXOR(F.col("mask"))).cast("int")).otherwise(F.col("side"))
     return dealt.select(
-        "fp", "value", "turn", side.alias("side"), F.shiftleft("flips", STEP).bitwiseOR(F.col("mask")).alias("flips")
+        "fp", *words, "value", "turn", side.alias("side"), F.shiftleft("flips", STEP).bitwiseOR(F.col("mask")).alias("flips")
     )
 
 
-def _walk(frame: DataFrame, budget: int) -> DataFrame:
+def _walk(frame: DataFrame, budget: int, words: list[str], total: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["turn", "node", "flips"], 200_000):
             value, fp = table["value"].to_numpy().view(np.uint64), table["fp"].to_numpy()
@@ -223,7 +272,9 @@ def _walk(frame: DataFrame, budget: int) -> DataFrame:
             keys = [table[name].to_numpy() for name in ("turn", "node", "flips")]
             group = np.cumsum(np.r_[False, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
             depth = int(table["depth"][0].as_py()) if len(table) else 0
-            x, y = trie_pairs(value, group, side, np.bitwise_count(flips.view(np.uint64)).astype(np.int64), depth, budget)
+            more = np.stack([table[word].to_numpy().view(np.uint64) for word in words], axis=1) if words else None
+            crossed = np.bitwise_count(flips.view(np.uint64)).astype(np.int64)
+            x, y = trie_pairs(value, group, side, crossed, depth, budget, more=more, total=total)
             places, first = np.unique(fp, return_inverse=True)
             x, y = forest(first[x], first[y])
             yield pa.RecordBatch.from_arrays([pa.array(places[x], pa.int64()), pa.array(places[y], pa.int64())], names=["a", "b"])
@@ -233,7 +284,7 @@ def _walk(frame: DataFrame, budget: int) -> DataFrame:
     sorted_rows = (
         frame.repartition("turn", "node", "flips")
         .sortWithinPartitions(*order[:4], F.col("value").bitwiseXOR(F.lit(NO_ID)))
-        .select("fp", *order, "depth")
+        .select("fp", *words, *order, "depth")
     )
     return sorted_rows.mapInArrow(run, "a long, b long")
 
@@ -306,20 +357,35 @@ def cluster(prints: DataFrame, budget: int = 2) -> DataFrame:
     return prints.join(table, "fp").select("doc_id", "fp", F.expr(f"nullif(component_id, {NO_ID})").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, shingle: int, budget: int) -> DataFrame:
-    """Of each component of linked fingerprints one row of ``docs``, with all its columns.
+def one_of_each(docs: DataFrame, shingle: int = 5, count: int = 3, budget: int = 10, total: int = 36) -> DataFrame:
+    """Of each group of near copies one row of ``docs``, with all its columns.
 
-    It is the row with the smallest doc_id (null smallest), of those the smallest text hash. Only
-    ids, fingerprints and text hashes are compared; the texts are fetched for the rows that stay.
+    Texts are linked by ``count`` SimHash words, see ``wide_links``: the total budget of 36 of 192
+    bits is passed by shingle sets with a similarity of about 0.8 and more. The row with the
+    smallest (doc_id, text hash) of a component stays, a null id counting as the smallest; of equal
+    rows one stays, and rows that share only their id are told apart. Only ids, fingerprints and
+    text hashes are compared; the texts are fetched for the rows that stay.
     """
+    words = [f"word_{i}" for i in range(count)]
     own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    prints = written(fingerprints(docs, shingle))
-    named = cluster(prints, budget).select("doc_id", "fp", F.coalesce("component_id", F.lit(NO_ID)).alias("component"))
-    # The first document of a component has the component's own id: its fingerprint tells it from others.
-    firsts = named.filter(F.coalesce("doc_id", F.lit(NO_ID)) == F.col("component")).select(F.col("component").alias("_first")).distinct()
-    kept = docs.join(firsts, own == F.col("_first"), "left_semi")
-    turn = F.row_number().over(Window.partitionBy(own).orderBy(F.xxhash64(text)))
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([fingerprint_words(text, shingle, count=count) for text in batch["text"].to_pylist()], np.uint64)
+            columns = [pa.array(row, pa.int64()) for row in found.reshape(-1, count).view(np.int64).T]
+            yield pa.RecordBatch.from_arrays([batch["own"], batch["text_hash"], *columns], names=["own", "text_hash", *words])
+
+    rows = texts(docs, own.alias("own"), text_hash.alias("text_hash")).drop("doc_id")
+    prints = rows.mapInArrow(run, "own long, text_hash long, " + ", ".join(f"{word} long" for word in words))
+    first = F.min(F.struct("own", "text_hash")).alias("first")
+    distinct = written(prints.groupBy(*words).agg(first).withColumn("fp", F.monotonically_increasing_id()))
+    roots = components(wide_links(distinct, words, budget, total))
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
+    firsts = named.groupBy("root").agg(F.min("first").alias("first")).select("first.own", "first.text_hash")
+    firsts = firsts.select(F.col("own").alias("_own"), F.col("text_hash").alias("_hash"))
+    kept = docs.join(firsts, (own == F.col("_own")) & (text_hash == F.col("_hash")), "left_semi")
+    turn = F.row_number().over(Window.partitionBy(own, text_hash).orderBy(F.lit(0)))
     return kept.withColumn("_turn", turn).filter("_turn = 1").drop("_turn")
 
 

@@ -85,3 +85,62 @@ def test_long_text_in_parts(monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", 10)
     assert simhash.fingerprint(text) == whole == plain_fingerprint(text)
     assert np.uint64(whole) == whole
+
+
+def test_one_of_each_equals_all_pairs(spark, docs, corpus):
+    """One row stays of each group of texts that the rule on three words links."""
+    rows = [(r[0], r[1] or "") for r in corpus]
+    words = {text: np.array(simhash.fingerprint_words(text, 5, count=3), np.uint64) for _, text in rows}
+
+    def linked(a, b):
+        bits = np.bitwise_count(a ^ b)
+        same = [(x.view(np.uint8) == y.view(np.uint8)).sum() for x, y in zip(a[:, None], b[:, None], strict=True)]
+        return bits.sum() <= 36 and any(n <= 10 and k >= 2 for n, k in zip(bits, same, strict=True))
+
+    parent = {text: text for text in words}
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for a in words:
+        for b in words:
+            if linked(words[a], words[b]):
+                parent[root(a)] = root(b)
+    least = {}
+    for doc_id, text in rows:
+        key = -(2**63) if doc_id is None else doc_id
+        least[root(text)] = min(least.get(root(text), key), key)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = [(-(2**63) if r.doc_id is None else r.doc_id) for r in kept.collect()]
+    assert sorted(found) == sorted(least.values())
+
+
+def test_near_copies_of_similarity_above_four_fifths_are_found(spark):
+    rng = random.Random(9)
+    texts, wanted = [], 0
+    for i in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        copy = list(words)
+        for at in rng.sample(range(0, 300, 10), 4):  # 20 of 296 shingles: similarity 0.87
+            copy[at] = "odd"
+        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+        wanted += 1
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert {2 * i for i in range(60)} <= kept
+    assert len(kept) <= wanted + 3
+
+
+def test_large_group_becomes_stars(monkeypatch):
+    monkeypatch.setattr(simhash, "SETTLE", 500)
+    rng = np.random.default_rng(3)
+    center = rng.integers(0, 2**48, 1, np.uint64)
+    flips = (np.uint64(1) << rng.integers(0, 40, (3000, 3)).astype(np.uint64)).astype(np.uint64)
+    values = np.unique(center ^ np.bitwise_xor.reduce(flips, axis=1))
+    zeros = np.zeros(len(values), np.int64)
+    x, y = simhash.trie_pairs(values, zeros, zeros, zeros, 16, 6)
+    nodes, roots = simhash.forest(x, y)
+    assert set(roots.tolist()) == {0} and len(nodes) == len(values) - 1
+    assert len(x) < 200_000
