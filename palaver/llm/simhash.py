@@ -97,7 +97,7 @@ def _top(value: Column, bits: int) -> Column:
 def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed: np.ndarray, depth: int, budget: int, frontier: int = 100_000, more: np.ndarray | None = None, total: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of values in one group that differ in at most ``budget`` bits.
 
-    Rows are sorted by (group, side, value); values of one side agree on the first ``depth``
+    Rows are sorted by (group, side, value, further words); values of one side agree on the first ``depth``
     bits. A group with one side is joined with itself, one with two sides across them;
     ``crossed`` are the bits that the sides differ in so far. With ``more``, further words of each
     row, a pair must also differ in at most ``total`` bits of all those words.
@@ -118,6 +118,7 @@ def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
     label = np.arange(len(values))
     breaks = label.copy()
     pending = 0
+    last = BITS if more is None else BITS * (1 + more.shape[1])
     while stack:
         if pending > SETTLE:
             stars = forest(*(np.concatenate([part[i] for part in found]) for i in (0, 1)))
@@ -127,7 +128,8 @@ def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
             breaks = np.cumsum(np.r_[0, label[1:] != label[:-1]])
         bit, a0, a1, b0, b1, gone = stack.pop()
         same = a0 == b0
-        live = (a1 > a0) & (b1 > b0) & (gone <= budget) & ~(same & (a1 - a0 < 2))
+        # Rows with an equal first word are told apart by the bits of the further ones.
+        live = (a1 > a0) & (b1 > b0) & (gone <= (budget if bit <= BITS else budget + total)) & ~(same & (a1 - a0 < 2))
         a0, a1, b0, b1, gone, same = (x[live] for x in (a0, a1, b0, b1, gone, same))
         # Rows of one component on both sides: nothing to find.
         live = (label[a0] != label[b0]) | (breaks[a1 - 1] != breaks[a0]) | (breaks[b1 - 1] != breaks[b0])
@@ -140,7 +142,7 @@ def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
             continue
         # Pairs of small nodes are leaves: compare their values directly.
         small = (a1 - a0) * (b1 - b0) <= 16
-        if bit == BITS:
+        if bit == last:
             small[:] = True
         if small.any():
             x0, x1, y0, y1 = a0[small], a1[small], b0[small], b1[small]
@@ -156,8 +158,11 @@ def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
                         found.append((x[near], y[near]))
                         pending += int(near.sum())
             a0, a1, b0, b1, gone, same = (x[~small] for x in (a0, a1, b0, b1, gone, same))
+        if not len(a0):
+            continue
         if bit not in zeros:
-            zeros[bit] = np.r_[0, np.cumsum((values >> np.uint64(BITS - 1 - bit)) & np.uint64(1) == 0)]
+            digits = values if bit < BITS else more[:, bit // BITS - 1]
+            zeros[bit] = np.r_[0, np.cumsum((digits >> np.uint64(BITS - 1 - bit % BITS)) & np.uint64(1) == 0)]
         count = zeros[bit]
         am, bm = a0 + count[a1] - count[a0], b0 + count[b1] - count[b0]
         cross = ~same  # of a node with itself, one of the two crossings is enough
@@ -233,13 +238,14 @@ def _self_join(rows: DataFrame, budget: int, depth: int, group: int, words: list
         counts = keyed.groupBy("turn", "node", "flips").agg(
             F.sum(F.when(F.col("side") == 0, 1).otherwise(0)).alias("firsts"), F.sum("side").alias("seconds")
         )
-        live = counts.filter(F.when(F.col("flips") == 0, F.col("firsts") > 1).otherwise((F.col("firsts") > 0) & (F.col("seconds") > 0)))
-        live = live.select("turn", "node", "flips", (F.col("firsts") + F.col("seconds")).alias("size"))
-        kept = written(keyed.join(live, ["turn", "node", "flips"]))
-        done.append(kept.filter(F.col("size") <= group) if depth < BITS else kept)
-        large = kept.filter(F.col("size") > group)
-        if depth >= BITS or large.isEmpty():
+        is_live = F.when(F.col("flips") == 0, F.col("firsts") > 1).otherwise((F.col("firsts") > 0) & (F.col("seconds") > 0))
+        big = counts.filter(F.col("firsts") + F.col("seconds") > group).select("turn", "node", "flips", is_live.alias("live"))
+        big = written(big) if depth < BITS else None
+        if big is None or big.isEmpty():
+            done.append(keyed)
             break
+        done.append(keyed.join(big, ["turn", "node", "flips"], "left_anti"))
+        large = written(keyed.join(big.filter("live"), ["turn", "node", "flips"], "left_semi"))
         rows = _children(large, depth, budget, words)
         depth += STEP
     edges = [_walk(frame, budget, words, total) for frame in done]
@@ -281,9 +287,10 @@ def _walk(frame: DataFrame, budget: int, words: list[str], total: int) -> DataFr
 
     order = ["turn", "node", "flips", "side", "value"]
     # Unsigned order of the values is the order of the trie.
+    bits = [F.col(name).bitwiseXOR(F.lit(NO_ID)) for name in ["value", *words]]
     sorted_rows = (
         frame.repartition("turn", "node", "flips")
-        .sortWithinPartitions(*order[:4], F.col("value").bitwiseXOR(F.lit(NO_ID)))
+        .sortWithinPartitions(*order[:4], *bits)
         .select("fp", *words, *order, "depth")
     )
     return sorted_rows.mapInArrow(run, "a long, b long")

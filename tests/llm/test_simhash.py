@@ -144,3 +144,16 @@ def test_large_group_becomes_stars(monkeypatch):
     nodes, roots = simhash.forest(x, y)
     assert set(roots.tolist()) == {0} and len(nodes) == len(values) - 1
     assert len(x) < 200_000
+
+
+def test_equal_first_words_are_told_apart_by_the_others(monkeypatch):
+    monkeypatch.setattr(simhash, "SETTLE", 500)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, (40, 2), np.uint64)
+    rows = np.concatenate([base ^ (np.uint64(1) << rng.integers(0, 63, base.shape).astype(np.uint64)) for _ in range(50)])
+    rows = np.unique(rows, axis=0)
+    zeros = np.zeros(len(rows), np.int64)
+    values = np.full(len(rows), 7, np.uint64)
+    x, y = simhash.trie_pairs(values, zeros, zeros, zeros, 16, 10, more=rows, total=4)
+    nodes, roots = simhash.forest(x, y)
+    assert len(nodes) == len(rows) - 40 and len(set(roots.tolist())) == 40
