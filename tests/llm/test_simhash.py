@@ -157,3 +157,41 @@ def test_equal_first_words_are_told_apart_by_the_others(monkeypatch):
     x, y = simhash.trie_pairs(values, zeros, zeros, zeros, 16, 10, more=rows, total=4)
     nodes, roots = simhash.forest(x, y)
     assert len(nodes) == len(rows) - 40 and len(set(roots.tolist())) == 40
+
+
+def test_links_are_exact_at_four_fifths(spark):
+    """Pairs that share long passages below 0.8 stay apart; pairs above are found; shares are measured by similarity."""
+    rng = random.Random(21)
+    rows, pairs = [], []
+    for changes in (3, 5, 6, 7, 9, 11):
+        for _ in range(40):
+            words = [f"w{rng.randrange(50_000)}" for _ in range(300)]
+            copy = list(words)
+            for at in rng.sample(range(5, 295, 10), changes):
+                copy[at] = f"odd{rng.randrange(50_000)}"
+            pairs.append((len(rows), " ".join(words), " ".join(copy)))
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(copy))]
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    alike, linked = 0, 0
+    for i, text, copy in pairs:
+        a, b = (set(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in (text, copy))
+        gone = i + 1 not in kept
+        assert i in kept
+        if len(a & b) / len(a | b) >= 0.8:
+            alike, linked = alike + 1, linked + gone
+        else:
+            assert not gone
+    assert alike == 120 and linked >= 114
+
+
+def test_all_candidates_are_compared_where_a_star_fails(spark):
+    """A chain whose ends are far apart is one component, and a text that only looks near stays out of it."""
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(300)]
+    rows = [(0, " ".join(words))]
+    for i in range(1, 12):
+        for at in rng.sample(range(5, 295, 10), 3):
+            words[at] = f"odd{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    kept = [r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert kept == [0]
