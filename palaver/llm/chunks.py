@@ -1,10 +1,15 @@
 """Substring dedup by content-defined chunking with a gear rolling hash.
 
-A byte ends a chunk where the gear hash of the last 16 bytes has a fixed pattern, so cut points
-depend on nearby bytes only and find their place again after an insertion. Chunks are known by a
-128-bit digest. A chunk is a repeat if its digest belongs to a smaller doc_id or came before in
+A byte ends a chunk where the gear hash of the last 16 bytes is the smallest of ``WIDTH``
+neighbouring ones, so cut points depend on nearby bytes only, find their place again after an
+insertion, and are at most ``WIDTH`` bytes apart. Chunks are known by a 128-bit digest. A chunk is a repeat if its digest belongs to a smaller doc_id or came before in
 the same document. Repeats are removed where neighbouring ones make a passage of ``least``
 bytes or more; single short chunks, which plain language repeats by chance, stay.
+
+Two equal passages have equal cut points between the smallest hash of their first whole window
+and that of their last one, so at most 2 * WIDTH + REACH - 2 bytes at the edges are in no
+whole chunk: a repeated passage of ``always(least)`` bytes or more is always found. The bytes at
+its edges stay.
 """
 
 from __future__ import annotations
@@ -17,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import NO_ID, SPACES, buffer, mixed, texts
+from palaver.llm.common import NO_ID, SPACES, buffer, mixed, sliding_min, texts
 from palaver.llm.repeats import first_in_batch
 
 #: Bytes that the gear hash covers.
 REACH = 16
-#: A chunk has about 2**MASK_BITS bytes.
-MASK_BITS = 5
+#: Hashes of which the smallest ends a chunk: inner chunks have about half as many bytes, and never more.
+WIDTH = 48
 #: Shortest passage of repeated chunks that is removed, in bytes.
 LEAST = 160
 STEP = 1 << 20
@@ -42,23 +47,40 @@ def gear(data: np.ndarray) -> np.ndarray:
     return value
 
 
-def cut_points(data: np.ndarray, mask_bits: int = MASK_BITS) -> np.ndarray:
-    """Places after which ``data`` is cut, by the hash's top bits below ``REACH``."""
+def always(least: int = LEAST) -> int:
+    """Bytes from which a repeated passage is found wherever it stands; 6 of them for cut characters."""
+    return least + 2 * WIDTH + REACH - 2 + 6
+
+
+def cut_points(data: np.ndarray, offsets: np.ndarray | None = None) -> np.ndarray:
+    """Places after which ``data`` is cut: behind the smallest of each ``WIDTH`` hashes, the last one of equals.
+
+    Hashes and windows lie inside one of the texts between ``offsets``, by default all of ``data``.
+    """
+    offsets = np.array([0, len(data)]) if offsets is None else offsets
+    first, last = offsets[:-1] + REACH - 1, offsets[1:] - WIDTH + 1
+    whole = first < last
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[first[whole]] = 1
+    edges[last[whole]] = -1
+    starts = np.cumsum(edges, dtype=np.int8) > 0
     out = []
-    mask = np.uint32(((1 << mask_bits) - 1) << (REACH - mask_bits))
+    places = np.uint64((1 << 21) - 1)
     for at in range(0, len(data), STEP):
         low = max(0, at - REACH + 1)  # bytes before the step that its hashes still cover
-        hit = np.flatnonzero((gear(data[low : at + STEP]) & mask) == 0) + low
-        out.append(hit[hit >= at] + 1)
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+        hashes = mixed(gear(data[low : at + STEP + WIDTH - 1])[at - low :].astype(np.uint64))
+        key = (hashes & ~places) | (places - np.arange(len(hashes), dtype=np.uint64))
+        least = sliding_min(key, WIDTH)
+        least = least[starts[at : at + len(least)]]
+        found = (places - (least & places)).astype(np.int64)
+        out.append(found[np.r_[True, found[1:] != found[:-1]]] + at + 1 if len(found) else found)
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
 def text_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, begin, end) of the chunks of every text. The first chunk has at least ``REACH`` bytes, if the text has."""
     low = int(offsets[0])
-    # Found over neighbouring texts at once; where the hash still covers bytes of the text before, none counts.
-    cuts = cut_points(data[low : int(offsets[-1])]) + low
-    cuts = cuts[cuts - offsets[np.searchsorted(offsets, cuts, "left") - 1] >= REACH]
+    cuts = cut_points(data[low : int(offsets[-1])], offsets - low) + low
     borders = np.union1d(cuts, offsets)
     begin, end = borders[:-1], borders[1:]
     row = np.searchsorted(offsets, begin, "right") - 1

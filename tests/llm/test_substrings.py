@@ -124,3 +124,26 @@ def test_shared_passages_go_and_clean_documents_stay(docs, corpus):
 
 def test_chunks_of_nothing(empty):
     assert chunks.remove_repeats(empty).collect() == []
+
+
+def test_passages_of_the_promised_length_are_always_caught(spark):
+    rng = random.Random(17)
+    letters = "abcdefghijklmnopqrstuvwxyz   "
+
+    def prose(n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    size = chunks.always()
+    assert size <= 290
+    rows = []
+    for i in range(400):
+        passage = prose(size)
+        rows += [(i, prose(rng.randrange(300)) + passage + prose(rng.randrange(300)))]
+        rows += [(1000 + i, prose(rng.randrange(300)) + passage + prose(rng.randrange(300)))]
+    found = chunks.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all((r.n_passages, r.n_removed >= chunks.LEAST) == ((1, True) if r.doc_id >= 1000 else (0, False)) for r in found)
+
+
+def test_no_inner_chunk_is_longer_than_a_window():
+    data = np.random.default_rng(5).integers(97, 123, 50_000, dtype=np.uint8)
+    assert np.diff(chunks.cut_points(data)).max() <= 48
