@@ -16,7 +16,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest (doc_id, text hash).
 
-    Five-word shingles and three SimHash words: texts with a similarity of about 0.8 and more are linked.
+    Candidates by three SimHash words; linked are sets of five-word shingles with a Jaccard of 0.8 or more.
     """
     return simhash.one_of_each(docs)
 
