@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm import chunks, language, mixing, packing, quality, simhash, suffixes, toxicity, treeweights, winnow
+from palaver.llm import (
+    chunks,
+    language,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    simhash,
+    suffixes,
+    tokencounts,
+    toxicity,
+    treeweights,
+    variants,
+    winnow,
+)
 from palaver.llm.common import table
 
 
@@ -51,6 +65,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -64,6 +90,9 @@ QUERIES = {
         op8_quality_rules,
         op9_lm_scoring,
         op10_suffix_array_dedup,
+        op11_spelling_variants,
+        op12_token_counts,
+        op13_hard_negatives,
     )
 }
 ORACLE_SQL = {
@@ -86,4 +115,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT n_symbols * 10 > n_words AND NOT n_dup_lines * 2 > len(string_split(text, chr(10)))
        AND NOT word_chars > n_words * 20 AS kept
 FROM b""",
+    "op13_hard_negatives": r"""
+WITH t AS (SELECT row_number() OVER () AS k, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)),
+s AS (SELECT a.k AS ak, a.vec_id AS anchor_id, c.k AS ck, c.vec_id, a.label = c.label AS same,
+             list_dot_product(a.v, c.v)::BIGINT AS score
+      FROM t a JOIN t c ON a.k <> c.k WHERE a.vec_id % 50 = 0),
+p AS (SELECT ak, anchor_id, ck AS pk, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY ak ORDER BY score DESC, vec_id NULLS FIRST, ck) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.ak, p.pk ORDER BY s.score DESC, s.vec_id NULLS FIRST, s.ck)::INTEGER AS rank
+      FROM p JOIN s ON p.ak = s.ak AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""",
 }
