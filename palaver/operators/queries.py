@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from palaver.functions.text import contains_ilike, sorted_distinct
 from palaver.operators.ordering import top_per_group
-from palaver.sources.tables import Tables, timestamp, within_days
+from palaver.sources.tables import Tables, timestamp
 
 
 def _newest_first() -> list[Column]:
@@ -120,9 +120,7 @@ def user_messages(
     tables: Tables, as_of: datetime, user_ids: int | DataFrame, days: int | None = None
 ) -> DataFrame:
     """Live messages of one user, or of a DataFrame of ``user_id``, with the server name."""
-    messages = tables.live_messages
-    if days is not None:
-        messages = messages.filter(within_days("created_at", as_of, days))
+    messages = tables.live_messages if days is None else tables.live_within(as_of, days)
     if isinstance(user_ids, DataFrame):
         messages = messages.join(user_ids.select("user_id").distinct(), "user_id", "left_semi")
     else:
@@ -163,11 +161,8 @@ def channel_messages(
 ) -> DataFrame:
     """Live messages of a channel in the window with the author, oldest first."""
     return (
-        tables.live_messages.filter(
-            (F.col("server_id") == server_id)
-            & (F.col("channel_id") == channel_id)
-            & within_days("created_at", as_of, days)
-        )
+        tables.live_within(as_of, days)
+        .filter((F.col("server_id") == server_id) & (F.col("channel_id") == channel_id))
         .join(_authors(tables), "user_id")
         .select("message_id", "created_at", "author", "content", "reply_to_message_id", "thread_id")
         .orderBy(*_oldest_first())
@@ -209,7 +204,7 @@ def recent_sample(
     tables: Tables, as_of: datetime, server_id: int | None = None, days: int = 30, limit: int = 60
 ) -> DataFrame:
     """Newest non-empty live messages with their author; of every server when none is named."""
-    recent = tables.live_messages.filter(within_days("created_at", as_of, days))
+    recent = tables.live_within(as_of, days)
     sample = _non_empty(_of_server(recent, server_id)).join(_authors(tables), "user_id")
     if server_id is not None:
         return (
@@ -257,7 +252,7 @@ def server_health(tables: Tables, server_id: int | None = None) -> DataFrame:
 
 def server_activity(tables: Tables, as_of: datetime, server_id: int | None, days: int) -> DataFrame:
     """Messages, posters and channels per server that has live messages in the window."""
-    recent = tables.live_messages.filter(within_days("created_at", as_of, days))
+    recent = tables.live_within(as_of, days)
     counted = (
         _of_server(recent, server_id)
         .groupBy("server_id")
@@ -276,7 +271,7 @@ def summary_top_users(
     tables: Tables, as_of: datetime, server_id: int | None = None, days: int = 7, limit: int = 10
 ) -> DataFrame:
     """Top contributors per server with their distinct channel names."""
-    recent = tables.live_messages.filter(within_days("created_at", as_of, days))
+    recent = tables.live_within(as_of, days)
     counted = (
         _of_server(recent, server_id)
         .groupBy("server_id", "user_id")
@@ -334,7 +329,7 @@ def recent_active_users(
 
     Users are joined after counting, so the join moves one row per user, not per message.
     """
-    recent = tables.live_messages.filter(within_days("created_at", as_of, days))
+    recent = tables.live_within(as_of, days)
     counted = (
         _of_server(recent, server_id)
         .groupBy("server_id", "user_id")

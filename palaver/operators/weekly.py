@@ -25,7 +25,7 @@ TOP_N = 5
 
 
 def _recent(tables: Tables, as_of: datetime, days: int, server_id: int | None) -> DataFrame:
-    messages = tables.live_messages.filter(within_days("created_at", as_of, days))
+    messages = tables.live_within(as_of, days)
     return messages if server_id is None else messages.filter(F.col("server_id") == server_id)
 
 
@@ -163,7 +163,7 @@ def weekly_trends(
     Messages shrink to (server, week, user) before the names are joined.
     """
     per_user = (
-        tables.live_messages.filter(within_days("created_at", as_of, 7 * weeks))
+        tables.live_within(as_of, 7 * weeks)
         .groupBy("server_id", week_start().alias("week"), "user_id")
         .agg(F.count(F.lit(1)).alias("n"))
         .join(tables.servers.select("server_id", "server_name"), "server_id")
@@ -203,13 +203,13 @@ def weekly_trends_nested(
 # --- link review -------------------------------------------------------------------------
 
 
-def marked_messages(tables: Tables, since: Column | None = None) -> DataFrame:
-    """Live messages that carry a link marker, with the URLs cut out of their text.
+def marked_messages(tables: Tables, as_of: datetime | None = None, days: int = 7) -> DataFrame:
+    """Live messages that carry a link marker, with the URLs cut out of their text; all, or those of a window.
 
     This is the one pass over message text; what follows moves no text. A message that carries
     a marker but no matching URL gives no row.
     """
-    messages = tables.live_messages if since is None else tables.live_messages.filter(since)
+    messages = tables.live_messages if as_of is None else tables.live_within(as_of, days)
     # The byte search for the scheme, which every URL pattern needs, spares most text the rest.
     marked = F.contains("content", F.lit("://")) & mentions(F.lower("content"), LINK_MARKERS)
     return (
@@ -245,8 +245,9 @@ def _links(tables: Tables, found: DataFrame, users: DataFrame, urls: str) -> Dat
 
 
 def _found(tables: Tables, found: DataFrame | None, as_of: datetime, days: int) -> DataFrame:
-    recent = within_days("created_at", as_of, days)
-    return marked_messages(tables, recent) if found is None else found.filter(recent)
+    if found is None:
+        return marked_messages(tables, as_of, days)
+    return found.filter(within_days("created_at", as_of, days))
 
 
 def deleted_account_links(tables: Tables, found: DataFrame | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from palaver.operators import prompts, queries
 from palaver.operators.ordering import materialise
 from palaver.plans.weekly_report import ORDER, _joined, _texts, report_lines, save_report
-from palaver.sources.tables import Tables, within_days
+from palaver.sources.tables import Tables
 
 __all__ = ["analysis_report", "report_lines", "save_report", "ORDER"]
 
@@ -25,7 +25,7 @@ def recent_channel_messages(
     """Live messages in the window of the channels given by ``server_id, channel_id``."""
     authors = tables.users.select("user_id", F.col("current_username").alias("author"))
     return (
-        tables.live_messages.filter(within_days("created_at", as_of, days))
+        tables.live_within(as_of, days)
         .drop("channel_name")
         .join(channels, ["server_id", "channel_id"])
         .join(authors, "user_id")

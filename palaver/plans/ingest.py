@@ -9,52 +9,54 @@ from pyspark.sql import functions as F
 
 from palaver.operators import merge
 from palaver.sources import exports
-from palaver.sources.store import Store
+from palaver.sources.store import LEDGER, LOAD, Store
 
 
 def ingest(documents: DataFrame, store: Store, load_time: datetime, load_id: str) -> DataFrame:
     """Merge a batch of documents and return its statistics per file.
 
-    The documents are parsed once into a staged table that all merges read. A load that is
-    repeated after a failure ends in the same state: the merges are keyed, and logs are written
-    before the user table changes and kept on a repeat.
+    The documents are parsed once into staged tables that all merges read. Every table is written
+    to folders of this load, which readers see at once when the load commits, or never. A load
+    that broke may be repeated under its id; one that is done is not repeated, and its statistics
+    are returned as they are.
     """
-    files = store.staged(load_id, "files", exports.file_rows(documents).drop("messages"))
-    rows = store.staged(
-        load_id, "rows", exports.normalise(exports.explode_messages(documents))
-    )
+    load = store.begin(load_id)
+    if not load.done:
+        _merge(documents, load, load_time)
+        load.commit()
+    return store.log(LEDGER).filter(F.col(LOAD) == load_id).drop(LOAD)
+
+
+def _merge(documents: DataFrame, load, load_time: datetime) -> None:
+    parsed = load.staged("files", exports.file_rows(documents))
+    files = parsed.drop("messages")
+    rows = load.staged("rows", exports.normalise(exports.explode_file_rows(parsed)))
     broken = files.filter(F.col("error").isNotNull()).select(
         "file_path", F.lit(None).cast("int").alias("pos"), F.col("error").alias("reason")
     )
     skipped = rows.filter(F.col("reject").isNotNull()).select(
         "file_path", "pos", F.col("reject").alias("reason")
     )
-    store.publish_log(load_id, "rejects", broken.unionByName(skipped))
+    load.publish_log("rejects", broken.unionByName(skipped))
 
+    base = load.base
     usable = files.filter(F.col("error").isNull())
-    server_buckets = store.touched(usable, "server_id")
-    user_buckets = store.touched(exports.author_rows(rows), "discord_id")
-    message_buckets = store.touched(exports.message_rows(rows), "message_id")
-
-    known_messages = store.table("messages", message_buckets)
-    store.publish_log(load_id, "import_stats", merge.import_stats(known_messages, files, rows))
-    known_users = store.table("users", user_buckets)
-    store.publish_log(
-        load_id, "username_history", merge.username_changes(known_users, rows, load_time)
-    )
-
-    servers = merge.merge_servers(store.table("servers", server_buckets), files, load_time)
-    store.publish(load_id, "servers", servers)
-    store.publish(load_id, "users", merge.merge_users(known_users, rows, load_time))
-    users = store.table("users", user_buckets)
-    members = store.table("server_members", server_buckets)
-    store.publish(
-        load_id, "server_members", merge.merge_members(members, users, rows, load_time)
-    )
-    store.publish(
-        load_id,
+    server_folders = load.touched(usable, "server_id")
+    user_folders = load.touched(exports.author_rows(rows), "discord_id")
+    message_folders = load.touched(exports.message_rows(rows), "message_id")
+
+    known_messages = base.table("messages", message_folders)
+    load.publish_log("import_stats", merge.import_stats(known_messages, files, rows))
+    known_users = base.table("users", user_folders)
+    load.publish_log("username_history", merge.username_changes(known_users, rows, load_time))
+
+    servers = merge.merge_servers(base.table("servers", server_folders), files, load_time)
+    load.publish("servers", servers)
+    users = load.publish("users", merge.merge_users(known_users, rows, load_time))
+    members = base.table("server_members", server_folders)
+    load.publish("server_members", merge.merge_members(members, users, rows, load_time))
+    load.publish(
         "messages",
         merge.changed_messages(known_messages, users, rows),
         kept=merge.kept_messages(known_messages, rows),
     )
-    return store.log("import_stats").filter(F.col("load_id") == load_id).drop("load_id")

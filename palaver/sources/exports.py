@@ -72,9 +72,13 @@ def file_rows(documents: DataFrame) -> DataFrame:
 
 def explode_messages(documents: DataFrame) -> DataFrame:
     """One row per message of the usable documents, in arrival order ``(file_path, pos)``."""
+    return explode_file_rows(file_rows(documents))
+
+
+def explode_file_rows(files: DataFrame) -> DataFrame:
+    """The same of documents that are parsed already (``file_rows``)."""
     return (
-        file_rows(documents)
-        .filter(F.col("error").isNull())
+        files.filter(F.col("error").isNull())
         .select(
             "file_path",
             "server_id",

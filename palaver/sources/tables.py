@@ -14,10 +14,19 @@ from palaver import schemas
 
 
 class Tables:
-    """The logical tables. A table is opened when an operator first asks for it."""
+    """The logical tables. A table is opened when an operator first asks for it.
 
-    def __init__(self, load: Callable[[str], DataFrame]):
+    ``recent`` opens the messages that a store can hold newer than a time; it may give older ones as
+    well. Without it all messages are opened.
+    """
+
+    def __init__(
+        self,
+        load: Callable[[str], DataFrame],
+        recent: Callable[[datetime], DataFrame] | None = None,
+    ):
         self._load = load
+        self._recent = recent
 
     @cached_property
     def servers(self) -> DataFrame:
@@ -45,7 +54,17 @@ class Tables:
 
     @property
     def live_messages(self) -> DataFrame:
-        return self.messages.filter(F.col("is_deleted") == F.lit(False))
+        return _live(self.messages)
+
+    def live_within(self, as_of: datetime, days: int) -> DataFrame:
+        """Live messages strictly newer than ``as_of`` minus ``days``; a store opens only the folders that hold any."""
+        since = as_of - timedelta(days=days)
+        messages = self.messages if self._recent is None else self._recent(since)
+        return _live(messages).filter(within_days("created_at", as_of, days))
+
+
+def _live(messages: DataFrame) -> DataFrame:
+    return messages.filter(F.col("is_deleted") == F.lit(False))
 
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from palaver.plans.ingest import ingest
@@ -18,6 +18,12 @@ def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query, which its checkpoint holds from before the first batch on."""
+    metadata = spark.read.text(f"{checkpoint.rstrip('/')}/metadata")
+    return metadata.select(F.get_json_object("value", "$.id")).first()[0]
+
+
 def incremental_ingest(
     spark: SparkSession,
     exports_path: str,
@@ -25,19 +31,18 @@ def incremental_ingest(
     checkpoint: str,
     clock: Callable[[], datetime] = _utc_now,
     max_files: int | None = None,
-    stream_id: str | None = None,
 ) -> StreamingQuery:
     """Start a run over the new files; it ends by itself (``awaitTermination``).
 
     The stream carries no state and needs no watermark: a late or edited message meets its
-    stored row in the keyed merge. A batch that is repeated carries the same load id, which
-    names the stream (``stream_id``, else its checkpoint folder) and the batch: two streams into
-    one store, or a new checkpoint, never share a load id.
+    stored row in the keyed merge. A load id names the stream and the batch. The stream's name is the
+    id that Spark draws for a new checkpoint and keeps in it: a repeated batch carries the same
+    load id, which the store's ledger knows, while two streams, or a checkpoint that was deleted and
+    made again at the same path, never share one.
     """
-    stream = stream_id or hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def load(documents: DataFrame, batch_id: int) -> None:
-        ingest(documents, store, clock(), f"stream-{stream}-{batch_id:012d}")
+        ingest(documents, store, clock(), f"stream-{_stream_id(spark, checkpoint)}-{batch_id:012d}")
 
     return (
         stream_exports(spark, exports_path, max_files)
