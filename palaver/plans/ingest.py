@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, time, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.operators import merge
+from palaver.operators import merge, rollups, search
 from palaver.sources import exports
-from palaver.sources.store import LEDGER, LOAD, Store
+from palaver.sources.store import INDEX, LEDGER, LOAD, Load, Store, bucket_of
 
 
 def ingest(documents: DataFrame, store: Store, load_time: datetime, load_id: str) -> DataFrame:
@@ -27,7 +27,7 @@ def ingest(documents: DataFrame, store: Store, load_time: datetime, load_id: str
     return store.log(LEDGER).filter(F.col(LOAD) == load_id).drop(LOAD)
 
 
-def _merge(documents: DataFrame, load, load_time: datetime) -> None:
+def _merge(documents: DataFrame, load: Load, load_time: datetime) -> None:
     parsed = load.staged("files", exports.file_rows(documents))
     files = parsed.drop("messages")
     rows = load.staged("rows", exports.normalise(exports.explode_file_rows(parsed)))
@@ -55,8 +55,32 @@ def _merge(documents: DataFrame, load, load_time: datetime) -> None:
     users = load.publish("users", merge.merge_users(known_users, rows, load_time))
     members = base.table("server_members", server_folders)
     load.publish("server_members", merge.merge_members(members, users, rows, load_time))
-    load.publish(
+    messages = load.publish(
         "messages",
         merge.changed_messages(known_messages, users, rows),
         kept=merge.kept_messages(known_messages, rows),
     )
+    if load.store.search_index:
+        index = search.postings(messages)
+        order, folder = ["gram", "message_id"], bucket_of("message_id")
+        load.publish(INDEX, index, folder=folder, sort=order, covers=message_folders)
+    if load.store.daily_rollups:
+        _roll_up(load, messages, rows)
+
+
+def _roll_up(load: Load, messages: DataFrame, rows: DataFrame) -> None:
+    """Count the weeks anew in which the load's messages lie, from all folders that reach into them."""
+    ids = exports.message_rows(rows).select("message_id").distinct()
+    week = rollups.week_no(F.col("created_at").cast("date"))
+    touched = messages.join(ids, "message_id", "left_semi").select(week).distinct()
+    weeks = sorted(row[0] for row in touched.collect())  # bound by the weeks there are
+    starts = [datetime.combine(rollups.FIRST_MONDAY, time()) + timedelta(weeks=w) for w in weeks]
+    spans = [(start, start + timedelta(weeks=1)) for start in starts]
+    live = load.view().table("messages", spans=spans).filter(~F.col("is_deleted") & week.isin(weeks))
+
+    known = load.base.log("user_numbers").drop(LOAD)
+    load.publish_log("user_numbers", rollups.new_user_numbers(known, live))
+    numbers = load.view().log("user_numbers").drop(LOAD)
+    folder = rollups.week_no("day")
+    load.publish("daily_channels", rollups.daily_channels(live), folder=folder, instead_of=weeks)
+    load.publish("daily_users", rollups.daily_users(live, numbers), folder=folder, instead_of=weeks)

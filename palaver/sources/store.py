@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from palaver import schemas
+from palaver.operators import rollups, search
 from palaver.sources import folders
 from palaver.sources.tables import Tables
 
@@ -44,12 +45,14 @@ LOGS = {
     "username_history": schemas.USERNAME_HISTORY,
     "rejects": "file_path string, pos int, reason string",
     "import_stats": "file_path string, new long, updated long, skipped long, errors long",
+    "user_numbers": rollups.USER_NUMBERS,
 }
+#: Kept where the store asks for it: the search index, in the folders of the messages it was made from.
+INDEX = "message_grams"
 #: The time whose range a manifest keeps for every folder.
 TIMES = {"messages": "created_at"}
 MANIFEST = (
-    "name string, folder int, load_id string, rows long, "
-    "oldest timestamp_ntz, newest timestamp_ntz, undated long"
+    "name string, folder int, load_id string, rows long, oldest timestamp_ntz, newest timestamp_ntz"
 )
 #: The log that every load writes; its name there is the proof of the load.
 LEDGER = "import_stats"
@@ -73,16 +76,22 @@ class Snapshot:
     entries: tuple[Row, ...] = field(repr=False)
 
     def folders(
-        self, name: str, numbers: Sequence[int] | None = None, since: datetime | None = None
+        self,
+        name: str,
+        numbers: Sequence[int] | None = None,
+        spans: Sequence[tuple[datetime, datetime]] | None = None,
     ) -> list[Row]:
-        """The manifest entries of a table, or of some folders, or of those with a row newer than ``since``."""
+        """The manifest entries of a table, or of some folders, or of those with a time in one of the spans."""
         wanted = None if numbers is None else set(numbers)
         return [
             e
             for e in self.entries
             if e.name == name
             and (wanted is None or e.folder in wanted)
-            and (since is None or name not in TIMES or (e.newest is not None and e.newest > since))
+            and (
+                spans is None
+                or (e.newest is not None and any(a <= e.newest and e.oldest <= b for a, b in spans))
+            )
         ]
 
     def _read(self, name: str, schema: str, paths: list[str], more: tuple[str, ...] = ()) -> DataFrame:
@@ -99,18 +108,21 @@ class Snapshot:
         name: str,
         schema: str,
         numbers: Sequence[int] | None = None,
-        since: datetime | None = None,
+        spans: Sequence[tuple[datetime, datetime]] | None = None,
     ) -> DataFrame:
         """A table kept in folders; only the folders asked for are opened."""
-        chosen = self.folders(name, numbers, since)
+        chosen = [e for e in self.folders(name, numbers, spans) if e.rows]
         return self._read(
             name, schema, [f"{self.root}/{name}/{LOAD}={e.load_id}/{FOLDER}={e.folder}" for e in chosen]
         )
 
     def table(
-        self, name: str, numbers: Sequence[int] | None = None, since: datetime | None = None
+        self,
+        name: str,
+        numbers: Sequence[int] | None = None,
+        spans: Sequence[tuple[datetime, datetime]] | None = None,
     ) -> DataFrame:
-        return self.read(name, schemas.TABLES[name], numbers, since)
+        return self.read(name, schemas.TABLES[name], numbers, spans)
 
     def log(self, name: str) -> DataFrame:
         """The rows of all loads with the load that brought them."""
@@ -121,7 +133,34 @@ class Snapshot:
         def load(name: str) -> DataFrame:
             return self.table(name) if name in KEYS else self.log(name).drop(LOAD)
 
-        return Tables(load, lambda since: self.table("messages", since=since))
+        return Tables(load, self.messages_since, self.messages_containing)
+
+    def messages_since(self, since: datetime) -> DataFrame:
+        """The messages of the folders that hold one at or after a time."""
+        return self.table("messages", spans=[(since, datetime.max)])
+
+    def messages_containing(self, term: str) -> DataFrame:
+        """The messages that may match a search term, by the index; folders without one are read whole."""
+        grams = search.pattern_grams(self.spark, term)
+        indexed = {(e.folder, e.load_id) for e in self.folders(INDEX)}
+        known = [e.folder for e in self.folders("messages") if (e.folder, e.load_id) in indexed]
+        if not grams or not known:
+            return self.table("messages")
+        ids = search.candidate_ids(self.read(INDEX, search.GRAMS, known), grams)
+        # Bound by the number of folders.
+        hit = [row[0] for row in ids.select(bucket_of("message_id")).distinct().collect()]
+        rest = {e.folder for e in self.folders("messages")} - set(known)
+        found = self.table("messages", hit).join(ids, "message_id", "left_semi")
+        return found.unionByName(self.table("messages", sorted(rest))) if rest else found
+
+    def rollups(self) -> rollups.Rollups:
+        """The daily rollups; the store must keep them."""
+        daily = [self.read(name, schema) for name, schema in rollups.ROLLUPS.items()]
+
+        def live_since(since: datetime) -> DataFrame:
+            return self.messages_since(since).filter(~F.col("is_deleted"))
+
+        return rollups.Rollups(*daily, self.log("user_numbers").drop(LOAD), live_since)
 
     @property
     def loads(self) -> set[str]:
@@ -129,11 +168,23 @@ class Snapshot:
 
 
 class Store:
-    """The versions below one shared folder. Nothing is cached: every call sees the newest version."""
+    """The versions below one shared folder. Nothing is cached: every call sees the newest version.
+
+    ``search_index`` and ``daily_rollups`` make every load keep a trigram index of the messages it writes, and
+    the rollups of the weeks it touches. Both hold for a store from its first load on.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        search_index: bool = False,
+        daily_rollups: bool = False,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.search_index = search_index
+        self.daily_rollups = daily_rollups
 
     def _version_path(self, version: int) -> str:
         return f"{self.root}/_manifest/version={version:012d}"
@@ -220,6 +271,7 @@ class Load:
         self.base = base
         self.done = load_id in base.loads
         self._new: list[Row] = []
+        self._emptied: set[tuple[str, int]] = set()
 
     def _path(self, name: str) -> str:
         return f"{self.store.root}/{name}/{LOAD}={self.load_id}"
@@ -236,19 +288,34 @@ class Load:
         return sorted(row[0] for row in found.collect() if row[0] is not None)
 
     def publish(
-        self, name: str, changed: DataFrame, kept: DataFrame | None = None, folder: Column | None = None
+        self,
+        name: str,
+        changed: DataFrame,
+        kept: DataFrame | None = None,
+        folder: Column | None = None,
+        sort: Sequence[str] = (),
+        instead_of: Sequence[int] = (),
+        covers: Sequence[int] = (),
     ) -> DataFrame:
         """Write the folders present in the rows; returns them as written, ``folder`` included.
 
         Changed rows are gathered by folder into even files (the hint splits a large folder);
         ``kept`` rows come from files of one folder each and are not moved. ``folder`` is the folder
-        of a row, the key's unless given.
+        of a row, the key's unless given; ``sort`` orders the rows of a file. The folders
+        ``instead_of`` which the rows are written are gone afterwards, also where no row is left;
+        those it ``covers`` are entered as empty.
         """
         number = bucket_of(KEYS[name]) if folder is None else folder
         rows = changed.withColumn(FOLDER, number).hint("rebalance", FOLDER)
         if kept is not None:
             rows = rows.unionByName(kept.withColumn(FOLDER, number))
-        return self._write(name, rows, FOLDER)
+        if sort:
+            rows = rows.sortWithinPartitions(FOLDER, *sort)
+        self._emptied |= {(name, n) for n in instead_of}
+        written = self._write(name, rows, FOLDER)
+        for number in set(covers) - {e.folder for e in self._new if e.name == name}:
+            self._add(name, number, 0, None, None)
+        return written
 
     def publish_log(self, name: str, frame: DataFrame) -> DataFrame:
         return self._write(name, frame.hint("rebalance"), None)
@@ -258,23 +325,29 @@ class Load:
         (writer.partitionBy(folder) if folder else writer).parquet(self._path(name))
         written = self.spark.read.schema(frame.schema).parquet(self._path(name))
         if folder is None:
-            self._new.append(Row(name, None, self.load_id, written.count(), None, None, None))
+            self._add(name, None, written.count(), None, None)
             return written
         time = F.col(TIMES[name]) if name in TIMES else F.lit(None).cast("timestamp_ntz")
-        figures = written.groupBy(folder).agg(
-            F.count(F.lit(1)), F.min(time), F.max(time), F.count_if(time.isNull())
-        )
-        self._new += [Row(name, r[0], self.load_id, *r[1:]) for r in figures.collect()]
+        for row in written.groupBy(folder).agg(F.count(F.lit(1)), F.min(time), F.max(time)).collect():
+            self._add(name, *row)
         return written
 
+    def _add(self, name: str, folder: int | None, rows: int, oldest, newest) -> None:
+        entry = Row(name=name, folder=folder, load_id=self.load_id, rows=rows, oldest=oldest, newest=newest)
+        self._new.append(entry)
+
+    def view(self) -> Snapshot:
+        """The tables as they will be after this load, as far as it is written."""
+        replaced = {(e.name, e.folder) for e in self._new if e.folder is not None} | self._emptied
+        entries = [e for e in self.base.entries if (e.name, e.folder) not in replaced]
+        return Snapshot(self.spark, self.store.root, self.base.version, (*entries, *self._new))
+
     def commit(self) -> Snapshot:
         """Publish all folders of the load at once: the manifest's mark is the switch."""
         store = self.store
         if store.newest() != self.base.version:
             raise ConcurrentLoadError(f"{self.load_id}: version {self.base.version} is no longer the newest")
-        replaced = {(e[0], e[1]) for e in self._new if e[1] is not None}
-        entries = [tuple(e) for e in self.base.entries if (e.name, e.folder) not in replaced]
-        entries += [tuple(e) for e in self._new]
+        entries = [tuple(e) for e in self.view().entries]
         # A version that a broken load left unfinished keeps its number; it is never taken up.
         version = max(store._versions(complete=False), default=0) + 1
         rows = self.spark.createDataFrame(entries, MANIFEST).coalesce(1)

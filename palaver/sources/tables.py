@@ -11,22 +11,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver import schemas
+from palaver.functions.text import contains_ilike
 
 
 class Tables:
     """The logical tables. A table is opened when an operator first asks for it.
 
-    ``recent`` opens the messages that a store can hold newer than a time; it may give older ones as
-    well. Without it all messages are opened.
+    ``recent`` opens the messages that may be newer than a time, ``containing`` those that may match a
+    search term; both may give more than that. Without them all messages are opened.
     """
 
     def __init__(
         self,
         load: Callable[[str], DataFrame],
         recent: Callable[[datetime], DataFrame] | None = None,
+        containing: Callable[[str], DataFrame] | None = None,
     ):
         self._load = load
         self._recent = recent
+        self._containing = containing
 
     @cached_property
     def servers(self) -> DataFrame:
@@ -62,6 +65,14 @@ class Tables:
         messages = self.messages if self._recent is None else self._recent(since)
         return _live(messages).filter(within_days("created_at", as_of, days))
 
+    def live_containing(self, term: str) -> DataFrame:
+        """Live messages that contain a term, ``%`` and ``_`` in it being wildcards, whatever the case.
+
+        A search index only spares text the test; the rows are the same without it.
+        """
+        messages = self.messages if self._containing is None else self._containing(term)
+        return _live(messages).filter(contains_ilike(F.col("content"), term))
+
 
 def _live(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("is_deleted") == F.lit(False))
