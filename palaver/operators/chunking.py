@@ -207,6 +207,44 @@ def _packer(keys: list[str], schema: pa.Schema, budget: int):
     return run
 
 
+def _liner(keys: list[str], schema: pa.Schema, budget: int):
+    """Chunk texts of a block: the lines of every chunk joined, batch after batch.
+
+    A chunk that lies inside a batch is whole. The first and the last of a batch may go on in another
+    one; their pieces are marked and say where they stand.
+    """
+    pack = _packer(keys, pa.schema([*[schema.field(k) for k in keys], ("line", pa.string()), ("chunk_no", pa.int64())]), budget)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, piece = None, 0
+
+        def noted() -> Iterator[pa.RecordBatch]:
+            nonlocal block
+            for batch in batches:
+                if batch.num_rows:
+                    block = batch.column("_block")[0].as_py()
+                yield batch
+
+        for batch in pack(noted()):
+            runs = _runs(batch, [*keys, "chunk_no"])
+            lines = batch.column("line")
+            begins = np.array([begin for begin, _ in runs])
+            kept = np.concatenate(([0], np.cumsum(lines.is_valid().to_numpy(zero_copy_only=False))))
+            ends = np.append(begins, batch.num_rows)
+            offsets = pa.array(kept[ends].astype(np.int32))
+            texts = pc.binary_join(pa.ListArray.from_arrays(offsets, lines.drop_null()), "\n")
+            # A chunk of blank messages has no text, which is not the empty text of one line.
+            texts = pc.if_else(pa.array(np.diff(kept[ends]) > 0), texts, None)
+            whole = np.ones(len(runs), dtype=bool)
+            whole[[0, -1]] = False
+            columns = [batch.column(k).take(pa.array(begins)) for k in [*keys, "chunk_no"]]
+            place = [pa.array(np.full(len(runs), x), t) for x, t in ((block, pa.int32()), (piece, pa.int32()))]
+            piece += 1
+            yield pa.RecordBatch.from_arrays([*columns, *place, pa.array(whole), texts], schema=schema)
+
+    return run
+
+
 # --- operators -----------------------------------------------------------------------------
 
 OLDEST_FIRST = "created_at ASC NULLS LAST, message_id ASC"
@@ -238,14 +276,20 @@ def chunk_messages(
         *keys, "created_at", "message_id", estimate_tokens(F.col("content")).alias("tokens")
     )
     frozen = freeze_sorted(narrow, [*keys, *_order(newest_first)])
-
-    key_fields = [narrow.schema[k] for k in keys]
-    reports_schema = _schema(key_fields, f"_block int, _continues boolean, {_REPORT_FIELDS}")
-    entries_schema = _schema(key_fields, f"_block int, {_ENTRY_FIELDS}")
     packed_schema = _schema(
-        [*key_fields, narrow.schema["created_at"]], "message_id long, tokens long, chunk_no long"
+        [*[narrow.schema[k] for k in keys], narrow.schema["created_at"]],
+        "message_id long, tokens long, chunk_no long",
     )
+    return _entered(frozen, keys, max_tokens).mapInArrow(
+        _packer(keys, to_arrow_schema(packed_schema), max_tokens), packed_schema
+    )
+
 
+def _entered(frozen: DataFrame, keys: list[str], max_tokens: int) -> DataFrame:
+    """The sorted blocks with the state that enters them: chunk fill and number, NULL for none."""
+    key_fields = [frozen.schema[k] for k in keys]
+    reports_schema = _schema(key_fields, f"_block int, _continues boolean, {_REPORT_FIELDS}")
+    entries_schema = _schema(key_fields, f"_block int, {_ENTRY_FIELDS}")
     reports = frozen.select(*keys, "_block", "tokens").mapInArrow(
         _reporter(keys, to_arrow_schema(reports_schema), max_tokens), reports_schema
     )
@@ -260,13 +304,10 @@ def chunk_messages(
         same = same & F.col(f"f.{key}").eqNullSafe(F.col(f"e.{key}"))
     # One entry per block at most, so its size is bound by the number of blocks; the broadcast
     # join keeps the rows of a block together and in order.
-    entered = (
+    return (
         frozen.alias("f")
         .join(F.broadcast(entries).alias("e"), same, "left")
-        .select(*[f"f.{c}" for c in [*keys, "created_at", "message_id", "tokens"]], "_fill", "_chunk")
-    )
-    return entered.mapInArrow(
-        _packer(keys, to_arrow_schema(packed_schema), max_tokens), packed_schema
+        .select("f.*", "_fill", "_chunk")
     )
 
 
@@ -284,25 +325,38 @@ def chunk_and_format(
     newest_first: bool = False,
     include_timestamps: bool = True,
     author: str | None = None,
-    first_chunk_only: bool = False,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """One formatted text per key and chunk; a chunk of blank messages gives ''.
+    """One formatted text per key and chunk; a chunk of blank messages gives ''. All chunks, or the
+    first ``chunks`` of each key.
 
-    A chunk holds one budget of words (or one oversize message), so its text is small; blank
-    messages contribute no line to it.
+    The lines are sorted into the blocks together with their keys and joined there, so the text is
+    shuffled once. Only the pieces of the first and last chunk of a batch move again, to be joined
+    with their neighbours. A chunk holds one budget of words (or one oversize message), so its text is
+    small; blank messages contribute no line to it.
     """
-    numbered = chunk_messages(messages, keys, max_tokens, newest_first)
-    if first_chunk_only:
-        numbered = numbered.filter("chunk_no = 0")
+    keys = list(keys)
     line = format_line(
         F.col("content"),
         F.col("created_at") if include_timestamps else None,
         F.col(author) if author else None,
     )
-    lines = messages.select("message_id", line.alias("line"))
-    return join_lines(
-        numbered.join(lines, "message_id"), [*keys, "chunk_no"], newest_first
+    rows = messages.select(
+        *keys, "created_at", "message_id", estimate_tokens(F.col("content")).alias("tokens"), line.alias("line")
+    )
+    frozen = freeze_sorted(rows, [*keys, *_order(newest_first)])
+    schema = _schema(
+        [rows.schema[k] for k in keys], "chunk_no long, _block int, _piece int, _whole boolean, text string"
+    )
+    pieces = _entered(frozen, keys, max_tokens).mapInArrow(
+        _liner(keys, to_arrow_schema(schema), max_tokens), schema
     )
+    if chunks is not None:
+        pieces = pieces.filter(F.col("chunk_no") < chunks)
+    columns = [*keys, "chunk_no", F.coalesce("text", F.lit("")).alias("text")]
+    together = F.expr("listagg(text, '\\n') WITHIN GROUP (ORDER BY _block, _piece)")
+    edges = pieces.filter(~F.col("_whole")).groupBy(*keys, "chunk_no").agg(together.alias("text"))
+    return pieces.filter("_whole").select(*columns).unionByName(edges.select(*columns))
 
 
 def chunk_stats(messages: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

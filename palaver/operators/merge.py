@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palaver.operators.ordering import salted_join, segments
 from palaver.sources.exports import author_rows, message_rows
 from palaver.sources.tables import timestamp
 
@@ -70,31 +71,85 @@ def username_changes(stored: DataFrame, rows: DataFrame, load_time: datetime) ->
     """One row per name that differs from the user's previous one in arrival order.
 
     Names are compared inside each file first; only a file's first name and its changes go on
-    to the comparison across files. A user who writes a third of all messages under one name
-    contributes one row per file to the second step. ``change_no`` counts a user's changes of
-    this load in arrival order, from 1: all of them share the load time.
+    to the comparison across files. There the rows are sorted in blocks, with the stored name before a
+    user's first row, and a user may span any number of blocks: a block learns from the borders of
+    those before it which name, id and number of changes it goes on from. So a user with a third of
+    all rows is spread like any others. ``change_no`` counts a user's changes of this load in arrival
+    order, from 1: all of them share the load time.
     """
     named = author_rows(rows).select("discord_id", "file_path", "pos", "username")
     in_file = Window.partitionBy("discord_id", "file_path").orderBy("pos")
-    across = Window.partitionBy("discord_id").orderBy("file_path", "pos")
     starts = (
         named.withColumn("previous", F.lag("username").over(in_file))
         .filter(F.col("previous").isNull() | (F.col("previous") != F.col("username")))
-        .drop("previous")
+        .select("discord_id", "file_path", "pos", "username", F.lit(None).cast("long").alias("user_id"))
+    )
+    authors = named.select("discord_id").distinct()
+    known = stored.join(authors, "discord_id", "left_semi").select(
+        "discord_id",
+        F.lit(None).cast("string").alias("file_path"),  # sorts before every file
+        F.lit(None).cast("int").alias("pos"),
+        F.col("current_username").alias("username"),
+        F.coalesce("user_id", "discord_id").alias("user_id"),
+    )
+    blocks, borders = segments(starts.unionByName(known), "discord_id", ["file_path", "pos"])
+
+    # Inside a block: the row before, and the stored id so far.
+    here = Window.partitionBy("_block", "discord_id").orderBy("_pos")
+    so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row = F.struct(F.col("username").alias("name"), F.lit(True).alias("there"))
+    seen = blocks.withColumn("_before", F.lag(row).over(here)).withColumn("_id", F.max("user_id").over(so_far))
+
+    # At the borders, one row per block: the name that the block before ends with, if it is the same user.
+    chain = Window.orderBy("_block")
+    entering = borders.select(
+        "_block",
+        F.lag("_last").over(chain).alias("_end"),
+        "_first",
+    ).select("_block", F.when(F.col("_end.discord_id") == F.col("_first"), F.col("_end.username")).alias("_name"),
+             F.col("_first").alias("discord_id"))
+    named_before = (
+        seen.join(F.broadcast(entering), ["_block", "discord_id"], "left")
+        .withColumn("changed_from", F.when(F.col("_before.there"), F.col("_before.name")).otherwise(F.col("_name")))
+        .withColumn("_change", F.col("file_path").isNotNull() & (F.col("changed_from") != F.col("username")))
+        .withColumn("_change", F.coalesce("_change", F.lit(False)).cast("long"))
+        .drop("_before", "_name")
+    )
+    # What a block passes on for its last user: changes there, the stored id, and whether it holds nobody else.
+    figures = named_before.groupBy("_block", "discord_id").agg(
+        F.sum("_change").alias("changes"), F.max("_id").alias("id"), F.max("_pos").alias("end")
+    )
+    passed = (
+        figures.groupBy("_block")
+        .agg(
+            F.max_by(F.struct("discord_id", "changes", "id"), "end").alias("out"),
+            F.min_by("discord_id", "end").alias("first"),
+        )
+        .withColumn("prior", F.lag("out.discord_id").over(chain))
+        .withColumn("goes_on", (F.col("first") == F.col("out.discord_id")) & (F.col("prior") == F.col("first")))
+        .withColumn("run", F.sum(F.when(F.coalesce("goes_on", F.lit(False)), 0).otherwise(1)).over(chain))
+    )
+    in_run = Window.partitionBy("run").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = (
+        passed.withColumn("sum", F.sum("out.changes").over(in_run))
+        .withColumn("id", F.max("out.id").over(in_run))
+        .select(
+            "_block",
+            F.col("first").alias("discord_id"),
+            F.lag(F.struct(F.col("out.discord_id").alias("user"), "sum", "id")).over(chain).alias("from"),
+        )
+        .filter(F.col("from.user") == F.col("discord_id"))
     )
-    known = stored.select("discord_id", "user_id", F.col("current_username").alias("stored_name"))
     return (
-        starts.withColumn("previous", F.lag("username").over(across))
-        .join(known, "discord_id", "left")
-        .withColumn("changed_from", F.coalesce("previous", "stored_name"))
-        .filter(F.col("changed_from") != F.col("username"))
-        .withColumn("change_no", F.row_number().over(across))
+        named_before.withColumn("_no", F.sum("_change").over(so_far))
+        .filter("_change = 1")
+        .join(F.broadcast(carried), ["_block", "discord_id"], "left")
         .select(
-            F.coalesce("user_id", "discord_id").alias("user_id"),
+            F.coalesce("_id", "from.id", "discord_id").alias("user_id"),
             "username",
             "changed_from",
             timestamp(load_time).alias("changed_at"),
-            "change_no",
+            (F.col("_no") + F.coalesce("from.sum", F.lit(0).cast("long"))).cast("int").alias("change_no"),
         )
     )
 
@@ -132,14 +187,15 @@ LAST_VALUES = ("content", "edited_at")
 
 
 def batch_messages(rows: DataFrame) -> DataFrame:
-    """One row per message of the batch: first place, author and time; last text and edit."""
+    """One row per message of the batch: first place, author and time; last edit, and where its text
+    arrived last (``file_path``, ``pos``). No text is read."""
     arrival = _arrival()
     return (
         message_rows(rows)
         .groupBy("message_id")
         .agg(
             F.min_by(F.struct(*FIRST_VALUES), arrival).alias("first"),
-            F.max_by(F.struct(*LAST_VALUES), arrival).alias("last"),
+            F.max_by(F.struct("edited_at", "file_path", "pos"), arrival).alias("last"),
         )
         .select("message_id", "first.*", "last.*")
     )
@@ -156,26 +212,36 @@ def changed_messages(stored: DataFrame, users: DataFrame, rows: DataFrame) -> Da
     """The messages of the batch as they are to be stored.
 
     A known message takes the new text and edit time and becomes live again; everything else
-    about it keeps its first value, so the join reads no stored text.
+    about it keeps its first value, so the join reads no stored text. All is decided on narrow rows;
+    the text of a message joins them last, from the place where it arrived last. An author of many
+    messages is dealt to many tasks.
     """
     known = stored.drop(*LAST_VALUES, "is_deleted").withColumn("known", F.lit(True))
-    people = users.select("discord_id", "user_id")
-    batch = (
-        batch_messages(rows)
-        .join(people, "discord_id", "left")
-        .withColumn("user_id", F.coalesce("user_id", "discord_id"))
+    authors = author_rows(rows).select("discord_id").distinct()
+    people = users.join(authors, "discord_id", "left_semi").select("discord_id", "user_id")
+    batch = salted_join(batch_messages(rows), people, "discord_id", "message_id", "left").withColumn(
+        "user_id", F.coalesce("user_id", "discord_id")
     )
+    texts = message_rows(rows).select(
+        F.col("message_id").alias("text_id"), F.col("file_path").alias("text_path"),
+        F.col("pos").alias("text_pos"), "content",
+    )
 
     def first(name: str) -> Column:
         return F.when(F.col("known"), F.col(f"s.{name}")).otherwise(F.col(f"b.{name}")).alias(name)
 
+    decided = batch.alias("b").join(known.alias("s"), F.col("s.message_id") == F.col("b.message_id"), "left")
+    at = (
+        (F.col("text_id") == F.col("b.message_id"))
+        & (F.col("text_path") == F.col("b.file_path"))
+        & (F.col("text_pos") == F.col("b.pos"))
+    )
     return (
-        batch.alias("b")
-        .join(known.alias("s"), F.col("s.message_id") == F.col("b.message_id"), "left")
+        decided.join(texts, at)
         .select(
             F.col("b.message_id").alias("message_id"),
             *[first(c) for c in ("server_id", "channel_id", "channel_name", "user_id")],
-            "b.content",
+            "content",
             first("created_at"),
             "b.edited_at",
             "s.deleted_at",

@@ -63,6 +63,36 @@ def freeze_sorted(frame: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     )
 
 
+def salted_join(
+    left: DataFrame, right: DataFrame, key: str, salt_on: str, how: str = "inner", salts: int = 16
+) -> DataFrame:
+    """Join a side with hot keys to a narrow one: the rows of a key are dealt to ``salts`` tasks.
+
+    The right side is copied that often, so it should be small beside the left.
+    """
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(salt_on), F.lit(salts)))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    copies = right.withColumn("_salt", F.explode(every))
+    return dealt.join(copies, [key, "_salt"], how).drop("_salt")
+
+
+def segments(frame: DataFrame, key: str, order: Sequence[Column | str]) -> tuple[DataFrame, DataFrame]:
+    """Rows sorted by key and order in blocks, and one row for the borders of each block.
+
+    A window per key gathers a hot key in one task. Here a key may span any number of blocks: a window
+    over ``_block`` and key sees the rows of one block, and what enters it from the blocks before follows
+    from the borders alone. ``_pos`` is the place inside a block.
+    """
+    frozen = freeze_sorted(frame, [key, *order]).withColumn(
+        "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    )
+    borders = frozen.groupBy("_block").agg(
+        F.min_by(F.struct(key), "_pos").getField(key).alias("_first"),
+        F.max_by(F.struct(*frame.columns), "_pos").alias("_last"),
+    )
+    return frozen, borders
+
+
 def number_rows(frame: DataFrame, order: Sequence[Column | str], name: str = "row_no") -> DataFrame:
     """Exact global row number from 0 without moving the rows into one partition.
 
