@@ -490,18 +490,20 @@ TITLED = f"""spans AS (
 titled AS (
     SELECT * EXCLUDE (found), unnest(found) AS title, unnest(range(len(found))) AS pos FROM spans),
 announced AS (
-    SELECT *, {DATE} AS date, channel_name AS source_channel, substring(content, 1, 500) AS raw_text
+    SELECT *, {DATE} AS date, channel_name AS source_channel, content AS raw_text
     FROM titled)"""
 QUIET = f"NOT regexp_matches(title, {quoted(f'(?i)^(?:{ev.NOISE_WORDS}|{ev.NOISE_LETTERS})')})"
-FIRST_LINE = strip(f"regexp_extract({BODY}, {quoted(f'^[^{ev.LINE_BREAKS}]*')})")
+# Fixed values, written down once more: what ends a line, and the cues of an organising post.
+LINE_END = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
+FIRST_LINE = strip(f"regexp_extract({BODY}, {quoted(f'^[^{LINE_END}]*')})")
 CUE_PATTERNS = (
-    "|".join(ev.TIME_CUES + ev.CLOCK_CUES), "(?i)" + "|".join(ev.PLACE_CUES + ev.DAY_CUES),
+    "|".join((r"\p{Nd}{1,2}:\p{Nd}{2}", r"at \p{Nd}{1,2}") + ev.CLOCK_CUES), "(?i)" + "|".join(ev.PLACE_CUES + ev.DAY_CUES),
     *ev.DATE_PATTERNS,
 )
 CUES = " OR ".join(f"regexp_matches(content, {pattern(p)})" for p in CUE_PATTERNS)
 PLAYED = f"""played AS (
     SELECT *, 0 AS pos, {DATE} AS date, channel_name AS source_channel,
-           substring(content, 1, 500) AS raw_text
+           content AS raw_text
     FROM (SELECT *, {FIRST_LINE} AS title FROM live WHERE length({BODY}) >= 15)
     WHERE ({CUES}) AND length(title) >= 4
       AND NOT regexp_matches(title, {pattern(ev.REPLY_LINE)})
@@ -596,10 +598,10 @@ unnamed AS (
     SELECT m.*, 'unknown' AS author FROM live m
     WHERE created_at > {MONTH} AND user_id IN (SELECT user_id FROM chosen_users))"""
 add("user_story_prompts", f"""
-SELECT c.user_id, c.current_username, c.message_count,
+SELECT c.user_id, c.current_username, c.message_count, t.chunk_no,
        md5({filled(prompts.USER_STORY, username='c.current_username', messages='t.text')})
            AS prompt_md5
-FROM chosen_users c JOIN user_texts t ON c.user_id = t.user_id AND t.chunk_no = 0""",
+FROM chosen_users c JOIN user_texts t ON c.user_id = t.user_id""",
     USERS_ROWS, packed("user_id", "unnamed", "created_at DESC, message_id DESC", "user"),
     texts("user", "user_id"), recursive=True)
 add("channel_faq_prompts", f"""
@@ -673,9 +675,10 @@ SELECT unnest(['# NATION_3 — Full Analysis', '_Generated 2024-01-31 00:00 · l
 FROM digests WHERE server_id = 3
 UNION ALL SELECT {ANSWER.format(FAQ)} FROM one_texts
 UNION ALL
-SELECT unnest(['', concat('### ', c.current_username, ' (', c.message_count, ' messages)'), '',
-               {ANSWER.format(STORY)}])
-FROM chosen_users c JOIN user_texts t ON c.user_id = t.user_id AND t.chunk_no = 0
+SELECT unnest(CASE WHEN t.chunk_no > 0 THEN [] ELSE
+               ['', concat('### ', c.current_username, ' (', c.message_count, ' messages)')] END ||
+               ['', {ANSWER.format(STORY)}])
+FROM chosen_users c JOIN user_texts t ON c.user_id = t.user_id
 UNION ALL
 (SELECT concat('| ', month, ' | ', new_members, ' | ', left_members, ' | ',
                CASE WHEN net_change >= 0 THEN '+' ELSE '' END, net_change, ' |')
@@ -686,3 +689,10 @@ UNION ALL
     packed("channel_id", "one", "created_at, message_id", "one"), texts("one", "channel_id"),
     "health AS (" + HEALTH.format(key="", where="WHERE server_id = 3") + ")",
     recursive=True)
+
+# --- the same questions by other ways ------------------------------------------------------
+
+ORACLES["search_messages_indexed"] = ORACLES["search_messages_in_server"]
+ORACLES["rollup_weekly_active_users"] = ORACLES["weekly_active_users_all"]
+ORACLES["rollup_server_stats"] = ORACLES["server_stats"]
+ORACLES["rollup_weekly_trends"] = ORACLES["weekly_trends"]

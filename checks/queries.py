@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks.exports import export_documents
 from palaver.functions import events as ev
 from palaver.functions.text import estimate_tokens, format_line
-from palaver.operators import chunking, events, merge, prompts, queries, weekly
+from palaver.operators import chunking, events, merge, prompts, queries, rollups, search, weekly
 from palaver.operators.ordering import materialise
 from palaver.plans import analysis_report, event_catalogue, weekly_report
 from palaver.sources import catalogue, exports, tables as src
@@ -219,6 +219,14 @@ def search_messages_in_server(t):
     return queries.search_messages(t, "N_ght 1%", 10)
 
 
+@register
+def search_messages_indexed(t):
+    """The same search by a trigram index, which is built and written first."""
+    index = materialise(search.postings(t.messages))
+    indexed = Tables(lambda name: getattr(t, name), None, lambda term: search.chosen_messages(t.messages, index, term))
+    return queries.search_messages(indexed, "N_ght 1%", 10)
+
+
 @register
 def find_user(t):
     return queries.find_user(t, "deleted user")
@@ -310,6 +318,33 @@ def username_lookup_renames(t):
     return queries.username_lookup(renamed, "Customer#000000009", AS_OF)
 
 
+# --- rollups -----------------------------------------------------------------------------
+
+
+def _rollups(t):
+    """Rollups of all messages, as the loads of a store keep them."""
+    live = t.live_messages
+    none = live.sparkSession.createDataFrame([], rollups.USER_NUMBERS)
+    numbers = materialise(rollups.new_user_numbers(none, live))
+    daily = materialise(rollups.daily_channels(live)), materialise(rollups.daily_users(live, numbers))
+    return rollups.Rollups(*daily, numbers, lambda since: live)
+
+
+@register
+def rollup_weekly_active_users(t):
+    return rollups.weekly_active_users(_rollups(t))
+
+
+@register
+def rollup_server_stats(t):
+    return rollups.server_stats(_rollups(t), t.servers, AS_OF)
+
+
+@register
+def rollup_weekly_trends(t):
+    return rollups.weekly_trends(_rollups(t), t.servers, AS_OF)
+
+
 # --- weekly job --------------------------------------------------------------------------
 
 
@@ -519,7 +554,7 @@ def labelled_catalogue_rows(t):
 @register
 def user_story_prompts(t):
     return prompts.user_story_prompts(t, AS_OF, SERVER).select(
-        "user_id", "current_username", "message_count", md5("prompt")
+        "user_id", "current_username", "message_count", "chunk_no", md5("prompt")
     )
 
 

@@ -33,7 +33,8 @@ NOISE_WORDS = (
     r"if you|we got|it is"
 )
 NOISE_LETTERS = rf"[A-Z{WHITESPACE}]{{2,}}:?{SPACE}*$"
-TIME_CUES = (rf"{DIGIT}{{1,2}}:{DIGIT}{{2}}", rf"at {DIGIT}{{1,2}}")
+# Time patterns by a text that each of them needs.
+TIME_CUES = {":": rf"{DIGIT}{{1,2}}:{DIGIT}{{2}}", "at ": rf"at {DIGIT}{{1,2}}"}
 CLOCK_CUES = ("⌚", "🕐", "🕑", "🕒", "🕓", "🕔", "🕕", "🕖", "🕗", "🕘", "🕙", "🕚", "🕛")
 PLACE_CUES = ("📍", "kisahalli", "töölö", "hive", "helsinki", "address", "location")
 DAY_CUES = (
@@ -46,12 +47,11 @@ REPLY_LINE = (
     r"courts? free|here we|is there still|can you|hey!?$)"
 )
 PHONE_LINE = rf"(?d)^\+?{DIGIT}[{DIGIT}{WHITESPACE}\-]{{7,}}$"
-LINE_BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
+LINE_BREAKS = ("\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029")
 MIN_TITLE_CHARS = 5
 MIN_EVENT_CHARS = 10
 MIN_SPORTS_CHARS = 15
 MIN_SPORTS_TITLE_CHARS = 4
-RAW_TEXT_CHARS = 500
 SPORTS_CATEGORY = "sports"
 OTHER_CATEGORY = "other"
 
@@ -128,7 +128,7 @@ def has_year(content: Column) -> Column:
 
 
 def has_date(content: Column) -> Column:
-    return has_year(content) & reduce(Column.__or__, [content.rlike(p) for p in DATE_PATTERNS])
+    return has_year(content) & content.rlike("|".join(f"(?:{p})" for p in DATE_PATTERNS))
 
 
 def event_date(content: Column) -> Column:
@@ -150,14 +150,23 @@ def is_noise(title: Column, strict_case: bool = False) -> Column:
 
 
 def first_line(content: Column) -> Column:
-    # The plain cut at a newline leaves little text for the rarer breaks.
-    line = F.substring_index(strip(content), "\n", 1)
-    return strip(F.regexp_extract(line, rf"^[^{LINE_BREAKS}]*", 0))
+    line = strip(content)
+    for line_break in LINE_BREAKS:
+        line = F.substring_index(line, line_break, 1)
+    return strip(line)
 
 
 def has_cue(content: Column) -> Column:
-    """A time, a place, a weekday or a date."""
-    times = reduce(Column.__or__, [content.rlike(p) for p in TIME_CUES])
+    """A time, a place, a weekday or a date.
+
+    Byte searches decide for nearly all text: thirty of them over one folded copy take less time than a
+    single alternation of all cues, which stops at every other letter. Patterns run behind the
+    byte that they need.
+    """
+    times = reduce(
+        Column.__or__,
+        [F.contains(content, F.lit(needed)) & content.rlike(cue) for needed, cue in TIME_CUES.items()],
+    )
     words = mentions(fold_case(content), PLACE_CUES + DAY_CUES + CLOCK_CUES)
     return times | words | has_date(content)
 
@@ -165,7 +174,7 @@ def has_cue(content: Column) -> Column:
 def is_sports_post(content: Column) -> Column:
     """An organising post: long enough, no mere reply, with a time, place or date cue.
 
-    The cheap checks on the first line come first.
+    The checks on the first line, which is short, come first.
     """
 
     def fits(line: Column) -> Column:
@@ -173,15 +182,14 @@ def is_sports_post(content: Column) -> Column:
         return (F.length(line) >= MIN_SPORTS_TITLE_CHARS) & ~reply
 
     def qualifies(text: Column) -> Column:
-        return (
-            long_enough(text, MIN_SPORTS_CHARS) & once(first_line(text), fits) & has_cue(text)
-        )
+        return long_enough(text, MIN_SPORTS_CHARS) & once(first_line(text), fits) & has_cue(text)
 
     return once(content, qualifies)
 
 
-def raw_text(content: Column) -> Column:
-    return F.substring(content, 1, RAW_TEXT_CHARS)
+def raw_text(content: Column, chars: int | None = None) -> Column:
+    """The whole text, or its first characters where the caller wants an excerpt."""
+    return content if chars is None else F.substring(content, 1, chars)
 
 
 def keyword_label(

@@ -42,9 +42,11 @@ def estimate_tokens(text: Column) -> Column:
 
 def fold_case(text: Column) -> Column:
     """Lower case, with the few other letters that match an ASCII letter when case is ignored."""
+    folded, odd = text, F.lit(False)
     for letter, plain in (("ſ", "s"), ("\u212a", "k"), ("ı", "i"), ("İ", "i")):
-        text = F.replace(text, F.lit(letter), F.lit(plain))
-    return F.lower(text)
+        folded = F.replace(folded, F.lit(letter), F.lit(plain))
+        odd = odd | F.contains(text, F.lit(letter))
+    return F.lower(F.when(odd, folded).otherwise(text))
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -36,8 +36,9 @@ def channel_set_messages(
     """Non-empty live messages of every configured channel of a kind.
 
     The channel names reach the scan as a filter. All messages are read unless the caller gives a
-    ``limit`` per channel, which keeps the oldest; it is cut in salted parts first, so a channel
-    that holds most rows is not sorted in one task.
+    ``limit`` per channel, which keeps the oldest ones of known authors; it is cut in salted parts
+    first, by keys alone, so a channel that holds most rows is not sorted in one task. Without a limit
+    the authors are left to be looked up once the text has been worked on.
     """
     messages = tables.live_messages
     if server_id is not None:
@@ -48,9 +49,9 @@ def channel_set_messages(
     chosen = (
         messages.filter(F.col("channel_name").isin([name for name, _ in places]))
         .filter(F.col("content").isNotNull() & (F.col("content") != ""))
-        .join(tables.users.select("user_id"), "user_id", "left_semi")
         .select(
             "server_id",
+            "user_id",
             "channel_name",
             F.explode(F.transform(mine, lambda e: e["rank"])).alias("channel_rank"),
             "created_at",
@@ -61,9 +62,14 @@ def channel_set_messages(
     if limit is None:
         return chosen
     order = [F.asc_nulls_last("created_at"), F.asc("message_id")]
-    return top_per_group(
-        chosen, ["server_id", "channel_rank"], order, limit, "_row", salt_on="message_id"
-    ).drop("_row")
+    keys = chosen.drop("content", "channel_name").join(_authors(tables), "user_id")
+    first = top_per_group(keys, ["server_id", "channel_rank"], order, limit, "_row", salt_on="message_id")
+    return chosen.join(first.select("message_id", "channel_rank"), ["message_id", "channel_rank"])
+
+
+def _authors(tables: Tables) -> DataFrame:
+    """The known authors. They are joined by their key; a semi join would be moved down to the text."""
+    return tables.users.select("user_id")
 
 
 def _titles() -> Column:
@@ -77,17 +83,17 @@ def extract_titles(messages: DataFrame) -> DataFrame:
     return found.select(*kept, F.posexplode("_found").alias("pos", "title"))
 
 
-def extract_events(messages: DataFrame) -> DataFrame:
-    """One event per bold title, with the message's date and the first 500 characters.
+def extract_events(messages: DataFrame, raw_chars: int | None = None) -> DataFrame:
+    """One event per bold title, with the message's date and whole text, or its first ``raw_chars``.
 
-    Date and text are cut per message, before its titles become rows.
+    Date and text are taken per message, before its titles become rows.
     """
     kept = [c for c in messages.columns if c != "content"]
     found = messages.filter(ev.is_marked(F.col("content"))).select(
         *kept,
         _titles().alias("_found"),
         ev.event_date(F.col("content")).alias("date"),
-        ev.raw_text(F.col("content")).alias("raw_text"),
+        ev.raw_text(F.col("content"), raw_chars).alias("raw_text"),
     )
     return found.select(
         *kept,
@@ -103,8 +109,9 @@ def drop_noise_titles(events: DataFrame, strict_case: bool = False) -> DataFrame
     return events.filter(~ev.is_noise(F.col("title"), strict_case))
 
 
-def extract_sports(messages: DataFrame) -> DataFrame:
-    """One pre-labelled event per organising post, titled by its first line."""
+def extract_sports(messages: DataFrame, raw_chars: int | None = None) -> DataFrame:
+    """One pre-labelled event per organising post, titled by its first line, with its whole text
+    or the first ``raw_chars``."""
     content = F.col("content")
     return messages.filter(ev.is_sports_post(content)).select(
         *[c for c in messages.columns if c != "content"],
@@ -113,22 +120,35 @@ def extract_sports(messages: DataFrame) -> DataFrame:
         ev.event_date(content).alias("date"),
         F.lit(ev.SPORTS_CATEGORY).alias("category"),
         F.col("channel_name").alias("source_channel"),
-        ev.raw_text(content).alias("raw_text"),
+        ev.raw_text(content, raw_chars).alias("raw_text"),
     )
 
 
 def collect_channel_sets(
-    tables: Tables, server_id: int | None, channels: ChannelSet, strict_case: bool = False
+    tables: Tables,
+    server_id: int | None,
+    channels: ChannelSet,
+    strict_case: bool = False,
+    limit: int | None = None,
+    raw_chars: int | None = None,
 ) -> DataFrame:
-    """Events of the announcement channels (noise dropped) and of the sports channels."""
+    """Events of the announcement channels (noise dropped) and of the sports channels.
+
+    ``limit`` keeps the oldest messages of each channel, ``raw_chars`` the first characters of each text; without
+    them every message is read and kept whole. Events are cut out of the text where it is scanned;
+    their authors are looked up afterwards.
+    """
     found = []
     if channels.event:
-        messages = channel_set_messages(tables, server_id, channels, "event")
-        found.append(drop_noise_titles(extract_events(messages), strict_case))
+        messages = channel_set_messages(tables, server_id, channels, "event", limit)
+        found.append(drop_noise_titles(extract_events(messages, raw_chars), strict_case))
     if channels.sports:
-        messages = channel_set_messages(tables, server_id, channels, "sports")
-        found.append(extract_sports(messages))
-    return reduce(DataFrame.unionByName, found)
+        messages = channel_set_messages(tables, server_id, channels, "sports", limit)
+        found.append(extract_sports(messages, raw_chars))
+    events = reduce(DataFrame.unionByName, found)
+    if limit is None:
+        events = events.join(_authors(tables), "user_id")
+    return events.drop("user_id")
 
 
 def title_key(title: Column) -> Column:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.functions.events import OTHER_CATEGORY
@@ -14,6 +15,7 @@ from palaver.functions.text import DEFAULT_MAX_TOKENS, fill_template, format_lin
 from palaver.operators import chunking, queries
 from palaver.operators.events import EVENT_ORDER
 from palaver.operators.ordering import materialise, number_rows
+from palaver.sources import folders
 from palaver.sources.tables import Tables
 
 # Our own wording. Message text is data from strangers, so it is fenced and named as data.
@@ -81,11 +83,13 @@ def user_story_prompts(
     max_tokens: int = DEFAULT_MAX_TOKENS,
     template: str = USER_STORY,
     named_author: bool = False,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """One prompt per most active user of a server (of every server when none is named).
+    """The most active users of a server (of every server when none is named), one prompt for each chunk.
 
-    It holds the newest chunk of the user's messages on all servers. Those rows name no
-    author, so their lines read "unknown: ..."; ``named_author`` prints the user instead.
+    Chunks hold the user's messages on all servers, the newest first; ``chunks`` keeps the first few of
+    each user, 1 the newest alone. Those rows name no author, so their lines read
+    "unknown: ..."; ``named_author`` prints the user instead.
     """
     # A few rows per server, used three times below.
     users = materialise(queries.recent_active_users(tables, as_of, server_id, days, limit))
@@ -93,20 +97,20 @@ def user_story_prompts(
     if named_author:
         names = tables.users.select("user_id", F.col("current_username").alias("author"))
         messages = messages.join(names, "user_id")
-    newest = chunking.chunk_and_format(
+    texts = chunking.chunk_and_format(
         messages,
         ["user_id"],
         max_tokens,
         newest_first=True,
         author="author" if named_author else None,
-        first_chunk_only=True,
+        chunks=chunks,
     )
     filled = fill_template(
         template, {"username": F.col("current_username"), "messages": F.col("text")}
     )
     keys = [] if server_id is not None else ["server_id", "rank"]
-    return users.join(newest, "user_id").select(
-        *keys, "user_id", "current_username", "message_count", filled.alias("prompt")
+    return users.join(texts, "user_id").select(
+        *keys, "user_id", "current_username", "message_count", "chunk_no", filled.alias("prompt")
     )
 
 
@@ -146,14 +150,15 @@ def digest_prompts(
     server_id: int | None = None,
     days: int = 30,
     template: str = DIGEST,
+    limit: int = 60,
 ) -> DataFrame:
-    """One prompt per active server: its summary as JSON and its newest messages as lines."""
+    """One prompt per active server: its summary as JSON and its ``limit`` newest messages as lines."""
     summary = queries.server_summary(tables, as_of, server_id, days)
     fields = [
         "server_name", "total_messages", "active_users", "active_channels", "top_users", "days",
     ]
     data = F.to_json(F.struct(*fields), {"pretty": "true", "ignoreNullFields": "false"})
-    sample = queries.recent_sample(tables, as_of, server_id, days)
+    sample = queries.recent_sample(tables, as_of, server_id, days, limit)
     if server_id is not None:
         sample = sample.withColumn("server_id", F.lit(server_id).cast("long"))
     line = format_line(F.col("content"), F.col("created_at"), F.col("author"))
@@ -176,12 +181,18 @@ def digest_prompts(
 def event_batches(
     events: DataFrame, order: Sequence[str] = EVENT_ORDER, size: int = BATCH_SIZE
 ) -> DataFrame:
-    """Events with ``batch_no`` and ``batch_pos`` (both from 0) in one global order."""
-    numbered = number_rows(events, list(order), "_row")
-    return (
-        numbered.withColumn("batch_no", F.floor(F.col("_row") / size).cast("long"))
-        .withColumn("batch_pos", (F.col("_row") % size).cast("int"))
-        .drop("_row")
+    """Events with ``batch_no`` and ``batch_pos`` (both from 0) in one global order.
+
+    Only the columns of the order, which must tell all events apart, are sorted and numbered; the
+    rest of a row joins its number afterwards.
+    """
+    numbered = number_rows(events.select(*order), list(order), "_row")
+    places = numbered.select(*[F.col(c).alias(f"_{c}") for c in order], "_row")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order])
+    return events.join(places, same).select(
+        *events.columns,
+        F.floor(F.col("_row") / size).cast("long").alias("batch_no"),
+        (F.col("_row") % size).cast("int").alias("batch_pos"),
     )
 
 
@@ -208,6 +219,8 @@ def apply_model(
     answer: str = "answer",
     on_error: str | None = None,
     parallelism: int | None = None,
+    answers: str | None = None,
+    calls_per_task: int = 16,
 ) -> DataFrame:
     """Add the stripped answer of ``model`` to every prompt, partition by partition.
 
@@ -215,24 +228,63 @@ def apply_model(
     prompt's hash, which adaptive execution does not join again.
 
     With ``on_error`` a prompt the model fails on gets that answer instead of failing the job.
+
+    ``answers`` names a folder that keeps answers by the digest of their prompt. Then the model is asked
+    now, once for each distinct prompt without an answer there, in tasks of ``calls_per_task``
+    prompts; the answers of a task are kept as it ends, also if the job breaks later, so a repeat asks
+    for the rest only. A failed call keeps no answer and is asked again next time. A null prompt is
+    not asked. A folder belongs to one model.
     """
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in prompts.schema)}"
 
-    def ask(text: str) -> str:
+    def ask(text: str) -> str | None:
         try:
             return model(text).strip()
         except Exception:
             if on_error is None:
                 raise
-            return on_error
+            return None
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield frame.assign(**{answer: [ask(text) for text in frame[prompt]]})
-
-    tasks = parallelism or prompts.sparkSession.sparkContext.defaultParallelism
-    dealt = prompts.repartition(tasks, F.xxhash64(prompt))
-    return dealt.mapInPandas(run, f"{schema}, `{answer}` string")
+            asked = [None if text is None else ask(text) for text in frame[prompt]]
+            yield frame.assign(**{answer: asked})
+
+    def asking(rows: DataFrame, tasks: int) -> DataFrame:
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+        return rows.repartition(tasks, F.xxhash64(prompt)).mapInPandas(run, f"{schema}, `{answer}` string")
+
+    failed = F.lit(on_error)
+    spark = prompts.sparkSession
+    tasks = parallelism or spark.sparkContext.defaultParallelism
+    if answers is None:
+        return asking(prompts, tasks).withColumn(answer, F.coalesce(answer, failed))
+
+    digest = F.sha2(prompt, 256)
+    asked = prompts.filter(F.col(prompt).isNotNull()).select(digest.alias("_digest"), prompt)
+    missing = asked.join(_kept_answers(spark, answers), "_digest", "left_anti").dropDuplicates(["_digest"])
+    missing = materialise(missing)
+    calls = missing.count()
+    if calls:
+        (
+            asking(missing, max(tasks, -(-calls // calls_per_task)))
+            .filter(F.col(answer).isNotNull())
+            .select("_digest", F.col(answer).alias("_answer"))
+            .write.mode("append")
+            # Files of a task appear as it ends, not with the job.
+            .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+            .parquet(answers)
+        )
+    kept = _kept_answers(spark, answers)
+    found = prompts.join(kept, digest == F.col("_digest"), "left")
+    return found.select(*prompts.columns, F.coalesce("_answer", failed).alias(answer))
+
+
+def _kept_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """One answer for each digest; a task that was run twice may have kept it twice."""
+    schema = "_digest string, _answer string"
+    if not folders.exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder).groupBy("_digest").agg(F.min("_answer").alias("_answer"))
 
 
 def parse_labels(

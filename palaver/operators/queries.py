@@ -188,10 +188,12 @@ def channel_all_messages(
 def search_messages(
     tables: Tables, query: str, server_id: int | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Case-insensitive substring search over live content, newest first; all hits unless a limit is given."""
+    """Case-insensitive substring search over live content, newest first; all hits unless a limit is given.
+
+    Tables with a search index read the text of its candidates only.
+    """
     found = (
-        _of_server(tables.live_messages, server_id)
-        .filter(contains_ilike(F.col("content"), query))
+        _of_server(tables.live_containing(query), server_id)
         .join(_server_names(tables), "server_id")
         .join(_authors(tables), "user_id")
         .select("message_id", "created_at", "server_name", "channel_name", "author", "content")
@@ -203,18 +205,23 @@ def search_messages(
 def recent_sample(
     tables: Tables, as_of: datetime, server_id: int | None = None, days: int = 30, limit: int = 60
 ) -> DataFrame:
-    """Newest non-empty live messages with their author; of every server when none is named."""
-    recent = tables.live_within(as_of, days)
-    sample = _non_empty(_of_server(recent, server_id)).join(_authors(tables), "user_id")
+    """Newest non-empty live messages with their author; of every server when none is named.
+
+    The rows are chosen by their keys; only then their text is fetched.
+    """
+    recent = _non_empty(_of_server(tables.live_within(as_of, days), server_id))
+    keys = recent.select("message_id", "server_id", "user_id", "created_at").join(_authors(tables), "user_id")
+    text = recent.select(F.col("message_id").alias("text_of"), "content")
     if server_id is not None:
-        return (
-            sample.orderBy(*_newest_first())
-            .limit(limit)
-            .select("message_id", "created_at", "author", "content")
-        )
-    return top_per_group(sample, ["server_id"], _newest_first(), limit).select(
-        "server_id", "rank", "message_id", "created_at", "author", "content"
-    )
+        # At most ``limit`` rows, so every task may hold them.
+        chosen = F.broadcast(keys.orderBy(*_newest_first()).limit(limit))
+        columns = []
+    else:
+        chosen = top_per_group(keys, ["server_id"], _newest_first(), limit)
+        columns = ["server_id", "rank"]
+    found = text.join(chosen, F.col("text_of") == F.col("message_id"))
+    found = found.select(*columns, "message_id", "created_at", "author", "content")
+    return found if columns else found.orderBy(*_newest_first())
 
 
 def latest_messages(tables: Tables, limit: int = 5) -> DataFrame:
@@ -400,14 +407,16 @@ def server_by_id(tables: Tables, server_id: int) -> DataFrame:
     return _server_names(tables).filter(F.col("server_id") == server_id)
 
 
-def find_channel(tables: Tables, server_id: int, term: str = "discussion") -> DataFrame:
-    """One channel of the server whose name contains the term, the lowest id."""
-    return (
+def find_channel(
+    tables: Tables, server_id: int, term: str = "discussion", limit: int | None = 1
+) -> DataFrame:
+    """The channel of the server whose name contains the term, the lowest id; more with another limit."""
+    found = (
         tables.messages.filter(
             (F.col("server_id") == server_id) & contains_ilike(F.col("channel_name"), term)
         )
         .select("channel_id", "channel_name")
         .distinct()
         .orderBy("channel_id", "channel_name")
-        .limit(1)
     )
+    return found if limit is None else found.limit(limit)

@@ -129,15 +129,15 @@ def _nested(ranked: DataFrame, name: str, label: str, column: str) -> DataFrame:
 
 
 def server_stats_nested(
-    tables: Tables, as_of: datetime, days: int = 7, server_id: int | None = None
+    tables: Tables, as_of: datetime, days: int = 7, server_id: int | None = None, limit: int = TOP_N
 ) -> DataFrame:
-    """One record per server: the measures plus arrays of top users and channels."""
+    """One record per server: the measures plus arrays of the ``limit`` top users and channels."""
     users = _nested(
-        top_users_per_server(tables, as_of, days, server_id),
+        top_users_per_server(tables, as_of, days, server_id, limit),
         "top_users", "username", "current_username",
     )
     channels = _nested(
-        top_channels_per_server(tables, as_of, days, server_id),
+        top_channels_per_server(tables, as_of, days, server_id, limit),
         "top_channels", "channel", "channel_name",
     )
     record = (

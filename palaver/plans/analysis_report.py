@@ -66,33 +66,49 @@ def analysis_report(
     model: Callable[[str], str],
     days: int = 30,
     channel_term: str = "discussion",
+    channel_limit: int | None = 1,
+    months: int = HEALTH_MONTHS,
+    users: int = 10,
+    digest_messages: int = 60,
+    profile_chunks: int | None = None,
 ) -> DataFrame:
-    """The report's lines with their place; model texts come from the caller's function."""
+    """The report's lines with their place; model texts come from the caller's function.
+
+    It answers for the first ``channel_limit`` channels that match the term (all for None), the ``users`` most
+    active members, each by all chunks of their messages or the first ``profile_chunks``, and the
+    newest ``months``; the digest takes the ``digest_messages`` newest messages.
+    """
     server = queries.server_by_id(tables, server_id)
-    channel = queries.find_channel(tables, server_id, channel_term).withColumn(
+    channel = queries.find_channel(tables, server_id, channel_term, channel_limit).withColumn(
         "server_id", F.lit(server_id).cast("long")
     )
     # Answers are written down, so that sorting the report does not ask the model again.
     digest = materialise(
-        prompts.apply_model(prompts.digest_prompts(tables, as_of, server_id, days), model)
+        prompts.apply_model(
+            prompts.digest_prompts(tables, as_of, server_id, days, limit=digest_messages), model
+        )
     )
     faq = materialise(channel_faq(tables, as_of, channel, days, model))
     profiles = materialise(
         prompts.apply_model(
-            prompts.user_story_prompts(tables, as_of, server_id, days), model, answer="profile"
+            prompts.user_story_prompts(tables, as_of, server_id, days, users, chunks=profile_chunks),
+            model,
+            answer="profile",
         )
     )
     health = queries.server_health(tables, server_id)
 
     zero = F.lit(0).cast("long")
 
-    def placed(frame: DataFrame, section: int, first, second, lines) -> DataFrame:
+    def placed(frame: DataFrame, section: int, first, second, lines, before=F.lit(0)) -> DataFrame:
+        """``before`` is the number of places that earlier rows of the same two places may take."""
         return frame.select(
             F.lit(section).alias("section"),
             first.cast("long").alias("place_1"),
             second.cast("long").alias("place_2"),
+            before.cast("int").alias("before"),
             F.posexplode(lines).alias("place_3", "line"),
-        )
+        ).select("section", "place_1", "place_2", (F.col("before") + F.col("place_3")).alias("place_3"), "line")
 
     opening = _texts(
         _joined("# ", F.col("server_name"), " — Full Analysis"),
@@ -110,6 +126,9 @@ def analysis_report(
         "answers", channel.agg(F.count(F.lit(1))).scalar().alias("channels")
     )
     title = _joined("### ", F.col("current_username"), " (", F.col("message_count"), " messages)")
+    profile = F.when(F.col("chunk_no") == 0, _texts("", title, "", F.col("profile"))).otherwise(
+        _texts("", F.col("profile"))
+    )
     table_head = F.when(
         F.col("n") > 0,
         _texts("| Month | Joined | Left | Net |", "| ----- | ------ | ---- | --- |"),
@@ -119,17 +138,16 @@ def analysis_report(
             server.join(digest.select("server_id", "answer"), "server_id", "left"),
             0, zero, zero, opening,
         ),
-        placed(faq, 1, F.col("chunk_no"), zero, F.array("answer")),
+        placed(faq, 1, F.col("channel_id"), F.col("chunk_no"), F.array("answer")),
         placed(counts, 1, zero, zero, no_faq),
         placed(server, 2, zero, zero, _texts("", "", "## User Profiles", "")),
         placed(
-            profiles, 3, -F.col("message_count"), F.col("user_id"),
-            _texts("", title, "", F.col("profile")),
+            profiles, 3, -F.col("message_count"), F.col("user_id"), profile, 4 * F.col("chunk_no"),
         ),
         placed(
             health.agg(F.count(F.lit(1)).alias("n")), 4, zero, zero,
             F.concat(_texts("", "", "## Server Health — Monthly Trends", ""), table_head),
         ),
-        placed(health_lines(health), 5, -F.unix_date("month"), zero, F.array("line")),
+        placed(health_lines(health, months), 5, -F.unix_date("month"), zero, F.array("line")),
     ]
     return reduce(DataFrame.unionByName, parts)

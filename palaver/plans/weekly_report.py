@@ -42,10 +42,13 @@ def _block(entries: Column, title: Column, lines: Column) -> Column:
     return F.when(F.size(entries) > 0, F.concat(title, lines, _texts(""))).otherwise(none)
 
 
-def _server_lines(tables: Tables, as_of: datetime, days: int, server_id: int | None) -> DataFrame:
-    trends = weekly.weekly_trends_nested(tables, as_of, by_name=False).select("server_id", "weeks")
+def _server_lines(
+    tables: Tables, as_of: datetime, days: int, server_id: int | None, weeks: int, top: int
+) -> DataFrame:
+    trends = weekly.weekly_trends_nested(tables, as_of, weeks, by_name=False)
+    trends = trends.select("server_id", "weeks")
     record = (
-        weekly.server_stats_nested(tables, as_of, days, server_id)
+        weekly.server_stats_nested(tables, as_of, days, server_id, top)
         .join(trends, "server_id", "left")
         .withColumn(
             "weeks",
@@ -71,19 +74,19 @@ def _server_lines(tables: Tables, as_of: datetime, days: int, server_id: int | N
     channels = F.transform(
         "top_channels", lambda c: _joined("- #", c["channel"], " — ", c["messages"], " messages")
     )
-    weeks = F.transform(
+    week_rows = F.transform(
         "weeks",
         lambda w: _joined("| ", w["week"], " | ", w["posts"], " | ", w["unique_users"], " |"),
     )
     trend_title = _texts(
-        "", "**Weekly trend (last 8 weeks):**", "",
+        "", f"**Weekly trend (last {weeks} weeks):**", "",
         "| Week | Posts | Unique users |", "| ---- | ----- | ------------ |",
     )
     busy = F.concat(
         metrics,
         _block(F.col("top_users"), _texts("", "**Top contributors:**", ""), users),
         _block(F.col("top_channels"), _texts("", "**Most active channels:**", ""), channels),
-        _block(F.col("weeks"), trend_title, weeks),
+        _block(F.col("weeks"), trend_title, week_rows),
     )
     body = F.when(F.col("total_messages") == 0, _texts(NO_ACTIVITY, "")).otherwise(busy)
     lines = F.concat(_texts("", _joined("## ", F.col("server_name")), ""), body)
@@ -115,9 +118,13 @@ def weekly_report(
     days: int = 7,
     server_id: int | None = None,
     title: str = "Weekly community statistics",
+    weeks: int = weekly.TREND_WEEKS,
+    top: int = weekly.TOP_N,
 ) -> DataFrame:
     """The report's lines with their place; ``report_lines`` sorts them.
 
+    ``weeks`` is the length of the trend, ``top`` the number of users and channels of a server.
+
     The link lists cover all servers also when the statistics are limited to one.
     """
     spark = tables.servers.sparkSession
@@ -131,7 +138,7 @@ def weekly_report(
         spark.createDataFrame(fixed, "section int, place_3 int, line string").select(
             "section", zero.alias("place_1"), zero.alias("place_2"), "place_3", "line"
         ),
-        _server_lines(tables, as_of, days, server_id),
+        _server_lines(tables, as_of, days, server_id, weeks, top),
     ]
     for i, (links, heading) in enumerate(zip(lists, LINK_TITLES)):
         header = NEW_ACCOUNT_HEADER if i == 2 else LINK_HEADER
