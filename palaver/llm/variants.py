@@ -47,6 +47,8 @@ BYTES_PER_WORD = 4
 _BLOCK = 8  # 64-bit words in a block
 #: Edits probed at a time by one task.
 PROBES = 1 << 21
+#: Words that one task probes.
+WORDS_PER_TASK = 20_000
 #: Distinct words a task counts before it hands them on.
 HELD_WORDS = 400_000
 
@@ -332,8 +334,8 @@ def near_pairs(words: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     if len(rounds) > 1:
         bits = written(bits)
     context = words.sparkSession.sparkContext
-    # Words are dealt anew: their cost is their length, and the aggregation may leave them in few tasks.
-    dealt = words.repartition(max(context.defaultParallelism, words.rdd.getNumPartitions()), "word")
+    # Words are dealt anew: the aggregation may leave them in few tasks.
+    dealt = words.repartition(max(context.defaultParallelism, -(-sum(counts.values()) // WORDS_PER_TASK)), "word")
     found = None
     for chosen in rounds:
         shared = context.broadcast(_collect_filters(bits, blocks_of, chosen) if counts else {})
