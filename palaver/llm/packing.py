@@ -27,6 +27,9 @@ PIECES_PER_TASK = 25_000
 #: Words whose ids a worker remembers. A full memory is emptied; results do not depend on it.
 MEMORY_WORDS = 600_000
 
+#: ASCII marks but the apostrophe.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -51,67 +54,91 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def encode(self, values: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, then id 0."""
-        out = []
-        for at in range(0, len(values), 64):
-            rows = [value.encode().split() for value in values[at : at + 64]]
-            found = [list(map(self.known.get, row)) for row in rows]
-            fresh = {word for row, ids in zip(rows, found, strict=True) if None in ids for word, one in zip(row, ids, strict=True) if one is None}
-            if fresh:
-                if len(self.known) + 2 * len(fresh) > MEMORY_WORDS:
-                    self.known.clear()
-                    fresh = set().union(*rows)
-                self._learn(fresh)
-                found = [list(map(self.known.__getitem__, row)) for row in rows]
-            out += [b"".join(ids) + b"\0\0\0\0" for ids in found]
+        return [b"".join((ids, b"\0\0\0\0")) for at in range(0, len(values), 64) for ids in self._rows(values[at : at + 64])]
+
+    def _rows(self, values: list[str]) -> list[bytes]:
+        out: list[bytes | None] = []
+        unknown: list[tuple[int, list[bytes]]] = []
+        known = self.known.__getitem__
+        for place, value in enumerate(values):
+            words = value.encode().split()
+            try:
+                out.append(b"".join(map(known, words)))
+            except KeyError:
+                out.append(None)
+                unknown.append((place, words))
+        if unknown:
+            asked = set().union(*(words for _, words in unknown))
+            fresh = {word for word in asked if word not in self.known}
+            if len(self.known) + 2 * len(fresh) > MEMORY_WORDS:
+                self.known.clear()
+                fresh = asked
+            self._learn(fresh)
+            for place, words in unknown:
+                out[place] = b"".join(map(self.known.__getitem__, words))
         return out
 
     def _learn(self, fresh: set[bytes]) -> None:
-        # "word," is a word and a mark of its own, and plain capitals are lowered: fewer words to encode.
-        marked, lowered, others = {}, {}, []
+        # A word is marks, letters, marks; each run is encoded by itself. Apostrophes may join what follows.
+        parts: list[tuple[bytes, str, str, str]] = []
+        others: list[str] = []
+        plain: set[str] = set()
+        marks: set[str] = set()
         for word in fresh:
-            stem = word[:-1] if word[-1:] in (b",", b".") else word
-            letters = stem.decode()
-            if not (letters.isalpha() and letters.lower().isalpha()):  # marks may join what follows
-                others.append(word)
+            text = word.decode()
+            stem = text.strip(MARKS)
+            if not stem.isalpha() or any(special in text for special in self.specials):
+                others.append(text)
+                continue
+            if stem.isascii():
+                low = stem.lower()
+            elif stem.lower().isalpha():  # lowering may take a letter to something else
+                low = stem
+            else:
+                others.append(text)
                 continue
-            low = stem.lower() if stem.isascii() else stem
-            if stem is not word:
-                marked[word] = low, word[-1:]
+            plain.add(low)
+            if len(stem) == len(text):
+                parts.append((word, "", low, ""))
             else:
-                lowered[word] = low
-        plain = {stem for stem, _ in marked.values()} | set(lowered.values())
-        self._lines([stem for stem in plain if stem not in self.known])
-        self._each(others + ([b",", b"."] if marked else []))
-        for word, (stem, mark) in marked.items():
-            self.known[word] = self.known[stem] + self.known[mark]
-        for word, low in lowered.items():
-            self.known[word] = self.known[low]
-
-    def _lines(self, plain: list[bytes]) -> None:
+                at = text.index(stem)
+                before, after = text[:at], text[at + len(stem) :]
+                marks.add(before)
+                marks.add(after)
+                parts.append((word, before, low, after))
+        stems = self._lines(list(plain)) | self._each(list(marks - {""})) | {"": b""}
+        for word, before, low, after in parts:
+            self.known[word] = stems[before] + stems[low] + stems[after]
+        for text, ids in self._each(others).items():
+            self.known[text.encode()] = ids
+
+    def _lines(self, plain: list[str]) -> dict[str, bytes]:
         """Words of letters, many to a line: each ends with the only token that closes a word."""
         lines = [plain[at : at + 64] for at in range(0, len(plain), 64)]
-        coded = self.tokenizer.encode_batch_fast([b" ".join(line).decode() for line in lines], add_special_tokens=False)
+        coded = self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
+        found: dict[str, bytes] = {}
         for line, one in zip(lines, coded, strict=True):
             ids = np.array(one.ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(line):
-                self._each(line)
+                found |= self._each(line)
                 continue
             data, at = ids.tobytes(), 0
             for word, cut in zip(line, (4 * cuts).tolist(), strict=True):
-                self.known[word] = data[at:cut]
+                found[word] = data[at:cut]
                 at = cut
+        return found
 
-    def _each(self, words: list[bytes]) -> None:
-        coded = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
-        for word, one in zip(words, coded, strict=True):
-            self.known[word] = np.array(one.ids, "<u4").tobytes()
+    def _each(self, words: list[str]) -> dict[str, bytes]:
+        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return {word: np.array(one.ids, "<u4").tobytes() for word, one in zip(words, coded, strict=True)}
 
 
 def packed_ids(values: list[str], path: str) -> list[bytes]:
