@@ -24,8 +24,8 @@ from palaver.llm.common import kept_by_worker, texts, written
 CAPACITY = 2048
 #: Pieces that one packing task takes; memory of a task is about 100 bytes a piece.
 PIECES_PER_TASK = 25_000
-#: Words whose ids a worker remembers. A full memory is emptied; results do not depend on it.
-MEMORY_WORDS = 600_000
+#: Words of one generation of a worker's memory, which holds two. Results do not depend on it.
+MEMORY_WORDS = 400_000
 
 #: ASCII marks but the apostrophe.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -53,7 +53,9 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # A full generation becomes the older one; what is still met there moves to the new one.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -64,66 +66,63 @@ class WordIds:
         return [b"".join((ids, b"\0\0\0\0")) for at in range(0, len(values), 64) for ids in self._rows(values[at : at + 64])]
 
     def _rows(self, values: list[str]) -> list[bytes]:
-        out: list[bytes | None] = []
-        unknown: list[tuple[int, list[bytes]]] = []
-        known = self.known.__getitem__
-        for place, value in enumerate(values):
-            words = value.encode().split()
-            try:
-                out.append(b"".join(map(known, words)))
-            except KeyError:
-                out.append(None)
-                unknown.append((place, words))
-        if unknown:
-            asked = set().union(*(words for _, words in unknown))
-            fresh = {word for word in asked if word not in self.known}
-            if len(self.known) + 2 * len(fresh) > MEMORY_WORDS:
-                self.known.clear()
-                fresh = asked
+        if len(self.known) > MEMORY_WORDS:
+            self.known, self.older = {}, self.known
+        rows = [value.encode().split() for value in values]
+        found = [list(map(self.known.get, row)) for row in rows]
+        holes = [[i for i, ids in enumerate(one) if ids is None] if None in one else [] for one in found]
+        fresh = {row[i] for row, empty in zip(rows, holes, strict=True) for i in empty}
+        if fresh:
             self._learn(fresh)
-            for place, words in unknown:
-                out[place] = b"".join(map(self.known.__getitem__, words))
-        return out
+            for row, one, empty in zip(rows, found, holes, strict=True):
+                for i in empty:
+                    one[i] = self.known[row[i]]
+        return list(map(b"".join, found))
 
     def _learn(self, fresh: set[bytes]) -> None:
-        # A word is marks, letters, marks; each run is encoded by itself. Apostrophes may join what follows.
-        parts: list[tuple[bytes, str, str, str]] = []
-        others: list[str] = []
-        plain: set[str] = set()
-        marks: set[str] = set()
+        """Give all ``fresh`` words their ids.
+
+        A word is marks, letters, marks; each run is encoded by itself. Apostrophes may join what follows.
+        """
+        known, older = self.known, self.older
+        parts: list[tuple[bytes, bytes, bytes, bytes]] = []
+        others: set[bytes] = set()
+        asked: set[bytes] = set()
         for word in fresh:
+            if (ids := older.get(word)) is not None:
+                known[word] = ids
+                continue
             text = word.decode()
             stem = text.strip(MARKS)
-            if not stem.isalpha() or any(special in text for special in self.specials):
-                others.append(text)
-                continue
-            if stem.isascii():
-                low = stem.lower()
-            elif stem.lower().isalpha():  # lowering may take a letter to something else
-                low = stem
-            else:
-                others.append(text)
+            plain = stem.isascii()
+            # Lowering may take a letter to something else.
+            if not stem.isalpha() or not (plain or stem.lower().isalpha()) or any(special in text for special in self.specials):
+                others.add(word)
                 continue
-            plain.add(low)
-            if len(stem) == len(text):
-                parts.append((word, "", low, ""))
-            else:
-                at = text.index(stem)
-                before, after = text[:at], text[at + len(stem) :]
-                marks.add(before)
-                marks.add(after)
-                parts.append((word, before, low, after))
-        stems = self._lines(list(plain)) | self._each(list(marks - {""})) | {"": b""}
+            low = stem.encode()
+            at = word.index(low)
+            before, after = word[:at], word[at + len(low) :]
+            if plain:
+                low = low.lower()
+            parts.append((word, before, low, after))
+            asked.add(low)
+            if before:
+                others.add(before)
+            if after:
+                others.add(after)
+        known |= self._lines([low for low in asked if low not in known])
+        known |= self._each([word for word in others if word not in known])
         for word, before, low, after in parts:
-            self.known[word] = stems[before] + stems[low] + stems[after]
-        for text, ids in self._each(others).items():
-            self.known[text.encode()] = ids
+            ids = known[low]
+            if before:
+                ids = known[before] + ids
+            known[word] = ids + known[after] if after else ids
 
-    def _lines(self, plain: list[str]) -> dict[str, bytes]:
+    def _lines(self, plain: list[bytes]) -> dict[bytes, bytes]:
         """Words of letters, many to a line: each ends with the only token that closes a word."""
         lines = [plain[at : at + 64] for at in range(0, len(plain), 64)]
-        coded = self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
-        found: dict[str, bytes] = {}
+        coded = self.tokenizer.encode_batch_fast([b" ".join(line).decode() for line in lines], add_special_tokens=False)
+        found: dict[bytes, bytes] = {}
         for line, one in zip(lines, coded, strict=True):
             ids = np.array(one.ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
@@ -136,8 +135,8 @@ class WordIds:
                 at = cut
         return found
 
-    def _each(self, words: list[str]) -> dict[str, bytes]:
-        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    def _each(self, words: list[bytes]) -> dict[bytes, bytes]:
+        coded = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
         return {word: np.array(one.ids, "<u4").tobytes() for word, one in zip(words, coded, strict=True)}
 
 
