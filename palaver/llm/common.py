@@ -104,6 +104,18 @@ def pieces(offsets: np.ndarray, target: int, overlap: int = 0) -> Iterator[tuple
         yield np.array(rows), np.array(begin), np.array(end)
 
 
+def small(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that ``column`` takes about ``size`` bytes in each, or one row."""
+    for batch in batches:
+        _, offsets = buffer(batch[column])
+        low = 0
+        while low < len(batch):
+            high = int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1
+            high = min(max(high, low + 1), len(batch))
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def mixed(value: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     value = value ^ (value >> np.uint64(32))

@@ -28,14 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import NO_ID, Rolling, buffer, mixed, pieces, sliding_min, texts, written
+from palaver.llm.common import NO_ID, Rolling, buffer, mixed, pieces, sliding_min, small, texts, written
 from palaver.llm.repeats import first_in_batch
 from palaver.llm.simhash import whole_groups
 
 WIDTH = 100
 ANCHOR = 32
-#: Bytes of text that one numpy step takes.
-STEP = 1 << 20
+#: Bytes of text that one numpy step takes; a step needs about a hundred bytes for each.
+STEP = 1 << 18
+#: Bytes of text whose runs a task holds at a time.
+HELD = 16 << 20
 #: Runs of one anchor that pass 3 orders in one task; larger groups are dealt out by window.
 GROUP = 4096
 
@@ -76,7 +78,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> Iterator[
 
 def _members(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "text", HELD):
             data, offsets = buffer(batch["text"])
             owner = batch["id"].to_numpy()
             held: list[tuple[np.ndarray, ...]] = [(row, anchor, every) for row, _, _, anchor, every in runs(data, offsets, width)]
@@ -113,7 +115,7 @@ def _border_rows(width: int):
     """Pass 3 input: bytes of the runs named for each text; of large groups, single window hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "text", HELD):
             data, offsets = buffer(batch["text"])
             owner, text_key = batch["id"].to_numpy(), batch["text_key"].to_numpy()
             asked = batch["asked"]
@@ -207,9 +209,7 @@ def _window_rows(width: int):
     """Single windows of large groups, (key, id, text_key, start)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in small(batches, "bytes", HELD // 8):
             data, offsets = buffer(batch["bytes"])
             base = int(offsets[0])
             item, step, key = window_keys(batch["anchor"].to_numpy().view(np.uint64), offsets - base, data[base : int(offsets[-1])], batch["count"].to_numpy().astype(np.int64), width)
@@ -225,7 +225,7 @@ def _apply(width: int, with_text: bool):
     """Remove the repeated windows from each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "text", HELD):
             data, offsets = buffer(batch["text"])
             covers: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
             for row, begin, size, _, every in runs(data, offsets, width):
