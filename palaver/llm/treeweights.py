@@ -1,22 +1,28 @@
 """Language model scoring by context-tree weighting over bytes.
 
-A byte is eight binary decisions. For each decision (the bits of the byte decided so far) there
-is a context tree whose depth-d nodes are the last d bytes, d = 0 to DEPTH. A node with a zeros
-and b ones has the Krichevsky-Trofimov estimate Pe(a, b); its weighted probability is
-Pw = (Pe + product of its children's Pw) / 2, and Pe at full depth. So every node has a
-posterior weight for stopping there, and a decision's probability mixes the estimates
+A text is its bytes and an end. Each of these symbols is nine binary decisions: whether the text ends,
+and if not, the bits of the byte. For each decision (the bits of the symbol decided so far) there
+is a context tree whose depth-d nodes are the last d bytes, d = 0 to ``DEPTH``; before a text stand zero
+bytes. A node with a zeros and b ones has the Krichevsky-Trofimov estimate Pe(a, b); its weighted
+probability is Pw = (Pe + product of its children's Pw) / 2, and Pe at full depth. So every node has a
+posterior weight for stopping there, Pe / (2 Pw), and a decision's probability mixes the estimates
 (b + 1/2) / (a + b + 1) of all depths on its path by those weights. A path ends at the last
-node that training has seen.
+node that training has seen. The probabilities of all texts add up to at most one.
 
-Counts come from all training text: byte strings of DEPTH + 1 are counted in batches, summed by
-Spark, and spread over the nodes. Nodes live in a table of 2**SLOT_BITS slots per depth, by a hash of
-context and decided bits from depth 3 on, so the model has a fixed size whatever the corpus;
-nodes that share a slot share their counts. Scores are exact for that model: a text's
-probabilities over all continuations add up to one.
+The nodes are exact and grow with the corpus; no task holds the tree:
+
+1. Symbols with their contexts (grams) are counted in batches and summed by Spark, for training and in all.
+2. Grams are dealt by the last two bytes of their context and sorted by it, so that every subtree from
+   depth three on is a run of neighbouring rows. One pass weighs the nodes from depth five up to two.
+3. Depths one and zero have at most 65,792 nodes; Spark sums them and every task gets them.
+4. A second pass over the same runs walks every distinct gram down its path: its code length.
+5. Texts look their grams up: the most frequent ones, at most ``TABLE`` of them, in a broadcast table; the
+   others of a text are counted, move, and join their code lengths.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -27,136 +33,95 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palaver.llm.common import buffer, fold, kept_by_worker, pieces, texts, written
+from palaver.llm.simhash import whole_groups
 
 DEPTH = 5
-SLOT_BITS = 22
 #: Bytes that one numpy step takes.
-STEP = 1 << 21
-#: Entries of a worker's memory of byte strings and their code lengths.
-MEMORY_BITS = 21
+STEP = 1 << 20
+#: Distinct grams that a task merges before it hands them on.
+MERGE = 1 << 20
+#: Rows of the sorted grams that a task works on at a time; a subtree of depth three stays whole.
+ROWS = 200_000
+#: Grams whose code lengths every task holds; 24 bytes each in a worker.
+TABLE = 1_500_000
 #: Most frequent training words whose counts every task holds; other words are joined.
 WORDS = 50_000
-#: Longest word, in bytes, among those; so the broadcast is bounded by WORDS * WORD_BYTES.
+#: Longer words are known by their digest, so a word takes no more than this.
 WORD_BYTES = 64
 #: The end of a text among the tokens. A word never holds a space.
 END = b" "
 
+#: A gram is five context bytes, the nearest one on top, and the symbol in nine bits.
+SYMBOL = 9
+_END_SYMBOL = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_NONE = np.uint64(2**64 - 1)
 
 
-def grams(data: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """For each byte, the ``depth`` bytes before it and itself as one number."""
-    wide = data.astype(np.uint64)
-    out = wide.copy()
-    for back in range(1, depth + 1):
-        out[back:] |= wide[:-back] << np.uint64(8 * back)
-    return out
+# --- grams -------------------------------------------------------------------------------------------
 
 
 def text_grams(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row, gram) of all bytes in steps; before a text stand zero bytes."""
-    low_mask = [np.uint64((1 << (8 * (i + 1))) - 1) for i in range(depth + 1)]
+    """(row, gram) of every byte and every end, in steps."""
+    empty = np.flatnonzero(np.diff(offsets) == 0)
+    if len(empty):
+        yield empty, np.full(len(empty), _END_SYMBOL, np.uint64)
     for row, begin, end in pieces(offsets, STEP):
-        low = max(int(offsets[row[0]]), int(begin[0]) - depth)
-        found = grams(data[low : int(end[-1])], depth)[int(begin[0]) - low :]
-        starts = begin - begin[0]
-        for i in range(depth):  # bytes that reach back over a text's start
-            at = starts[(begin == offsets[row]) & (end - begin > i)] + i
-            found[at] &= low_mask[i]
-        yield np.repeat(row, end - begin), found
-
-
-def slots(depth: int, context: np.ndarray, decided: np.ndarray, bits: int = SLOT_BITS) -> np.ndarray:
-    """Slot of a node: the last ``depth`` bytes and the decided bits (1 to 255, from the top)."""
-    key = (context << np.uint64(8)) | decided
-    if 8 * depth + 8 <= bits:
-        return key.astype(np.int64)
-    return ((key + np.uint64(depth)) * _MIX >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def paths(gram: np.ndarray, depth: int = DEPTH) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """For each of the eight decisions: (place, decided bits, the bit, context by depth)."""
-    byte = gram & np.uint64(255)
-    contexts = [(gram >> np.uint64(8)) & np.uint64((1 << (8 * d)) - 1) for d in range(depth + 1)]
-    for place in range(8):
-        decided = (np.uint64(1) << np.uint64(place)) | (byte >> np.uint64(8 - place))
-        bit = (byte >> np.uint64(7 - place)) & np.uint64(1)
-        yield place, decided, bit, contexts
-
-
-class Model:
-    """Estimates (below 0 where training saw nothing) and stopping weights of all slots, by depth."""
-
-    def __init__(self, ones: list[np.ndarray], weight: list[np.ndarray], bits: int) -> None:
-        self.ones, self.weight, self.bits = ones, weight, bits
-        self.depth = len(ones) - 1
-        size = 1 << MEMORY_BITS
-        self.known = np.full(size, np.iinfo(np.uint64).max, np.uint64)
-        self.length = np.zeros(size, np.float32)
-
-    def probability(self, decided: np.ndarray, contexts: list[np.ndarray]) -> np.ndarray:
-        """Probability that the next bit is one."""
-        mixed = np.zeros(len(decided))
-        left = np.ones(len(decided))
-        estimate = np.full(len(decided), 0.5)
-        for d in range(self.depth + 1):
-            at = slots(d, contexts[d], decided, self.bits)
-            own, stop = self.ones[d][at], self.weight[d][at]
-            estimate = np.where(own < 0, estimate, own)  # a node never seen ends the path at its parent
-            mixed += left * stop * estimate
-            left = left * (1.0 - stop)
-        return mixed
-
-    def code_length(self, gram: np.ndarray) -> np.ndarray:
-        """Log10 probability of the last byte of each gram, after the others."""
-        total = np.zeros(len(gram))
-        for _, decided, bit, contexts in paths(gram, self.depth):
-            one = self.probability(decided, contexts)
-            total += np.log10(np.where(bit == 1, one, 1.0 - one))
-        return total
-
-    def remembered(self, gram: np.ndarray) -> np.ndarray:
-        """The same through a memory by hash: each distinct byte string is worked out about once."""
-        at = (gram * _MIX >> np.uint64(64 - MEMORY_BITS)).astype(np.int64)
-        out = self.length[at]
-        fresh = np.flatnonzero(self.known[at] != gram)
-        if len(fresh):
-            distinct, back = np.unique(gram[fresh], return_inverse=True)
-            length = np.concatenate([self.code_length(distinct[i : i + 50_000]) for i in range(0, len(distinct), 50_000)]).astype(np.float32)
-            out[fresh] = length[back]
-            self.known[at[fresh]] = gram[fresh]
-            # Of strings that meet at one place the last assignment stays, for both arrays alike.
-            self.length[at[fresh]] = length[back]
-        return out
+        size = end - begin
+        last = end == offsets[row + 1]
+        # Each part stands behind its context, and before its end if it is a text's last part.
+        start = np.cumsum(size + DEPTH + last) - (size + DEPTH + last)
+        flat = np.zeros(int(start[-1] + size[-1] + DEPTH + last[-1]), np.uint64)
+        own = np.arange(int(end[-1] - begin[0])) + np.repeat(start + DEPTH - (begin - begin[0]), size)
+        flat[own] = data[begin[0] : end[-1]]
+        for part in np.flatnonzero(begin > offsets[row]):
+            back = min(DEPTH, int(begin[part] - offsets[row[part]]))
+            flat[start[part] + DEPTH - back : start[part] + DEPTH] = data[begin[part] - back : begin[part]]
+        ends = (start + DEPTH + size)[last]
+        flat[ends] = _END_SYMBOL
+        gram = flat.copy()
+        for back in range(1, depth + 1):
+            gram[back:] |= flat[:-back] << np.uint64(SYMBOL + 8 * (DEPTH - back))
+        yield np.concatenate([np.repeat(row, size), row[last]]), np.concatenate([gram[own], gram[ends]])
+
+
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    key, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+    return key, np.bincount(back, np.concatenate([n for _, n in held]), len(key)).astype(np.int64)
+
+
+def counted_grams(named: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(part, gram, n, n_all): how often training and all texts have each gram; ``part`` is the last two context bytes."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-def node_counts(counted: DataFrame, depth: int, bits: int) -> DataFrame:
-    """(depth, slot, parent, zeros, ones) of all nodes from (gram, n)."""
+        def rows() -> pa.RecordBatch:
+            key, n = _merged(held)
+            train = np.where(key & np.uint64(1) == 0, n, 0)
+            return pa.RecordBatch.from_arrays(
+                [pa.array((key >> np.uint64(1)).view(np.int64)), pa.array(train), pa.array(n)], names=["gram", "n", "n_all"]
+            )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gram, n = batch["gram"].to_numpy().view(np.uint64), batch["n"].to_numpy()
-            for d in range(depth + 1):
-                parts = []
-                for _, decided, bit, contexts in paths(gram, depth):
-                    slot = slots(d, contexts[d], decided, bits)
-                    parent = slots(d - 1, contexts[d - 1], decided, bits) if d else np.zeros(len(slot), np.int64)
-                    parts.append((slot, parent, np.where(bit == 0, n, 0), np.where(bit == 1, n, 0)))
-                slot, parent, zeros, ones = (np.concatenate(x) for x in zip(*parts, strict=True))
-                place, first, back = np.unique(slot, return_index=True, return_inverse=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(place), d, np.int32)),
-                        pa.array(place.astype(np.int32)),
-                        pa.array(parent[first].astype(np.int32)),
-                        pa.array(np.bincount(back, zeros, len(place)).astype(np.int64)),
-                        pa.array(np.bincount(back, ones, len(place)).astype(np.int64)),
-                    ],
-                    names=["depth", "slot", "parent", "zeros", "ones"],
-                )
-
-    rows = counted.mapInArrow(run, "depth int, slot int, parent int, zeros long, ones long")
-    return rows.groupBy("depth", "slot").agg(F.min("parent").alias("parent"), F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+            data, offsets = buffer(batch["text"])
+            aside = batch["held_out"].to_numpy(zero_copy_only=False).astype(np.uint64)
+            for row, gram in text_grams(data, offsets, depth):
+                held.append(np.unique((gram << np.uint64(1)) | aside[row], return_counts=True))
+                if sum(len(k) for k, _ in held) > MERGE:
+                    held = [_merged(held)]
+                    if len(held[0][0]) > MERGE // 2:
+                        yield rows()
+                        held = []
+        if held:
+            yield rows()
+
+    counted = named.select("text", "held_out").mapInArrow(run, "gram long, n long, n_all long")
+    part = F.shiftrightunsigned("gram", SYMBOL + 8 * (DEPTH - 2)).cast("int").alias("part")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all")).select(part, "gram", "n", "n_all")
+
+
+# --- nodes --------------------------------------------------------------------------------------------
 
 
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -169,92 +134,258 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     shift = np.zeros_like(x)
     value = x.astype(float).copy()
     for _ in range(8):
-        small = value < 8
-        shift[small] += np.log(value[small])
-        value[small] += 1
+        low = value < 8
+        shift[low] += np.log(value[low])
+        value[low] += 1
     series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * value**2)) / value**2) / value**2) / value
     return (value - 0.5) * np.log(value) - value + 0.5 * np.log(2 * np.pi) + series - shift
 
 
-def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Estimate, stopping weight and log weighted probability of nodes; ``split`` is the sum of their children's."""
-    for batch in batches:
-        zeros, ones = (batch[name].to_numpy().astype(float) for name in ("zeros", "ones"))
-        own, split = log_estimate(zeros, ones), batch["split"].to_numpy(zero_copy_only=False).astype(float)
-        leaf = np.isnan(split)
-        split = np.where(leaf, own, split)
-        high = np.maximum(own, split)
-        total = np.where(leaf, own, high + np.log(0.5 * np.exp(own - high) + 0.5 * np.exp(split - high)))
-        weight = np.where(leaf, 1.0, 0.5 * np.exp(own - total))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch["slot"],
-                batch["parent"],
-                pa.array(((ones + 0.5) / (zeros + ones + 1.0)).astype(np.float32)),
-                pa.array(weight.astype(np.float32)),
-                pa.array(total),
-            ],
-            names=["slot", "parent", "one", "weight", "total"],
-        )
-
+class Nodes:
+    """The nodes of one depth: key (context, decision), estimate of a one, weight of stopping here."""
 
-def weighted_nodes(nodes: DataFrame, depth: int) -> list[DataFrame]:
-    """(slot, parent, one, weight, total) of the nodes of each depth, worked out from the leaves up."""
-    levels: list[DataFrame] = []
-    for d in range(depth, -1, -1):
-        part = nodes.filter(F.col("depth") == d).drop("depth")
-        if levels:
-            below = levels[0].groupBy(F.col("parent").alias("slot")).agg(F.sum("total").alias("split"))
-            part = part.join(below, "slot", "left")
+    def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, split: np.ndarray | None) -> None:
+        self.key, self.zeros, self.ones = key, zeros, ones
+        own = log_estimate(zeros.astype(float), ones.astype(float))
+        if split is None:
+            self.total, self.weight = own, np.ones(len(key))
         else:
-            part = part.withColumn("split", F.lit(None).cast("double"))
-        levels.insert(0, written(part.mapInArrow(_weigh, "slot int, parent int, one float, weight float, total double")))
+            self.total = np.logaddexp(own, split) - np.log(2)
+            self.weight = np.exp(own - np.log(2) - self.total)
+        self.one = (ones + 0.5) / (zeros + ones + 1.0)
+
+    def shorter(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(key, zeros, ones, split) with the farthest context byte left out, summed."""
+        key = ((self.key >> np.uint64(16)) << np.uint64(8)) | (self.key & np.uint64(255))
+        return summed(key, self.zeros, self.ones, self.total)
+
+
+def summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    key, back = np.unique(key, return_inverse=True)
+    return key, *(np.bincount(back, value, len(key)) for value in values)
+
+
+def decisions(symbol: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, decision, bit) for each of the nine decisions: 0 is whether the text ends, then 1 to 255."""
+    end = symbol == _END_SYMBOL
+    yield np.arange(len(symbol)), np.zeros(len(symbol), np.uint64), end
+    rows = np.flatnonzero(~end)
+    byte = symbol[rows]
+    for place in range(8):
+        decided = (np.uint64(1) << np.uint64(place)) | (byte >> np.uint64(8 - place))
+        yield rows, decided, (byte >> np.uint64(7 - place)) & np.uint64(1) == 1
+
+
+def subtrees(gram: np.ndarray, n: np.ndarray, depth: int) -> list[Nodes]:
+    """Nodes of depth 3 to ``depth`` over training grams, index 0 being depth 3. Context bytes are read nearest first."""
+    seen = n > 0
+    gram, n = gram[seen], n[seen]
+    symbol, context = gram & np.uint64(511), gram >> np.uint64(SYMBOL + 8 * (DEPTH - depth))
+    keys, counts = [], []
+    for rows, decided, bit in decisions(symbol):
+        keys.append((context[rows] << np.uint64(8)) | decided)
+        counts.append((np.where(bit, 0, n[rows]), np.where(bit, n[rows], 0)))
+    zeros, ones = (np.concatenate(part) for part in zip(*counts, strict=True))
+    level = Nodes(*summed(np.concatenate(keys), zeros, ones), None)
+    levels = [level]
+    while len(levels) < depth - 2:
+        level = Nodes(*level.shorter())
+        levels.insert(0, level)
     return levels
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        arrays = [batch["slot"].to_numpy(), batch["one"].to_numpy(), batch["weight"].to_numpy().astype(np.float16)]
-        yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], names=["slot", "one", "weight"])
+_SECOND = "part int, decision int, zeros double, ones double, total double, one double, weight double"
+
 
+def _weigh(depth: int):
+    """Depth-two nodes of sorted grams: the sums of their subtrees, which may come in several tables."""
 
-def gathered(levels: list[DataFrame], bits: int) -> Model:
-    """The model as arrays: ten bytes a node at most come to the driver, so the parameters bound them."""
-    tables: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
-    for d, level in enumerate(levels):
-        size = 1 << min(bits, 8 * d + 8)
-        one, weight = np.full(size, -1.0, np.float32), np.ones(size, np.float16)
-        rows = level.select("slot", "one", "weight").mapInArrow(_packed, "slot binary, one binary, weight binary")
-        for row in rows.toLocalIterator():
-            slot = np.frombuffer(row.slot, np.int32)
-            one[slot], weight[slot] = np.frombuffer(row.one, np.float32), np.frombuffer(row.weight, np.float16)
-        tables[0].append(one)
-        tables[1].append(weight)
-    return Model(*tables, bits)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (np.zeros(0, np.uint64), *(np.zeros(0) for _ in range(3)))
+        for table in whole_groups(batches, ["third"], ROWS):
+            gram, n = table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy()
+            level = subtrees(gram, n, depth)[0]
+            held = summed(*(np.concatenate(pair) for pair in zip(held, level.shorter(), strict=True)))
+            now = np.uint64(int(table["part"][-1].as_py()))
+            done = held[0] >> np.uint64(8) != now
+            yield _second(tuple(a[done] for a in held))
+            held = tuple(a[~done] for a in held)
+        yield _second(held)
+
+    return run
+
+
+def _second(held: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    nodes = Nodes(*held)
+    part, decision = (nodes.key >> np.uint64(8)).astype(np.int32), (nodes.key & np.uint64(255)).astype(np.int32)
+    columns = [part, decision, *(np.asarray(a, float) for a in (nodes.zeros, nodes.ones, nodes.total, nodes.one, nodes.weight))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in _SECOND.split(", ")])
+
+
+class Upper:
+    """Depths zero and one as dense arrays; an estimate below zero was never seen."""
+
+    def __init__(self, second: DataFrame) -> None:
+        sums = [F.sum(c).alias(c) for c in ("zeros", "ones", "total")]
+        nearest = F.shiftright("part", 8)
+        first = second.groupBy(nearest.alias("byte"), "decision").agg(*sums).toArrow()  # at most 65,536 rows
+        byte, decision = first["byte"].to_numpy(), first["decision"].to_numpy()
+        key = (byte.astype(np.uint64) << np.uint64(8)) | decision.astype(np.uint64)
+        order = np.argsort(key)
+        one = Nodes(*(a[order] for a in (key, *(first[c].to_numpy() for c in ("zeros", "ones", "total")))))
+        root = Nodes(*summed(one.key & np.uint64(255), one.zeros, one.ones, one.total))
+        self.levels = []
+        for nodes, size in ((root, 256), (one, 65_536)):
+            estimate, weight = np.full(size, -1.0), np.ones(size)
+            estimate[nodes.key.astype(np.int64)], weight[nodes.key.astype(np.int64)] = nodes.one, nodes.weight
+            self.levels.append((estimate, weight))
+
+
+def code_lengths(gram: np.ndarray, levels: list[Nodes], second: Nodes, upper: list[tuple[np.ndarray, np.ndarray]], depth: int) -> np.ndarray:
+    """Log10 probability of each gram's symbol after its context."""
+    symbol = gram & np.uint64(511)
+    out = np.zeros(len(gram))
+    for rows, decided, bit in decisions(symbol):
+        mix, met = np.full(len(rows), 0.5), np.zeros(len(rows), bool)
+        for d in range(depth, -1, -1):
+            key = ((gram[rows] >> np.uint64(SYMBOL + 8 * (DEPTH - d))) << np.uint64(8)) | decided
+            if d < 2:
+                one, weight = (a[key.astype(np.int64)] for a in upper[d])
+                seen = one >= 0
+            else:
+                nodes = levels[d - 3] if d > 2 else second
+                if not len(nodes.key):
+                    continue
+                at = np.minimum(np.searchsorted(nodes.key, key), len(nodes.key) - 1)
+                one, weight, seen = nodes.one[at], nodes.weight[at], nodes.key[at] == key
+            # The deepest node seen stops for certain; above it the weights mix.
+            mix = np.where(seen, np.where(met, weight * one + (1 - weight) * mix, one), mix)
+            met |= seen
+        out[rows] += np.log10(np.where(bit, mix, 1 - mix))
+    return out
 
 
-def counted_grams(train: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(gram, n) over all training bytes, summed in steps before the exchange."""
+class _Plain:
+    """Nodes that are weighed already."""
+
+    def __init__(self, key: np.ndarray, one: np.ndarray, weight: np.ndarray) -> None:
+        order = np.argsort(key)
+        self.key, self.one, self.weight = key[order], one[order], weight[order]
+
+
+def _measure(depth: int, upper: list[tuple[np.ndarray, np.ndarray]]):
+    """Code lengths of sorted grams. The depth-two nodes of a part stand before its grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = buffer(batch["text"])
-            for _, found in text_grams(data, offsets, depth):
-                gram, n = np.unique(found, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
+        near: dict[int, tuple[np.ndarray, ...]] = {}
+
+        def grams() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                is_node = batch["nodes"].is_valid().to_numpy(zero_copy_only=False)
+                for row in np.flatnonzero(is_node).tolist():
+                    data = np.frombuffer(batch["nodes"][row].as_py(), np.float64).reshape(3, -1)
+                    near[batch["part"][row].as_py()] = tuple(data)
+                yield batch.filter(pa.array(~is_node)).drop_columns(["nodes"])
+
+        for table in whole_groups(grams(), ["third"], ROWS):
+            gram, n = table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy()
+            part = table["part"].to_numpy()
+            found = [(np.uint64(p << 8) | near[p][0].astype(np.uint64), *near[p][1:]) for p in np.unique(part).tolist() if p in near]
+            empty = (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
+            second = _Plain(*(np.concatenate(c) for c in zip(empty, *found, strict=True)))
+            length = code_lengths(gram, subtrees(gram, n, depth), second, upper, depth)
+            yield pa.RecordBatch.from_arrays(
+                [table["gram"].combine_chunks(), table["n_all"].combine_chunks(), pa.array(length.astype(np.float32))],
+                names=["gram", "n_all", "length"],
+            )
+            for p in [p for p in near if p < part[-1]]:
+                del near[p]
 
-    return train.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return run
+
+
+def fit(named: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(gram, n_all, length): the code length of every distinct gram of all texts, learned from those not held out."""
+    counted = written(counted_grams(named, depth))
+    third = F.shiftrightunsigned("gram", SYMBOL + 8 * (DEPTH - 3)).alias("third")
+    rows = counted.select("part", third, "gram", "n", "n_all")
+    in_order = rows.filter("n > 0").repartition("part").sortWithinPartitions("part", "gram")
+    second = written(in_order.mapInArrow(_weigh(depth), _SECOND))
+    upper = Upper(second).levels
 
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [np.array(row, float).tobytes() for row in zip(*(batch[c].to_pylist() for c in ("decision", "one", "weight")), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["part"], pa.array(data, pa.binary())], names=["part", "nodes"])
+
+    # At most 256 decisions to a part.
+    lists = second.groupBy("part").agg(
+        F.array_sort(F.collect_list(F.struct("decision", "one", "weight"))).alias("all")
+    ).select("part", F.col("all.decision").cast("array<double>").alias("decision"), F.col("all.one").alias("one"), F.col("all.weight").alias("weight"))
+    nodes = lists.mapInArrow(packed, "part int, nodes binary")
+    together = rows.unionByName(nodes, allowMissingColumns=True)
+    walked = together.repartition("part").sortWithinPartitions("part", F.asc_nulls_first("gram"))
+    return written(walked.mapInArrow(_measure(depth, upper), "gram long, n_all long, length float"))
+
+
+# --- lookup --------------------------------------------------------------------------------------------
+
+
+class Lengths:
+    """Code lengths of frequent grams in an open hash table."""
+
+    def __init__(self, gram: np.ndarray, length: np.ndarray) -> None:
+        self.bits = max(8, int(2 * len(gram)).bit_length())
+        size = 1 << self.bits
+        self.key, self.length = np.full(size, _NONE, np.uint64), np.zeros(size, np.float32)
+        left, at = np.arange(len(gram)), self._at(gram)
+        while len(left):
+            free = self.key[at] == _NONE
+            # Of several grams at one free place the first takes it; the others go one on.
+            _, first = np.unique(at, return_index=True)
+            takes = np.zeros(len(left), bool)
+            takes[first] = free[first]
+            self.key[at[takes]], self.length[at[takes]] = gram[left[takes]], length[left[takes]]
+            left, at = left[~takes], (at[~takes] + 1) & (size - 1)
+
+    def _at(self, gram: np.ndarray) -> np.ndarray:
+        return (gram * _MIX >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, gram: np.ndarray) -> np.ndarray:
+        """Lengths, NaN for grams that are not in the table."""
+        at = self._at(gram)
+        key = self.key[at]
+        out = self.length[at]
+        left = np.flatnonzero(key != gram)
+        while len(left):
+            gone = self.key[at[left]] == _NONE
+            out[left[gone]] = np.nan
+            left = left[~gone]
+            at[left] = (at[left] + 1) & (len(self.key) - 1)
+            hit = self.key[at[left]] == gram[left]
+            out[left[hit]] = self.length[at[left[hit]]]
+            left = left[~hit]
+        return out
 
-def fit(train: DataFrame, depth: int = DEPTH, bits: int = SLOT_BITS) -> Model:
-    """Context-tree weighting of all training text. The result's size depends on the parameters only."""
-    nodes = written(node_counts(written(counted_grams(train, depth)), depth, bits))
-    return gathered(weighted_nodes(nodes, depth), bits)
+
+def frequent(lengths: DataFrame, most: int = TABLE) -> tuple[np.ndarray, np.ndarray]:
+    """Grams and code lengths of the most frequent grams: as many whole powers of two of their count as fit ``most``."""
+    power = F.floor(F.log2("n_all")).cast("int")
+    sizes = {r[0]: r[1] for r in lengths.groupBy(power.alias("power")).count().collect()}
+    least, total = 64, 0
+    while least > 0 and total + sizes.get(least - 1, 0) <= most:
+        least -= 1
+        total += sizes.get(least, 0)
+    found = lengths.filter(power >= least).select("gram", "length").toArrow()
+    return found["gram"].to_numpy().view(np.uint64), found["length"].to_numpy()
 
 
 def tokens(text: str) -> list[bytes]:
-    """Words with A-Z lowered."""
-    return text.encode().lower().split()
+    """Words with A-Z lowered; a longer one than ``WORD_BYTES`` is a space and its digest, which no word is."""
+    words = text.encode().lower().split()
+    if len(text) > WORD_BYTES and max(map(len, words), default=0) > WORD_BYTES:
+        words = [w if len(w) <= WORD_BYTES else b" " + hashlib.blake2b(w, digest_size=16).digest() for w in words]
+    return words
 
 
 def counted_words(train: DataFrame) -> DataFrame:
@@ -263,12 +394,13 @@ def counted_words(train: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                seen.update(tokens(text))
-                seen[END] += 1
-                if len(seen) > 300_000:
-                    yield _word_rows(seen)
-                    seen.clear()
+            for low in range(0, len(batch), 64):
+                for text in batch["text"].slice(low, 64).to_pylist():
+                    seen.update(tokens(text))
+                    seen[END] += 1
+                    if len(seen) > 300_000:
+                        yield _word_rows(seen)
+                        seen.clear()
         if seen:
             yield _word_rows(seen)
 
@@ -279,77 +411,103 @@ def _word_rows(seen: dict[bytes, int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
 
-SCORED = "id long, doc_id long, held_out boolean, n_tokens long, n_known long, common double, score double, word binary, times long"
+# One row for a text, then one for each other word and each other gram it has.
+SCORED = "id long, doc_id long, held_out boolean, n_tokens long, n_known long, common double, score double, word binary, gram long, times long"
 
 
-def _score_rows(common, model):
-    """Per text one row with the sums over its common words and bytes, then a row for each other word."""
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64()]
+def _score_rows(common, table, depth: int):
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64(), pa.int64()]
     names = [part.split()[0] for part in SCORED.split(", ")]
+    key = uuid.uuid4().hex
+
+    def batch_of(columns: dict[str, list | np.ndarray], size: int) -> pa.RecordBatch:
+        arrays = [pa.array(columns[name], kind) if name in columns else pa.nulls(size, kind) for name, kind in zip(names, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, (key, ones, weight, bits) = common.value, model.value
-        length = kept_by_worker("tree weights", key, lambda: Model(ones, weight, bits))
+        known = common.value
+        lengths = kept_by_worker("code lengths", key, lambda: Lengths(*table.value))
         for batch in batches:
             data, offsets = buffer(batch["text"])
+            place = batch["id"].to_numpy()
             score = np.zeros(len(batch))
-            for row, found in text_grams(data, offsets, length.depth):
-                score += np.bincount(row, length.remembered(found), len(batch))
-            for at in range(0, len(batch), 1000):
+            for row, gram in text_grams(data, offsets, depth):
+                found = lengths.find(gram)
+                other = np.flatnonzero(np.isnan(found))
+                found[other] = 0
+                score += np.bincount(row, found, len(batch))
+                if len(other):
+                    pairs, times = np.unique(np.stack([row[other].astype(np.uint64), gram[other]]), axis=1, return_counts=True)
+                    yield batch_of({"id": place[pairs[0].astype(np.int64)], "gram": pairs[1].view(np.int64), "times": times}, len(times))
+            for low in range(0, len(batch), 64):
+                part = batch.slice(low, 64)
                 rows: list[tuple] = []
-                part = batch.slice(at, 1000)
-                for i, (place, doc_id, held, text) in enumerate(zip(*(part[name].to_pylist() for name in ("id", "doc_id", "held_out", "text")), strict=True)):
+                rare: list[tuple] = []
+                for i, text in enumerate(part["text"].to_pylist()):
                     words = tokens(text)
                     words.append(END)
                     logs = list(map(known.get, words))
-                    rare = Counter([w for w, one in zip(words, logs, strict=True) if one is None]) if None in logs else {}
-                    n_known = len(words) - sum(rare.values())
-                    rows.append((place, doc_id, held, len(words), n_known, sum(one for one in logs if one is not None), float(score[at + i]), None, None))
-                    rows += [(place, None, None, None, None, None, None, word, times) for word, times in rare.items()]
-                yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                    missing = Counter([w for w, one in zip(words, logs, strict=True) if one is None]) if None in logs else {}
+                    rows.append((len(words), len(words) - sum(missing.values()), sum(one for one in logs if one is not None)))
+                    rare += [(int(place[low + i]), word, times) for word, times in missing.items()]
+                n_tokens, n_known, sums = zip(*rows, strict=True)
+                yield batch_of(
+                    {
+                        "id": place[low : low + len(part)], "doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": n_tokens,
+                        "n_known": n_known, "common": sums, "score": score[low : low + len(part)],
+                    },
+                    len(part),
+                )
+                if rare:
+                    ids, words, times = zip(*rare, strict=True)
+                    yield batch_of({"id": ids, "word": words, "times": times}, len(ids))
 
     return run
 
 
-def score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH, bits: int = SLOT_BITS, words: int = WORDS) -> DataFrame:
+def score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH, words: int = WORDS, table: int = TABLE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
-    ``score`` is the model's log10 probability of the text's bytes (0 for an empty text), ``base_score`` that of
+    ``score`` is the model's log10 probability of the text, its end included; ``base_score`` that of
     its tokens under add-one word counts. Both learn from the rows whose fold is not ``held``; a
-    null id has the fold of the empty text. Null text is empty. Equal rows are scored each.
+    null id has the fold of the empty text. Null text is empty. Equal rows count and are scored each.
+    No rows give no rows; further columns are left out, whatever their names. ``depth`` is 3 to 5;
+    ``words`` and ``table`` bound what is broadcast and change no result.
     """
+    if not 3 <= depth <= DEPTH:
+        raise ValueError("depth is 3 to 5")
     spark: SparkSession = docs.sparkSession
     named = texts(docs, (fold("doc_id", folds) == held).alias("held_out"))
-    train = named.filter(~F.col("held_out"))
-    fitted = fit(train, depth, bits)
-    model = spark.sparkContext.broadcast((uuid.uuid4().hex, fitted.ones, fitted.weight, bits))
+    lengths = fit(named, depth)
+    codes = spark.sparkContext.broadcast(frequent(lengths, table))
 
-    vocabulary = written(counted_words(train))
+    vocabulary = written(counted_words(named.filter(~F.col("held_out"))))
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     divisor = float(total + distinct + 1)
     log = F.log10((F.col("n") + 1) / F.lit(divisor))
-    short = vocabulary.filter(F.octet_length("word") <= WORD_BYTES)
-    frequent = short.orderBy(F.col("n").desc(), "word").limit(words).select("word", log.alias("log")).toPandas()
-    common = spark.sparkContext.broadcast(dict(zip(map(bytes, frequent["word"]), frequent["log"].tolist(), strict=True)))
-
-    scored = written(
-        named.select("doc_id", "held_out", "text", F.monotonically_increasing_id().alias("id")).select("id", "doc_id", "held_out", "text").mapInArrow(_score_rows(common, model), SCORED)
-    )
-    # A number per row joins the sums of its other words; they are written, so the number stays.
-    rare = scored.filter(F.col("word").isNotNull()).select("id", "word", "times")
-    other = (
-        rare.join(vocabulary, "word", "left")
-        .groupBy("id")
-        .agg(
-            F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(divisor))).alias("rare"),
-            F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(F.lit(0))).alias("rare_known"),
-        )
+    usual = vocabulary.orderBy(F.col("n").desc(), "word").limit(words).select("word", log.alias("log")).toPandas()
+    common = spark.sparkContext.broadcast(dict(zip(map(bytes, usual["word"]), usual["log"].tolist(), strict=True)))
+
+    # A number per row joins the sums of its other words and grams; the rows are written, so it stays.
+    numbered = named.select("doc_id", "held_out", "text", F.monotonically_increasing_id().alias("id"))
+    scored = written(numbered.select("id", "doc_id", "held_out", "text").mapInArrow(_score_rows(common, codes, depth), SCORED))
+    by_word = scored.filter(F.col("word").isNotNull()).select("id", "word", "times").join(vocabulary, "word", "left")
+    times = F.col("times")
+    more_words = by_word.select(
+        "id",
+        (times * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(divisor))).alias("rare"),
+        F.when(F.col("n").isNotNull(), times).otherwise(F.lit(0)).alias("rare_known"),
+        F.lit(0.0).alias("rest"),
     )
+    by_gram = scored.filter(F.col("gram").isNotNull()).select("id", "gram", "times").join(lengths.select("gram", "length"), "gram")
+    more_grams = by_gram.select("id", F.lit(0.0).alias("rare"), F.lit(0).cast("long").alias("rare_known"), (times * F.col("length")).alias("rest"))
+    other = more_words.unionByName(more_grams).groupBy("id").agg(*(F.sum(c).alias(c) for c in ("rare", "rare_known", "rest")))
     return (
-        scored.filter(F.col("word").isNull())
+        scored.filter(F.col("word").isNull() & F.col("gram").isNull())
         .join(other, "id", "left")
         .select(
             "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(total).cast("long").alias("train_tokens"), (F.col("common") + F.coalesce("rare", F.lit(0.0))).alias("base_score"), "score",
+            F.lit(total).cast("long").alias("train_tokens"), (F.col("common") + F.coalesce("rare", F.lit(0.0))).alias("base_score"),
+            (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"),
         )
     )

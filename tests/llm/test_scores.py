@@ -7,6 +7,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from palaver.llm import toxicity, treeweights
 
@@ -16,30 +18,34 @@ def estimate(a, b):
 
 
 def plain_scores(train, texts, depth):
-    """Log10 probabilities by a dictionary tree without shared slots."""
+    """Log10 probabilities by a dictionary tree."""
     counts = defaultdict(lambda: [0, 0])
 
     def steps(text):
-        data = b"\0" * depth + text.encode()
-        for i in range(depth, len(data)):
-            for place in range(8):
-                decided = (1 << place) | (data[i] >> (8 - place))
-                yield decided, data[i - depth : i], data[i] >> (7 - place) & 1
+        data = text.encode()
+        padded = b"\0" * depth + data
+        for i in range(len(data) + 1):
+            context = padded[i : i + depth]
+            yield 0, context, int(i == len(data))
+            for place in range(8 if i < len(data) else 0):
+                yield (1 << place) | (data[i] >> (8 - place)), context, data[i] >> (7 - place) & 1
 
     for text in train:
         for decided, context, bit in steps(text):
             for d in range(depth + 1):
                 counts[decided, context[depth - d :]][bit] += 1
-    total, weight = {}, {}
+    total, weight, split = {}, {}, defaultdict(float)
     for (decided, context), (a, b) in sorted(counts.items(), key=lambda x: -len(x[0][1])):
         own = estimate(a, b)
         if len(context) == depth:
             total[decided, context], weight[decided, context] = own, 1.0
         else:
-            split = sum(total[decided, c] for byte in range(256) if (decided, c := bytes([byte]) + context) in total)
-            high = max(own, split)
-            value = high + math.log(0.5 * math.exp(own - high) + 0.5 * math.exp(split - high))
+            below = split[decided, context]
+            high = max(own, below)
+            value = high + math.log(0.5 * math.exp(own - high) + 0.5 * math.exp(below - high))
             total[decided, context], weight[decided, context] = value, 0.5 * math.exp(own - value)
+        if context:
+            split[decided, context[1:]] += total[decided, context]
     out = []
     for text in texts:
         score = 0.0
@@ -59,48 +65,107 @@ def plain_scores(train, texts, depth):
     return out
 
 
-def test_scores_equal_a_plain_tree(spark):
-    rng = random.Random(8)
-    rows = [(i, " ".join(rng.choice(["the", "tree", "oft", "é", "Of"]) for _ in range(rng.randint(0, 30)))) for i in range(60)] + [(60, None), (None, "null id")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    found = {r.doc_id: r for r in treeweights.score(docs, depth=2, bits=24, words=3).collect()}
-    held = {i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2 for i, _ in rows}
-    texts = {i: t or "" for i, t in rows}
-    train = [texts[i] for i in texts if not held[i]]
-    plain = dict(zip(texts, plain_scores(train, texts.values(), 2), strict=True))
-    words = lambda t: t.encode().lower().split() + [b" "]
-    counts = Counter(w for t in train for w in words(t))
-    total, distinct = sum(counts.values()), len(counts)
-    assert len(found) == len(rows)
-    for i, text in texts.items():
-        row = found[i]
-        assert row.held_out == held[i] and row.train_tokens == total and row.n_tokens == len(words(text))
-        assert row.n_known == sum(counts[w] > 0 for w in words(text))
-        assert math.isclose(row.base_score, sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in words(text)), rel_tol=1e-9)
-        assert math.isclose(row.score, plain[i], rel_tol=2e-3, abs_tol=1e-6)  # weights are kept in 16 bits
+def words_of(text):
+    return text.encode().lower().split() + [b" "]
 
 
-def test_probabilities_add_up_to_one(spark):
-    docs = spark.createDataFrame([(1, "abracadabra, abrakadabra")], "doc_id long, text string")
-    model = treeweights.fit(docs, depth=3, bits=18)
-    context = np.uint64(int.from_bytes(b"xabr", "big"))
-    grams = (context << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-    assert abs((10 ** model.code_length(grams)).sum() - 1) < 1e-6
-    assert np.allclose(model.remembered(grams), model.code_length(grams), atol=1e-5)
+@pytest.mark.parametrize("options", [{}, {"table": 40, "words": 3}, {"table": 0, "words": 0}, {"depth": 3, "table": 200}])
+def test_scores_equal_a_plain_tree(spark, monkeypatch, options):
+    """At the registered depth, with a held table of all, some and no grams and words; subtrees come in many tables."""
+    monkeypatch.setattr(treeweights, "ROWS", 50)
+    monkeypatch.setattr(treeweights, "MERGE", 60)
+    rng = random.Random(8)
+    long = "x" * 70
+    rows = [(i, " ".join(rng.choice(["the", "tree", "oft", "é", "Of", "o\0f", long]) for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    rows += [(60, None), (None, "null id"), (61, ""), (62, " "), (63, "漢字 unseen ÿ"), (64, "\0\0"), (1, "the same id"), (2, rows[2][1])]
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, word string, gram long").repartition(4)
+    found = treeweights.score(docs, **options)
+    assert found.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    held = [zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2 for i, _ in rows]
+    texts = [t or "" for _, t in rows]
+    train = [t for t, aside in zip(texts, held, strict=True) if not aside]
+    plain = plain_scores(train, texts, options.get("depth", treeweights.DEPTH))
+    counts = Counter(w for t in train for w in words_of(t))
+    total, distinct = sum(counts.values()), len(counts)
+    expected = []
+    for (i, _), text, aside, score in zip(rows, texts, held, plain, strict=True):
+        base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in words_of(text))
+        known = sum(counts[w] > 0 for w in words_of(text))
+        expected.append((-1 if i is None else i, aside, len(words_of(text)), known, total, base, score))
+    got = [tuple(-1 if x is None else x for x in r) for r in found.collect()]
+    assert len(got) == len(rows) and any(held) and not all(held)
+    for one, other in zip(sorted(got), sorted(expected), strict=True):
+        assert one[:5] == other[:5]
+        assert math.isclose(one[5], other[5], rel_tol=1e-9) and math.isclose(one[6], other[6], rel_tol=1e-5), (one, other)
+
+
+def test_probabilities_of_texts_add_up_to_at_most_one(spark):
+    """Over all texts of up to two letters of four, and the empty one; every other text has a share of the rest."""
+    train = ["ab", "ba", "", "a", "abab", "b"] * 3
+    letters = "ab\0é"
+    asked = [""] + list(letters) + [x + y for x in letters for y in letters]
+    rows = [(i, t) for i, t in enumerate(train) if zlib.crc32(str(i).encode()) % 7 != 2]
+    number = (i for i in itertools.count(1000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    held = {next(number): text for text in asked}
+    docs = spark.createDataFrame(rows + list(held.items()), "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in treeweights.score(docs).collect() if r.doc_id in held}
+    shares = {held[i]: 10**score for i, score in scores.items()}
+    assert 0.2 < sum(shares.values()) <= 1 and 0 < shares[""] < 0.5
+
+
+def test_each_context_shares_out_one(spark):
+    """The 257 symbols after any context, seen or not, have probabilities that add up to one."""
+    docs = spark.createDataFrame([(i, "abracadabra, abrakadabra" * (i % 3)) for i in range(20)], "doc_id long, text string")
+    contexts = [b"dabra", b"xabra", b"zzzzz", b"\0\0\0\0\0", b"\0\0abr"]
+    base = [sum(b << (treeweights.SYMBOL + 8 * i) for i, b in enumerate(c)) for c in contexts]
+    grams = np.sort((np.array(base, np.uint64)[:, None] | np.arange(257, dtype=np.uint64)).ravel())
+    named = docs.selectExpr("doc_id", "text", "false AS held_out")
+    seen = {r.gram: r for r in treeweights.counted_grams(named).collect()}
+    rows = [(g >> 33, g >> 25, g, seen[g].n if g in seen else 0) for g in set(seen) | set(grams.tolist())]
+    counted = spark.createDataFrame(rows, "part int, third long, gram long, n long").withColumn("n_all", F.col("n") + 1)
+    second = counted.filter("n > 0").repartition("part").sortWithinPartitions("part", "gram").mapInArrow(treeweights._weigh(5), treeweights._SECOND)
+    upper = treeweights.Upper(second).levels
+    near = second.toPandas()
+    key = (near["part"].to_numpy().astype(np.uint64) << np.uint64(8)) | near["decision"].to_numpy().astype(np.uint64)
+    nodes = treeweights._Plain(key, near["one"].to_numpy(), near["weight"].to_numpy())
+    every = np.array(sorted(r[2] for r in rows), np.uint64)
+    n = np.array([seen[g].n if g in seen else 0 for g in every.tolist()])
+    length = dict(zip(every.tolist(), treeweights.code_lengths(every, treeweights.subtrees(every, n, 5), nodes, upper, 5), strict=True))
+    for start in base:
+        assert abs(sum(10 ** length[start | s] for s in range(257)) - 1) < 1e-9
 
 
 def test_grams_do_not_depend_on_steps(monkeypatch):
-    parts = [b"", b"a", b"some bytes", b"xy" * 40]
+    parts = [b"", b"a", b"some bytes", b"xy" * 40, b""]
     data, offsets = np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
-    whole = np.concatenate([g for _, g in treeweights.text_grams(data, offsets)])
-    expected = [int.from_bytes((b"\0" * 8 + p)[i + 8 - treeweights.DEPTH : i + 9], "big") for p in parts for i in range(len(p))]
-    assert whole.tolist() == expected
+
+    def rows():
+        found = [(r, g) for row, gram in treeweights.text_grams(data, offsets) for r, g in zip(row.tolist(), gram.tolist(), strict=True)]
+        return sorted(found)
+
+    expected = []
+    for r, p in enumerate(parts):
+        padded = b"\0" * 5 + p
+        for i in range(len(p) + 1):
+            context = sum(b << (9 + 8 * k) for k, b in enumerate(padded[i : i + 5]))
+            expected.append((r, context | (p[i] if i < len(p) else 256)))
+    assert rows() == sorted(expected)
     monkeypatch.setattr(treeweights, "STEP", 7)
-    assert np.concatenate([g for _, g in treeweights.text_grams(data, offsets)]).tolist() == expected
+    assert rows() == sorted(expected)
+
+
+def test_lookup_table_is_exact():
+    rng = np.random.default_rng(5)
+    gram = np.unique(rng.integers(0, 2**49, 5000).astype(np.uint64))
+    length = rng.random(len(gram)).astype(np.float32)
+    table = treeweights.Lengths(gram[::2], length[::2])
+    found = table.find(gram)
+    assert (found[::2] == length[::2]).all() and np.isnan(found[1::2]).all()
+    assert np.isnan(treeweights.Lengths(gram[:0], length[:0]).find(gram)).all()
 
 
 def test_scores_of_nothing(empty):
-    assert treeweights.score(empty, depth=2, bits=16).collect() == []
+    assert treeweights.score(empty).collect() == []
 
 
 def plain_kernel(s, t, order=3, decay=toxicity.DECAY):
