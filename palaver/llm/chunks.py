@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palaver.llm.common import NO_ID, SPACES, buffer, mixed, sliding_min, texts
@@ -130,7 +130,7 @@ def _kept(batch: pa.RecordBatch, least: int) -> list[tuple[int, int, int, str]]:
     """(bytes, removed bytes, removed passages, kept text) of every row."""
     data, row, begin, end, digest = _chunked(batch)
     _, offsets = buffer(batch["text"])
-    again = _again(row, digest[:, 0], batch["_seen"])
+    again = _again(row, digest[:, 0], batch["seen"])
     cuts = np.searchsorted(row, np.arange(len(batch) + 1))
     out = []
     for r in range(len(batch)):
@@ -165,11 +165,11 @@ def _apply(least: int):
     return run
 
 
-def _replace(least: int, columns: list[str]):
+def _replace(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = pa.array([text for *_, text in _kept(batch, least)], pa.string())
-            yield pa.RecordBatch.from_arrays([kept if name == "text" else batch[name] for name in columns], names=columns)
+            yield pa.RecordBatch.from_arrays([kept, batch["row"]], names=["text", "row"])
 
     return run
 
@@ -206,35 +206,47 @@ def remove_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     The first document (smallest doc_id, null smallest) keeps a passage. Null text is empty and
     stays empty. Rows that share an id do not remove from each other. Texts stay valid UTF-8.
-    A chunk's 128-bit digest decides who owns it; inside a document its first half names it.
+    A chunk's 128-bit digest decides who owns it; inside a document its first half names it. Further
+    columns are left out, whatever their names.
     """
-    return _told(texts(docs)).mapInArrow(_apply(least), RESULT)
+    return _told(texts(docs, _own())).mapInArrow(_apply(least), RESULT)
+
+
+def _own() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("own")
 
 
 def _told(named: DataFrame) -> DataFrame:
-    """Rows with a text column, joined with the list ``_seen`` of chunks that an earlier document has."""
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    ids = named.withColumn("_id", own)
-    members = ids.select(F.col("_id").alias("id"), "text").mapInArrow(_members, "id long, high long, low long, seen array<long>")
+    """Rows with ``own`` and ``text``, joined with the list ``seen`` of chunks that an earlier document has."""
+    members = named.select(F.col("own").alias("id"), "text").mapInArrow(_members, "id long, high long, low long, seen array<long>")
     owner = F.min("id").over(Window.partitionBy("high", "low"))
     judged = (
         members.withColumn("owner", owner)
         .filter(F.col("seen").isNotNull() | (F.col("id") > F.col("owner")))
         .select("id", F.coalesce("seen", F.array("high")).alias("seen"))
     )
-    seen = judged.groupBy(F.col("id").alias("_id")).agg(F.flatten(F.collect_list("seen")).alias("_seen"))
-    return ids.join(seen, "_id", "left")
+    seen = judged.groupBy(F.col("id").alias("own")).agg(F.flatten(F.collect_list("seen")).alias("seen"))
+    return named.join(seen, "own", "left")
 
 
 def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """All columns of ``docs`` with the kept text, and n_chars to match; rows left without a word go.
 
-    Null text counts as empty.
+    Null text counts as empty, a null id as the smallest; rows that share an id do not remove from each
+    other. An empty table stays empty. Columns may have any names.
     """
-    clean = docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    told = _told(clean)
-    schema = told.drop("_id", "_seen").schema
-    kept = told.mapInArrow(_replace(least, schema.names), schema)
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.filter(F.btrim("text", F.lit(SPACES)) != "").select(*docs.columns)
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_chars")]
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    # The caller's other columns travel as one value, so that no name of ours meets one of theirs.
+    told = _told(docs.select(_own(), text, F.struct(*others).alias("row")))
+    kept = told.mapInArrow(_replace(least), told.select("text", "row").schema)
+    kept = kept.filter(F.btrim("text", F.lit(SPACES)) != "")
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            return F.length("text").cast(docs.schema["n_chars"].dataType).alias(name)
+        return F.col("row").getField(name).alias(name)
+
+    return kept.select(*map(column, docs.columns))

@@ -182,22 +182,27 @@ def repeated(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     """The rows of ``docs``, each as often as the mix takes it (not at all, once or more), with all their columns.
 
     Documents are never split. Equal rows (id, source and text) share their number of copies evenly, in whole
-    copies: such rows are interchangeable, so the first of them are repeated once more.
+    copies: such rows are interchangeable, so the first of them are repeated once more. Null ids, sources
+    and texts are values like any other; a document without words is taken as its source's share
+    says. An empty table stays empty. Columns may have any names.
     """
     taken = (
         mix(docs, weights, share, most, whole=True)
         .groupBy("doc_id", "source", "text_key")
-        .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-        .select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("text_key").alias("_key"), "_copies", "_rows")
+        .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+        .select(F.col("doc_id").alias("taken_id"), F.col("source").alias("taken_source"), F.col("text_key").alias("taken_key"), "copies", "rows")
     )
-    keyed = docs.withColumn("_text", F.xxhash64(F.col("text").cast("string")))
-    same = (
-        keyed["doc_id"].cast("long").eqNullSafe(taken["_doc"])
-        & keyed["source"].cast("string").eqNullSafe(taken["_source"])
-        & (keyed["_text"] == taken["_key"])
+    # The caller's row travels as one value, so that no name of ours meets one of theirs.
+    keyed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     )
+    same = F.col("doc_id").eqNullSafe(F.col("taken_id")) & F.col("source").eqNullSafe(F.col("taken_source")) & (F.col("text_key") == F.col("taken_key"))
     # Sum of copies over equal rows = whole copies per row, and one more for the first of them.
-    turn = F.when(F.col("_rows") > 1, F.row_number().over(Window.partitionBy("_doc", "_source", "_key").orderBy("_key"))).otherwise(1)
-    each = F.floor(F.col("_copies") / F.col("_rows")) + (turn <= F.col("_copies") % F.col("_rows")).cast("int")
-    counted = keyed.join(taken, same).withColumn("_each", each.cast("int"))
-    return counted.filter("_each > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*docs.columns)
+    order = Window.partitionBy("taken_id", "taken_source", "taken_key").orderBy("taken_key")
+    turn = F.when(F.col("rows") > 1, F.row_number().over(order)).otherwise(1)
+    each = F.floor(F.col("copies") / F.col("rows")) + (turn <= F.col("copies") % F.col("rows")).cast("int")
+    counted = keyed.join(taken, same).select("row", each.cast("int").alias("each")).filter("each > 0")
+    return counted.select("row", F.explode(F.sequence(F.lit(1), F.col("each")))).select("row.*")

@@ -10,7 +10,6 @@ its rows are dealt to pairs of child nodes, level by level, until every pair fit
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -20,15 +19,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import NO_ID, mixed, texts, written
+from palaver.llm.common import NO_ID, texts, written
 
 BITS = 64
-#: Choices of two of eight bytes.
-PAIRS = list(combinations(range(8), 2))
 #: Fingerprints of a trie that one task walks.
 GROUP = 20_000
-#: The same for fingerprints of several words, where copies prune each other.
-WIDE_GROUP = 100_000
 #: Bits of one split of a large trie.
 STEP = 4
 #: Pairs of one task after which they become stars; bounds the memory for large groups of copies.
@@ -42,16 +37,11 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
 
     A-Z are lowered. A text with fewer words than a shingle is one shingle; without words it is 0.
     """
-    return fingerprint_words(text, shingle, seed)[0]
-
-
-def fingerprint_words(text: str, shingle: int = 3, seed: int = 42, count: int = 1) -> list[int]:
-    """``count`` SimHash words of 64 bits; the first uses the hash itself, the others spread it anew."""
-    ones, size = np.zeros((count, BITS), np.int64), 0
+    ones, size = np.zeros(BITS, np.int64), 0
     for hashes in _hashes(text, shingle, seed):
-        ones += _set_bits(hashes, count)
+        ones += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
         size += len(hashes)
-    return _majority(ones, size)
+    return int.from_bytes(np.packbits(2 * ones > size).tobytes(), "big")
 
 
 def _hashes(text: str, shingle: int, seed: int) -> Iterator[np.ndarray]:
@@ -72,32 +62,6 @@ def _hashes(text: str, shingle: int, seed: int) -> Iterator[np.ndarray]:
         yield np.array(part, np.uint64)
 
 
-def _set_bits(hashes: np.ndarray, count: int) -> np.ndarray:
-    """(count, 64): how many hashes have each bit of each word."""
-    ones = np.zeros((count, BITS), np.int64)
-    for i in range(count):
-        spread = mixed(hashes + np.uint64(i)) if i else hashes
-        ones[i] = np.unpackbits(spread.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return ones
-
-
-def _majority(ones: np.ndarray, size: int) -> list[int]:
-    return [int.from_bytes(np.packbits(2 * row > size).tobytes(), "big") for row in ones]
-
-
-def shingle_set(text: str, shingle: int = 5, seed: int = 42) -> np.ndarray:
-    """The distinct shingle hashes of a text, sorted. None without words."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(text, shingle, seed)]))
-
-
-def set_words(shingles: np.ndarray, count: int) -> list[int]:
-    """``count`` SimHash words of a shingle set: every shingle counts once."""
-    ones = np.zeros((count, BITS), np.int64)
-    for at in range(0, len(shingles), CHUNK):
-        ones += _set_bits(shingles[at : at + CHUNK], count)
-    return _majority(ones, len(shingles))
-
-
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long. Null text is the empty text."""
 
@@ -127,25 +91,15 @@ def _top(value: Column, bits: int) -> Column:
     return F.shiftrightunsigned(value, BITS - bits) if bits else F.lit(0).cast("long")
 
 
-def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed: np.ndarray, depth: int, budget: int, frontier: int = 100_000, more: np.ndarray | None = None, total: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """All parts of ``trie_parts`` without labels, as one."""
-    found = list(trie_parts(values, group, side, crossed, depth, budget, frontier, more, total))
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *(x for x, _ in found)]), np.concatenate([none, *(y for _, y in found)])
-
-
-def trie_parts(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed: np.ndarray, depth: int, budget: int, frontier: int = 100_000, more: np.ndarray | None = None, total: int = 0, known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_pairs(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed: np.ndarray, depth: int, budget: int, frontier: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of values in one group that differ in at most ``budget`` bits.
 
-    Rows are sorted by (group, side, value, further words); values of one side agree on the first ``depth``
+    Rows are sorted by (group, side, value); values of one side agree on the first ``depth``
     bits. A group with one side is joined with itself, one with two sides across them;
-    ``crossed`` are the bits that the sides differ in so far. With ``more``, further words of each
-    row, a pair must also differ in at most ``total`` bits of all those words.
+    ``crossed`` are the bits that the sides differ in so far.
 
     The pairs are a spanning part of all: once many are found they become stars, and node pairs
     whose rows are one component already are dropped, so large groups of copies aren't compared pair by pair.
-    With ``known``, a label for each row, the pairs are all those of two labels, and only node pairs
-    of one label are dropped.
     """
     cuts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (side[1:] != side[:-1])])
     ends = np.r_[cuts[1:], len(values)]
@@ -157,15 +111,11 @@ def trie_parts(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
     stack = [(depth, cuts[start[0]], ends[start[0]], cuts[start[1]], ends[start[1]], crossed[cuts[start[0]]].astype(np.int64))]
     found: list[tuple[np.ndarray, np.ndarray]] = []
     zeros: dict[int, np.ndarray] = {}
-    label = np.arange(len(values)) if known is None else known
+    label = np.arange(len(values))
     breaks = np.cumsum(np.r_[0, label[1:] != label[:-1]])
     pending = 0
-    last = BITS if more is None else BITS * (1 + more.shape[1])
     while stack:
-        if pending > SETTLE and known is not None:
-            yield from found
-            found, pending = [], 0
-        elif pending > SETTLE:
+        if pending > SETTLE:
             stars = forest(*(np.concatenate([part[i] for part in found]) for i in (0, 1)))
             found, pending = [stars], 0
             label = np.arange(len(values))
@@ -173,8 +123,7 @@ def trie_parts(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
             breaks = np.cumsum(np.r_[0, label[1:] != label[:-1]])
         bit, a0, a1, b0, b1, gone = stack.pop()
         same = a0 == b0
-        # Rows with an equal first word are told apart by the bits of the further ones.
-        live = (a1 > a0) & (b1 > b0) & (gone <= (budget if bit <= BITS else budget + total)) & ~(same & (a1 - a0 < 2))
+        live = (a1 > a0) & (b1 > b0) & (gone <= budget) & ~(same & (a1 - a0 < 2))
         a0, a1, b0, b1, gone, same = (x[live] for x in (a0, a1, b0, b1, gone, same))
         # Rows of one component on both sides: nothing to find.
         live = (label[a0] != label[b0]) | (breaks[a1 - 1] != breaks[a0]) | (breaks[b1 - 1] != breaks[b0])
@@ -187,32 +136,22 @@ def trie_parts(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
             continue
         # Pairs of small nodes are leaves: compare their values directly.
         small = (a1 - a0) * (b1 - b0) <= 16
-        if bit == last:
+        if bit == BITS:
             small[:] = True
         if small.any():
             x0, x1, y0, y1 = a0[small], a1[small], b0[small], b1[small]
-            if bit == last and known is None:
+            if bit == BITS:
                 x1 = x0 + 1  # rows of a last node are equal: its first row stands for them
             for x, y in _crossings(x0, x1, y0, y1):
                 near = (x < y) & (np.bitwise_count(values[x] ^ values[y]) <= budget)
-                if known is not None:
-                    near &= label[x] != label[y]
-                x, y = x[near], y[near]
-                if more is not None:
-                    near = np.bitwise_count(more[x] ^ more[y]).sum(axis=1, dtype=np.int64) <= total
-                    x, y = x[near], y[near]
-                if len(x):
-                    found.append((x, y))
-                    pending += len(x)
-                if known is not None and pending > SETTLE:
-                    yield from found
-                    found, pending = [], 0
+                if near.any():
+                    found.append((x[near], y[near]))
+                    pending += int(near.sum())
             a0, a1, b0, b1, gone, same = (x[~small] for x in (a0, a1, b0, b1, gone, same))
         if not len(a0):
             continue
         if bit not in zeros:
-            digits = values if bit < BITS else more[:, bit // BITS - 1]
-            zeros[bit] = np.r_[0, np.cumsum((digits >> np.uint64(BITS - 1 - bit % BITS)) & np.uint64(1) == 0)]
+            zeros[bit] = np.r_[0, np.cumsum((values >> np.uint64(BITS - 1 - bit)) & np.uint64(1) == 0)]
         count = zeros[bit]
         am, bm = a0 + count[a1] - count[a0], b0 + count[b1] - count[b0]
         cross = ~same  # of a node with itself, one of the two crossings is enough
@@ -226,7 +165,8 @@ def trie_parts(values: np.ndarray, group: np.ndarray, side: np.ndarray, crossed:
                 np.concatenate([gone, gone, gone + 1, gone[cross] + 1]),
             )
         )
-    yield from found
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *(x for x, _ in found)]), np.concatenate([none, *(y for _, y in found)])
 
 
 def _crossings(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -275,39 +215,9 @@ def links(distinct: DataFrame, budget: int = 2, agree: int = 2, group: int = GRO
     return _self_join(distinct.select("fp", fronts), budget, agree * BITS // blocks, group)
 
 
-def wide_links(distinct: DataFrame, words: list[str], budget: int = 10, total: int = 36, group: int = WIDE_GROUP, label: str | None = None) -> DataFrame:
-    """(a, b): links between fingerprints of several ``words``, with the components of all linked pairs.
-
-    ``distinct`` has one row per fp, any number, with its words. Two are linked if two of the
-    eight bytes of some word agree, that word differs in at most ``budget`` bits, and all words
-    together differ in at most ``total``. With the name of a ``label`` column the links are all
-    linked pairs of two labels, each once, and not only a spanning part of them.
-    """
-    turns = len(PAIRS)
-    carried = [*words, label] if label else words
-    each = distinct.select("fp", *carried, F.posexplode(F.array(*words)).alias("which", "word"))
-    rows = each.select("fp", *carried, "which", _fronts(F.col("word"), 8, 2).alias("turn", "value"))
-    rows = rows.select("fp", *carried, (F.col("which") * turns + F.col("turn")).alias("turn"), "value")
-    return _self_join(rows, budget, 16, group, words, total, label)
-
-
-def _first_turn(more: np.ndarray, x: np.ndarray, y: np.ndarray, budget: int) -> np.ndarray:
-    """The first turn of ``wide_links`` that brings the rows of a linked pair together."""
-    apart = more[x] ^ more[y]
-    same = apart.astype(">u8").view(np.uint8).reshape(len(x), -1, 8) == 0
-    which = ((same.sum(axis=2) >= 2) & (np.bitwise_count(apart) <= budget)).argmax(axis=1)
-    order = np.argsort(~same[np.arange(len(x)), which], axis=1, kind="stable")
-    number = np.zeros((8, 8), np.int64)
-    for i, pair in enumerate(PAIRS):
-        number[pair] = i
-    return which * len(PAIRS) + number[order[:, 0], order[:, 1]]
-
-
-def _self_join(rows: DataFrame, budget: int, depth: int, group: int, words: list[str] | None = None, total: int = 0, label: str | None = None) -> DataFrame:
+def _self_join(rows: DataFrame, budget: int, depth: int, group: int) -> DataFrame:
     """Links from (fp, turn, value) rows whose values may be near only if their first ``depth`` bits agree."""
-    words = words or []
-    carried = [*words, label] if label else words
-    rows = rows.select("fp", *carried, "value", "turn", F.lit(0).alias("side"), F.lit(0).cast("long").alias("flips"))
+    rows = rows.select("fp", "value", "turn", F.lit(0).alias("side"), F.lit(0).cast("long").alias("flips"))
     done: list[DataFrame] = []
     while True:
         # A node pair is named by the path of its first side and the bits its second side flips.
@@ -324,31 +234,31 @@ def _self_join(rows: DataFrame, budget: int, depth: int, group: int, words: list
             break
         done.append(keyed.join(big, ["turn", "node", "flips"], "left_anti"))
         large = written(keyed.join(big.filter("live"), ["turn", "node", "flips"], "left_semi"))
-        rows = _children(large, depth, budget, carried)
+        rows = _children(large, depth, budget)
         depth += STEP
-    edges = [_walk(frame, budget, words, total, label) for frame in done]
+    edges = [_walk(frame, budget) for frame in done]
     out = edges[0]
     for frame in edges[1:]:
         out = out.unionByName(frame)
     return out.distinct()
 
 
-def _children(large: DataFrame, depth: int, budget: int, words: list[str]) -> DataFrame:
+def _children(large: DataFrame, depth: int, budget: int) -> DataFrame:
     """Deal the rows of large node pairs to the pairs of their child nodes, ``STEP`` bits deeper."""
     masks = [m for m in range(1 << STEP) if m.bit_count() <= budget]
     spent = F.bit_count("flips")
     digit = F.shiftrightunsigned("value", BITS - depth - STEP).bitwiseAND(F.lit((1 << STEP) - 1))
     choice = F.explode(F.array(*[F.lit(m).cast("long") for m in masks]))
-    dealt = large.select("fp", *words, "value", "turn", "side", "flips", choice.alias("mask")).filter(spent + F.bit_count("mask") <= budget)
+    dealt = large.select("fp", "value", "turn", "side", "flips", choice.alias("mask")).filter(spent + F.bit_count("mask") <= budget)
     own = F.col("flips") == 0
     # Inside one node, the child with the smaller digit is the first side of a crossing.
     side = F.when(own & (F.col("mask") != 0), (digit > digit.bitwiseXOR(F.col("mask"))).cast("int")).otherwise(F.col("side"))
     return dealt.select(
-        "fp", *words, "value", "turn", side.alias("side"), F.shiftleft("flips", STEP).bitwiseOR(F.col("mask")).alias("flips")
+        "fp", "value", "turn", side.alias("side"), F.shiftleft("flips", STEP).bitwiseOR(F.col("mask")).alias("flips")
     )
 
 
-def _walk(frame: DataFrame, budget: int, words: list[str], total: int, label: str | None = None) -> DataFrame:
+def _walk(frame: DataFrame, budget: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["turn", "node", "flips"], 200_000):
             value, fp = table["value"].to_numpy().view(np.uint64), table["fp"].to_numpy()
@@ -356,26 +266,19 @@ def _walk(frame: DataFrame, budget: int, words: list[str], total: int, label: st
             keys = [table[name].to_numpy() for name in ("turn", "node", "flips")]
             group = np.cumsum(np.r_[False, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
             depth = int(table["depth"][0].as_py()) if len(table) else 0
-            more = np.stack([table[word].to_numpy().view(np.uint64) for word in words], axis=1) if words else None
             crossed = np.bitwise_count(flips.view(np.uint64)).astype(np.int64)
-            if label:
-                known, turn = table[label].to_numpy(), table["turn"].to_numpy()
-                for x, y in trie_parts(value, group, side, crossed, depth, budget, more=more, total=total, known=known):
-                    once = _first_turn(more, x, y, budget) == turn[x]
-                    yield pa.RecordBatch.from_arrays([pa.array(fp[x[once]], pa.int64()), pa.array(fp[y[once]], pa.int64())], names=["a", "b"])
-                continue
-            x, y = trie_pairs(value, group, side, crossed, depth, budget, more=more, total=total)
+            x, y = trie_pairs(value, group, side, crossed, depth, budget)
             places, first = np.unique(fp, return_inverse=True)
             x, y = forest(first[x], first[y])
             yield pa.RecordBatch.from_arrays([pa.array(places[x], pa.int64()), pa.array(places[y], pa.int64())], names=["a", "b"])
 
     order = ["turn", "node", "flips", "side", "value"]
     # Unsigned order of the values is the order of the trie.
-    bits = [F.col(name).bitwiseXOR(F.lit(NO_ID)) for name in ["value", *words]]
+    unsigned = F.col("value").bitwiseXOR(F.lit(NO_ID))
     sorted_rows = (
         frame.repartition("turn", "node", "flips")
-        .sortWithinPartitions(*order[:4], *bits)
-        .select("fp", *words, *([label] if label else []), *order, "depth")
+        .sortWithinPartitions(*order[:4], unsigned)
+        .select("fp", *order, "depth")
     )
     return sorted_rows.mapInArrow(run, "a long, b long")
 
@@ -440,80 +343,44 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataF
 
 def cluster(prints: DataFrame, budget: int = 2) -> DataFrame:
     own = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
-    distinct = written(prints.groupBy("fp").agg(F.min(own).alias("first")))
-    roots = written(components(links(distinct, budget)))
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    table = named.join(smallest, "root").select("fp", "component_id")
-    return prints.join(table, "fp").select("doc_id", "fp", F.expr(f"nullif(component_id, {NO_ID})").alias("component_id"))
-
-
-def one_of_each(docs: DataFrame, shingle: int = 5, count: int = 3, budget: int = 16, total: int = 46) -> DataFrame:
-    """Of each group of near copies one row of ``docs``, with all its columns.
-
-    Two texts are linked if their sets of word shingles have a Jaccard similarity of 0.8 or more.
-    Candidates are pairs near in ``count`` SimHash words, see ``wide_links``; each link is then
-    compared shingle by shingle. The row with the smallest (doc_id, text hash) of a component
-    stays, a null id counting as the smallest; of equal rows one stays, and rows that share only
-    their id are told apart. Texts are read for candidates and fetched for the rows that stay.
-    """
-    words = [f"word_{i}" for i in range(count)]
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    table = roots(prints.select("fp", own.alias("own")), budget)
+    smallest = table.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = table.join(smallest, "root").select("fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", F.expr(f"nullif(component_id, {NO_ID})").alias("component_id"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(text, shingle) for text in batch["text"].to_pylist()]
-            found = np.array([set_words(each, count) for each in sets], np.uint64)
-            columns = [pa.array(row, pa.int64()) for row in found.reshape(-1, count).view(np.int64).T]
-            digest = pa.array([hashlib.blake2b(each.tobytes(), digest_size=16).digest() for each in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["own"], batch["text_hash"], digest, *columns], names=["own", "text_hash", "digest", *words])
-
-    rows = texts(docs, own.alias("own"), text_hash.alias("text_hash")).drop("doc_id")
-    prints = rows.mapInArrow(run, "own long, text_hash long, digest binary, " + ", ".join(f"{word} long" for word in words))
-    first = F.min(F.struct("own", "text_hash")).alias("first")
-    # Equal sets are one row, so that no link rests on SimHash bits alone.
-    distinct = written(prints.groupBy("digest", *words).agg(first).drop("digest").withColumn("fp", F.monotonically_increasing_id()))
-    near = written(wide_links(distinct, words, budget, total))
-    roots = components(near_copies(rows, distinct, near, shingle))
-    # A spanning part of the candidates may fail where other pairs of the same rows would not: all are compared there.
-    label = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("root", "fp")).drop("root")
-    groups = components(near).withColumnRenamed("root", "near_root")
-    members = label.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("near_root", F.coalesce("near_root", "fp"))
-    mixed_groups = members.groupBy("near_root").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    open_rows = written(members.join(mixed_groups, "near_root", "left_semi").select("fp", "first", *words, "label"))
-    if not open_rows.isEmpty():
-        more = written(wide_links(open_rows, words, budget, total, label="label"))
-        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(known.unionByName(near_copies(rows, open_rows, more, shingle)))
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
-    firsts = named.groupBy("root").agg(F.min("first").alias("first")).select("first.own", "first.text_hash")
-    firsts = firsts.select(F.col("own").alias("_own"), F.col("text_hash").alias("_hash"))
-    kept = docs.join(firsts, (own == F.col("_own")) & (text_hash == F.col("_hash")), "left_semi")
-    turn = F.row_number().over(Window.partitionBy(own, text_hash).orderBy(F.lit(0)))
-    return kept.withColumn("_turn", turn).filter("_turn = 1").drop("_turn")
-
-
-def near_copies(rows: DataFrame, distinct: DataFrame, pairs: DataFrame, shingle: int = 5) -> DataFrame:
-    """The (a, b) of ``pairs`` whose shingle sets have a Jaccard similarity of 0.8 or more.
-
-    ``rows`` has own, text_hash and text; ``distinct`` names each fp by the ``first`` of its rows.
+
+def roots(owned: DataFrame, budget: int) -> DataFrame:
+    """(fp, first, root) of (fp, own): the smallest owner of each fingerprint, and its component."""
+    distinct = written(owned.groupBy("fp").agg(F.min("own").alias("first")))
+    linked = written(components(links(distinct, budget)))
+    return distinct.join(linked, distinct["fp"] == linked["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
+    """Of each group of near copies, as ``near_duplicates`` finds them, one row of ``docs`` with all its columns.
+
+    The row with the smallest (doc_id, text hash) of a component stays, a null id counting as the
+    smallest; of equal rows one stays, and rows that share only their id are told apart. Null text is
+    empty; all texts without words are one group. An empty table stays empty. Columns may have any
+    names. Texts are read for their fingerprints, and moved once for the rows that stay.
     """
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("own")
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(text, shingle).view(np.int64) for text in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["fp"], pa.array(sets, pa.list_(pa.int64()))], names=["fp", "shingles"])
-
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    places = distinct.join(asked, "fp", "left_semi").select("fp", "first.own", "first.text_hash")
-    # Rows that are equal are read once.
-    read = rows.join(places, ["own", "text_hash"]).dropDuplicates(["fp"]).select("fp", "text")
-    sets = written(read.mapInArrow(run, "fp long, shingles array<long>"))
-    left = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("a_set"))
-    right = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("b_set"))
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    return pairs.join(left, "a").join(right, "b").filter(9 * both >= 4 * (F.size("a_set") + F.size("b_set"))).select("a", "b")
+            found = np.array([fingerprint(text, shingle) for text in batch["text"].to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64), pa.int64()), batch["own"], batch["text_hash"]], names=["fp", "own", "text_hash"])
+
+    rows = texts(docs, own, text_hash).select("text", "own", "text_hash")
+    prints = rows.mapInArrow(run, "fp long, own long, text_hash long")
+    table = roots(prints.select("fp", F.struct("own", "text_hash").alias("own")), budget)
+    firsts = table.groupBy("root").agg(F.min("first").alias("first")).select("first.own", "first.text_hash")
+    # The caller's row travels as one value, so that no name of ours meets one of theirs.
+    keyed = docs.select(own, text_hash, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    turn = F.row_number().over(Window.partitionBy("own", "text_hash").orderBy(F.lit(0))).alias("turn")
+    kept = keyed.join(firsts, ["own", "text_hash"], "left_semi").select("row", turn)
+    return kept.filter("turn = 1").select("row.*")
 
 
 def hex_digits(fp: Column) -> Column:
