@@ -9,16 +9,16 @@ from palaver.llm.common import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects. Null text has no words and is rejected; columns may have any names."""
     return quality.keep(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest (doc_id, text hash).
 
-    Candidates by three SimHash words; linked are sets of five-word shingles with a Jaccard of 0.8 or more.
+    Near copies: SimHash fingerprints of 3-word shingles that differ in at most 2 bits, and chains of them.
     """
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each(docs, shingle=3, budget=2)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
