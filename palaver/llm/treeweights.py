@@ -37,15 +37,15 @@ from palaver.llm.simhash import whole_groups
 
 DEPTH = 5
 #: Bytes that one numpy step takes.
-STEP = 1 << 20
+STEP = 1 << 19
 #: Distinct grams that a task merges before it hands them on.
-MERGE = 1 << 20
+MERGE = 5 << 19
 #: Rows of the sorted grams that a task works on at a time; a subtree of depth three stays whole.
 ROWS = 200_000
 #: Grams whose code lengths every task holds; 24 bytes each in a worker.
 TABLE = 1_500_000
 #: Most frequent training words whose counts every task holds; other words are joined.
-WORDS = 50_000
+WORDS = 150_000
 #: Longer words are known by their digest, so a word takes no more than this.
 WORD_BYTES = 64
 #: The end of a text among the tokens. A word never holds a space.
@@ -86,8 +86,11 @@ def text_grams(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> Ite
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    key, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-    return key, np.bincount(back, np.concatenate([n for _, n in held]), len(key)).astype(np.int64)
+    key, n = (np.concatenate(column) for column in zip(*held, strict=True))
+    order = np.argsort(key, kind="stable")  # a merge of runs that are sorted already
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[first], np.add.reduceat(n, first)
 
 
 def counted_grams(named: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -110,7 +113,7 @@ def counted_grams(named: DataFrame, depth: int = DEPTH) -> DataFrame:
                 held.append(np.unique((gram << np.uint64(1)) | aside[row], return_counts=True))
                 if sum(len(k) for k, _ in held) > MERGE:
                     held = [_merged(held)]
-                    if len(held[0][0]) > MERGE // 2:
+                    if 2 * len(held[0][0]) > MERGE:
                         yield rows()
                         held = []
         if held:
@@ -381,11 +384,13 @@ def frequent(lengths: DataFrame, most: int = TABLE) -> tuple[np.ndarray, np.ndar
 
 
 def tokens(text: str) -> list[bytes]:
-    """Words with A-Z lowered; a longer one than ``WORD_BYTES`` is a space and its digest, which no word is."""
-    words = text.encode().lower().split()
-    if len(text) > WORD_BYTES and max(map(len, words), default=0) > WORD_BYTES:
-        words = [w if len(w) <= WORD_BYTES else b" " + hashlib.blake2b(w, digest_size=16).digest() for w in words]
-    return words
+    """Words with A-Z lowered."""
+    return text.encode().lower().split()
+
+
+def short(word: bytes) -> bytes:
+    """The word, or a space and its digest if it is longer than ``WORD_BYTES``; no word holds a space."""
+    return word if len(word) <= WORD_BYTES else b" " + hashlib.blake2b(word, digest_size=16).digest()
 
 
 def counted_words(train: DataFrame) -> DataFrame:
@@ -407,7 +412,9 @@ def counted_words(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _word_rows(seen: dict[bytes, int]) -> pa.RecordBatch:
+def _word_rows(seen: Counter) -> pa.RecordBatch:
+    for word in [word for word in seen if len(word) > WORD_BYTES]:
+        seen[short(word)] += seen.pop(word)
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
 
@@ -424,6 +431,15 @@ def _score_rows(common, table, depth: int):
         arrays = [pa.array(columns[name], kind) if name in columns else pa.nulls(size, kind) for name, kind in zip(names, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
+    def rest(place: np.ndarray, row: np.ndarray, gram: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The grams of a step that are not in the table, counted by text. Rows and grams share 64 bits."""
+        low = int(row.min())
+        for at in range(low, int(row.max()) + 1, 1 << 15):
+            own = (row >= at) & (row < at + (1 << 15))
+            pair, times = np.unique(((row[own] - at).astype(np.uint64) << np.uint64(49)) | gram[own], return_counts=True)
+            ids = place[(pair >> np.uint64(49)).astype(np.int64) + at]
+            yield batch_of({"id": ids, "gram": (pair & np.uint64(2**49 - 1)).view(np.int64), "times": times}, len(times))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.value
         lengths = kept_by_worker("code lengths", key, lambda: Lengths(*table.value))
@@ -437,8 +453,7 @@ def _score_rows(common, table, depth: int):
                 found[other] = 0
                 score += np.bincount(row, found, len(batch))
                 if len(other):
-                    pairs, times = np.unique(np.stack([row[other].astype(np.uint64), gram[other]]), axis=1, return_counts=True)
-                    yield batch_of({"id": place[pairs[0].astype(np.int64)], "gram": pairs[1].view(np.int64), "times": times}, len(times))
+                    yield from rest(place, row[other], gram[other])
             for low in range(0, len(batch), 64):
                 part = batch.slice(low, 64)
                 rows: list[tuple] = []
@@ -447,9 +462,18 @@ def _score_rows(common, table, depth: int):
                     words = tokens(text)
                     words.append(END)
                     logs = list(map(known.get, words))
-                    missing = Counter([w for w, one in zip(words, logs, strict=True) if one is None]) if None in logs else {}
-                    rows.append((len(words), len(words) - sum(missing.values()), sum(one for one in logs if one is not None)))
-                    rare += [(int(place[low + i]), word, times) for word, times in missing.items()]
+                    total, n_known = sum(filter(None, logs)), len(words)  # no logarithm is zero
+                    if None in logs:
+                        missing = Counter([w for w, one in zip(words, logs, strict=True) if one is None])
+                        for word, times in missing.items():
+                            word = short(word)
+                            log = known.get(word)
+                            if log is None:
+                                rare.append((int(place[low + i]), word, times))
+                                n_known -= times
+                            else:
+                                total += times * log
+                    rows.append((len(words), n_known, total))
                 n_tokens, n_known, sums = zip(*rows, strict=True)
                 yield batch_of(
                     {
