@@ -1,10 +1,13 @@
 """Language identification and winnowing against plain versions."""
 
 import hashlib
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from palaver.llm import language, winnow
 
@@ -34,6 +37,48 @@ def test_language_without_training_rows(spark, empty):
     assert [tuple(r) for r in language.identify(rows).collect()] == [(1, zlib.crc32(b"1") % 3 == 1, "und", 0.0)]
 
 
+@pytest.mark.parametrize("many", [3, 700])
+def test_equals_plain_naive_bayes(spark, monkeypatch, many):
+    """Over few languages, and over more than one table of full width holds."""
+    monkeypatch.setattr(language, "TABLE_BYTES", 1 << 22)
+    rng = random.Random(many)
+    names = [f"l{i:03d}" for i in range(many)]
+    rows = [(i, "".join(rng.choice(f"abc{chr(0x100 + i % many)} É") for _ in range(30)), names[i % many]) for i in range(2 * many + 40)]
+    found = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    size = language.buckets_for(many)
+    assert 4 * size * many <= 1 << 22 or size == language.LEAST_BUCKETS
+    train = [(t, l) for i, t, l in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    languages = sorted({l for _, l in train})
+
+    def grams(text):
+        low = text.lower()
+        return [low[i : i + n] for n in language.ORDERS for i in range(len(low) - n + 1)]
+
+    def bucket(gram):
+        value = 0
+        for c in gram:
+            value = (value * 0x100000001B3 + ord(c)) % 2**64
+        return ((value + len(gram)) * 0x9E3779B97F4A7C15 % 2**64 >> 48) % size
+
+    counts = {l: Counter() for l in languages}
+    for text, l in train:
+        counts[l].update(map(bucket, grams(text)))
+    totals = {l: sum(c.values()) + size * language.SMOOTHING for l, c in counts.items()}
+    for r in sorted(found, key=lambda r: r.doc_id)[:60]:
+        own = [bucket(g) for g in grams(rows[r.doc_id][1])]
+        logs = {l: sum(math.log((counts[l][b] + language.SMOOTHING) / totals[l]) for b in own) for l in languages}
+        best = max(logs.values())
+        share = 1 / sum(math.exp(v - best) for v in logs.values())
+        assert logs[r.lang_pred] > best - 1e-3 and math.isclose(r.score, share, rel_tol=1e-2)
+
+
+def test_only_letters_count_as_letters():
+    for text in ("²", "½ 12", "Ⅷ", "①", "_", "12", "", "\u0301", "!?"):
+        assert not language.has_letter(text)
+    for text in ("a", "½ é", "漢", "ʰ", "ǅ", "_ß_", "ª"):
+        assert language.has_letter(text)
+
+
 def test_buckets_do_not_depend_on_steps(monkeypatch):
     text = "Several words and ÄÖ signs, " * 50
     whole = np.bincount(np.concatenate(list(language.buckets(text))), minlength=language.BUCKETS)
