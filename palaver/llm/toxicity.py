@@ -2,10 +2,13 @@
 
 The kernel between a word and a landmark counts their common subsequences of three characters, each
 gap costing a factor, and is normalised to 1 for equal strings. So "idiot", "id-iot" and
-"i.d.i.o.t" are near each other. Landmarks are the words that separate the labelled sentences best.
-A sentence is described by its largest kernel value with each landmark, mapped through the inverse
-root of the landmarks' own kernel matrix (Nystroem), and a linear support vector machine is
-trained on labelled sentences by dual coordinate descent. A text scores as its worst sentence.
+"i.d.i.o.t" are near each other. Landmarks are all words of the labelled sentences that stand in texts
+labelled 1 more often than chance explains: a word counts if the odds of so uneven a share are below
+one to the number of words looked at. A sentence is described by its largest kernel value with each
+landmark, mapped through the inverse root of the landmarks' own kernel matrix (Nystroem), and a linear
+support vector machine is trained on the labelled sentences by dual coordinate descent. A text scores as its
+worst sentence. Words are counted and sentences described on Spark; the driver sees words with their
+counts and descriptions of sentences, no text.
 """
 
 from __future__ import annotations
@@ -20,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import fold, kept_by_worker, texts
+from palaver.llm.common import fold, kept_by_worker, texts, written
 
 ORDER = 3
 DECAY = 0.7
-LANDMARKS = 24
-#: Labelled documents that training reads at most, chosen by a hash of their id, and bytes of them.
+#: Landmarks of a machine at most, those of most weight; the features and the broadcast grow with them.
+LANDMARKS = 256
+#: Longest word, in characters, that may be a landmark.
+LANDMARK_CHARS = 40
+#: Labelled documents that training reads at most, chosen by a hash of their id.
 TRAIN_ROWS = 4_000
 #: Words a worker remembers.
 MEMORY_WORDS = 400_000
@@ -83,7 +89,8 @@ class Similarity:
     def __init__(self, landmarks: list[str]) -> None:
         self.landmarks = landmarks
         self.own = self_kernels(landmarks)
-        self.letters = [frozenset(landmark) for landmark in landmarks]
+        self.letters = letter_sets(landmarks)
+        self.least = (3 * np.bitwise_count(self.letters) + 3) // 4
         self.known: dict[str, np.ndarray | None] = {}
 
     def learn(self, found: set[str]) -> None:
@@ -93,14 +100,14 @@ class Similarity:
             self.known.clear()
             fresh = list(found)
         asked: list[list[tuple[str, str]]] = [[] for _ in self.landmarks]
-        for word in fresh:
-            self.known[word] = None
-            have = set(word)
-            near = [i for i, letters in enumerate(self.letters) if 4 * len(letters & have) >= 3 * len(letters)]
-            if near:
+        for low in range(0, len(fresh), 10_000):
+            part = fresh[low : low + 10_000]
+            self.known |= dict.fromkeys(part)
+            shared = np.bitwise_count(letter_sets(part)[:, None] & self.letters[None, :])
+            for at, i in zip(*(x.tolist() for x in np.nonzero(shared >= self.least)), strict=True):
+                word = part[at]
                 starts = range(0, len(word) - STRETCH // 2, STRETCH // 2) if len(word) > STRETCH else (0,)
-                for i in near:
-                    asked[i] += [(word, word[at : at + STRETCH]) for at in starts]
+                asked[i] += [(word, word[start : start + STRETCH]) for start in starts]
         stretches = sorted({stretch for rows in asked for _, stretch in rows})
         norm = dict(zip(stretches, np.sqrt(self_kernels(stretches)), strict=True))
         for i, rows in enumerate(asked):
@@ -110,7 +117,7 @@ class Similarity:
                 for (word, stretch), v in zip(part, value.tolist(), strict=True):
                     if norm[stretch] and v >= FLOOR * norm[stretch]:
                         if self.known[word] is None:
-                            self.known[word] = np.zeros(len(self.landmarks))
+                            self.known[word] = np.zeros(len(self.landmarks), np.float32)
                         self.known[word][i] = max(self.known[word][i], min(1.0, v / norm[stretch]))
 
     def texts(self, some: list[str]) -> list[list[np.ndarray]]:
@@ -148,21 +155,38 @@ def self_kernels(strings: list[str]) -> np.ndarray:
     return out
 
 
-def choose_landmarks(rows: list[tuple[str, int]], count: int = LANDMARKS) -> list[str]:
-    """Words of at least ORDER letters that separate the labels best, by a smoothed log ratio times support."""
-    seen = [Counter(), Counter()]
-    docs = [0, 0]
-    for text, label in rows:
-        docs[label] += 1
-        seen[label].update({w for w in words(text) if len(w) >= ORDER})
-    if not docs[0] or not docs[1]:
+def letter_sets(some: list[str]) -> np.ndarray:
+    """The letters of each string as bits of one number; letters 64 code points apart share a bit."""
+    size = np.array([len(one) for one in some], np.int64)
+    codes = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32)
+    out = np.zeros(len(some), np.uint64)
+    if len(codes):
+        bits = np.uint64(1) << (codes & np.uint32(63)).astype(np.uint64)
+        out[size > 0] = np.bitwise_or.reduceat(bits, (np.cumsum(size) - size)[size > 0])
+    return out
+
+
+def choose_landmarks(counts: list[tuple[str, int, int]], texts_with: tuple[int, int], looked_at: int, most: int = LANDMARKS) -> list[str]:
+    """Words that tell label 1, from (word, texts labelled 0, texts labelled 1).
+
+    A word is taken if it is more frequent under label 1 and the chance of a share as uneven is below
+    1 / ``looked_at`` (Chernoff's bound on the binomial tail), so about one word is taken by mistake.
+    """
+    zeros, ones = texts_with
+    if not zeros or not ones:
         return []
-    def gain(word: str) -> float:
-        p, q = (seen[1][word] + 0.5) / (docs[1] + 1), (seen[0][word] + 0.5) / (docs[0] + 1)
-        return seen[1][word] * np.log(p / q)
-    # Only words that most often stand in texts labelled 1, and in more than chance labels would give.
-    able = [w for w, n in seen[1].items() if n >= max(3, docs[1] // 100) and n / docs[1] > 4 * seen[0][w] / docs[0]]
-    return sorted(able, key=lambda w: (-gain(w), w))[:count]
+    share = ones / (zeros + ones)
+
+    def weight(n0: int, n1: int) -> float:
+        """n times the divergence of the word's share from the share of all: minus the logarithm of the bound."""
+        n, q = n0 + n1, n1 / (n0 + n1)
+        if q <= share:
+            return 0.0
+        return n * (q * np.log(q / share) + ((1 - q) * np.log((1 - q) / (1 - share)) if q < 1 else 0.0))
+
+    found = [(weight(n0, n1), word) for word, n0, n1 in counts]
+    able = [(w, word) for w, word in found if w > np.log(max(2, looked_at))]
+    return [word for _, word in sorted(able, key=lambda x: (-x[0], x[1]))[:most]]
 
 
 class Machine:
@@ -198,39 +222,78 @@ def descend(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 40, se
     return weight
 
 
-def fit(rows: list[tuple[str, int]]) -> Machine | float:
-    """Train on (text, label) rows. With one label only, or no telling word, the share of label 1."""
-    landmarks = choose_landmarks(rows)
+def word_counts(sample: DataFrame) -> DataFrame:
+    """(word, zeros, ones): texts of each label that hold a word a landmark may be."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Counter(), Counter()
+        for batch in batches:
+            for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
+                seen[label].update({w for w in words(text) if ORDER <= len(w) <= LANDMARK_CHARS})
+        every = sorted(set(seen[0]) | set(seen[1]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(every, pa.string()), *(pa.array([n[w] for w in every], pa.int64()) for n in seen)], names=["word", "zeros", "ones"]
+        )
+
+    counted = sample.mapInArrow(run, "word string, zeros long, ones long")
+    return counted.groupBy("word").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+
+
+def described(sample: DataFrame, landmarks: list[str]) -> tuple[list[list[np.ndarray]], np.ndarray]:
+    """For each labelled text its sentences near any landmark, and its label. No text leaves its task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        similarity = Similarity(landmarks)
+        for batch in batches:
+            for low in range(0, len(batch), BATCH):
+                part = batch.slice(low, BATCH)
+                near = [np.unique(np.array(one), axis=0).tobytes() if one else b"" for one in similarity.texts(part["text"].to_pylist())]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["toxic"], pa.array(near, pa.binary())], names=["doc_id", "toxic", "near"])
+
+    rows = sample.mapInArrow(run, "doc_id long, toxic int, near binary").orderBy("doc_id", "toxic", "near").toArrow()
+    found = [list(np.frombuffer(one, np.float32).reshape(-1, len(landmarks)).astype(float)) for one in rows["near"].to_pylist()]
+    return found, rows["toxic"].to_numpy().astype(float)
+
+
+def fit(sample: DataFrame) -> Machine | float:
+    """Train on (doc_id, text, toxic) rows. With one label only, or no telling word, the share of label 1."""
+    totals = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
+    zeros, ones = totals.get(0, 0), totals.get(1, 0)
+    if not zeros or not ones:
+        return ones / (zeros + ones) if zeros + ones else 0.0
+    counts = written(word_counts(sample))
+    # A word of a few texts, or as frequent under label 0, cannot pass the test.
+    asked = counts.filter((F.col("ones") >= 2) & (F.col("ones") * zeros > F.col("zeros") * ones))
+    candidates = [(r.word, r.zeros, r.ones) for r in asked.toLocalIterator()]
+    landmarks = choose_landmarks(candidates, (zeros, ones), counts.count())
     if not landmarks:
-        return sum(label for _, label in rows) / len(rows) if rows else 0.0
+        return ones / (zeros + ones)
     similarity = Similarity(landmarks)
     gram = np.array([kernel(landmarks, one) for one in landmarks]) / np.sqrt(np.outer(similarity.own, similarity.own))
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     root = vectors / np.sqrt(np.maximum(values, 1e-3)) @ vectors.T
     # Sentences: of a text labelled 1 the one nearest to a landmark; of others every near one, or an empty one.
     nothing = np.zeros(len(landmarks))
+    near, labels = described(sample, landmarks)
     x, y = [], []
-    near = [found for at in range(0, len(rows), BATCH) for found in similarity.texts([t for t, _ in rows[at : at + BATCH]])]
-    for found, (_, label) in zip(near, rows, strict=True):
+    for found, label in zip(near, labels, strict=True):
         if label:
             x.append(max(found, key=lambda v: v.max()) if found else nothing)
             y.append(1)
         else:
-            x += found[:5] or [nothing]
-            y += [-1] * max(1, len(found[:5]))
+            x += found or [nothing]
+            y += [-1] * max(1, len(found))
     features = np.c_[np.array(x) @ root, np.ones(len(x))]
     sign = np.array(y, float)
     cost = np.where(sign > 0, len(sign) / max(1, (sign > 0).sum()), len(sign) / max(1, (sign < 0).sum())) / 2
     weight = descend(features, sign, cost)
     machine = Machine(similarity, root, weight[:-1], float(weight[-1]), 1.0, 0.0)
-    machine.slope, machine.shift = _calibrate(_margins(machine, [t for t, _ in rows]), np.array([label for _, label in rows], float))
+    project = root @ weight[:-1]
+    margins = np.array([max((float(v @ project) for v in found), default=0.0) for found in near]) + machine.bias
+    machine.slope, machine.shift = _calibrate(margins, labels)
     return machine
 
 
-def _margins(machine: Machine, some: list[str]) -> np.ndarray:
-    return np.concatenate([machine.margins(some[at : at + BATCH]) for at in range(0, len(some), BATCH)])
-
-
 def _calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Logistic slope and shift of the margins, by Newton steps with a small penalty."""
     theta = np.array([1.0, 0.0])
@@ -248,17 +311,22 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, tra
     """doc_id, held_out, score, predicted for every row of ``docs``.
 
     Labels (doc_id, toxic) count from rows whose fold is not ``held``, at most ``train_rows`` of them by a
-    hash of the id; null labels and ids do not count. Null and empty texts get the score of a text without any near word.
+    hash of the id; null labels and ids do not count, several labels of an id are one (1 if any is), and
+    rows of ``docs`` that share a labelled id are examples each. Null and empty texts get the score of a text
+    without any near word. Texts of any length are read whole, a stretch of a long word at a time.
+    No rows give no rows; further columns are left out, whatever their names.
     """
     spark = docs.sparkSession
-    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
-        F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold("doc_id", folds) != held)
+    usable = (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+        .filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold("doc_id", folds) != held))
+        .groupBy("doc_id")
+        .agg(F.max("toxic").alias("toxic"))
     )
     rows = usable.count()
     if rows > train_rows:
         usable = usable.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < int(1_000_000 * train_rows / rows))
-    sample = texts(docs).join(usable, "doc_id").select("doc_id", "text", "toxic").orderBy("doc_id", "text", "toxic")
-    fitted = fit([(r.text, r.toxic) for r in sample.toLocalIterator()])
+    fitted = fit(written(texts(docs).join(usable, "doc_id").select("doc_id", "text", "toxic").repartition("doc_id")))
     plain = fitted.plain() if isinstance(fitted, Machine) else fitted
     machine = spark.sparkContext.broadcast((uuid.uuid4().hex, plain))
 

@@ -207,6 +207,65 @@ def test_insults_with_gaps_are_found(spark):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_more_telling_words_than_a_short_list_holds(spark):
+    """Sixty insults, one to a toxic text; nine of ten held-out toxic texts are found, few others are."""
+    rng = random.Random(12)
+
+    def word(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    plain = [word("abcdefghilmnoprstu", rng.randint(3, 8)) for _ in range(600)]
+    insults = [word("bcdfgjklmnpqvwxzaeiou", 7) for _ in range(60)]
+    rows = []
+    for i in range(3000):
+        words = [rng.choice(plain) for _ in range(40)]
+        if i % 3 == 0:
+            words[rng.randrange(40)] = rng.choice(insults)
+        rows.append((i, ". ".join(" ".join(words[k : k + 10]) for k in range(0, 40, 10)), int(i % 3 == 0)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(8)
+    found = {r.doc_id: r for r in toxicity.score(frame.drop("toxic"), frame.select("doc_id", "toxic")).collect()}
+    held = [(i, label) for i, _, label in rows if found[i].held_out]
+    bad = [found[i].predicted for i, label in held if label]
+    good = [found[i].predicted for i, label in held if not label]
+    assert sum(bad) >= 0.9 * len(bad) and sum(good) <= 0.03 * len(good)
+
+
+def test_landmarks_are_words_beyond_chance():
+    counts = [("often", 2, 400), ("rare", 0, 3), ("even", 300, 310), ("clean", 400, 2), ("some", 1, 30)]
+    assert toxicity.choose_landmarks(counts, (1000, 1000), 5000) == ["often", "some"]
+    assert toxicity.choose_landmarks(counts, (1000, 1000), 5000, most=1) == ["often"]
+    assert toxicity.choose_landmarks(counts, (0, 1000), 5000) == []
+
+
+def test_descent_equals_a_plain_solver():
+    """Weights of the machine against many steps of subgradient descent on the same objective."""
+    rng = np.random.default_rng(4)
+    x = np.c_[rng.normal(size=(60, 3)), np.ones(60)]
+    y = np.where(x[:, 0] + 0.5 * x[:, 1] + 0.3 * rng.normal(size=60) > 0, 1.0, -1.0)
+    cost = np.full(60, 0.7)
+
+    def objective(w):
+        return 0.5 * w @ w + (cost * np.maximum(0, 1 - y * (x @ w))).sum()
+
+    weight = toxicity.descend(x, y, cost, rounds=200)
+    slow, best = np.zeros(4), np.inf
+    for step in range(1, 40_000):
+        active = y * (x @ slow) < 1
+        slow = slow - (slow - ((cost * y)[active, None] * x[active]).sum(axis=0)) * (0.5 / step)
+        best = min(best, objective(slow))
+    assert objective(weight) <= best * 1.001
+
+
+def test_repeated_ids_and_long_texts(spark):
+    """Repeated labels count once; a very long text and a very long word are read whole."""
+    rows = [(i, "plain words here" + (" idiot" if i % 2 else ""), i % 2) for i in range(200)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(500, "x" * 200_000 + " id-iot"), (501, "word " * 50_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, label) for i, _, label in rows] * 3, "doc_id long, toxic int")
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs, labels).collect()}
+    assert len(found) == 202 and found[500] == 1 and found[501] == 0
+    assert all(found[i] == label for i, _, label in rows)
+
+
 def test_scores_without_labels(docs, empty, corpus, spark):
     none = spark.createDataFrame([(None, None)], "doc_id long, toxic int")
     assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
