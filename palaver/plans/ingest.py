@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from palaver.operators import merge, rollups, search
 from palaver.sources import exports
+from palaver.sources.large_exports import LargeExports
 from palaver.sources.store import INDEX, LEDGER, LOAD, Load, Store, bucket_of
 
 
-def ingest(documents: DataFrame, store: Store, load_time: datetime, load_id: str) -> DataFrame:
+def ingest(
+    documents: DataFrame | LargeExports, store: Store, load_time: datetime, load_id: str
+) -> DataFrame:
     """Merge a batch of documents and return its statistics per file.
 
     The documents are parsed once into staged tables that all merges read. Every table is written
@@ -27,10 +30,14 @@ def ingest(documents: DataFrame, store: Store, load_time: datetime, load_id: str
     return store.log(LEDGER).filter(F.col(LOAD) == load_id).drop(LOAD)
 
 
-def _merge(documents: DataFrame, load: Load, load_time: datetime) -> None:
-    parsed = load.staged("files", exports.file_rows(documents))
-    files = parsed.drop("messages")
-    rows = load.staged("rows", exports.normalise(exports.explode_file_rows(parsed)))
+def _merge(documents: DataFrame | LargeExports, load: Load, load_time: datetime) -> None:
+    if isinstance(documents, LargeExports):
+        files = load.staged("files", documents.files)
+        exploded = documents.messages
+    else:
+        parsed = load.staged("files", exports.file_rows(documents))
+        files, exploded = parsed.drop("messages"), exports.explode_file_rows(parsed)
+    rows = load.staged("rows", exports.normalise(exploded))
     broken = files.filter(F.col("error").isNotNull()).select(
         "file_path", F.lit(None).cast("int").alias("pos"), F.col("error").alias("reason")
     )

@@ -12,10 +12,13 @@ CORRUPT = "_corrupt"
 SCHEMA = f"{schemas.EXPORT}, {CORRUPT} string"
 
 
+def decoded_path(path: Column) -> Column:
+    """The metadata path is percent-encoded; '+' is literal there, so shield it from the decoder."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def _with_path(documents: DataFrame) -> DataFrame:
-    # The metadata path is percent-encoded; '+' is literal there, so shield it from the decoder.
-    raw = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return documents.select("*", F.url_decode(raw).alias("file_path"))
+    return documents.select("*", decoded_path(F.col("_metadata.file_path")).alias("file_path"))
 
 
 def read_exports(spark: SparkSession, path: str) -> DataFrame:
