@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palaver.sources import folders
+
 T = TypeVar("T")
 
 #: Spaces between words; a word is a longest run of anything else.
@@ -54,7 +56,15 @@ def written(frame: DataFrame) -> DataFrame:
     """``frame`` as Parquet in the shared folder: computed once, and safe when executors are lost."""
     folder = shared_folder(frame.sparkSession)
     frame.write.parquet(folder)
-    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    copy = frame.sparkSession.read.schema(frame.schema).parquet(folder)
+    copy._written_to = folder
+    return copy
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of ``written`` frames. What was made from them must be written itself."""
+    for frame in frames:
+        folders.delete(frame.sparkSession, frame._written_to)
 
 
 def kept_by_worker(kind: str, key: object, make: Callable[[], T]) -> T:

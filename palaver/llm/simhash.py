@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import NO_ID, texts, written
+from palaver.llm.common import NO_ID, discard, texts, written
 
 BITS = 64
 #: Fingerprints of a trie that one task walks.
@@ -327,7 +327,9 @@ def components(edges: DataFrame) -> DataFrame:
         ).select("e.u", "e.v").filter("u != v")
         after = written(small.distinct())
         # A forest of stars, each node below one root that has no edge of its own, stays as it is.
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
+        done = after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty()
+        discard(edges)
+        if done:
             return after.select(F.col("u").alias("node"), F.col("v").alias("root"))
         edges = after
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import fold, kept_by_worker, texts, written
+from palaver.llm.common import discard, fold, kept_by_worker, texts, written
 
 ORDER = 3
 DECAY = 0.7
@@ -266,6 +266,7 @@ def fit(sample: DataFrame) -> Machine | float:
     asked = counts.filter((F.col("ones") >= 2) & (F.col("ones") * zeros > F.col("zeros") * ones))
     candidates = [(r.word, r.zeros, r.ones) for r in asked.toLocalIterator()]
     landmarks = choose_landmarks(candidates, (zeros, ones), counts.count())
+    discard(counts)
     if not landmarks:
         return ones / (zeros + ones)
     similarity = Similarity(landmarks)
@@ -326,7 +327,9 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, tra
     rows = usable.count()
     if rows > train_rows:
         usable = usable.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < int(1_000_000 * train_rows / rows))
-    fitted = fit(written(texts(docs).join(usable, "doc_id").select("doc_id", "text", "toxic").repartition("doc_id")))
+    sample = written(texts(docs).join(usable, "doc_id").select("doc_id", "text", "toxic").repartition("doc_id"))
+    fitted = fit(sample)
+    discard(sample)
     plain = fitted.plain() if isinstance(fitted, Machine) else fitted
     machine = spark.sparkContext.broadcast((uuid.uuid4().hex, plain))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palaver.llm.common import buffer, fold, kept_by_worker, pieces, texts, written
+from palaver.llm.common import buffer, discard, fold, kept_by_worker, pieces, texts, written
 from palaver.llm.simhash import whole_groups
 
 DEPTH = 5
@@ -328,7 +328,9 @@ def fit(named: DataFrame, depth: int = DEPTH) -> DataFrame:
     nodes = lists.mapInArrow(packed, "part int, nodes binary")
     together = rows.unionByName(nodes, allowMissingColumns=True)
     walked = together.repartition("part").sortWithinPartitions("part", F.asc_nulls_first("gram"))
-    return written(walked.mapInArrow(_measure(depth, upper), "gram long, n_all long, length float"))
+    lengths = written(walked.mapInArrow(_measure(depth, upper), "gram long, n_all long, length float"))
+    discard(counted, second)
+    return lengths
 
 
 # --- lookup --------------------------------------------------------------------------------------------
