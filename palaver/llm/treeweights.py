@@ -373,15 +373,26 @@ class Lengths:
         return out
 
 
+def usual(rows: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows of the greatest counts: as many whole classes as fit ``most``.
+
+    A count below 1,024 is a class of its own, above it each power of two is one. So at most ``most`` rows ever
+    come to the driver, whatever the number of rows or partitions.
+    """
+    n = F.col(count)
+    level = F.when(n < 1024, n).otherwise(F.lit(1014) + F.floor(F.log2(n)))
+    least, total = None, 0
+    for value, size in sorted(((r[0], r[1]) for r in rows.groupBy(level).count().collect()), reverse=True):
+        total += size
+        if total > most:
+            break
+        least = value
+    return rows.filter(F.lit(False) if least is None else level >= least)
+
+
 def frequent(lengths: DataFrame, most: int = TABLE) -> tuple[np.ndarray, np.ndarray]:
-    """Grams and code lengths of the most frequent grams: as many whole powers of two of their count as fit ``most``."""
-    power = F.floor(F.log2("n_all")).cast("int")
-    sizes = {r[0]: r[1] for r in lengths.groupBy(power.alias("power")).count().collect()}
-    least, total = 64, 0
-    while least > 0 and total + sizes.get(least - 1, 0) <= most:
-        least -= 1
-        total += sizes.get(least, 0)
-    found = lengths.filter(power >= least).select("gram", "length").toArrow()
+    """Grams and code lengths of the most frequent grams."""
+    found = usual(lengths, "n_all", most).select("gram", "length").toArrow()
     return found["gram"].to_numpy().view(np.uint64), found["length"].to_numpy()
 
 
@@ -511,8 +522,8 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH, wo
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     divisor = float(total + distinct + 1)
     log = F.log10((F.col("n") + 1) / F.lit(divisor))
-    usual = vocabulary.orderBy(F.col("n").desc(), "word").limit(words).select("word", log.alias("log")).toPandas()
-    common = spark.sparkContext.broadcast(dict(zip(map(bytes, usual["word"]), usual["log"].tolist(), strict=True)))
+    held_words = usual(vocabulary, "n", words).select("word", log.alias("log")).toArrow()
+    common = spark.sparkContext.broadcast(dict(zip(held_words["word"].to_pylist(), held_words["log"].to_pylist(), strict=True)))
 
     # A number per row joins the sums of its other words and grams; the rows are written, so it stays.
     numbered = named.select("doc_id", "held_out", "text", F.monotonically_increasing_id().alias("id"))

@@ -164,6 +164,15 @@ def test_lookup_table_is_exact():
     assert np.isnan(treeweights.Lengths(gram[:0], length[:0]).find(gram)).all()
 
 
+def test_usual_rows_are_bounded(spark):
+    counts = [1] * 50 + [2] * 20 + [3] * 5 + [2000] * 4 + [1025] * 3 + [10**9]
+    frame = spark.createDataFrame([(n,) for n in counts], "n long")
+    for most, least in ((1000, 1), (83, 1), (82, 2), (33, 2), (32, 3), (13, 3), (12, 1024), (8, 1024), (7, 10**9), (1, 10**9)):
+        found = [r.n for r in treeweights.usual(frame, "n", most).collect()]
+        assert sorted(found) == sorted(n for n in counts if n >= least), (most, least)
+    assert treeweights.usual(frame, "n", 0).collect() == []
+
+
 def test_scores_of_nothing(empty):
     assert treeweights.score(empty).collect() == []
 
