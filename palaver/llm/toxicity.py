@@ -4,7 +4,8 @@ The kernel between a word and a landmark counts their common subsequences of thr
 gap costing a factor, and is normalised to 1 for equal strings. So "idiot", "id-iot" and
 "i.d.i.o.t" are near each other. Landmarks are all words of the labelled sentences that stand in texts
 labelled 1 more often than chance explains: a word counts if the odds of so uneven a share are below
-one to the number of words looked at. A sentence is described by its largest kernel value with each
+one to the number of words looked at. Of near copies one is an example, since copies of one text
+would make all its words look telling. A sentence is described by its largest kernel value with each
 landmark, mapped through the inverse root of the landmarks' own kernel matrix (Nystroem), and a linear
 support vector machine is trained on the labelled sentences by dual coordinate descent. A text scores as its
 worst sentence. Words are counted and sentences described on Spark; the driver sees words with their
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palaver.llm.common import discard, fold, kept_by_worker, texts, written
+from palaver.llm.common import discard, fold, kept_by_worker, mixed, texts, written
 
 ORDER = 3
 DECAY = 0.7
@@ -33,6 +35,8 @@ LANDMARKS = 256
 LANDMARK_CHARS = 40
 #: Labelled documents that training reads at most, chosen by a hash of their id.
 TRAIN_ROWS = 4_000
+#: Min-hashes that tell near copies among the training rows.
+SIGNATURES = 6
 #: Words a worker remembers.
 MEMORY_WORDS = 400_000
 #: Longest stretch of a word that the kernel sees at once; longer words are seen through a sliding stretch.
@@ -222,6 +226,50 @@ def descend(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 40, se
     return weight
 
 
+def signatures(text: str) -> np.ndarray:
+    """``SIGNATURES`` min-hashes of the five-word shingles of a text; near copies share most of them."""
+    found = text.lower().split()
+    codes = np.zeros(max(len(found), 1) + 4, np.uint64)
+    codes[: len(found)] = [zlib.crc32(word.encode("utf-8", "surrogatepass")) for word in found]
+    shingles = np.zeros(max(1, len(found) - 4), np.uint64)
+    for k in range(5):
+        shingles = mixed(shingles + codes[k : k + len(shingles)] + np.uint64(k))
+    return np.array([mixed(shingles + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)).min() for k in range(1, SIGNATURES + 1)], np.uint64)
+
+
+def independent(sample: DataFrame) -> DataFrame:
+    """One row of each group of near copies, so that a text that was copied often is one example.
+
+    Rows that share a signature, and chains of them, are a group; of each label its first row stays.
+    ``sample`` has rows (row, doc_id, text, toxic), and as many signatures as training takes rows come to the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [signatures(text) for text in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["toxic"], pa.array([one.view(np.int64).tolist() for one in found], pa.list_(pa.int64()))], names=["row", "toxic", "found"])
+
+    told = sample.mapInArrow(run, "row long, toxic int, found array<long>").orderBy("row").toArrow()
+    rows, labels = told["row"].to_pylist(), told["toxic"].to_pylist()
+    parent = list(range(len(rows)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    first: dict[tuple[int, int], int] = {}
+    for i, found in enumerate(told["found"].to_pylist()):
+        for key in enumerate(found):
+            parent[root(i)] = root(first.setdefault(key, i))
+    kept: dict[tuple[int, int], int] = {}
+    for i, row in enumerate(rows):
+        kept.setdefault((root(i), labels[i]), row)
+    chosen = sample.sparkSession.createDataFrame([(row,) for row in kept.values()], "row long")
+    return sample.join(chosen, "row", "left_semi")
+
+
 def word_counts(sample: DataFrame) -> DataFrame:
     """(word, zeros, ones): texts of each label that hold a word a landmark may be."""
 
@@ -256,7 +304,7 @@ def described(sample: DataFrame, landmarks: list[str]) -> tuple[list[list[np.nda
 
 
 def fit(sample: DataFrame) -> Machine | float:
-    """Train on (doc_id, text, toxic) rows. With one label only, or no telling word, the share of label 1."""
+    """Train on (doc_id, text, toxic) rows, no two of them copies. With one label only, or no telling word, the share of label 1."""
     totals = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     zeros, ones = totals.get(0, 0), totals.get(1, 0)
     if not zeros or not ones:
@@ -327,9 +375,12 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, tra
     rows = usable.count()
     if rows > train_rows:
         usable = usable.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < int(1_000_000 * train_rows / rows))
-    sample = written(texts(docs).join(usable, "doc_id").select("doc_id", "text", "toxic").repartition("doc_id"))
-    fitted = fit(sample)
-    discard(sample)
+    sample = texts(docs).join(usable, "doc_id").select("doc_id", "text", "toxic").repartition("doc_id")
+    # Sorted, so that a repeat numbers and keeps the same rows; a number is part of the written table.
+    sample = written(sample.sortWithinPartitions("doc_id", "text").withColumn("row", F.monotonically_increasing_id()))
+    examples = written(independent(sample))
+    fitted = fit(examples)
+    discard(sample, examples)
     plain = fitted.plain() if isinstance(fitted, Machine) else fitted
     machine = spark.sparkContext.broadcast((uuid.uuid4().hex, plain))
 

@@ -246,6 +246,24 @@ def test_landmarks_are_words_beyond_chance():
     assert toxicity.choose_landmarks(counts, (0, 1000), 5000) == []
 
 
+def test_copies_are_one_example(spark):
+    """Near copies of one toxic text do not make its ordinary words telling."""
+    rng = random.Random(2)
+    plain = [f"word{i}" for i in range(4000)]
+    base = [rng.choice(plain) for _ in range(300)]
+    rows = []
+    for i in range(200):
+        copy = list(base)
+        for at in rng.sample(range(300), 6):
+            copy[at] = rng.choice(plain)
+        rows.append((i, i, " ".join(copy), 1))
+    rows += [(i, i, " ".join(rng.choice(plain) for _ in range(300)), i % 2) for i in range(200, 260)]
+    rows += [(i, i, text, 0) for i, text in ((300, ""), (301, ""), (302, "a"), (303, "a b"))]
+    sample = spark.createDataFrame(rows, "row long, doc_id long, text string, toxic int").repartition(4)
+    kept = sorted(r.row for r in toxicity.independent(sample).collect())
+    assert kept == [0, *range(200, 260), 300, 302, 303]
+
+
 def test_descent_equals_a_plain_solver():
     """Weights of the machine against many steps of subgradient descent on the same objective."""
     rng = np.random.default_rng(4)
@@ -267,7 +285,7 @@ def test_descent_equals_a_plain_solver():
 
 def test_repeated_ids_and_long_texts(spark):
     """Repeated labels count once; a very long text and a very long word are read whole."""
-    rows = [(i, "plain words here" + (" idiot" if i % 2 else ""), i % 2) for i in range(200)]
+    rows = [(i, f"{i * 7} plain {i * 3} words {i} here" + (" idiot" if i % 2 else ""), i % 2) for i in range(200)]
     docs = spark.createDataFrame([r[:2] for r in rows] + [(500, "x" * 200_000 + " id-iot"), (501, "word " * 50_000)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, label) for i, _, label in rows] * 3, "doc_id long, toxic int")
     found = {r.doc_id: r.predicted for r in toxicity.score(docs, labels).collect()}
