@@ -67,24 +67,30 @@ def kernel(strings: list[str], landmark: str, order: int = ORDER, decay: float =
     flat = np.frombuffer("".join(s.ljust(width, "\0") for s in strings).encode("utf-32-le", "surrogatepass"), np.uint32)
     codes[:] = flat.reshape(len(strings), width)
     target = np.frombuffer(landmark.encode("utf-32-le", "surrogatepass"), np.uint32)
-    m = len(target)
-    match = codes[:, :, None] == target[None, None, :]
-    # before[i]: weighted pairs of subsequences of length i that end in both prefixes, gaps counted to the ends.
-    previous = np.ones((len(strings), width + 1, m + 1))
-    total = np.zeros(len(strings))
-    for i in range(1, order + 1):
-        if i == order:
-            for j in range(m):
-                total += (match[:, :, j] * previous[:, :-1, j]).sum(axis=1) * decay**2
-            break
-        current = np.zeros_like(previous)
+    return _weighted(codes.T, np.repeat(target[:, None], len(strings), axis=1), order, decay)
+
+
+def _weighted(codes: np.ndarray, target: np.ndarray, order: int, decay: float) -> np.ndarray:
+    """Gap-weighted common subsequences of column i of ``codes`` and column i of ``target``, for all columns at once.
+
+    Single precision is enough for likeness; columns lie side by side in memory.
+    """
+    width, size = codes.shape
+    hit = (codes[:, None, :] == target[None, :, :]).astype(np.float32) * np.float32(decay**2)
+    decay = np.float32(decay)
+    # before: weighted pairs of subsequences of one length that end in both prefixes, gaps counted to the ends.
+    before = np.ones((width + 1, len(target) + 1, size), np.float32)
+    for _ in range(1, order):
+        after = np.zeros_like(before)
         for s in range(width):
-            run = np.zeros(len(strings))
-            for j in range(m):
-                run = decay * run + decay**2 * match[:, s, j] * previous[:, s, j]
-                current[:, s + 1, j + 1] = decay * current[:, s, j + 1] + run
-        previous = current
-    return total
+            run = np.zeros(size, np.float32)
+            for j in range(len(target)):
+                run *= decay
+                run += hit[s, j] * before[s, j]
+                np.multiply(after[s, j + 1], decay, out=after[s + 1, j + 1])
+                after[s + 1, j + 1] += run
+        before = after
+    return np.einsum("sjn,sjn->n", hit, before[:-1, :-1]).astype(float)
 
 
 class Similarity:
@@ -145,17 +151,7 @@ def self_kernels(strings: list[str]) -> np.ndarray:
         for some in range(0, len(places), 2000):
             at = places[some : some + 2000]
             codes = np.frombuffer("".join(strings[i] for i in at).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(at), width)
-            match = codes[:, :, None] == codes[:, None, :]
-            previous = np.ones((len(at), width + 1, width + 1))
-            for _ in range(1, ORDER):
-                current = np.zeros_like(previous)
-                for s in range(width):
-                    run = np.zeros(len(at))
-                    for j in range(width):
-                        run = DECAY * run + DECAY**2 * match[:, s, j] * previous[:, s, j]
-                        current[:, s + 1, j + 1] = DECAY * current[:, s, j + 1] + run
-                previous = current
-            out[at] = (match * previous[:, :-1, :-1]).sum(axis=(1, 2)) * DECAY**2
+            out[at] = _weighted(codes.T, codes.T, ORDER, DECAY)
     return out
 
 
