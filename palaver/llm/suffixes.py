@@ -13,8 +13,8 @@ last digit are exactly the repeated windows. Three choices make the passes affor
 * Pass 3 orders single windows, only in runs that repeat an anchor but not all their bytes: the
   borders of repeated passages. Only the bytes of those runs are moved.
 
-A key that very many documents share arrives once for each batch of texts; a group too large for pass 3
-is dealt out by the window's own hash. Hashes have 64 bits and are compared together with the
+A key that very many documents share arrives once for each batch of texts; a group too large for one task of
+pass 3 is dealt out by the window's own hash, in the same exchange, so the texts move once for both. Hashes have 64 bits and are compared together with the
 64-bit anchor, so two different windows pass as equal with a chance of 2**-64 within an anchor.
 """
 
@@ -40,6 +40,9 @@ STEP = 1 << 18
 HELD = 16 << 20
 #: Runs of one anchor that pass 3 orders in one task; larger groups are dealt out by window.
 GROUP = 4096
+#: What a row of pass 3 is: a run with its bytes, a single window of a large group, or a span known to repeat.
+RUN, SINGLE, KNOWN = 0, 1, 2
+BORDER = "kind int, digit long, id long, text_key long, start long, count int, bytes binary"
 
 _ROLL = Rolling(seed=7)
 #: Bits for a place in a numpy step: it has at most two times STEP bytes and the overlap.
@@ -112,36 +115,72 @@ def _member_rows(ids: np.ndarray, anchor: np.ndarray, every: np.ndarray, seen: p
 
 
 def _border_rows(width: int):
-    """Pass 3 input: bytes of the runs named for each text; of large groups, single window hashes."""
+    """Pass 3 input: bytes of the runs named for each text; of large groups, single windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches, "text", HELD):
             data, offsets = buffer(batch["text"])
             owner, text_key = batch["id"].to_numpy(), batch["text_key"].to_numpy()
-            asked = batch["asked"]
             out: list[tuple] = []
+            large: list[tuple[np.ndarray, ...]] = []
             for row, begin, size, anchor, every in runs(data, offsets, width):
-                for item in _named(row, every, asked):
+                for item in _named(row, every, batch["asked"]):
                     at, n = int(begin[item]), int(size[item])
                     out.append((anchor[item], row[item], at, n, data[at : at + n + width - 1].tobytes()))
+                if items := _named(row, every, batch["asked_large"]):
+                    large.append((row[items], begin[items], size[items], anchor[items]))
             if out:
                 anchor, row, at, n, text = zip(*out, strict=True)
                 row = np.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.array(anchor, np.uint64).view(np.int64)),
-                        pa.array(owner[row]),
-                        pa.array(text_key[row]),
-                        pa.array(np.array(at) - offsets[row]),
-                        pa.array(n, pa.int32()),
-                        pa.array(text, pa.binary()),
-                    ],
-                    names=["anchor", "id", "text_key", "start", "count", "bytes"],
-                )
+                yield _border_batch(RUN, np.array(anchor, np.uint64), owner[row], text_key[row], np.array(at) - offsets[row], np.array(n), pa.array(text, pa.binary()))
+            if large:
+                row, begin, size, anchor = (np.concatenate(x) for x in zip(*large, strict=True))
+                yield from _single_rows(data, begin, size, anchor, owner[row], text_key[row], begin - offsets[row], width)
 
     return run
 
 
+def _border_batch(
+    kind: int, digit: np.ndarray, owner: np.ndarray, text_key: np.ndarray, start: np.ndarray, count: np.ndarray, text: pa.Array | None = None
+) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(digit), kind, np.int32)),
+            pa.array(digit.view(np.int64)),
+            pa.array(owner),
+            pa.array(text_key),
+            pa.array(start, pa.int64()),
+            pa.array(count, pa.int32()),
+            pa.nulls(len(digit), pa.binary()) if text is None else text,
+        ],
+        names=["kind", "digit", "id", "text_key", "start", "count", "bytes"],
+    )
+
+
+def _single_rows(
+    data: np.ndarray, begin: np.ndarray, size: np.ndarray, anchor: np.ndarray, owner: np.ndarray, text_key: np.ndarray, start: np.ndarray, width: int
+) -> Iterator[pa.RecordBatch]:
+    """The windows of runs, a bounded number at a time. Those that a smaller id has among them are
+    known to repeat and leave as spans, so a window that very many documents share arrives once for each time."""
+    ends = np.cumsum(size + width - 1)
+    cuts = np.searchsorted(ends, np.arange(0, int(ends[-1]), HELD // 8))
+    for low, high in zip(cuts, np.r_[cuts[1:], len(ends)], strict=True):
+        if low == high:
+            continue
+        part = np.concatenate([data[at : at + n] for at, n in zip(begin[low:high], size[low:high] + width - 1, strict=True)])
+        places = np.r_[0, ends[low:high] - (ends[low - 1] if low else 0)]
+        item, step, key = window_keys(anchor[low:high], places, part, size[low:high], width)
+        who, text, at = owner[low:high][item], text_key[low:high][item], start[low:high][item] + step
+        order = np.lexsort((who, key))
+        new = np.r_[True, key[order][1:] != key[order][:-1]]
+        known = np.zeros(len(key), bool)
+        known[order] = who[order] > who[order][new][np.cumsum(new) - 1]
+        yield _border_batch(SINGLE, key[~known], who[~known], text[~known], at[~known], np.ones(int((~known).sum()), np.int32))
+        if known.any():
+            ids, keys, first, last = (x.to_numpy() for x in span_rows(who[known], text[known], at[known]).columns)
+            yield _border_batch(KNOWN, mixed(ids.view(np.uint64)), ids, keys, first, last - first + 1)
+
+
 def _named(row: np.ndarray, every: np.ndarray, asked: pa.ListArray) -> list[int]:
     """Places of the runs whose hash is in their row's list; of a repeated run only the first."""
     values, at = np.asarray(asked.flatten()), np.diff(np.r_[0, np.cumsum(asked.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
@@ -171,16 +210,35 @@ def _borders(width: int):
     """Pass 3: order the windows of each anchor; all but the first of equal windows are repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ["anchor"], 8192):
-            data, offsets = buffer(table["bytes"].chunk(0))
-            base = int(offsets[0])
-            count = table["count"].to_numpy().astype(np.int64)
-            item, step, key = window_keys(table["anchor"].to_numpy().view(np.uint64), offsets - base, data[base : int(offsets[-1])], count, width)
-            yield _spans(key, table["id"].to_numpy()[item], table["text_key"].to_numpy()[item], table["start"].to_numpy()[item] + step)
+        for whole in whole_groups(batches, ["digit"], 8192):
+            kinds = whole["kind"].to_numpy()
+            for kind in np.unique(kinds).tolist():
+                table = whole.filter(pa.array(kinds == kind)).combine_chunks()
+                digit, owner, text_key, start = (table[c].to_numpy() for c in ("digit", "id", "text_key", "start"))
+                count = table["count"].to_numpy().astype(np.int64)
+                if kind == RUN:
+                    data, offsets = buffer(table["bytes"].chunk(0))
+                    base = int(offsets[0])
+                    item, step, key = window_keys(digit.view(np.uint64), offsets - base, data[base : int(offsets[-1])], count, width)
+                    yield _spans(key, owner[item], text_key[item], start[item] + step)
+                elif kind == SINGLE:
+                    yield _later_singles(digit, owner, text_key, start)
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (owner, text_key, start, start + count - 1)], names=["id", "text_key", "low", "high"])
 
     return run
 
 
+def _later_singles(key: np.ndarray, owner: np.ndarray, text_key: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+    """Windows behind the first of their key, by a larger id or later in the same text."""
+    order = np.lexsort((start, text_key, owner, key))
+    key, owner, text_key, start = key[order], owner[order], text_key[order], start[order]
+    new = np.r_[True, key[1:] != key[:-1]]
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    again = (owner > owner[first]) | ((owner == owner[first]) & (text_key == text_key[first]) & (start > start[first]))
+    return span_rows(owner[again], text_key[again], start[again])
+
+
 def _spans(key: np.ndarray, owner: np.ndarray, text_key: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
     """Starts of windows that are repeats, neighbouring ones as one span. Rows that share an id but
     not their text do not repeat each other."""
@@ -205,22 +263,6 @@ def span_rows(owner: np.ndarray, text_key: np.ndarray, start: np.ndarray) -> pa.
     )
 
 
-def _window_rows(width: int):
-    """Single windows of large groups, (key, id, text_key, start)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches, "bytes", HELD // 8):
-            data, offsets = buffer(batch["bytes"])
-            base = int(offsets[0])
-            item, step, key = window_keys(batch["anchor"].to_numpy().view(np.uint64), offsets - base, data[base : int(offsets[-1])], batch["count"].to_numpy().astype(np.int64), width)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(batch["id"].to_numpy()[item]), pa.array(batch["text_key"].to_numpy()[item]), pa.array(batch["start"].to_numpy()[item] + step)],
-                names=["key", "id", "text_key", "start"],
-            )
-
-    return run
-
-
 def _apply(width: int, with_text: bool):
     """Remove the repeated windows from each text."""
 
@@ -307,23 +349,12 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, group: int = GROUP, with
     )
     found = written(judged)
 
-    # Pass 3 on the borders.
-    border = "anchor long, id long, text_key long, start long, count int, bytes binary"
-
-    def bytes_of(column: str) -> DataFrame:
-        lists = found.filter(F.col(column).isNotNull()).groupBy("id").agg(F.collect_list(column).alias("asked"))
-        # All columns of the texts, used or not: so one exchange of the texts serves this join and the last one.
-        return named.join(lists, "id").mapInArrow(_border_rows(width), border)
-
-    spans = bytes_of("asked").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_borders(width), "id long, text_key long, low long, high long")
-    large = bytes_of("asked_large").mapInArrow(_window_rows(width), "key long, id long, text_key long, start long")
-    if not found.filter(F.col("asked_large").isNotNull()).isEmpty():
-        windows = written(large)
-        firsts = windows.groupBy("key").agg(F.min(F.struct("id", "text_key", "start")).alias("first"))
-        repeats = windows.join(firsts, "key").filter(
-            (F.col("id") > F.col("first.id")) | ((F.col("id") == F.col("first.id")) & (F.col("text_key") == F.col("first.text_key")) & (F.col("start") > F.col("first.start")))
-        )
-        spans = spans.unionByName(repeats.select("id", "text_key", F.col("start").alias("low"), F.col("start").alias("high")))
+    # Pass 3 on the borders, of small and large groups in one exchange.
+    asked = found.filter(F.col("asked").isNotNull() | F.col("asked_large").isNotNull())
+    lists = asked.groupBy("id").agg(F.collect_list("asked").alias("asked"), F.collect_list("asked_large").alias("asked_large"))
+    # All columns of the texts, used or not: so one exchange of the texts serves this join and the last one.
+    borders = named.join(lists, "id").mapInArrow(_border_rows(width), BORDER)
+    spans = borders.repartition("digit").sortWithinPartitions("digit").mapInArrow(_borders(width), "id long, text_key long, low long, high long")
 
     seen = found.filter(F.col("seen").isNotNull()).groupBy("id").agg(F.flatten(F.collect_list("seen")).alias("seen"))
     spans = spans.groupBy("id").agg(F.collect_list(F.struct("text_key", "low", "high")).alias("spans"))

@@ -46,6 +46,50 @@ def test_suffixes_equal_a_plain_search(docs, corpus, group, monkeypatch):
     assert Counter(map(tuple, found)) == wanted
 
 
+def test_texts_move_once_for_small_and_large_groups(spark, corpus):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    rows = [(r[0], r[1]) for r in corpus]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).mapInArrow(counted, "doc_id long, text string")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        assert len(suffixes.remove_repeats(docs, group=2).collect()) == len(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert reads.value == 2 * len(rows)  # for the runs, and for the exchange that both joins read
+
+
+def test_a_window_of_a_large_group_that_many_share_travels_once(spark, monkeypatch):
+    rng = random.Random(11)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    rows = [(i, f"{rng.random()} {passage} {rng.random()}") for i in range(200)]
+    sent = spark.sparkContext.accumulator(0)
+    plain = suffixes._borders
+
+    def counting(width):
+        def run(batches):
+            def told():
+                for batch in batches:
+                    sent.add(len(batch))
+                    yield batch
+
+            yield from plain(width)(told())
+
+        return run
+
+    monkeypatch.setattr(suffixes, "_borders", counting)
+    found = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), group=1).collect()
+    expected = naive(rows, suffixes.WIDTH)
+    assert {r[0]: tuple(r[1:]) for r in found} == {i: expected[i, t.encode()] for i, t in rows}
+    assert 0 < sent.value < 200 * 60  # of some 57 windows a text, its 21 in the passage go as one span
+
+
 def test_suffixes_of_few_letters(spark):
     rng = random.Random(3)
     rows = [(i, "".join(rng.choice("ab") for _ in range(rng.randint(0, 40))) * rng.randint(1, 12)) for i in range(60)]
