@@ -6,9 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import with_author
+from checks.queries import REGISTRY, with_author
 from palaver.functions.text import estimate_tokens
 from palaver.operators import chunking
+from palaver.sources import fixtures
 from palaver.sources.fixtures import bind
 from test_chunking import greedy
 
@@ -71,3 +72,26 @@ def test_authors_join_before_texts(spark, tmp_path):
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     last = next(line for line in plan.splitlines() if "Join" in line)
     assert "doc_id" in last  # the texts come last, so no shuffle for the authors carries them
+
+
+def test_spread_messages_are_the_live_messages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fixtures, "SPREAD_BYTES", 1)
+    tables = small_tables(spark, tmp_path)
+    plain, spread = tables.live_messages, tables.live_spread()
+    assert spread.columns == plain.columns
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_texts_returned_with_each_title_are_written_small(spark, tmp_path, monkeypatch):
+    """Texts beyond the reach of page compression, each in the result some fifty times."""
+    monkeypatch.setattr(fixtures, "SPREAD_BYTES", 1 << 17, raising=False)
+    rng = random.Random(7)
+    marks = " ".join(f"**Title {i:04}**" for i in range(10))
+    docs = [(i, marks + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=80_000))) for i in range(60)]
+    events = [(i, START, 1, "click") for i in range(300)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    REGISTRY["extract_events"](spark, str(tmp_path)).write.parquet(f"{tmp_path}/found")
+    found = spark.read.parquet(f"{tmp_path}/found")
+    assert found.agg(F.sum(F.length("raw_text"))).first()[0] > 200_000_000
+    assert sum(f.stat().st_size for f in (tmp_path / "found").glob("*.parquet")) < 30_000_000
