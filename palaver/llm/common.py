@@ -74,6 +74,7 @@ def kept_by_worker(kind: str, key: object, make: Callable[[], T]) -> T:
     """
     kept = sys.modules.setdefault("_worker_keeps", types.ModuleType("_worker_keeps")).__dict__
     if kind not in kept or kept[kind][0] != key:
+        kept.pop(kind, None)  # before the next is built, so that a worker never holds both
         kept[kind] = key, make()
     return kept[kind][1]
 

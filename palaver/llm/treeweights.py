@@ -39,9 +39,11 @@ DEPTH = 5
 #: Bytes that one numpy step takes.
 STEP = 1 << 19
 #: Distinct grams that a task merges before it hands them on.
-MERGE = 5 << 19
+MERGE = 1 << 21
+#: Rows that a task hands on at once; the worker and its executor both hold them.
+OUT = 1 << 16
 #: Rows of the sorted grams that a task works on at a time; a subtree of depth three stays whole.
-ROWS = 200_000
+ROWS = 50_000
 #: Grams whose code lengths every task holds; 24 bytes each in a worker.
 TABLE = 1_500_000
 #: Most frequent training words whose counts every task holds; other words are joined.
@@ -86,25 +88,31 @@ def text_grams(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> Ite
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of all runs. ``held`` is emptied, so that no array stays longer than it is needed."""
     key, n = (np.concatenate(column) for column in zip(*held, strict=True))
+    held.clear()
     order = np.argsort(key, kind="stable")  # a merge of runs that are sorted already
-    key, n = key[order], n[order]
+    key = key[order]
+    n = n[order]
+    del order
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     return key[first], np.add.reduceat(n, first)
 
 
-def counted_grams(named: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(part, gram, n, n_all): how often training and all texts have each gram; ``part`` is the last two context bytes."""
+def _count(depth: int):
+    """(gram, n, n_all) of a task's texts, merged as far as ``MERGE`` grams go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def rows() -> pa.RecordBatch:
-            key, n = _merged(held)
-            train = np.where(key & np.uint64(1) == 0, n, 0)
-            return pa.RecordBatch.from_arrays(
-                [pa.array((key >> np.uint64(1)).view(np.int64)), pa.array(train), pa.array(n)], names=["gram", "n", "n_all"]
-            )
+        def rows() -> Iterator[pa.RecordBatch]:
+            every, times = _merged(held)
+            for at in range(0, len(every), OUT):
+                key, n = every[at : at + OUT], times[at : at + OUT]
+                train = np.where(key & np.uint64(1) == 0, n, 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((key >> np.uint64(1)).view(np.int64)), pa.array(train), pa.array(n)], names=["gram", "n", "n_all"]
+                )
 
         for batch in batches:
             data, offsets = buffer(batch["text"])
@@ -112,14 +120,19 @@ def counted_grams(named: DataFrame, depth: int = DEPTH) -> DataFrame:
             for row, gram in text_grams(data, offsets, depth):
                 held.append(np.unique((gram << np.uint64(1)) | aside[row], return_counts=True))
                 if sum(len(k) for k, _ in held) > MERGE:
-                    held = [_merged(held)]
+                    held.append(_merged(held))
                     if 2 * len(held[0][0]) > MERGE:
-                        yield rows()
-                        held = []
+                        yield from rows()
         if held:
-            yield rows()
+            yield from rows()
+
+    return run
 
-    counted = named.select("text", "held_out").mapInArrow(run, "gram long, n long, n_all long")
+
+def counted_grams(named: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(part, gram, n, n_all): how often training and all texts have each gram; ``part`` is the last two context bytes."""
+
+    counted = named.select("text", "held_out").mapInArrow(_count(depth), "gram long, n long, n_all long")
     part = F.shiftrightunsigned("gram", SYMBOL + 8 * (DEPTH - 2)).cast("int").alias("part")
     return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all")).select(part, "gram", "n", "n_all")
 
@@ -343,6 +356,10 @@ class Lengths:
         self.bits = max(8, int(2 * len(gram)).bit_length())
         size = 1 << self.bits
         self.key, self.length = np.full(size, _NONE, np.uint64), np.zeros(size, np.float32)
+        for low in range(0, len(gram), OUT):
+            self._add(gram[low : low + OUT], length[low : low + OUT])
+
+    def _add(self, gram: np.ndarray, length: np.ndarray) -> None:
         left, at = np.arange(len(gram)), self._at(gram)
         while len(left):
             free = self.key[at] == _NONE
@@ -351,7 +368,7 @@ class Lengths:
             takes = np.zeros(len(left), bool)
             takes[first] = free[first]
             self.key[at[takes]], self.length[at[takes]] = gram[left[takes]], length[left[takes]]
-            left, at = left[~takes], (at[~takes] + 1) & (size - 1)
+            left, at = left[~takes], (at[~takes] + 1) & (len(self.key) - 1)
 
     def _at(self, gram: np.ndarray) -> np.ndarray:
         return (gram * _MIX >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -451,7 +468,10 @@ def _score_rows(common, table, depth: int):
             own = (row >= at) & (row < at + (1 << 15))
             pair, times = np.unique(((row[own] - at).astype(np.uint64) << np.uint64(49)) | gram[own], return_counts=True)
             ids = place[(pair >> np.uint64(49)).astype(np.int64) + at]
-            yield batch_of({"id": ids, "gram": (pair & np.uint64(2**49 - 1)).view(np.int64), "times": times}, len(times))
+            gram_of = (pair & np.uint64(2**49 - 1)).view(np.int64)
+            for low_row in range(0, len(times), OUT):
+                part = slice(low_row, low_row + OUT)
+                yield batch_of({"id": ids[part], "gram": gram_of[part], "times": times[part]}, len(times[part]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.value

@@ -4,13 +4,16 @@ import itertools
 import math
 import random
 import zlib
+import tracemalloc
+import weakref
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from palaver.llm import toxicity, treeweights
+from palaver.llm import common, toxicity, treeweights
 
 
 def estimate(a, b):
@@ -164,6 +167,69 @@ def test_lookup_table_is_exact():
     assert np.isnan(treeweights.Lengths(gram[:0], length[:0]).find(gram)).all()
 
 
+def most_memory(run):
+    """MB that numpy and Python held at once."""
+    tracemalloc.start()
+    run()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most / 1e6
+
+
+def test_a_lookup_table_is_built_in_little_more_than_its_own_size():
+    gram = np.arange(1_000_000, dtype=np.uint64) * np.uint64(977)
+    length = np.zeros(len(gram), np.float32)
+    table = 12 * (1 << 21) / 1e6
+    assert most_memory(lambda: treeweights.Lengths(gram, length)) < 1.6 * table
+
+
+def test_weighing_holds_few_subtrees_at_once():
+    """Four hundred thousand grams of 4,000 subtrees, as Spark hands them over."""
+    third = np.repeat(np.arange(4000, dtype=np.uint64), 100)
+    gram = (third << np.uint64(25)) | (np.tile(np.arange(100, dtype=np.uint64), 4000) << np.uint64(9)) | np.uint64(97)
+    columns = {"part": (third >> np.uint64(8)).astype(np.int32), "third": third.view(np.int64), "gram": gram.view(np.int64), "n": np.ones(len(gram), np.int64)}
+    batch = pa.RecordBatch.from_pydict(columns)
+    batches = [batch.slice(at, 10_000) for at in range(0, len(batch), 10_000)]
+
+    def run():
+        for _ in treeweights._weigh(5)(iter(batches)):
+            pass
+
+    assert most_memory(run) < 80
+
+
+def test_grams_leave_a_task_in_small_batches(monkeypatch):
+    monkeypatch.setattr(treeweights, "OUT", 100)
+    monkeypatch.setattr(treeweights, "MERGE", 400)
+    monkeypatch.setattr(treeweights, "STEP", 300)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 400))) for _ in range(40)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "held_out": [i % 3 == 0 for i in range(40)]})
+    found, expected = Counter(), Counter()
+    for out in treeweights._count(5)(iter([batch, batch])):
+        assert 0 < len(out) <= 100
+        for gram, n, n_all in zip(*(column.to_pylist() for column in out.columns), strict=True):
+            found[gram, "train"] += n
+            found[gram, "all"] += n_all
+    for i, text in enumerate(texts):
+        data, offsets = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])
+        for _, gram in treeweights.text_grams(data, offsets):
+            for g in gram.tolist():
+                expected[g, "all"] += 2
+                expected[g, "train"] += 2 * (i % 3 != 0)
+    assert +found == +expected
+
+
+def test_a_worker_drops_the_old_before_it_builds_the_new():
+    class Kept:
+        pass
+
+    old = weakref.ref(common.kept_by_worker("tried", 1, Kept))
+    assert old() is common.kept_by_worker("tried", 1, Kept)
+    there = common.kept_by_worker("tried", 2, lambda: old() is None)
+    assert there is True and common.kept_by_worker("tried", 2, Kept) is True
+
+
 def test_usual_rows_are_bounded(spark):
     counts = [1] * 50 + [2] * 20 + [3] * 5 + [2000] * 4 + [1025] * 3 + [10**9]
     frame = spark.createDataFrame([(n,) for n in counts], "n long")
