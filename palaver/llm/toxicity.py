@@ -41,14 +41,20 @@ SIGNATURES = 6
 MEMORY_WORDS = 400_000
 #: Longest stretch of a word that the kernel sees at once; longer words are seen through a sliding stretch.
 STRETCH = 24
+#: New words that are compared together.
+PAIRED = 50_000
 #: Texts whose new words are worked out together.
 BATCH = 400
 #: Kernel values below this count as 0, so that chance likeness of ordinary words adds nothing.
 FLOOR = 0.35
 
-_SENTENCES = re.compile(r"(?<=[.!?])\s+|\n")
+#: Spaces behind a full stop, or a line break; it begins with the space, so that a search passes over all else.
+_SENTENCES = re.compile(r"\s(?:(?<=[.!?]\s)\s*|(?<=\n))")
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
+#: Stands in whatever ``_SPACED`` finds, and is found faster.
+_SINGLE = re.compile(r"[ \t]\S[ \t]+\S(?!\S)")
 _MARKS = re.compile(r"[\W_]+")
+_BARE = re.compile(r"[^\w\s]+")
 
 
 def words(sentence: str) -> list[str]:
@@ -58,6 +64,11 @@ def words(sentence: str) -> list[str]:
     return [bare for word in joined.split() if (bare := word if word.isalnum() else _MARKS.sub("", word))]
 
 
+def bare(lowered: str) -> str:
+    """Only the letters, digits and spaces."""
+    return _BARE.sub("", lowered.replace("_", ""))
+
+
 def kernel(strings: list[str], landmark: str, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
     """Gap-weighted subsequence kernel of each string with one landmark, for all strings at once."""
     if not strings:
@@ -76,23 +87,36 @@ def _weighted(codes: np.ndarray, target: np.ndarray, order: int, decay: float) -
     Single precision is enough for likeness; columns lie side by side in memory.
     """
     width, size = codes.shape
+    if size == 1:  # sums are rounded alike, however many columns there are
+        return _weighted(np.repeat(codes.T, 2, axis=0).T, np.repeat(target, 2, axis=1), order, decay)[:1]
     hit = (codes[:, None, :] == target[None, :, :]).astype(np.float32) * np.float32(decay**2)
     decay = np.float32(decay)
     # before: weighted pairs of subsequences of one length that end in both prefixes, gaps counted to the ends.
     before = np.ones((width + 1, len(target) + 1, size), np.float32)
     for _ in range(1, order):
+        run = hit * before[:-1, :-1]
+        for j in range(1, len(target)):
+            run[:, j] += run[:, j - 1] * decay
         after = np.zeros_like(before)
         for s in range(width):
-            run = np.zeros(size, np.float32)
-            for j in range(len(target)):
-                run *= decay
-                run += hit[s, j] * before[s, j]
-                np.multiply(after[s, j + 1], decay, out=after[s + 1, j + 1])
-                after[s + 1, j + 1] += run
+            np.multiply(after[s], decay, out=after[s + 1])
+            after[s + 1, 1:] += run[s]
         before = after
     return np.einsum("sjn,sjn->n", hit, before[:-1, :-1]).astype(float)
 
 
+def least_self_kernel(width: int) -> float:
+    """What the kernel of a string of this length with itself is at least: each subsequence with itself alone."""
+    return sum((width - span + 1) * (span - ORDER + 1) * DECAY ** (2 * span) for span in range(ORDER, width + 1))
+
+
+def stretches(word: str) -> list[str]:
+    """The word, or overlapping stretches of a long one, equal ones once."""
+    if len(word) <= STRETCH:
+        return [word]
+    return list(dict.fromkeys(word[start : start + STRETCH] for start in range(0, len(word) - STRETCH // 2, STRETCH // 2)))
+
+
 class Similarity:
     """Normalised kernel values of words with all landmarks, remembered by a worker."""
 
@@ -101,46 +125,94 @@ class Similarity:
         self.own = self_kernels(landmarks)
         self.letters = letter_sets(landmarks)
         self.least = (3 * np.bitwise_count(self.letters) + 3) // 4
-        self.known: dict[str, np.ndarray | None] = {}
+        self.known: set[str] = set()
+        #: Values of the known words that are near a landmark.
+        self.near: dict[str, np.ndarray] = {}
+        #: Places and code points of the landmarks of each length.
+        self.by_length: list[tuple[np.ndarray, np.ndarray]] = []
+        size = np.array([len(one) for one in landmarks], np.int64)
+        for length in np.unique(size).tolist():
+            places = np.flatnonzero(size == length)
+            self.by_length.append((places, _codes([landmarks[i] for i in places.tolist()])))
 
     def learn(self, found: set[str]) -> None:
         """Values of unknown words. A landmark counts only where the word has most of its letters."""
-        fresh = [word for word in found if word not in self.known]
+        fresh = found - self.known
         if len(self.known) + len(fresh) > MEMORY_WORDS:
             self.known.clear()
-            fresh = list(found)
-        asked: list[list[tuple[str, str]]] = [[] for _ in self.landmarks]
-        for low in range(0, len(fresh), 10_000):
-            part = fresh[low : low + 10_000]
-            self.known |= dict.fromkeys(part)
-            shared = np.bitwise_count(letter_sets(part)[:, None] & self.letters[None, :])
-            for at, i in zip(*(x.tolist() for x in np.nonzero(shared >= self.least)), strict=True):
-                word = part[at]
-                starts = range(0, len(word) - STRETCH // 2, STRETCH // 2) if len(word) > STRETCH else (0,)
-                asked[i] += [(word, word[start : start + STRETCH]) for start in starts]
-        stretches = sorted({stretch for rows in asked for _, stretch in rows})
-        norm = dict(zip(stretches, np.sqrt(self_kernels(stretches)), strict=True))
-        for i, rows in enumerate(asked):
-            for at in range(0, len(rows), 2000):
-                part = rows[at : at + 2000]
-                value = kernel([stretch for _, stretch in part], self.landmarks[i]) / np.sqrt(self.own[i])
-                for (word, stretch), v in zip(part, value.tolist(), strict=True):
-                    if norm[stretch] and v >= FLOOR * norm[stretch]:
-                        if self.known[word] is None:
-                            self.known[word] = np.zeros(len(self.landmarks), np.float32)
-                        self.known[word][i] = max(self.known[word][i], min(1.0, v / norm[stretch]))
+            self.near.clear()
+            fresh = found
+        self.known |= fresh
+        able = [word for word in fresh if len(word) >= ORDER]
+        for low in range(0, len(able), PAIRED):
+            part = able[low : low + PAIRED]
+            letters = letter_sets(part)
+            size = np.array([len(word) for word in part], np.int64)
+            for width in np.unique(np.minimum(size, STRETCH + 1)).tolist():
+                own = np.flatnonzero(np.minimum(size, STRETCH + 1) == width).tolist()
+                if width <= STRETCH:
+                    some = [part[i] for i in own]
+                    self._compare(some, some, letters[own])
+                    continue
+                for i in own:
+                    rows = stretches(part[i])
+                    for length in {len(row) for row in rows}:
+                        equal = [row for row in rows if len(row) == length]
+                        self._compare([part[i]] * len(equal), equal, np.repeat(letters[i], len(equal)))
+
+    def _compare(self, of: list[str], rows: list[str], letters: np.ndarray) -> None:
+        """Values of words by their stretches ``rows``, which have one length; ``letters`` are those of the words."""
+        bound = FLOOR * 0.999 * np.sqrt(least_self_kernel(len(rows[0])))
+        for low in range(0, len(rows), 10_000):
+            some = slice(low, low + 10_000)
+            codes, mine = _codes(rows[some]), letters[some, None]
+            for places, target in self.by_length:
+                at, landmark = np.nonzero(np.bitwise_count(mine & self.letters[places]) >= self.least[places])
+                for first in range(0, len(at), 2000):
+                    a, b = at[first : first + 2000], landmark[first : first + 2000]
+                    value = _weighted(codes[a].T, np.ascontiguousarray(target[b].T), ORDER, DECAY) / np.sqrt(self.own[places[b]])
+                    # Few values pass the least that a word of this length asks for; only these need the word's own.
+                    passed = np.flatnonzero(value >= bound)
+                    norm = np.sqrt(self_kernels([rows[low + k] for k in a[passed].tolist()]))
+                    for k, n in zip(passed.tolist(), norm.tolist(), strict=True):
+                        if value[k] >= FLOOR * n:
+                            known = self.near.setdefault(of[low + a[k]], np.zeros(len(self.landmarks), np.float32))
+                            i = places[b[k]]
+                            known[i] = max(known[i], min(1.0, value[k] / n))
 
     def texts(self, some: list[str]) -> list[list[np.ndarray]]:
-        """For each text its sentences near any landmark: the largest value with each over their words."""
-        split = [[words(sentence) for sentence in _SENTENCES.split(text)] for text in some]
-        self.learn({word for sentences in split for parts in sentences for word in parts})
+        """For each text its sentences near any landmark: the largest value with each over their words.
+
+        Sentences end at spaces, so a text's words are those of its sentences, but for single characters in a row.
+        A text that has neither those nor a word near a landmark is not split.
+        """
+        split: list[list[list[str]] | None] = []
+        found = []
+        for text in some:
+            lowered = text.lower()
+            if _SINGLE.search(lowered) and _SPACED.search(lowered):
+                split.append([words(sentence) for sentence in _SENTENCES.split(text)])
+                found.append({word for parts in split[-1] for word in parts})
+            else:
+                split.append(None)
+                found.append(set(bare(lowered).split()))
+        self.learn(set().union(*found))
         out = []
-        for sentences in split:
-            near = ([v for v in map(self.known.get, parts) if v is not None] for parts in sentences)
-            out.append([np.max(values, axis=0) for values in near if values])
+        for text, sentences, own in zip(some, split, found, strict=True):
+            near = own & self.near.keys()
+            if near and sentences is None:
+                # No sentence holds a line break.
+                sentences = [one.split() for one in bare("\n".join(_SENTENCES.split(text.lower()))).split("\n")]
+            near_parts = ([self.near[word] for word in parts if word in near] for parts in sentences or () if not near.isdisjoint(parts))
+            out.append([np.max(values, axis=0) for values in near_parts])
         return out
 
 
+def _codes(strings: list[str]) -> np.ndarray:
+    """Code points of strings of one length, a string to a row."""
+    return np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(strings), -1)
+
+
 def self_kernels(strings: list[str]) -> np.ndarray:
     """Kernel of each string with itself, by the same recursion over strings of equal length."""
     out = np.zeros(len(strings))
@@ -150,8 +222,8 @@ def self_kernels(strings: list[str]) -> np.ndarray:
     for width, places in by_length.items():
         for some in range(0, len(places), 2000):
             at = places[some : some + 2000]
-            codes = np.frombuffer("".join(strings[i] for i in at).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(at), width)
-            out[at] = _weighted(codes.T, codes.T, ORDER, DECAY)
+            codes = _codes([strings[i] for i in at] * (2 if len(at) == 1 else 1))
+            out[at] = _weighted(codes.T, codes.T, ORDER, DECAY)[: len(at)]
     return out
 
 

@@ -3,9 +3,10 @@
 import itertools
 import math
 import random
-import zlib
+import re
 import tracemalloc
 import weakref
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -259,6 +260,77 @@ def test_kernel_equals_all_subsequences():
     assert np.allclose(toxicity.self_kernels(strings), [plain_kernel(s, s) for s in strings])
 
 
+def plain_near(text, landmarks):
+    """The sentences of a text near any landmark, word by word and stretch by stretch."""
+    out = []
+    for sentence in re.split(r"(?<=[.!?])\s+|\n", text):
+        values = []
+        for word in toxicity.words(sentence):
+            starts = range(0, len(word) - 12, 12) if len(word) > 24 else (0,)
+            value = np.zeros(len(landmarks), np.float32)
+            for i, landmark in enumerate(landmarks):
+                if 4 * len(set(word) & set(landmark)) >= 3 * len(set(landmark)):
+                    for one in (word[start : start + 24] for start in starts):
+                        norm = np.sqrt(toxicity.self_kernels([one])[0])
+                        v = toxicity.kernel([one], landmark)[0] / np.sqrt(toxicity.self_kernels([landmark])[0])
+                        if norm and v >= toxicity.FLOOR * norm:
+                            value[i] = max(value[i], min(1.0, v / norm))
+            if value.any():
+                values.append(value)
+        if values:
+            out.append(np.max(values, axis=0))
+    return out
+
+
+@pytest.mark.parametrize("remembered", [toxicity.MEMORY_WORDS, 60])
+def test_near_sentences_equal_a_plain_search(monkeypatch, remembered):
+    monkeypatch.setattr(toxicity, "MEMORY_WORDS", remembered)
+    landmarks = ["idiot", "moron", "scummy", "οδός", "dim"]
+    rng = random.Random(21)
+    parts = ["idiot", "IDIOT", "i_d.i-ot", "i d i o t", "s c\tu m m y", "morons", "mo--ron", "ΟΔΌΣ", "ΟΔΌΣ.", "İdiot", "di", "m", "a", "_", "...", "dim" * 9]
+    parts += ["plain", "meadow", "o.d", "dot", "motor", "room", "ridiots", "id\x0biot", "idi\u2028ot", "x" * 30 + "idiot" + "y" * 30, "é" * 40, "漢字", "summoned"]
+    ends = [" ", "  ", ". ", "! \n ", "?\t", "\n", ".", "\n\n", " . ", ".\x85", "\u00a0", " \t"]
+    texts = ["", " ", ".", "i d i o t", "i d i o t\n", "i. d. i. o. t"]
+    texts += ["".join(rng.choice(parts) + rng.choice(ends) for _ in range(rng.randint(0, 25))) for _ in range(150)]
+    found = toxicity.Similarity(landmarks)
+    for low in range(0, len(texts), 40):
+        for text, near in zip(texts[low : low + 40], found.texts(texts[low : low + 40]), strict=True):
+            expected = plain_near(text, landmarks)
+            assert len(near) == len(expected), text
+            assert all(np.allclose(one, other, rtol=1e-6) for one, other in zip(near, expected, strict=True)), text
+
+
+def test_a_self_kernel_is_never_below_its_bound():
+    strings = ["abc", "aaa", "abcabc", "mississippi", "q" * 24, "abcdefghijklmnopqrstuvwx"]
+    assert all(k >= toxicity.least_self_kernel(len(s)) * 0.99999 for s, k in zip(strings, toxicity.self_kernels(strings), strict=True))
+    assert math.isclose(toxicity.least_self_kernel(24), toxicity.self_kernels(strings[-1:])[0], rel_tol=1e-5)
+
+
+def test_short_words_cost_no_more_beside_a_long_one(monkeypatch):
+    """Kernels see words at their own length, a length at a time."""
+    cells, calls = [], []
+    weighted = toxicity._weighted
+
+    def counted(codes, target, *rest):
+        cells.append(codes.size * len(target))
+        return weighted(codes, target, *rest)
+
+    class Sentences:
+        def split(self, text):
+            calls.append(text)
+            return [text]
+
+    rng = random.Random(6)
+    found = toxicity.Similarity(["idiot", "moron"])
+    monkeypatch.setattr(toxicity, "_weighted", counted)
+    monkeypatch.setattr(toxicity, "_SENTENCES", Sentences())
+    words = ["".join(rng.choice("idotmrn") for _ in range(4)) for _ in range(400)]
+    texts = [" ".join(words), "x" * 20 + "idiot", "nothing of the kind", "an idiot"]
+    near = found.texts(texts)
+    assert sum(cells) < 1.5 * 400 * 2 * 4 * 5
+    assert near[2] == [] and near[3] and texts[2] not in calls  # a text without a near word is not split
+
+
 def test_insults_with_gaps_are_found(spark):
     rng = random.Random(9)
     plain = ["meadow", "window", "ladder", "carpet", "lumber", "pencil", "summer"]
