@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palaver.llm.common import NO_ID, SPACES, buffer, mixed, sliding_min, texts
+from palaver.llm.common import NO_ID, SPACES, buffer, mixed, sliding_min, small, texts
 from palaver.llm.repeats import first_in_batch
 
 #: Bytes that the gear hash covers.
@@ -31,7 +31,13 @@ REACH = 16
 WIDTH = 48
 #: Shortest passage of repeated chunks that is removed, in bytes.
 LEAST = 160
-STEP = 1 << 20
+#: Bytes that are hashed at a time; memory of a step is about 50 times that.
+STEP = 1 << 18
+#: Chunks whose digests are made at a time, and rows of a batch that is handed on.
+ROWS = 1 << 14
+#: Bytes of text whose chunks are compared before they are sent, and that are judged at a time.
+SENT = 8 << 20
+JUDGED = 1 << 20
 
 _GEAR = np.random.default_rng(11).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -60,10 +66,7 @@ def cut_points(data: np.ndarray, offsets: np.ndarray | None = None) -> np.ndarra
     offsets = np.array([0, len(data)]) if offsets is None else offsets
     first, last = offsets[:-1] + REACH - 1, offsets[1:] - WIDTH + 1
     whole = first < last
-    edges = np.zeros(len(data) + 1, np.int8)
-    edges[first[whole]] = 1
-    edges[last[whole]] = -1
-    starts = np.cumsum(edges, dtype=np.int8) > 0
+    first, last = first[whole], last[whole]
     out = []
     places = np.uint64((1 << 21) - 1)
     for at in range(0, len(data), STEP):
@@ -71,12 +74,21 @@ def cut_points(data: np.ndarray, offsets: np.ndarray | None = None) -> np.ndarra
         hashes = mixed(gear(data[low : at + STEP + WIDTH - 1])[at - low :].astype(np.uint64))
         key = (hashes & ~places) | (places - np.arange(len(hashes), dtype=np.uint64))
         least = sliding_min(key, WIDTH)
-        least = least[starts[at : at + len(least)]]
+        least = least[_inside(first, last, at, at + len(least))]
         found = (places - (least & places)).astype(np.int64)
         out.append(found[np.r_[True, found[1:] != found[:-1]]] + at + 1 if len(found) else found)
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 
+def _inside(first: np.ndarray, last: np.ndarray, low: int, high: int) -> np.ndarray:
+    """Which of the places low..high are in one of the ranges first..last, which are apart and in order."""
+    some = slice(np.searchsorted(last, low, "right"), np.searchsorted(first, high, "left"))
+    edges = np.zeros(high - low + 1, np.int8)
+    edges[np.maximum(first[some], low) - low] = 1
+    edges[np.minimum(last[some], high) - low] = -1
+    return np.cumsum(edges[:-1], dtype=np.int8) > 0
+
+
 def text_chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, begin, end) of the chunks of every text. The first chunk has at least ``REACH`` bytes, if the text has."""
     low = int(offsets[0])
@@ -91,8 +103,12 @@ def digests(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """(n, 2) digests of 128 bits."""
     view = memoryview(np.ascontiguousarray(data))
     make = hashlib.blake2b
-    joined = b"".join(make(view[b:e], digest_size=16).digest() for b, e in zip(begin.tolist(), end.tolist(), strict=True))
-    return np.frombuffer(joined, np.int64).reshape(-1, 2)
+    out = np.empty((len(begin), 2), np.int64)
+    for at in range(0, len(begin), ROWS):
+        part = slice(at, at + ROWS)
+        joined = b"".join([make(view[b:e], digest_size=16).digest() for b, e in zip(begin[part].tolist(), end[part].tolist(), strict=True)])
+        out[part] = np.frombuffer(joined, np.int64).reshape(-1, 2)
+    return out
 
 
 def _chunked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -105,13 +121,15 @@ def _chunked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches, "text", SENT):
         owner = batch["id"].to_numpy()
         _, row, _, _, digest = _chunked(batch)
         if not len(row):
             continue
         kept, shadowed = first_in_batch([digest[:, 0], digest[:, 1]], owner[row])
-        yield _rows(owner[row[kept]], digest[kept, 0], digest[kept, 1], None)
+        for at in range(0, len(kept), ROWS):
+            some = kept[at : at + ROWS]
+            yield _rows(owner[row[some]], digest[some, 0], digest[some, 1], None)
         order = shadowed[np.argsort(row[shadowed], kind="stable")]
         if len(order):
             cuts = np.flatnonzero(np.r_[True, row[order][1:] != row[order][:-1]])
@@ -155,7 +173,7 @@ def _kept(batch: pa.RecordBatch, least: int) -> list[tuple[int, int, int, str]]:
 
 def _apply(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "text", JUDGED):
             size, removed, passages, kept = zip(*_kept(batch, least), strict=True) if len(batch) else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(passages, pa.int64()), pa.array(kept, pa.string())],
@@ -167,7 +185,7 @@ def _apply(least: int):
 
 def _replace(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "text", JUDGED):
             kept = pa.array([text for *_, text in _kept(batch, least)], pa.string())
             yield pa.RecordBatch.from_arrays([kept, batch["row"]], names=["text", "row"])
 

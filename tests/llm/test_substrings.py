@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from palaver.llm import chunks, suffixes
@@ -122,6 +124,38 @@ def test_chunks_equal_a_plain_pass(docs, corpus):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_passages, r.kept_text) for r in found) == wanted
 
 
+def test_chunks_do_not_depend_on_the_parts_of_a_batch(docs, corpus, monkeypatch):
+    for name, size in (("STEP", 333), ("ROWS", 5), ("SENT", 900), ("JUDGED", 700)):
+        monkeypatch.setattr(chunks, name, size)
+    found = chunks.remove_repeats(docs.coalesce(1)).collect()
+    expected = plain_chunks([(r[0], r[1]) for r in corpus])
+    wanted = Counter((r[0], *expected[ident(r[0]), r[1] or ""]) for r in corpus)
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_passages, r.kept_text) for r in found) == wanted
+
+
+@pytest.mark.parametrize("rows", [6000, 1])
+def test_chunk_tasks_hold_little_beside_a_large_batch(rows):
+    size = 18_000_000 // rows
+    letters = np.random.default_rng(23).integers(97, 123, rows * size, dtype=np.uint8).tobytes().decode()
+    text = pa.array([letters[at : at + size] for at in range(0, len(letters), size)])
+    ids, seen = pa.array(range(rows), pa.int64()), pa.nulls(rows, pa.list_(pa.int64()))
+    sent = pa.RecordBatch.from_arrays([ids, text], names=["id", "text"])
+    judged = pa.RecordBatch.from_arrays([text, seen, ids], names=["text", "seen", "row"])
+
+    def most(run, batch):
+        tracemalloc.start()
+        try:
+            assert sum(len(part) for part in run(iter([batch]))) >= rows
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    # Places and digests of a whole text are held, about 4 bytes for each of its own, and its kept text.
+    limit = 50_000_000 if rows > 1 else 5 * len(letters)
+    assert most(chunks._members, sent) < limit
+    assert most(chunks._replace(chunks.LEAST), judged) < limit
+
+
 def plain_chunks(rows):
     split = {}
     for doc_id, text in rows:
