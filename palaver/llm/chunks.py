@@ -35,9 +35,9 @@ LEAST = 160
 STEP = 1 << 18
 #: Chunks whose digests are made at a time, and rows of a batch that is handed on.
 ROWS = 1 << 14
-#: Bytes of text whose chunks are compared before they are sent, and that are judged at a time.
-SENT = 8 << 20
-JUDGED = 1 << 20
+#: Bytes of text that are cut into chunks at a time, and whose chunks are compared before they are sent.
+CUT = 1 << 20
+SENT = 16 << 20
 
 _GEAR = np.random.default_rng(11).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -120,10 +120,21 @@ def _chunked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return data, row, begin, end, digests(data, begin, end)
 
 
+def _digested(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(row, digest) of the chunks of every text; their places are not kept."""
+    rows, found, at = [], [], 0
+    for part in small(iter([batch]), "text", CUT):
+        _, row, _, _, digest = _chunked(part)
+        rows.append((row + at).astype(np.int32))
+        found.append(digest)
+        at += len(part)
+    return np.concatenate(rows), np.concatenate(found)
+
+
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small(batches, "text", SENT):
         owner = batch["id"].to_numpy()
-        _, row, _, _, digest = _chunked(batch)
+        row, digest = _digested(batch)
         if not len(row):
             continue
         kept, shadowed = first_in_batch([digest[:, 0], digest[:, 1]], owner[row])
@@ -173,7 +184,7 @@ def _kept(batch: pa.RecordBatch, least: int) -> list[tuple[int, int, int, str]]:
 
 def _apply(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches, "text", JUDGED):
+        for batch in small(batches, "text", CUT):
             size, removed, passages, kept = zip(*_kept(batch, least), strict=True) if len(batch) else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(passages, pa.int64()), pa.array(kept, pa.string())],
@@ -185,7 +196,7 @@ def _apply(least: int):
 
 def _replace(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches, "text", JUDGED):
+        for batch in small(batches, "text", CUT):
             kept = pa.array([text for *_, text in _kept(batch, least)], pa.string())
             yield pa.RecordBatch.from_arrays([kept, batch["row"]], names=["text", "row"])
 
